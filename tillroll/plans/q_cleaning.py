@@ -1 +1,98 @@
-"""placeholder"""
+"""Cleaning and validation queries over the dirty fixture."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tillroll.operators import cleaning
+from tillroll.plans import sqlfrag as S
+from tillroll.plans.registry import present, register
+from tillroll.sources.tables import dirty_transactions, transactions
+
+DIRTY = S.with_ctes(S.TX_CTE, S.DIRTY_CTE)
+
+CLEAN_CTE = """cleaned AS (
+  SELECT TransactionID, CustomerID, ProductID, ProductCategory, Quantity, UnitPrice,
+         CAST(Quantity * UnitPrice AS DECIMAL(12,2)) AS Revenue,
+         TransactionDate, Country, PaymentMethod
+  FROM (SELECT DISTINCT * FROM dirty)
+  WHERE CustomerID IS NOT NULL AND TransactionID IS NOT NULL
+    AND Quantity > 0 AND UnitPrice > 0)"""
+
+RAW_SELECT = f"""TransactionID, CustomerID, ProductID, ProductCategory,
+       CAST(Quantity AS BIGINT) AS Quantity, CAST(UnitPrice AS DOUBLE) AS UnitPrice,
+       {S.ts_text('TransactionDate')} AS TransactionDate, Country, PaymentMethod"""
+
+
+@register("transactions_totals", S.with_ctes(S.TX_CTE) + """
+SELECT count(*) AS Rows, count(DISTINCT TransactionID) AS Orders,
+       count(DISTINCT CustomerID) AS Customers, CAST(sum(Quantity) AS BIGINT) AS Units,
+       CAST(sum(Revenue) AS DOUBLE) AS Revenue
+FROM transactions""")
+def q_transactions_totals(spark, sf_dir):
+    """The adapter's row count and sums."""
+    tx = transactions(spark, sf_dir)
+    return present(tx.agg(F.count(F.lit(1)).alias("Rows"),
+                          F.countDistinct("TransactionID").alias("Orders"),
+                          F.countDistinct("CustomerID").alias("Customers"),
+                          F.sum("Quantity").cast("bigint").alias("Units"),
+                          F.sum("Revenue").alias("Revenue")))
+
+
+@register("clean_transactions", DIRTY.replace("WITH ", "WITH ", 1).rstrip() + ",\n" + CLEAN_CTE + f"""
+SELECT TransactionID, CustomerID, ProductID, ProductCategory, CAST(Quantity AS BIGINT) AS Quantity,
+       CAST(UnitPrice AS DOUBLE) AS UnitPrice, CAST(Revenue AS DOUBLE) AS Revenue,
+       {S.ts_text('TransactionDate')} AS TransactionDate, Country, PaymentMethod
+FROM cleaned""")
+def q_clean_transactions(spark, sf_dir):
+    """The full cleaning chain on the dirty fixture."""
+    return present(cleaning.clean(dirty_transactions(spark, sf_dir)))
+
+
+@register("cleaning_audit", DIRTY + """
+, grouped AS (SELECT *, count(*) AS n FROM dirty GROUP BY ALL)
+SELECT CAST(sum(n) AS BIGINT) AS InitialRows,
+       CAST(sum(n - 1) AS BIGINT) AS DuplicatesRemoved,
+       count(*) FILTER (WHERE CustomerID IS NULL OR TransactionID IS NULL) AS MissingKeyRemoved,
+       count(*) FILTER (WHERE CustomerID IS NOT NULL AND TransactionID IS NOT NULL
+                        AND NOT coalesce(Quantity > 0 AND UnitPrice > 0, false)) AS InvalidRemoved,
+       count(*) FILTER (WHERE CustomerID IS NOT NULL AND TransactionID IS NOT NULL
+                        AND coalesce(Quantity > 0 AND UnitPrice > 0, false)) AS FinalRows
+FROM grouped""")
+def q_cleaning_audit(spark, sf_dir):
+    """Rows removed by each cleaning step, in sequence."""
+    return cleaning.audit(dirty_transactions(spark, sf_dir))
+
+
+@register("duplicate_keys", DIRTY + f"""
+SELECT TransactionID, CustomerID, {S.ts_text('TransactionDate')} AS TransactionDate,
+       count(*) AS DupCount
+FROM dirty GROUP BY TransactionID, CustomerID, TransactionDate HAVING count(*) > 1""")
+def q_duplicate_keys(spark, sf_dir):
+    """Duplicate-key listing."""
+    return present(cleaning.duplicate_keys(dirty_transactions(spark, sf_dir)))
+
+
+@register("invalid_values", DIRTY + f"""
+SELECT {RAW_SELECT} FROM dirty WHERE Quantity <= 0 OR UnitPrice <= 0""")
+def q_invalid_values(spark, sf_dir):
+    """Rows with a non-positive quantity or price."""
+    return present(cleaning.invalid_values(dirty_transactions(spark, sf_dir)))
+
+
+@register("missing_keys", DIRTY + f"""
+SELECT {RAW_SELECT} FROM dirty WHERE CustomerID IS NULL OR CustomerID = ''""")
+def q_missing_keys(spark, sf_dir):
+    """C11: rows missing CustomerID (null or empty)."""
+    return present(cleaning.missing_keys(dirty_transactions(spark, sf_dir)))
+
+
+@register("reconciliation", DIRTY.rstrip() + ",\n" + CLEAN_CTE + """
+SELECT count(DISTINCT TransactionID) AS TotalCleanTransactions,
+       count(DISTINCT CustomerID) AS TotalUniqueCustomers,
+       CAST(sum(Quantity * UnitPrice) AS DOUBLE) AS TotalCalculatedRevenue,
+       CAST(sum(Revenue) AS DOUBLE) AS TotalStoredRevenue
+FROM cleaned""")
+def q_reconciliation(spark, sf_dir):
+    """Totals after cleaning, recomputed vs stored revenue."""
+    return present(cleaning.reconciliation(cleaning.clean(dirty_transactions(spark, sf_dir))))

@@ -1 +1,152 @@
-"""placeholder"""
+"""Sales queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tillroll.operators import sales
+from tillroll.plans import sqlfrag as S
+from tillroll.plans.registry import present, register
+from tillroll.sources.tables import transactions
+
+TX = S.with_ctes(S.TX_CTE)
+
+
+def _avg_money(sum_expr: str, cnt_expr: str) -> str:
+    return S.money(S.div_half_up(S.cents(sum_expr), cnt_expr))
+
+
+@register("monthly_trend", TX + f"""
+SELECT strftime(TransactionDate, '%Y-%m') AS YearMonth,
+       count(DISTINCT TransactionID) AS TotalOrders,
+       count(DISTINCT CustomerID) AS ActiveCustomers,
+       CAST(sum(Quantity) AS BIGINT) AS TotalUnitsSold,
+       CAST(sum(Revenue) AS DOUBLE) AS GrossRevenue,
+       {_avg_money('sum(Revenue)', 'count(Revenue)')} AS AverageOrderValue
+FROM transactions GROUP BY YearMonth""")
+def q_monthly_trend(spark, sf_dir):
+    return present(sales.monthly_trend(transactions(spark, sf_dir)))
+
+
+@register("category_performance", TX + f"""
+, agg AS (SELECT ProductCategory, count(DISTINCT TransactionID) AS TotalOrders,
+                 CAST(sum(Quantity) AS BIGINT) AS TotalUnitsSold, sum(Revenue) AS GrossRevenue
+          FROM transactions GROUP BY ProductCategory)
+SELECT ProductCategory, TotalOrders, TotalUnitsSold, CAST(GrossRevenue AS DOUBLE) AS GrossRevenue,
+       CAST({S.div_half_up(S.cents('GrossRevenue') + ' * 100 * 100', S.cents('(SELECT sum(Revenue) FROM transactions)'))} AS DOUBLE) / 100.0
+         AS RevenueSharePct
+FROM agg""")
+def q_category_performance(spark, sf_dir):
+    return present(sales.category_performance(transactions(spark, sf_dir)))
+
+
+@register("country_payment", TX + """
+SELECT Country, PaymentMethod, count(DISTINCT CustomerID) AS UniqueCustomers,
+       count(DISTINCT TransactionID) AS TotalTransactions, CAST(sum(Revenue) AS DOUBLE) AS TotalRevenue
+FROM transactions GROUP BY Country, PaymentMethod""")
+def q_country_payment(spark, sf_dir):
+    return present(sales.country_payment(transactions(spark, sf_dir)))
+
+
+@register("daily_sales_ma7", TX + f"""
+, daily AS (SELECT CAST(TransactionDate AS DATE) AS SalesDate, sum(Revenue) AS DailyRevenue
+            FROM transactions GROUP BY SalesDate),
+ma AS (SELECT SalesDate, DailyRevenue,
+              sum(DailyRevenue) OVER w AS s, count(DailyRevenue) OVER w AS n
+       FROM daily WINDOW w AS (ORDER BY SalesDate ROWS BETWEEN 6 PRECEDING AND CURRENT ROW))
+SELECT {S.date_text('SalesDate')} AS SalesDate, CAST(DailyRevenue AS DOUBLE) AS DailyRevenue,
+       {_avg_money('s', 'n')} AS MovingAvg7DayRevenue
+FROM ma ORDER BY ma.SalesDate DESC LIMIT 30""")
+def q_daily_sales_ma7(spark, sf_dir):
+    return present(sales.daily_sales_ma7(transactions(spark, sf_dir)))
+
+
+DENSE_SQL = TX + """
+, daily AS (SELECT CAST(TransactionDate AS DATE) AS Date, sum(Revenue) AS ActualRevenue,
+                   count(DISTINCT TransactionID) AS OrderVolume, CAST(sum(Quantity) AS BIGINT) AS UnitsSold
+            FROM transactions GROUP BY 1),
+cal AS (SELECT CAST(unnest(generate_series(min(Date), max(Date), INTERVAL 1 DAY)) AS DATE) AS Date FROM daily)
+SELECT strftime(c.Date, '%Y-%m-%d') AS Date, CAST(coalesce(d.ActualRevenue, 0) AS DOUBLE) AS ActualRevenue,
+       coalesce(d.OrderVolume, 0) AS OrderVolume, coalesce(d.UnitsSold, 0) AS UnitsSold
+FROM cal c LEFT JOIN daily d ON c.Date = d.Date"""
+
+
+@register("daily_dense", DENSE_SQL)
+def q_daily_dense(spark, sf_dir):
+    """A5/FC1: zero-filled daily series (the forecast input)."""
+    return present(sales.dense_daily(transactions(spark, sf_dir)))
+
+
+@register("top_customers", TX + f"""
+SELECT CustomerID, Country, count(DISTINCT TransactionID) AS TotalOrders,
+       CAST(sum(Revenue) AS DOUBLE) AS TotalMonetarySpend,
+       {_avg_money('sum(Revenue)', 'count(Revenue)')} AS AvgOrderValue,
+       {S.ts_text('max(TransactionDate)')} AS LastPurchaseDate
+FROM transactions GROUP BY CustomerID, Country
+ORDER BY sum(Revenue) DESC, CustomerID, Country LIMIT 10""")
+def q_top_customers(spark, sf_dir):
+    return present(sales.top_customers(transactions(spark, sf_dir)))
+
+
+@register("overview_kpi", TX + f"""
+SELECT CAST(sum(Revenue) AS DOUBLE) AS TotalRevenue, count(DISTINCT TransactionID) AS TotalOrders,
+       count(DISTINCT CustomerID) AS TotalCustomers,
+       {S.money(S.div_half_even(S.cents('sum(Revenue)'), 'count(Revenue)'))} AS AverageOrderValue
+FROM transactions""")
+def q_overview_kpi(spark, sf_dir):
+    """KPI cards."""
+    return present(sales.overview(transactions(spark, sf_dir)))
+
+
+@register("revenue_by_country", TX + """
+SELECT Country, CAST(sum(Revenue) AS DOUBLE) AS Revenue FROM transactions GROUP BY Country""")
+def q_revenue_by_country(spark, sf_dir):
+    """Geographic revenue."""
+    return present(sales.revenue_by(transactions(spark, sf_dir), "Country"))
+
+
+@register("revenue_by_category", TX + """
+SELECT ProductCategory, CAST(sum(Revenue) AS DOUBLE) AS Revenue FROM transactions GROUP BY ProductCategory""")
+def q_revenue_by_category(spark, sf_dir):
+    """Category bar."""
+    return present(sales.revenue_by(transactions(spark, sf_dir), "ProductCategory"))
+
+
+@register("top_category", TX + f"""
+, cat AS (SELECT ProductCategory, sum(Revenue) AS r FROM transactions GROUP BY 1),
+best AS (SELECT ProductCategory AS name, r FROM cat ORDER BY r DESC, ProductCategory LIMIT 1),
+tot AS (SELECT sum(r) AS t FROM cat)
+SELECT coalesce(b.name, 'N/A') AS name, coalesce(CAST(b.r AS DOUBLE), 0.0) AS revenue,
+       CASE WHEN coalesce(tot.t, 0) > 0
+            THEN CAST({S.div_half_even(S.cents('b.r') + ' * 100 * 10', S.cents('tot.t'))} AS DOUBLE) / 10.0
+            ELSE 0.0 END AS share_of_total_pct
+FROM tot LEFT JOIN best b ON true""")
+def q_top_category(spark, sf_dir):
+    """Category leader with share of total."""
+    return sales.top_category(transactions(spark, sf_dir))
+
+
+@register("describe_transactions", TX + """
+, s AS (SELECT 'Quantity' AS "column", CAST(Quantity AS DOUBLE) AS v, CAST(Quantity AS DECIMAL(30,2)) AS d FROM transactions
+        UNION ALL SELECT 'UnitPrice', CAST(UnitPrice AS DOUBLE), CAST(UnitPrice AS DECIMAL(30,2)) FROM transactions
+        UNION ALL SELECT 'Revenue', CAST(Revenue AS DOUBLE), CAST(Revenue AS DECIMAL(30,2)) FROM transactions)
+SELECT "column", count(v) AS count, round(CAST(sum(d) AS DOUBLE) / count(v), 6) AS mean,
+       round(stddev_samp(v), 6) AS std, min(v) AS min, round(quantile_cont(v, 0.25), 6) AS p25,
+       round(quantile_cont(v, 0.5), 6) AS p50, round(quantile_cont(v, 0.75), 6) AS p75, max(v) AS max
+FROM s GROUP BY "column" """)
+def q_describe_transactions(spark, sf_dir):
+    """Summary statistics of the numeric columns."""
+    return sales.describe(transactions(spark, sf_dir))
+
+
+@register("transactions_head", TX + f"""
+SELECT TransactionID, CustomerID, ProductID, ProductCategory, CAST(Quantity AS BIGINT) AS Quantity,
+       CAST(UnitPrice AS DOUBLE) AS UnitPrice, CAST(Revenue AS DOUBLE) AS Revenue,
+       {S.ts_text('TransactionDate')} AS TransactionDate, Country, PaymentMethod
+FROM transactions
+ORDER BY transactions.TransactionDate, TransactionID, ProductID, Quantity, UnitPrice LIMIT 5""")
+def q_transactions_head(spark, sf_dir):
+    """Preview of the first rows in chronological order."""
+    tx = transactions(spark, sf_dir)
+    return present(tx.orderBy("TransactionDate", "TransactionID", "ProductID", "Quantity",
+                              "UnitPrice").limit(5))
