@@ -7,38 +7,16 @@ from tillroll.plans import sqlfrag as S
 from tillroll.plans.registry import present, register
 from tillroll.sources.tables import purchases, transactions
 
-FEATURES_SQL = S.with_ctes(
-    S.TX_CTE,
-    """agg AS (
-  SELECT CustomerID, max(TransactionDate) AS last_ts, min(TransactionDate) AS first_ts,
-         count(DISTINCT TransactionID) AS Frequency, sum(Revenue) AS Monetary,
-         CAST(sum(Quantity) AS BIGINT) AS TotalProducts,
-         count(DISTINCT ProductCategory) AS UniqueCategories
-  FROM transactions GROUP BY CustomerID)""",
-    "snap AS (SELECT max(TransactionDate) + INTERVAL 1 DAY AS s FROM transactions)",
-    S.mode_cte("m_cat", "transactions", "CustomerID", "ProductCategory"),
-    S.mode_cte("m_pay", "transactions", "CustomerID", "PaymentMethod"),
-    S.mode_cte("m_cty", "transactions", "CustomerID", "Country"),
-    f"""base AS (
-  SELECT a.*, {S.elapsed_days('last_ts', 's')} AS Recency,
-         {S.elapsed_days('first_ts', 's')} AS CustomerTenureDays
-  FROM agg a CROSS JOIN snap)""",
-) + f"""
-SELECT b.CustomerID,
-       {S.ts_text('b.last_ts')} AS LastPurchaseDate,
-       {S.ts_text('b.first_ts')} AS FirstPurchaseDate,
-       b.Frequency, CAST(b.Monetary AS DOUBLE) AS Monetary, b.TotalProducts, b.UniqueCategories,
-       mc.ProductCategory AS PrimaryCategory, mp.PaymentMethod AS PreferredPaymentMethod,
-       mo.Country AS Country, b.Recency,
-       {S.money(S.div_half_even(S.cents('b.Monetary'), 'b.Frequency'))} AS AvgOrderValue,
-       b.CustomerTenureDays,
-       CASE WHEN b.Frequency > 1
-            THEN CAST({S.div_half_even('(b.CustomerTenureDays - b.Recency) * 10', 'b.Frequency - 1')} AS DOUBLE) / 10.0
-            ELSE CAST(b.CustomerTenureDays AS DOUBLE) END AS AvgDaysBetweenOrders
-FROM base b
-LEFT JOIN m_cat mc ON mc.CustomerID = b.CustomerID
-LEFT JOIN m_pay mp ON mp.CustomerID = b.CustomerID
-LEFT JOIN m_cty mo ON mo.CustomerID = b.CustomerID
+FEATURES_SQL = S.with_ctes(*S.features_ctes()) + f"""
+SELECT CustomerID, {S.ts_text('last_ts')} AS LastPurchaseDate,
+       {S.ts_text('first_ts')} AS FirstPurchaseDate, Frequency,
+       CAST(Monetary AS DOUBLE) AS Monetary, TotalProducts, UniqueCategories, PrimaryCategory,
+       PreferredPaymentMethod, Country, Recency, CAST(AvgOrderValue AS DOUBLE) AS AvgOrderValue,
+       CustomerTenureDays,
+       CASE WHEN Frequency > 1
+            THEN CAST({S.div_half_even('(CustomerTenureDays - Recency) * 10', 'Frequency - 1')} AS DOUBLE) / 10.0
+            ELSE CAST(CustomerTenureDays AS DOUBLE) END AS AvgDaysBetweenOrders
+FROM features
 """
 
 

@@ -1 +1,170 @@
-"""placeholder"""
+"""Segmentation queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tillroll.operators import features as feat
+from tillroll.operators import segments as seg
+from tillroll.plans import sqlfrag as S
+from tillroll.plans.registry import present, register
+from tillroll.session import materialize
+from tillroll.sources.tables import transactions
+
+
+def _features(spark, sf_dir):
+    """Customer table, written once: segmentation reads it from several
+    branches (scaling statistics, assignment, labels)."""
+    return materialize(feat.customer_features(transactions(spark, sf_dir), as_text=False))
+
+
+def _z_sql(col: str, i: int) -> str:
+    return (f"round(CASE WHEN s{i} > 0 THEN (CAST({col} AS DOUBLE) - m{i}) / s{i} ELSE 0.0 END, "
+            f"{seg.Z_DIGITS})")
+
+
+SCALED_CTES = S.features_ctes() + [
+    """stats AS (SELECT CAST(sum(Recency) AS DOUBLE) / count(Recency) AS m0,
+                  CAST(sum(Frequency) AS DOUBLE) / count(Frequency) AS m1,
+                  CAST(sum(Monetary) AS DOUBLE) / count(Monetary) AS m2,
+                  stddev_pop(CAST(Recency AS DOUBLE)) AS s0,
+                  stddev_pop(CAST(Frequency AS DOUBLE)) AS s1,
+                  stddev_pop(CAST(Monetary AS DOUBLE)) AS s2 FROM features)""",
+    f"""scaled AS (SELECT f.*, {_z_sql('Recency', 0)} AS zRecency, {_z_sql('Frequency', 1)} AS zFrequency,
+                   {_z_sql('Monetary', 2)} AS zMonetary FROM features f CROSS JOIN stats)""",
+]
+
+
+def _dist(c) -> str:
+    terms = [f"(({z} - ({v!r})) * ({z} - ({v!r})))" for z, v in zip(seg.Z, c)]
+    return "(" + " + ".join(terms) + ")"
+
+
+_D = [_dist(c) for c in seg.FIXED_CENTROIDS]
+ASSIGN_CTE = f"""assigned AS (
+  SELECT *, CASE WHEN d0 <= d1 AND d0 <= d2 AND d0 <= d3 THEN 0
+                 WHEN d1 <= d2 AND d1 <= d3 THEN 1 WHEN d2 <= d3 THEN 2 ELSE 3 END AS Cluster
+  FROM (SELECT *, {_D[0]} AS d0, {_D[1]} AS d1, {_D[2]} AS d2, {_D[3]} AS d3 FROM scaled))"""
+
+_LABEL_LIST = "[" + ", ".join("'" + x + "'" for x in seg.LABELS) + "]"
+LABEL_CTES = [
+    """prof AS (SELECT Cluster, CAST(sum(Recency) AS DOUBLE) / count(Recency) AS MeanRecency,
+                 CAST(sum(Frequency) AS DOUBLE) / count(Frequency) AS MeanFrequency,
+                 CAST(sum(Monetary) AS DOUBLE) / count(Monetary) AS MeanMonetary
+          FROM assigned GROUP BY Cluster)""",
+    """ranked AS (SELECT *,
+        rank() OVER (ORDER BY MeanMonetary) + (count(*) OVER (PARTITION BY MeanMonetary) - 1) / 2.0 AS MonetaryRank,
+        rank() OVER (ORDER BY MeanFrequency) + (count(*) OVER (PARTITION BY MeanFrequency) - 1) / 2.0 AS FrequencyRank,
+        rank() OVER (ORDER BY MeanRecency DESC) + (count(*) OVER (PARTITION BY MeanRecency) - 1) / 2.0 AS RecencyRank
+      FROM prof)""",
+    """scored AS (SELECT *, CAST(MonetaryRank * 4 + FrequencyRank * 4 + RecencyRank * 2 AS BIGINT) AS score2
+      FROM ranked)""",
+    f"""labels AS (SELECT *, CASE WHEN SegmentOrder < {len(seg.LABELS)} THEN {_LABEL_LIST}[SegmentOrder + 1]
+                              ELSE 'Segment ' || CAST(SegmentOrder + 1 AS VARCHAR) END AS CustomerSegment
+      FROM (SELECT *, row_number() OVER (ORDER BY score2 DESC, MeanMonetary DESC, Cluster) - 1 AS SegmentOrder
+            FROM scored))""",
+    """segments AS (SELECT a.*, l.CustomerSegment FROM assigned a JOIN labels l ON a.Cluster = l.Cluster)""",
+]
+SEGMENTS_CTES = SCALED_CTES + [ASSIGN_CTE] + LABEL_CTES
+
+
+@register("rfm_scaled", S.with_ctes(*SCALED_CTES) + """
+SELECT CustomerID, Recency, Frequency, CAST(Monetary AS DOUBLE) AS Monetary,
+       zRecency, zFrequency, zMonetary FROM scaled""")
+def q_rfm_scaled(spark, sf_dir):
+    """M1: standardised R, F, M."""
+    return present(seg.standardise(_features(spark, sf_dir))
+                   .select("CustomerID", "Recency", "Frequency", "Monetary", *seg.Z))
+
+
+@register("nearest_centroid", S.with_ctes(*SCALED_CTES, ASSIGN_CTE) + """
+SELECT CustomerID, CAST(Cluster AS BIGINT) AS Cluster FROM assigned""")
+def q_nearest_centroid(spark, sf_dir):
+    """M3: assignment to fixed centroids."""
+    scaled = seg.standardise(_features(spark, sf_dir))
+    return present(seg.assign(scaled, seg.FIXED_CENTROIDS).select("CustomerID", "Cluster"))
+
+
+@register("lloyd_step", S.with_ctes(*SCALED_CTES, ASSIGN_CTE) + f"""
+SELECT CAST(Cluster AS BIGINT) AS Cluster, count(*) AS Members,
+       round(avg(zRecency), {seg.Z_DIGITS}) AS c_zRecency,
+       round(avg(zFrequency), {seg.Z_DIGITS}) AS c_zFrequency,
+       round(avg(zMonetary), {seg.Z_DIGITS}) AS c_zMonetary
+FROM assigned GROUP BY Cluster""")
+def q_lloyd_step(spark, sf_dir):
+    """M4: one Lloyd iteration from the fixed centroids."""
+    return present(seg.lloyd_step(seg.standardise(_features(spark, sf_dir)), seg.FIXED_CENTROIDS))
+
+
+@register("segment_labels", S.with_ctes(*SCALED_CTES, ASSIGN_CTE, *LABEL_CTES[:4]) + """
+SELECT CAST(Cluster AS BIGINT) AS Cluster, MeanRecency, MeanFrequency, MeanMonetary,
+       CAST(MonetaryRank AS DOUBLE) AS MonetaryRank, CAST(FrequencyRank AS DOUBLE) AS FrequencyRank,
+       CAST(RecencyRank AS DOUBLE) AS RecencyRank, CAST(score2 AS DOUBLE) / 10.0 AS CompositeScore,
+       CAST(SegmentOrder AS BIGINT) AS SegmentOrder, CustomerSegment
+FROM labels""")
+def q_segment_labels(spark, sf_dir):
+    """A18 + W2-W4 + M5: cluster profiles, average-tie ranks and labels."""
+    scaled = seg.standardise(_features(spark, sf_dir))
+    return present(seg.label_clusters(seg.assign(scaled, seg.FIXED_CENTROIDS)))
+
+
+@register("segment_table", S.with_ctes(*SEGMENTS_CTES) + """
+SELECT CustomerID, Recency, Frequency, CAST(Monetary AS DOUBLE) AS Monetary,
+       CAST(AvgOrderValue AS DOUBLE) AS AvgOrderValue, TotalProducts, UniqueCategories,
+       PrimaryCategory, Country, CAST(Cluster AS BIGINT) AS Cluster, CustomerSegment
+FROM segments""")
+def q_segment_table(spark, sf_dir):
+    """M6: customer segment table."""
+    return present(seg.fixed_segments(_features(spark, sf_dir)))
+
+
+@register("segment_breakdown", S.with_ctes(*SEGMENTS_CTES) + f"""
+SELECT CustomerSegment, count(CustomerID) AS CustomerCount,
+       CAST(sum(Monetary) AS DOUBLE) AS TotalSegmentRevenue,
+       {S.money(S.div_half_up(S.cents('sum(Monetary)'), 'count(Monetary)'))} AS AvgSpendPerCustomer,
+       CAST({S.div_half_up('sum(Recency) * 10', 'count(Recency)')} AS DOUBLE) / 10.0 AS AvgRecencyDays
+FROM segments GROUP BY CustomerSegment""")
+def q_segment_breakdown(spark, sf_dir):
+    """Segment revenue contribution."""
+    return present(seg.segment_breakdown(seg.fixed_segments(_features(spark, sf_dir))))
+
+
+@register("segment_matrix", S.with_ctes(*SEGMENTS_CTES) + """
+SELECT CustomerSegment, count(CustomerID) AS CustomerCount,
+       CAST(sum(Recency) AS DOUBLE) / count(Recency) AS AvgRecency,
+       CAST(sum(Frequency) AS DOUBLE) / count(Frequency) AS AvgFrequency,
+       CAST(sum(Monetary) AS DOUBLE) / count(Monetary) AS AvgMonetarySpend
+FROM segments GROUP BY CustomerSegment""")
+def q_segment_matrix(spark, sf_dir):
+    """Segment matrix."""
+    return present(seg.segment_matrix(seg.fixed_segments(_features(spark, sf_dir))))
+
+
+@register("segment_share", S.with_ctes(*SEGMENTS_CTES) + f"""
+, c AS (SELECT CustomerSegment, count(*) AS CustomerCount FROM segments GROUP BY 1)
+SELECT CustomerSegment, CustomerCount,
+       CAST({S.div_half_up('CustomerCount * 10000', '(SELECT sum(CustomerCount) FROM c)')} AS DOUBLE) / 100.0 AS SharePct
+FROM c""")
+def q_segment_share(spark, sf_dir):
+    """Segment share of customers."""
+    return present(seg.segment_share(seg.fixed_segments(_features(spark, sf_dir))))
+
+
+@register("rfm_scatter", S.with_ctes(*SEGMENTS_CTES) + """
+SELECT CustomerID, Recency, CAST(Monetary AS DOUBLE) AS Monetary, Frequency, CustomerSegment FROM segments""")
+def q_rfm_scatter(spark, sf_dir):
+    """RFM scatter feed."""
+    return present(seg.fixed_segments(_features(spark, sf_dir))
+                   .select("CustomerID", "Recency", "Monetary", "Frequency", "CustomerSegment"))
+
+
+@register("kmeans_segments")
+def q_kmeans_segments(spark, sf_dir):
+    """M2-M6 with the MLlib fit (10 restarts, lowest cost kept)."""
+    return present(seg.kmeans_segments(_features(spark, sf_dir)))
+
+
+@register("kmeans_sweep")
+def q_kmeans_sweep(spark, sf_dir):
+    """M7: elbow and silhouette over k = 2..8."""
+    return seg.kmeans_sweep(spark, _features(spark, sf_dir))

@@ -97,3 +97,33 @@ def mode_cte(name: str, source: str, key: str, col: str) -> str:
     SELECT {key}, {col},
            row_number() OVER (PARTITION BY {key} ORDER BY count(*) DESC, {col}) AS rn
     FROM {source} WHERE {col} IS NOT NULL GROUP BY {key}, {col}) WHERE rn = 1)"""
+
+
+def features_ctes() -> list[str]:
+    """CTEs ending in ``features``: the pipeline customer table with exact
+    decimal Monetary/AvgOrderValue and timestamp extremes."""
+    return [
+        TX_CTE,
+        """agg AS (
+  SELECT CustomerID, max(TransactionDate) AS last_ts, min(TransactionDate) AS first_ts,
+         count(DISTINCT TransactionID) AS Frequency, sum(Revenue) AS Monetary,
+         CAST(sum(Quantity) AS BIGINT) AS TotalProducts,
+         count(DISTINCT ProductCategory) AS UniqueCategories
+  FROM transactions GROUP BY CustomerID)""",
+        "snap AS (SELECT max(TransactionDate) + INTERVAL 1 DAY AS s FROM transactions)",
+        mode_cte("m_cat", "transactions", "CustomerID", "ProductCategory"),
+        mode_cte("m_pay", "transactions", "CustomerID", "PaymentMethod"),
+        mode_cte("m_cty", "transactions", "CustomerID", "Country"),
+        f"""features AS (
+  SELECT a.CustomerID, a.last_ts, a.first_ts, a.Frequency, a.Monetary, a.TotalProducts,
+         a.UniqueCategories, mc.ProductCategory AS PrimaryCategory,
+         mp.PaymentMethod AS PreferredPaymentMethod, mo.Country AS Country,
+         {elapsed_days('a.last_ts', 'snap.s')} AS Recency,
+         {elapsed_days('a.first_ts', 'snap.s')} AS CustomerTenureDays,
+         CAST({div_half_even(cents('a.Monetary'), 'a.Frequency')} AS DECIMAL(20,0)) * CAST(0.01 AS DECIMAL(3,2))
+           AS AvgOrderValue
+  FROM agg a CROSS JOIN snap
+  LEFT JOIN m_cat mc ON mc.CustomerID = a.CustomerID
+  LEFT JOIN m_pay mp ON mp.CustomerID = a.CustomerID
+  LEFT JOIN m_cty mo ON mo.CustomerID = a.CustomerID)""",
+    ]

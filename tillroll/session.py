@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. Money and time logic is written to be
 # independent of the session time zone, but UTC keeps printed values stable.
@@ -55,3 +55,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_table_path(spark: SparkSession, name: str) -> str:
     """Location for an intermediate table written to cut lineage."""
     return os.path.join(ensure_checkpoint_dir(spark), "tables", name)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage by writing ``df`` to the shared checkpoint folder.
+
+    Used where one intermediate (e.g. the customer table) feeds several
+    branches and scalar subqueries: they all read the written files instead
+    of re-running the joins, and the data survives executor loss.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
