@@ -1 +1,238 @@
-"""placeholder"""
+"""Churn queries.
+
+Score-driven operators are checked with the closed-form gap score (see
+``churn.gap_score``); the forest queries run the MLlib model and are checked
+by invariants in the tests.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tillroll.operators import churn
+from tillroll.operators import features as feat
+from tillroll.operators import segments as seg
+from tillroll.plans import sqlfrag as S
+from tillroll.plans.q_segments import LABEL_CTES, SCALED_CTES, ASSIGN_CTE
+from tillroll.plans.registry import present, register
+from tillroll.session import materialize
+from tillroll.sources.tables import transactions
+
+
+def _features(spark, sf_dir):
+    return materialize(feat.customer_features(transactions(spark, sf_dir), as_text=False))
+
+
+def _scored(spark, sf_dir, features=None):
+    f = features if features is not None else _features(spark, sf_dir)
+    return churn.with_split(churn.gap_score(churn.label(f)))
+
+
+G10 = (f"CASE WHEN Frequency > 1 THEN {S.div_half_even('(CustomerTenureDays - Recency) * 10', 'Frequency - 1')} "
+       f"ELSE CustomerTenureDays * 10 END")
+SCORED_CTES = S.features_ctes() + [
+    f"""g AS (SELECT *, CASE WHEN Recency > 60 THEN 1 ELSE 0 END AS Churn, {G10} AS g10 FROM features)""",
+    f"""scored AS (
+  SELECT *, CAST(g10 AS DOUBLE) / CAST(g10 + 1800 AS DOUBLE) AS ProbRaw,
+         CAST({S.div_half_even('g10 * 10000', 'g10 + 1800')} AS DECIMAL(18,0)) * CAST(0.0001 AS DECIMAL(5,4))
+           AS ChurnProbability,
+         (('0x' || substr(md5(CustomerID), 1, 8))::BIGINT % 100) < 20 AS IsTest
+  FROM g)""",
+    """banded AS (SELECT *, CASE WHEN ChurnProbability >= 0.70 THEN 'High Risk'
+                                  WHEN ChurnProbability >= 0.40 THEN 'Medium Risk' ELSE 'Low Risk' END AS RiskCategory
+                  FROM scored)""",
+]
+SCORED = S.with_ctes(*SCORED_CTES)
+
+PRED_SELECT = """CustomerID, Recency, Frequency, CAST(Monetary AS DOUBLE) AS Monetary,
+       CAST(AvgOrderValue AS DOUBLE) AS AvgOrderValue, PrimaryCategory, Country, CAST(Churn AS BIGINT) AS Churn,
+       CAST(ChurnProbability AS DOUBLE) AS ChurnProbability, RiskCategory"""
+
+
+@register("churn_labels", SCORED + "SELECT CustomerID, Recency, CAST(Churn AS BIGINT) AS Churn FROM g")
+def q_churn_labels(spark, sf_dir):
+    """Churn label."""
+    return present(churn.label(_features(spark, sf_dir)).select("CustomerID", "Recency", "Churn"))
+
+
+@register("churn_base_rate", SCORED + """
+SELECT count(*) AS Customers, CAST(sum(Churn) AS BIGINT) AS Churned, CAST(sum(1 - Churn) AS BIGINT) AS Active,
+       CAST(sum(Churn) AS DOUBLE) / count(*) AS ChurnRate FROM g""")
+def q_churn_base_rate(spark, sf_dir):
+    """Churn base rate."""
+    return churn.base_rate(churn.label(_features(spark, sf_dir)))
+
+
+@register("stratified_split", SCORED + "SELECT CustomerID, CAST(Churn AS BIGINT) AS Churn, IsTest FROM scored")
+def q_stratified_split(spark, sf_dir):
+    """Hash-based 80/20 split."""
+    return present(_scored(spark, sf_dir).select("CustomerID", "Churn", "IsTest"))
+
+
+@register("class_weights", SCORED + """
+, tr AS (SELECT * FROM scored WHERE NOT IsTest)
+SELECT CAST(Churn AS BIGINT) AS Churn, count(*) AS Count,
+       CAST((SELECT count(*) FROM tr) AS DOUBLE) / CAST(count(*) * 2 AS DOUBLE) AS Weight
+FROM tr GROUP BY Churn""")
+def q_class_weights(spark, sf_dir):
+    """Balanced class weights from the training split."""
+    return present(churn.class_weights(_scored(spark, sf_dir)))
+
+
+@register("risk_bands", SCORED + f"SELECT {PRED_SELECT} FROM banded")
+def q_risk_bands(spark, sf_dir):
+    """Predictions table with 4-dp probability and risk band."""
+    return present(churn.predictions_table(_scored(spark, sf_dir)))
+
+
+@register("risk_breakdown", SCORED + """
+SELECT RiskCategory, count(CustomerID) AS CustomerCount, CAST(sum(Monetary) AS DOUBLE) AS RevenueAtRisk
+FROM banded GROUP BY RiskCategory""")
+def q_risk_breakdown(spark, sf_dir):
+    """Risk distribution."""
+    return present(churn.risk_breakdown(_scored(spark, sf_dir)))
+
+
+@register("high_risk_rollup", SCORED + """
+SELECT count(*) FILTER (WHERE RiskCategory = 'High Risk') AS HighRiskCustomers,
+       CAST(coalesce(sum(Monetary) FILTER (WHERE RiskCategory = 'High Risk'), 0) AS DOUBLE) AS HighRiskRevenue
+FROM banded""")
+def q_high_risk_rollup(spark, sf_dir):
+    """High-risk KPI cards."""
+    return present(churn.high_risk_rollup(_scored(spark, sf_dir)))
+
+
+@register("risk_ordered", SCORED + """
+, o AS (SELECT * FROM (VALUES (0, 'High Risk'), (1, 'Medium Risk'), (2, 'Low Risk')) t(SortOrder, RiskCategory))
+SELECT o.SortOrder, o.RiskCategory, CAST(sum(b.Monetary) AS DOUBLE) AS RevenueAtRisk
+FROM o LEFT JOIN banded b ON b.RiskCategory = o.RiskCategory GROUP BY o.SortOrder, o.RiskCategory""")
+def q_risk_ordered(spark, sf_dir):
+    """Revenue at risk in fixed band order."""
+    return present(churn.risk_ordered(_scored(spark, sf_dir)))
+
+
+@register("probability_histogram", SCORED + """
+SELECT RiskCategory, CAST(least(floor(ChurnProbability * 20), 19) AS BIGINT) AS Bin, count(*) AS Customers,
+       CAST(least(floor(ChurnProbability * 20), 19) AS BIGINT) / 20.0 AS BinStart
+FROM banded GROUP BY ALL""")
+def q_probability_histogram(spark, sf_dir):
+    """Probability histogram by band."""
+    return present(churn.probability_histogram(_scored(spark, sf_dir)))
+
+
+@register("confusion_matrix", SCORED + """
+SELECT CAST(Churn AS BIGINT) AS Actual, CAST(ProbRaw > 0.5 AS BIGINT) AS Predicted, count(*) AS Count
+FROM scored WHERE IsTest GROUP BY ALL""")
+def q_confusion_matrix(spark, sf_dir):
+    """Confusion matrix on the test split."""
+    return present(churn.confusion(_scored(spark, sf_dir)))
+
+
+@register("classification_metrics", SCORED + """
+, c AS (SELECT count(*) FILTER (WHERE ProbRaw > 0.5 AND Churn = 1) AS tp,
+               count(*) FILTER (WHERE ProbRaw > 0.5 AND Churn = 0) AS fp,
+               count(*) FILTER (WHERE NOT ProbRaw > 0.5 AND Churn = 1) AS fn,
+               count(*) FILTER (WHERE NOT ProbRaw > 0.5 AND Churn = 0) AS tn FROM scored WHERE IsTest),
+d AS (SELECT *, CAST(tp AS DOUBLE) AS dtp, CAST(fp AS DOUBLE) AS dfp, CAST(fn AS DOUBLE) AS dfn,
+             CAST(tn AS DOUBLE) AS dtn FROM c)
+SELECT CASE WHEN dtp + dfp + dfn + dtn > 0 THEN (dtp + dtn) / (dtp + dfp + dfn + dtn) ELSE 0.0 END AS Accuracy,
+       CASE WHEN dtp + dfp > 0 THEN dtp / (dtp + dfp) ELSE 0.0 END AS Precision,
+       CASE WHEN dtp + dfn > 0 THEN dtp / (dtp + dfn) ELSE 0.0 END AS Recall,
+       CASE WHEN 2 * dtp + dfp + dfn > 0 THEN 2 * dtp / (2 * dtp + dfp + dfn) ELSE 0.0 END AS F1,
+       tp, fp, fn, tn FROM d""")
+def q_classification_metrics(spark, sf_dir):
+    """Accuracy, precision, recall, F1."""
+    return churn.classification_metrics(_scored(spark, sf_dir))
+
+
+ROC_CTES = """
+, sc AS (SELECT ProbRaw AS Score, count(*) FILTER (WHERE Churn = 1) AS Pos,
+                count(*) FILTER (WHERE Churn = 0) AS Neg FROM scored WHERE IsTest GROUP BY ProbRaw),
+run AS (SELECT *, sum(Pos) OVER (ORDER BY Score DESC ROWS UNBOUNDED PRECEDING) AS CumPos,
+               sum(Neg) OVER (ORDER BY Score DESC ROWS UNBOUNDED PRECEDING) AS CumNeg FROM sc),
+tot AS (SELECT sum(Pos) AS p, sum(Neg) AS n FROM sc)"""
+
+
+@register("roc_curve", SCORED + ROC_CTES + """
+SELECT Score AS Threshold,
+       CASE WHEN p > 0 THEN CAST(CumPos AS DOUBLE) / CAST(p AS DOUBLE) ELSE 0.0 END AS TPR,
+       CASE WHEN n > 0 THEN CAST(CumNeg AS DOUBLE) / CAST(n AS DOUBLE) ELSE 0.0 END AS FPR
+FROM run CROSS JOIN tot""")
+def q_roc_curve(spark, sf_dir):
+    """ROC curve points."""
+    return churn.roc_curve(_scored(spark, sf_dir))
+
+
+@register("roc_auc", SCORED + ROC_CTES + """
+SELECT CASE WHEN any_value(p) * any_value(n) > 0
+            THEN CAST(sum(Pos * ((n - CumNeg) * 2 + Neg)) AS DOUBLE) / CAST(any_value(p) * any_value(n) * 2 AS DOUBLE)
+       END AS AUC,
+       CAST(any_value(p) AS BIGINT) AS Positives, CAST(any_value(n) AS BIGINT) AS Negatives
+FROM run CROSS JOIN tot""")
+def q_roc_auc(spark, sf_dir):
+    """ROC-AUC with half credit for ties."""
+    return present(churn.roc_auc(_scored(spark, sf_dir)))
+
+
+@register("high_risk_list", SCORED + f"SELECT {PRED_SELECT} FROM banded WHERE RiskCategory = 'High Risk'")
+def q_high_risk_list(spark, sf_dir):
+    """L3: full high-risk action list."""
+    return present(churn.high_risk_list(_scored(spark, sf_dir)))
+
+
+@register("action_list", S.with_ctes(*SCORED_CTES, *SCALED_CTES[len(S.features_ctes()):], ASSIGN_CTE,
+                                     *LABEL_CTES) + """
+SELECT cp.CustomerID, cs.CustomerSegment, cp.RiskCategory, CAST(cp.ChurnProbability AS DOUBLE) AS ChurnProbability,
+       CAST(cp.Monetary AS DOUBLE) AS LifetimeValue, cp.PrimaryCategory, cp.Country
+FROM banded cp JOIN segments cs ON cp.CustomerID = cs.CustomerID
+WHERE cp.RiskCategory = 'High Risk'
+ORDER BY cp.Monetary DESC, cp.CustomerID LIMIT 20""")
+def q_action_list(spark, sf_dir):
+    """Top-20 high-risk customers with their segment."""
+    f = _features(spark, sf_dir)
+    cp = _scored(spark, sf_dir, f)
+    cs = seg.fixed_segments(f).select("CustomerID", "CustomerSegment")
+    out = (cp.filter(F.col("RiskCategory") == "High Risk").join(cs, "CustomerID")
+             .orderBy(F.col("Monetary").desc(), F.col("CustomerID")).limit(20)
+             .select("CustomerID", "CustomerSegment", "RiskCategory", "ChurnProbability",
+                     F.col("Monetary").alias("LifetimeValue"), "PrimaryCategory", "Country"))
+    return present(out)
+
+
+@register("inactivity_triggers", S.with_ctes(*S.features_ctes()) + """
+SELECT CustomerID, Recency, Frequency, CAST(Monetary AS DOUBLE) AS Monetary, PrimaryCategory, Country
+FROM features WHERE Recency BETWEEN 45 AND 60""")
+def q_inactivity_triggers(spark, sf_dir):
+    """C17: customers inside the 45-60 day inactivity window."""
+    from tillroll.operators.cleaning import inactivity_window
+    return present(inactivity_window(_features(spark, sf_dir))
+                   .select("CustomerID", "Recency", "Frequency", "Monetary", "PrimaryCategory", "Country"))
+
+
+def _forest(spark, sf_dir):
+    split = churn.with_split(churn.label(_features(spark, sf_dir)))
+    model = churn.fit_forest(split)
+    return split, model
+
+
+@register("forest_scores")
+def q_forest_scores(spark, sf_dir):
+    """MLlib forest predictions for every customer."""
+    split, model = _forest(spark, sf_dir)
+    return present(churn.predictions_table(churn.forest_scores(split, model)))
+
+
+@register("forest_importances")
+def q_forest_importances(spark, sf_dir):
+    """P10: forest feature importances."""
+    _, model = _forest(spark, sf_dir)
+    return churn.forest_importances(spark, model)
+
+
+@register("forest_metrics")
+def q_forest_metrics(spark, sf_dir):
+    """P8/P9 on the fitted forest's test predictions."""
+    split, model = _forest(spark, sf_dir)
+    scored = churn.forest_scores(split, model)
+    auc = churn.roc_auc(scored).select("AUC").scalar()
+    return churn.classification_metrics(scored).withColumn("AUC", auc)

@@ -57,12 +57,12 @@ LABEL_CTES = [
         rank() OVER (ORDER BY MeanFrequency) + (count(*) OVER (PARTITION BY MeanFrequency) - 1) / 2.0 AS FrequencyRank,
         rank() OVER (ORDER BY MeanRecency DESC) + (count(*) OVER (PARTITION BY MeanRecency) - 1) / 2.0 AS RecencyRank
       FROM prof)""",
-    """scored AS (SELECT *, CAST(MonetaryRank * 4 + FrequencyRank * 4 + RecencyRank * 2 AS BIGINT) AS score2
+    """prof_scored AS (SELECT *, CAST(MonetaryRank * 4 + FrequencyRank * 4 + RecencyRank * 2 AS BIGINT) AS score2
       FROM ranked)""",
     f"""labels AS (SELECT *, CASE WHEN SegmentOrder < {len(seg.LABELS)} THEN {_LABEL_LIST}[SegmentOrder + 1]
                               ELSE 'Segment ' || CAST(SegmentOrder + 1 AS VARCHAR) END AS CustomerSegment
       FROM (SELECT *, row_number() OVER (ORDER BY score2 DESC, MeanMonetary DESC, Cluster) - 1 AS SegmentOrder
-            FROM scored))""",
+            FROM prof_scored))""",
     """segments AS (SELECT a.*, l.CustomerSegment FROM assigned a JOIN labels l ON a.Cluster = l.Cluster)""",
 ]
 SEGMENTS_CTES = SCALED_CTES + [ASSIGN_CTE] + LABEL_CTES
