@@ -1 +1,191 @@
-"""placeholder"""
+"""Forecast queries (FC1-FC11).  The DuckDB oracle runs the same
+Holt-Winters recursion as a recursive CTE with identical operand order."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tillroll.operators import forecast as fc
+from tillroll.operators.sales import dense_daily
+from tillroll.plans import sqlfrag as S
+from tillroll.plans.registry import present, register
+from tillroll.sources.tables import transactions
+
+
+def _series_ctes(key_sql: str) -> list[str]:
+    return [
+        S.TX_CTE,
+        f"""daily AS (SELECT {key_sql} AS k, CAST(TransactionDate AS DATE) AS Date, sum(Revenue) AS rev,
+                   count(DISTINCT TransactionID) AS ov, CAST(sum(Quantity) AS BIGINT) AS units
+            FROM transactions GROUP BY 1, 2)""",
+        "span AS (SELECT k, min(Date) AS lo, max(Date) AS hi FROM daily GROUP BY k)",
+        "cal AS (SELECT k, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS Date FROM span)",
+        """dense AS (SELECT c.k, c.Date, coalesce(d.rev, 0) AS ActualRevenue, coalesce(d.ov, 0) AS OrderVolume,
+                   coalesce(d.units, 0) AS UnitsSold
+            FROM cal c LEFT JOIN daily d ON c.k = d.k AND c.Date = d.Date)""",
+        """ser AS (SELECT k, Date, CAST(ActualRevenue AS DOUBLE) AS y,
+                   row_number() OVER (PARTITION BY k ORDER BY Date) AS t FROM dense)""",
+        """head AS (SELECT k, """ + ", ".join(f"max(y) FILTER (WHERE t = {i}) AS y{i}" for i in range(1, 8))
+        + """, count(*) AS n, min(Date) AS FirstDate, max(Date) AS LastDate FROM ser GROUP BY k)""",
+    ]
+
+
+def _params_cte(grid) -> str:
+    vals = ", ".join(f"({a!r}, {b!r}, {g!r})" for a, b, g in grid)
+    return (f"params AS (SELECT CAST(a AS DOUBLE) AS alpha, CAST(b AS DOUBLE) AS beta, "
+            f"CAST(g AS DOUBLE) AS gamma FROM (VALUES {vals}) v(a, b, g))")
+
+
+_L0 = "(y1 + y2 + y3 + y4 + y5 + y6 + y7) / 7.0"
+_LB = "(r.l + r.b)"
+_LVL = f"(r.alpha * (d.y - r.s[1]) + (1.0 - r.alpha) * {_LB})"
+_F = f"({_LB} + r.s[1])"
+REC_CTES = [
+    f"init AS (SELECT h.*, p.alpha, p.beta, p.gamma, {_L0} AS l0 FROM head h CROSS JOIN params p)",
+    f"""rec AS (
+  SELECT k, alpha, beta, gamma, 7 AS t, l0 AS l, CAST(0.0 AS DOUBLE) AS b,
+         [y1 - l0, y2 - l0, y3 - l0, y4 - l0, y5 - l0, y6 - l0, y7 - l0] AS s,
+         CAST(0.0 AS DOUBLE) AS sse, CAST(0.0 AS DOUBLE) AS sr, CAST(NULL AS DOUBLE) AS fit
+  FROM init
+  UNION ALL
+  SELECT r.k, r.alpha, r.beta, r.gamma, r.t + 1, {_LVL},
+         r.beta * ({_LVL} - r.l) + (1.0 - r.beta) * r.b,
+         list_concat(r.s[2:7], [r.gamma * (d.y - {_LB}) + (1.0 - r.gamma) * r.s[1]]),
+         r.sse + (d.y - {_F}) * (d.y - {_F}), r.sr + (d.y - {_F}), {_F}
+  FROM rec r JOIN ser d ON d.k = r.k AND d.t = r.t + 1)""",
+    """final AS (
+  SELECT r.k, r.alpha, r.beta, r.gamma, r.l, r.b, r.s, r.sse, h.n - 7 AS m, h.FirstDate, h.LastDate,
+         CASE WHEN h.n - 7 > 0 THEN sqrt(greatest(r.sse / CAST(h.n - 7 AS DOUBLE)
+              - (r.sr / CAST(h.n - 7 AS DOUBLE)) * (r.sr / CAST(h.n - 7 AS DOUBLE)), 0.0)) END AS sigma
+  FROM rec r JOIN head h ON r.k = h.k WHERE r.t = h.n)""",
+    """best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY sse, alpha, beta, gamma) AS rn
+                            FROM final) WHERE rn = 1)""",
+]
+
+
+def _hw_sql(key_sql: str, grid) -> str:
+    return "WITH RECURSIVE " + ",\n".join(_series_ctes(key_sql) + [_params_cte(grid)] + REC_CTES) + "\n"
+
+
+FUTURE_CTE = f"""future AS (
+  SELECT k, CAST(LastDate + INTERVAL (h) DAY AS DATE) AS Date, h,
+         round_even(l + h * b + s[((h - 1) % 7) + 1], 2) AS PredictedRevenue,
+         round_even(greatest(l + h * b + s[((h - 1) % 7) + 1] - 1.96 * sigma, 0.0), 2) AS LowerBound,
+         round_even(l + h * b + s[((h - 1) % 7) + 1] + 1.96 * sigma, 2) AS UpperBound
+  FROM best CROSS JOIN (SELECT unnest(generate_series(1, {fc.HORIZON})) AS h))"""
+
+_STATE_SELECT = """alpha AS Alpha, beta AS Beta, gamma AS Gamma, l AS Level, b AS Trend, """ + \
+    ", ".join(f"s[{i + 1}] AS S{i + 1}" for i in range(7)) + \
+    """, sse AS SSE, CAST(m AS BIGINT) AS Residuals, sigma AS Sigma,
+       strftime(FirstDate, '%Y-%m-%d') AS FirstDate, strftime(LastDate, '%Y-%m-%d') AS LastDate"""
+
+
+def _flat_state(df, keys):
+    return present(df.select(*keys, "Alpha", "Beta", "Gamma", "Level", "Trend",
+                             *[F.col("Seasonals")[i].alias(f"S{i + 1}") for i in range(7)],
+                             "SSE", F.col("Residuals").cast("bigint").alias("Residuals"), "Sigma",
+                             "FirstDate", "LastDate"))
+
+
+@register("holt_winters_fixed", _hw_sql("ProductCategory", [fc.FIXED_PARAMS]) + f"""
+SELECT k AS ProductCategory, {_STATE_SELECT} FROM final""")
+def q_holt_winters_fixed(spark, sf_dir):
+    """FC2: Holt-Winters state per category series, fixed parameters."""
+    dense = dense_daily(transactions(spark, sf_dir), ["ProductCategory"])
+    return _flat_state(fc.holt_winters(fc.series_arrays(dense, ["ProductCategory"])), ["ProductCategory"])
+
+
+@register("holt_winters_grid", _hw_sql("ProductCategory", fc.GRID) + f"""
+SELECT k AS ProductCategory, {_STATE_SELECT} FROM best""")
+def q_holt_winters_grid(spark, sf_dir):
+    """FC2: grid-fitted Holt-Winters per category series (lowest SSE)."""
+    dense = dense_daily(transactions(spark, sf_dir), ["ProductCategory"])
+    return _flat_state(fc.holt_winters_grid(fc.series_arrays(dense, ["ProductCategory"]),
+                                            ["ProductCategory"]), ["ProductCategory"])
+
+
+@register("category_forecast", _hw_sql("ProductCategory", fc.GRID) + "," + FUTURE_CTE + """
+SELECT k AS ProductCategory, strftime(Date, '%Y-%m-%d') AS Date, CAST(h AS BIGINT) AS h,
+       PredictedRevenue, LowerBound, UpperBound FROM future""")
+def q_category_forecast(spark, sf_dir):
+    """FC3/FC4 for many series: 30-day forecast per category."""
+    return present(fc.holt_winters_forecast(transactions(spark, sf_dir), ["ProductCategory"])["future"])
+
+
+_GLOBAL = "'ALL'"
+TABLE_SQL = _hw_sql(_GLOBAL, fc.GRID) + "," + FUTURE_CTE + """,
+tbl AS (
+  SELECT Date, CAST(ActualRevenue AS DOUBLE) AS ActualRevenue, CAST(OrderVolume AS DOUBLE) AS OrderVolume,
+         CAST(UnitsSold AS DOUBLE) AS UnitsSold,
+         CAST(ActualRevenue AS DOUBLE) AS PredictedRevenue, CAST(ActualRevenue AS DOUBLE) AS LowerBound,
+         CAST(ActualRevenue AS DOUBLE) AS UpperBound, 'Historical' AS DataType FROM dense
+  UNION ALL
+  SELECT Date, NULL, NULL, NULL, PredictedRevenue, LowerBound, UpperBound, 'Forecast' FROM future)"""
+
+
+@register("forecast_table", TABLE_SQL + """
+SELECT strftime(Date, '%Y-%m-%d') AS Date, ActualRevenue, OrderVolume, UnitsSold, PredictedRevenue,
+       LowerBound, UpperBound, DataType FROM tbl""")
+def q_forecast_table(spark, sf_dir):
+    """FC6/FC7/B9: history + 30-day forecast of total daily revenue."""
+    return present(fc.holt_winters_forecast(transactions(spark, sf_dir))["table"])
+
+
+@register("forecast_summary", TABLE_SQL + f""",
+sm AS (SELECT (SELECT sum(CAST(ActualRevenue AS DECIMAL(20,2))) FROM
+                 (SELECT ActualRevenue FROM tbl WHERE DataType = 'Historical' ORDER BY Date DESC LIMIT 30)) AS l30,
+              (SELECT sum(CAST(PredictedRevenue AS DECIMAL(20,2))) FROM tbl WHERE DataType = 'Forecast') AS n30),
+c AS (SELECT *, {S.cents('l30')} AS lc, {S.cents('n30')} AS nc FROM sm)
+SELECT CAST(l30 AS DOUBLE) AS Last30DayActualRevenue, CAST(n30 AS DOUBLE) AS Next30DayPredictedRevenue,
+       CASE WHEN lc > 0 THEN sign(nc - lc) * CAST({S.div_half_even('abs(nc - lc) * 10000', 'lc')} AS DOUBLE) / 100.0
+            ELSE 0.0 END AS ProjectedChangePct
+FROM c""")
+def q_forecast_summary(spark, sf_dir):
+    """FC9/A26: last 30 days actual vs next 30 days forecast."""
+    return fc.holt_winters_forecast(transactions(spark, sf_dir))["summary"]
+
+
+@register("forecast_merged", _hw_sql(_GLOBAL, [fc.FIXED_PARAMS]) + ", best_f AS (SELECT * FROM final)" + """,
+fitted AS (SELECT s.Date, r.fit FROM rec r JOIN ser s ON s.k = r.k AND s.t = r.t WHERE r.t > 7),
+sig AS (SELECT sigma FROM final),
+preds AS (
+  SELECT f.Date, round_even(greatest(f.fit, 0.0), 2) AS PredictedRevenue,
+         round_even(greatest(f.fit - 1.96 * sig.sigma, 0.0), 2) AS LowerBound,
+         round_even(f.fit + 1.96 * sig.sigma, 2) AS UpperBound FROM fitted f CROSS JOIN sig
+  UNION ALL
+  SELECT CAST(LastDate + INTERVAL (h) DAY AS DATE),
+         greatest(round_even(l + h * b + s[((h - 1) % 7) + 1], 2), 0.0),
+         round_even(greatest(l + h * b + s[((h - 1) % 7) + 1] - 1.96 * sigma, 0.0), 2),
+         round_even(l + h * b + s[((h - 1) % 7) + 1] + 1.96 * sigma, 2)
+  FROM final CROSS JOIN (SELECT unnest(generate_series(1, 30)) AS h))
+SELECT strftime(coalesce(d.Date, p.Date), '%Y-%m-%d') AS Date,
+       round_even(CAST(d.ActualRevenue AS DOUBLE), 2) AS ActualRevenue,
+       CAST(d.OrderVolume AS DOUBLE) AS OrderVolume, CAST(d.UnitsSold AS DOUBLE) AS UnitsSold,
+       p.PredictedRevenue, p.LowerBound, p.UpperBound
+FROM dense d FULL OUTER JOIN preds p ON d.Date = p.Date""")
+def q_forecast_merged(spark, sf_dir):
+    """FC8/J2: outer-merge form with in-sample fitted values."""
+    return present(fc.merged_fitted(transactions(spark, sf_dir)))
+
+
+@register("decomposition", "WITH " + ",\n".join(_series_ctes(_GLOBAL)[:5]) + """,
+w AS (SELECT Date, ActualRevenue,
+             CASE WHEN count(ActualRevenue) OVER win = 7
+                  THEN CAST(sum(ActualRevenue) OVER win AS DOUBLE) / 7.0 END AS Trend,
+             isodow(Date) - 1 AS Weekday
+      FROM dense WINDOW win AS (ORDER BY Date ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)),
+wk AS (SELECT Weekday, avg(CAST(ActualRevenue AS DOUBLE) - Trend) AS wm FROM w GROUP BY Weekday),
+cen AS (SELECT Weekday, wm - avg(wm) OVER () AS Seasonal FROM wk)
+SELECT strftime(w.Date, '%Y-%m-%d') AS Date, CAST(w.ActualRevenue AS DOUBLE) AS ActualRevenue,
+       round(w.Trend, 6) AS Trend, round(c.Seasonal, 6) AS Seasonal,
+       round(CAST(w.ActualRevenue AS DOUBLE) - w.Trend - c.Seasonal, 6) AS Residual
+FROM w JOIN cen c ON w.Weekday = c.Weekday""")
+def q_decomposition(spark, sf_dir):
+    """FC10: trend / weekday seasonal / residual of total daily revenue."""
+    return present(fc.decomposition(transactions(spark, sf_dir)))
+
+
+@register("ridge_forecast")
+def q_ridge_forecast(spark, sf_dir):
+    """FC5: trend + weekday ridge forecast of total daily revenue."""
+    return present(fc.ridge_forecast(transactions(spark, sf_dir)).drop("Coef"))
