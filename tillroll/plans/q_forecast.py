@@ -113,14 +113,32 @@ def q_category_forecast(spark, sf_dir):
 
 
 _GLOBAL = "'ALL'"
-TABLE_SQL = _hw_sql(_GLOBAL, fc.GRID) + "," + FUTURE_CTE + """,
-tbl AS (
+TBL_CTE = """tbl AS (
   SELECT Date, CAST(ActualRevenue AS DOUBLE) AS ActualRevenue, CAST(OrderVolume AS DOUBLE) AS OrderVolume,
          CAST(UnitsSold AS DOUBLE) AS UnitsSold,
          CAST(ActualRevenue AS DOUBLE) AS PredictedRevenue, CAST(ActualRevenue AS DOUBLE) AS LowerBound,
          CAST(ActualRevenue AS DOUBLE) AS UpperBound, 'Historical' AS DataType FROM dense
   UNION ALL
   SELECT Date, NULL, NULL, NULL, PredictedRevenue, LowerBound, UpperBound, 'Forecast' FROM future)"""
+SUMMARY_CTES = [
+    """sm AS (SELECT (SELECT sum(CAST(ActualRevenue AS DECIMAL(20,2))) FROM
+                 (SELECT ActualRevenue FROM tbl WHERE DataType = 'Historical' ORDER BY Date DESC LIMIT 30)) AS l30,
+              (SELECT sum(CAST(PredictedRevenue AS DECIMAL(20,2))) FROM tbl WHERE DataType = 'Forecast') AS n30)""",
+    f"""fsum AS (SELECT *, CAST(l30 AS DOUBLE) AS Last30DayActualRevenue, CAST(n30 AS DOUBLE) AS Next30DayPredictedRevenue,
+       CASE WHEN {S.cents('l30')} > 0
+            THEN sign({S.cents('n30')} - {S.cents('l30')})
+                 * CAST({S.div_half_even(f"abs({S.cents('n30')} - {S.cents('l30')}) * 10000", S.cents('l30'))} AS DOUBLE) / 100.0
+            ELSE 0.0 END AS ProjectedChangePct FROM sm)""",
+]
+
+
+def global_forecast_ctes() -> list[str]:
+    """Every CTE (after ``transactions``) of the grid-fitted global forecast."""
+    return (_series_ctes(_GLOBAL)[1:] + [_params_cte(fc.GRID)] + REC_CTES
+            + [FUTURE_CTE, TBL_CTE] + SUMMARY_CTES)
+
+
+TABLE_SQL = _hw_sql(_GLOBAL, fc.GRID) + "," + FUTURE_CTE + ",\n" + TBL_CTE
 
 
 @register("forecast_table", TABLE_SQL + """
@@ -131,15 +149,8 @@ def q_forecast_table(spark, sf_dir):
     return present(fc.holt_winters_forecast(transactions(spark, sf_dir))["table"])
 
 
-@register("forecast_summary", TABLE_SQL + f""",
-sm AS (SELECT (SELECT sum(CAST(ActualRevenue AS DECIMAL(20,2))) FROM
-                 (SELECT ActualRevenue FROM tbl WHERE DataType = 'Historical' ORDER BY Date DESC LIMIT 30)) AS l30,
-              (SELECT sum(CAST(PredictedRevenue AS DECIMAL(20,2))) FROM tbl WHERE DataType = 'Forecast') AS n30),
-c AS (SELECT *, {S.cents('l30')} AS lc, {S.cents('n30')} AS nc FROM sm)
-SELECT CAST(l30 AS DOUBLE) AS Last30DayActualRevenue, CAST(n30 AS DOUBLE) AS Next30DayPredictedRevenue,
-       CASE WHEN lc > 0 THEN sign(nc - lc) * CAST({S.div_half_even('abs(nc - lc) * 10000', 'lc')} AS DOUBLE) / 100.0
-            ELSE 0.0 END AS ProjectedChangePct
-FROM c""")
+@register("forecast_summary", TABLE_SQL + ",\n" + ",\n".join(SUMMARY_CTES) + """
+SELECT Last30DayActualRevenue, Next30DayPredictedRevenue, ProjectedChangePct FROM fsum""")
 def q_forecast_summary(spark, sf_dir):
     """FC9/A26: last 30 days actual vs next 30 days forecast."""
     return fc.holt_winters_forecast(transactions(spark, sf_dir))["summary"]

@@ -1 +1,188 @@
-"""placeholder"""
+"""KPI, report, campaign and mart queries.
+
+The SQL-checked forms use the checkable inputs: fixed-centroid segments,
+the closed-form churn score and the grid-fitted global Holt-Winters
+forecast.  ``pipeline_*`` queries run the fitted models end to end.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tillroll.operators import campaigns, churn, kpi, marts
+from tillroll.operators import features as feat
+from tillroll.operators import forecast as fc
+from tillroll.operators import segments as seg
+from tillroll.plans import sqlfrag as S
+from tillroll.plans.q_churn import SCORED_CTES
+from tillroll.plans.q_forecast import global_forecast_ctes
+from tillroll.plans.q_segments import ASSIGN_CTE, LABEL_CTES, SCALED_CTES
+from tillroll.plans.registry import present, register
+from tillroll.session import materialize
+from tillroll.sources.tables import transactions
+
+ALL_CTES = (SCORED_CTES + SCALED_CTES[len(S.features_ctes()):] + [ASSIGN_CTE] + LABEL_CTES
+            + global_forecast_ctes())
+
+
+def _inputs(spark, sf_dir, fitted: bool = False):
+    """Transactions, segments, churn scores and forecast summary.
+
+    The transactions and the customer table are each written once because
+    every KPI section reads them."""
+    tx = materialize(transactions(spark, sf_dir))
+    f = materialize(feat.customer_features(tx, as_text=False))
+    if fitted:
+        segments = seg.kmeans_segments(f)
+        split = churn.with_split(churn.label(f))
+        scored = churn.forest_scores(split, churn.fit_forest(split))
+    else:
+        segments = seg.fixed_segments(f)
+        scored = churn.with_split(churn.gap_score(churn.label(f)))
+    summary = fc.holt_winters_forecast(tx)["summary"]
+    return tx, segments, scored, summary
+
+
+def _payload(spark, sf_dir, fitted=False):
+    return kpi.payload(*_inputs(spark, sf_dir, fitted))
+
+
+def _num(metric: str, expr: str, src: str) -> str:
+    return f"SELECT '{metric}' AS Metric, CAST({expr} AS DOUBLE) AS Value, CAST(NULL AS VARCHAR) AS Text FROM {src}"
+
+
+KPI_FLAT_SQL = "WITH RECURSIVE " + ",\n".join(ALL_CTES + [
+    "ov AS (SELECT sum(Revenue) AS rev, count(DISTINCT TransactionID) AS orders, "
+    "count(DISTINCT CustomerID) AS cust, count(Revenue) AS n FROM transactions)",
+    "cat AS (SELECT ProductCategory, sum(Revenue) AS r FROM transactions GROUP BY 1)",
+    "topc AS (SELECT ProductCategory AS name, r FROM cat ORDER BY r DESC, ProductCategory LIMIT 1)",
+    "tot AS (SELECT sum(r) AS t FROM cat)",
+    "segk AS (SELECT CustomerSegment, count(CustomerID) AS c, CAST(sum(Monetary) AS DOUBLE) AS sr, "
+    "CAST(sum(Recency) AS DOUBLE) / count(Recency) AS ar FROM segments GROUP BY 1)",
+    "riskk AS (SELECT RiskCategory, count(CustomerID) AS c, CAST(sum(Monetary) AS DOUBLE) AS r FROM banded GROUP BY 1)",
+]) + "\n" + "\nUNION ALL\n".join([
+    _num("financial_overview.total_revenue", "rev", "ov"),
+    _num("financial_overview.total_orders", "orders", "ov"),
+    _num("financial_overview.total_customers", "cust", "ov"),
+    _num("financial_overview.average_order_value",
+         S.money(S.div_half_even(S.cents("rev"), "n")), "ov"),
+    "SELECT 'top_category.name', CAST(NULL AS DOUBLE), coalesce((SELECT name FROM topc), 'N/A')",
+    _num("top_category.revenue", "coalesce((SELECT r FROM topc), 0)", "ov"),
+    _num("top_category.share_of_total_pct",
+         f"CASE WHEN coalesce(tot.t, 0) > 0 THEN CAST({S.div_half_even(S.cents('(SELECT r FROM topc)') + ' * 1000', S.cents('tot.t'))} AS DOUBLE) / 10.0 ELSE 0.0 END",
+         "tot"),
+    _num("churn_risk_analysis.high_risk_customer_count",
+         "count(*) FILTER (WHERE RiskCategory = 'High Risk')", "banded"),
+    _num("churn_risk_analysis.high_risk_revenue_at_risk",
+         "coalesce(sum(Monetary) FILTER (WHERE RiskCategory = 'High Risk'), 0)", "banded"),
+    _num("sales_forecasting.last_30_day_actual_revenue", "Last30DayActualRevenue", "fsum"),
+    _num("sales_forecasting.next_30_day_predicted_revenue", "Next30DayPredictedRevenue", "fsum"),
+    _num("sales_forecasting.projected_revenue_change_pct", "ProjectedChangePct", "fsum"),
+    *[f"SELECT 'customer_segmentation.' || CustomerSegment || '.{m}', CAST({c} AS DOUBLE), CAST(NULL AS VARCHAR) FROM segk"
+      for m, c in (("CustomerCount", "c"), ("SegmentRevenue", "sr"), ("AvgRecency", "ar"))],
+    *[f"SELECT 'churn_risk_analysis.breakdown.' || RiskCategory || '.{m}', CAST({c} AS DOUBLE), CAST(NULL AS VARCHAR) FROM riskk"
+      for m, c in (("CustomerCount", "c"), ("RevenueAtRisk", "r"))],
+])
+
+
+@register("kpi_flat", KPI_FLAT_SQL)
+def q_kpi_flat(spark, sf_dir):
+    """K1/K2: the KPI document flattened to one row per metric."""
+    return kpi.flat(_payload(spark, sf_dir))
+
+
+@register("kpi_payload")
+def q_kpi_payload(spark, sf_dir):
+    """The nested KPI document as JSON (fitted models)."""
+    return kpi.payload_json(_payload(spark, sf_dir, fitted=True))
+
+
+@register("executive_report")
+def q_executive_report(spark, sf_dir):
+    """Executive report text (checkable inputs)."""
+    return kpi.report(_payload(spark, sf_dir))
+
+
+CAMPAIGN_INPUTS_SQL = "WITH " + ",\n".join(
+    SCORED_CTES + SCALED_CTES[len(S.features_ctes()):] + [ASSIGN_CTE] + LABEL_CTES + [
+        "j AS (SELECT s.CustomerSegment, s.PrimaryCategory, s.AvgOrderValue, b.RiskCategory "
+        "FROM segments s JOIN banded b ON s.CustomerID = b.CustomerID)",
+        S.mode_cte("mc", "j", "CustomerSegment", "PrimaryCategory"),
+        S.mode_cte("mr", "j", "CustomerSegment", "RiskCategory"),
+        f"""ci AS (SELECT j.CustomerSegment, any_value(mc.PrimaryCategory) AS FavoriteCategory,
+              {S.money(S.div_half_even(S.cents('sum(j.AvgOrderValue)'), 'count(j.AvgOrderValue)'))} AS AvgSpend,
+              any_value(mr.RiskCategory) AS ChurnRisk
+       FROM j LEFT JOIN mc ON mc.CustomerSegment = j.CustomerSegment
+              LEFT JOIN mr ON mr.CustomerSegment = j.CustomerSegment GROUP BY j.CustomerSegment)"""]) + "\n"
+
+
+def _campaign_inputs(spark, sf_dir):
+    f = materialize(feat.customer_features(transactions(spark, sf_dir), as_text=False))
+    return campaigns.inputs(seg.fixed_segments(f), churn.gap_score(churn.label(f)))
+
+
+@register("campaign_inputs", CAMPAIGN_INPUTS_SQL + "SELECT * FROM ci")
+def q_campaign_inputs(spark, sf_dir):
+    """K6: favourite category, average order value and risk per segment."""
+    return _campaign_inputs(spark, sf_dir)
+
+
+def _sql_fmt(t: str) -> str:
+    return t.replace("'", "''")
+
+
+def _campaign_sql() -> str:
+    c = campaigns
+    vip = "CustomerSegment LIKE '%VIP%'"
+    risk = "(CustomerSegment LIKE '%At-Risk%' OR CustomerSegment LIKE '%Inactive%')"
+    spend = "printf('%.2f', AvgSpend)"
+
+    def pick(a, b, d):
+        return f"CASE WHEN {vip} THEN {a} WHEN {risk} THEN {b} ELSE {d} END"
+
+    def fmt(t, *args):
+        return f"printf('{_sql_fmt(c._fmt(t))}', {', '.join(args)})"
+
+    subject = pick(fmt(c.VIP_SUBJECT, "FavoriteCategory"), fmt(c.RISK_SUBJECT, "FavoriteCategory"),
+                   fmt(c.OTHER_SUBJECT, "FavoriteCategory"))
+    offer = pick(f"'{_sql_fmt(c.VIP_OFFER)}'", f"'{_sql_fmt(c.RISK_OFFER)}'", f"'{_sql_fmt(c.OTHER_OFFER)}'")
+    body = pick(fmt(c.VIP_BODY, spend, "FavoriteCategory"), fmt(c.RISK_BODY, "FavoriteCategory"),
+                fmt(c.OTHER_BODY, "FavoriteCategory"))
+    cta = pick(f"'{_sql_fmt(c.VIP_CTA)}'", f"'{_sql_fmt(c.RISK_CTA)}'", f"'{_sql_fmt(c.OTHER_CTA)}'")
+    return CAMPAIGN_INPUTS_SQL + f""", cp AS (SELECT *, {subject} AS Subject, {offer} AS Offer, {body} AS Body,
+        {cta} AS CallToAction FROM ci)
+SELECT *, replace(replace(replace(lower(CustomerSegment), ' ', '_'), '/', ''), '-', '_') AS Slug,
+       printf('{_sql_fmt(c._fmt(c.TEMPLATE))}', CustomerSegment, CustomerSegment, ChurnRisk, Subject, Body,
+              Offer, CallToAction) AS Text
+FROM cp"""
+
+
+@register("campaigns", _campaign_sql())
+def q_campaigns(spark, sf_dir):
+    """Campaign copy per segment."""
+    return campaigns.copy(_campaign_inputs(spark, sf_dir))
+
+
+@register("monthly_year_mart", S.with_ctes(S.TX_CTE) + """
+SELECT CAST(year(TransactionDate) AS BIGINT) AS Year, CAST(month(TransactionDate) AS BIGINT) AS Month,
+       CAST(sum(Revenue) AS DOUBLE) AS GrossRevenue, count(DISTINCT TransactionID) AS OrderVolume
+FROM transactions GROUP BY ALL""")
+def q_monthly_year_mart(spark, sf_dir):
+    """B2: revenue and order volume by year/month."""
+    return present(marts.monthly_year(transactions(spark, sf_dir)))
+
+
+@register("fact_enriched", "WITH " + ",\n".join(
+    SCORED_CTES + SCALED_CTES[len(S.features_ctes()):] + [ASSIGN_CTE] + LABEL_CTES) + f"""
+SELECT t.TransactionID, t.CustomerID, t.ProductID, t.ProductCategory, CAST(t.Quantity AS BIGINT) AS Quantity,
+       CAST(t.UnitPrice AS DOUBLE) AS UnitPrice, CAST(t.Revenue AS DOUBLE) AS Revenue,
+       {S.ts_text('t.TransactionDate')} AS TransactionDate, t.Country, t.PaymentMethod,
+       s.CustomerSegment, b.RiskCategory, CAST(b.ChurnProbability AS DOUBLE) AS ChurnProbability
+FROM transactions t LEFT JOIN segments s ON s.CustomerID = t.CustomerID
+LEFT JOIN banded b ON b.CustomerID = t.CustomerID""")
+def q_fact_enriched(spark, sf_dir):
+    """Fact rows with customer segment and churn risk."""
+    tx = transactions(spark, sf_dir)
+    f = materialize(feat.customer_features(tx, as_text=False))
+    scored = churn.gap_score(churn.label(f))
+    return present(marts.fact_enriched(tx, seg.fixed_segments(f), scored))
