@@ -15,12 +15,12 @@ from tillroll.operators import segments as seg
 from tillroll.plans import sqlfrag as S
 from tillroll.plans.q_segments import LABEL_CTES, SCALED_CTES, ASSIGN_CTE
 from tillroll.plans.registry import present, register
-from tillroll.session import materialize
-from tillroll.sources.tables import transactions
+from tillroll.sources.tables import customer_table, transactions
 
 
 def _features(spark, sf_dir):
-    return materialize(feat.customer_features(transactions(spark, sf_dir), as_text=False))
+    """The customer stage table (written once, read by every branch)."""
+    return customer_table(spark, sf_dir)
 
 
 def _scored(spark, sf_dir, features=None):

@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tillroll.operators import campaigns, churn, kpi, marts
-from tillroll.operators import features as feat
 from tillroll.operators import forecast as fc
 from tillroll.operators import segments as seg
 from tillroll.plans import sqlfrag as S
@@ -18,20 +17,17 @@ from tillroll.plans.q_churn import SCORED_CTES
 from tillroll.plans.q_forecast import global_forecast_ctes
 from tillroll.plans.q_segments import ASSIGN_CTE, LABEL_CTES, SCALED_CTES
 from tillroll.plans.registry import present, register
-from tillroll.session import materialize
-from tillroll.sources.tables import transactions
+from tillroll.sources.tables import customer_table, transactions
 
 ALL_CTES = (SCORED_CTES + SCALED_CTES[len(S.features_ctes()):] + [ASSIGN_CTE] + LABEL_CTES
             + global_forecast_ctes())
 
 
 def _inputs(spark, sf_dir, fitted: bool = False):
-    """Transactions, segments, churn scores and forecast summary.
-
-    The transactions and the customer table are each written once because
-    every KPI section reads them."""
-    tx = materialize(transactions(spark, sf_dir))
-    f = materialize(feat.customer_features(tx, as_text=False))
+    """Transactions, segments, churn scores and forecast summary, from the
+    stage tables that every KPI section reads."""
+    tx = transactions(spark, sf_dir)
+    f = customer_table(spark, sf_dir)
     if fitted:
         segments = seg.kmeans_segments(f)
         split = churn.with_split(churn.label(f))
@@ -117,7 +113,7 @@ CAMPAIGN_INPUTS_SQL = "WITH " + ",\n".join(
 
 
 def _campaign_inputs(spark, sf_dir):
-    f = materialize(feat.customer_features(transactions(spark, sf_dir), as_text=False))
+    f = customer_table(spark, sf_dir)
     return campaigns.inputs(seg.fixed_segments(f), churn.gap_score(churn.label(f)))
 
 
@@ -183,6 +179,6 @@ LEFT JOIN banded b ON b.CustomerID = t.CustomerID""")
 def q_fact_enriched(spark, sf_dir):
     """Fact rows with customer segment and churn risk."""
     tx = transactions(spark, sf_dir)
-    f = materialize(feat.customer_features(tx, as_text=False))
+    f = customer_table(spark, sf_dir)
     scored = churn.gap_score(churn.label(f))
     return present(marts.fact_enriched(tx, seg.fixed_segments(f), scored))

@@ -72,13 +72,28 @@ def _mapped(joined: DataFrame) -> DataFrame:
     )
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Canonical cleaned transactions (one row per order line)."""
-    return _mapped(_joined_sources(spark, sf_dir)).select(*TX_COLUMNS)
+SOURCE_TABLES = ("lineitem", "orders", "customer", "nation", "part")
+
+
+def build_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The adapter join itself, sorted by time within each output file
+    so that Parquet row-group statistics prune date filters."""
+    return _mapped(_joined_sources(spark, sf_dir)).sortWithinPartitions("TransactionDate")
 
 
 def transactions_with_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _mapped(_joined_sources(spark, sf_dir))
+    """Canonical rows plus the source keys, from the stage table."""
+    from tillroll.sources.stages import stage_table
+    inputs = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in SOURCE_TABLES]
+    return stage_table(spark, "transactions", inputs, lambda: build_transactions(spark, sf_dir))
+
+
+def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical cleaned transactions (one row per order line).
+
+    Reads the stage table written once per input version; a projection, so
+    the source-key columns are pruned from the Parquet scan."""
+    return transactions_with_keys(spark, sf_dir).select(*TX_COLUMNS)
 
 
 def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,3 +138,13 @@ def dirty_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
                   .otherwise(F.array(F.lit(1)))).alias("_copy"),
     )
     return corrupted.select(*RAW_COLUMNS)
+
+
+def customer_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stage output of the feature step (typed timestamps, exact money):
+    the input of segmentation, churn, campaigns and KPIs."""
+    from tillroll.operators.features import customer_features
+    from tillroll.sources.stages import stage_table
+    inputs = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in SOURCE_TABLES]
+    return stage_table(spark, "customer_features", inputs,
+                       lambda: customer_features(transactions(spark, sf_dir), as_text=False))
