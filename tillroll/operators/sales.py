@@ -174,10 +174,11 @@ def describe(tx: DataFrame, columns=("Quantity", "UnitPrice", "Revenue"),
     stats = []
     for c in columns:
         v = F.col(c).cast("double")
-        if exact:
-            qs = [F.percentile(v, p) for p in (0.25, 0.5, 0.75)]
-        else:
-            qs = [F.percentile_approx(v, p, 100000).cast("double") for p in (0.25, 0.5, 0.75)]
+        # one percentile aggregate (one value-count map) per column serves all
+        # three quartiles
+        probs = F.array(*[F.lit(p) for p in (0.25, 0.5, 0.75)])
+        q = F.percentile(v, probs) if exact else F.percentile_approx(v, probs, 100000)
+        qs = [q[i].cast("double") for i in range(3)]
         total = F.sum(F.col(c).cast("decimal(30,2)"))
         r6 = lambda x: F.round(x, 6)  # noqa: E731  (printed precision of describe)
         stats.append(F.struct(

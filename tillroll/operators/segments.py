@@ -186,10 +186,13 @@ def fit_kmeans(scaled: DataFrame, k: int = 4, seed: int = 42, restarts: int = 10
     return min(fitted, key=lambda t: (t[0], t[1]))[2]
 
 
-def kmeans_segments(features: DataFrame, k: int = 4, seed: int = 42, restarts: int = 10) -> DataFrame:
-    """M2 + M3 + M5 + M6: fitted segmentation of every customer."""
+def kmeans_segments(features: DataFrame, k: int = 4, seed: int = 42, restarts: int = 10,
+                    model=None) -> DataFrame:
+    """M2 + M3 + M5 + M6: fitted segmentation of every customer.  The k
+    fitted centroids are inlined into the assignment projection."""
     scaled = standardise(features)
-    model = fit_kmeans(scaled, k=k, seed=seed, restarts=restarts)
+    if model is None:
+        model = fit_kmeans(scaled, k=k, seed=seed, restarts=restarts)
     centroids = [tuple(float(v) for v in c) for c in model.clusterCenters()]
     return attach_labels(assign(scaled, centroids))
 

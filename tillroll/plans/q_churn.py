@@ -15,6 +15,7 @@ from tillroll.operators import segments as seg
 from tillroll.plans import sqlfrag as S
 from tillroll.plans.q_segments import LABEL_CTES, SCALED_CTES, ASSIGN_CTE
 from tillroll.plans.registry import present, register
+from tillroll.sources.stages import source_inputs, stage_model
 from tillroll.sources.tables import customer_table, transactions
 
 
@@ -209,10 +210,18 @@ def q_inactivity_triggers(spark, sf_dir):
                    .select("CustomerID", "Recency", "Frequency", "Monetary", "PrimaryCategory", "Country"))
 
 
+def forest_model(spark, sf_dir, split=None):
+    """The fitted forest, trained once per input version."""
+    from pyspark.ml.classification import RandomForestClassificationModel
+    if split is None:
+        split = churn.with_split(churn.label(_features(spark, sf_dir)))
+    return stage_model(spark, "forest-t100-d6-s42", source_inputs(sf_dir),
+                       lambda: churn.fit_forest(split), RandomForestClassificationModel)
+
+
 def _forest(spark, sf_dir):
     split = churn.with_split(churn.label(_features(spark, sf_dir)))
-    model = churn.fit_forest(split)
-    return split, model
+    return split, forest_model(spark, sf_dir, split)
 
 
 @register("forest_scores")

@@ -29,9 +29,11 @@ def _inputs(spark, sf_dir, fitted: bool = False):
     tx = transactions(spark, sf_dir)
     f = customer_table(spark, sf_dir)
     if fitted:
-        segments = seg.kmeans_segments(f)
+        from tillroll.plans.q_churn import forest_model
+        from tillroll.plans.q_segments import kmeans_model
+        segments = seg.kmeans_segments(f, model=kmeans_model(spark, sf_dir))
         split = churn.with_split(churn.label(f))
-        scored = churn.forest_scores(split, churn.fit_forest(split))
+        scored = churn.forest_scores(split, forest_model(spark, sf_dir, split))
     else:
         segments = seg.fixed_segments(f)
         scored = churn.with_split(churn.gap_score(churn.label(f)))

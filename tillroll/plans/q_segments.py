@@ -8,6 +8,7 @@ from tillroll.operators import features as feat
 from tillroll.operators import segments as seg
 from tillroll.plans import sqlfrag as S
 from tillroll.plans.registry import present, register
+from tillroll.sources.stages import source_inputs, stage_model
 from tillroll.sources.tables import customer_table, transactions
 
 
@@ -156,10 +157,19 @@ def q_rfm_scatter(spark, sf_dir):
                    .select("CustomerID", "Recency", "Monetary", "Frequency", "CustomerSegment"))
 
 
+def kmeans_model(spark, sf_dir, k: int = 4, seed: int = 42, restarts: int = 10):
+    """The fitted k-means model, trained once per input version."""
+    from pyspark.ml.clustering import KMeansModel
+    f = _features(spark, sf_dir)
+    return stage_model(spark, f"kmeans-k{k}-s{seed}-r{restarts}", source_inputs(sf_dir),
+                       lambda: seg.fit_kmeans(seg.standardise(f), k=k, seed=seed, restarts=restarts),
+                       KMeansModel)
+
+
 @register("kmeans_segments")
 def q_kmeans_segments(spark, sf_dir):
     """M2-M6 with the MLlib fit (10 restarts, lowest cost kept)."""
-    return present(seg.kmeans_segments(_features(spark, sf_dir)))
+    return present(seg.kmeans_segments(_features(spark, sf_dir), model=kmeans_model(spark, sf_dir)))
 
 
 @register("kmeans_sweep")

@@ -51,3 +51,22 @@ def stage_table(spark: SparkSession, name: str, inputs: list[str],
         if not _exists(spark, path + "/_SUCCESS"):
             build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def source_inputs(sf_dir: str, tables=("lineitem", "orders", "customer", "nation", "part")) -> list[str]:
+    return [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in tables]
+
+
+def stage_model(spark: SparkSession, name: str, inputs: list[str], fit: Callable[[], object],
+                model_cls):
+    """Fit once per input version, persist with MLlib's writer, and
+    load the saved model on later calls."""
+    path = scratch_table_path(spark, f"model-{name}-{fingerprint(spark, inputs)}")
+    with _GUARD:
+        lock = _LOCKS.setdefault(path, threading.Lock())
+    with lock:
+        if _exists(spark, path + "/metadata/_SUCCESS"):
+            return model_cls.load(path)
+        model = fit()
+        model.write().overwrite().save(path)
+        return model
