@@ -50,3 +50,6 @@ def load_all() -> None:
     """Import every query module so that its registrations run."""
     from tillroll.plans import (  # noqa: F401
         q_customers, q_cleaning, q_sales, q_segments, q_churn, q_forecast, q_reports)
+    if "analyst_monthly_trend" not in QUERIES:
+        from tillroll.plans import analyst_sql
+        analyst_sql.register_all()
