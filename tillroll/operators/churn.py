@@ -4,8 +4,8 @@ A20, A23-A24, C17).
 Everything downstream of the score takes a probability column, so the same
 operators serve the fitted forest and the closed-form score used for
 checking.  Evaluation works on counts grouped by distinct score; the running
-sums over scores are computed per score bucket and stitched together with
-bucket offsets, so no window ever holds all customers in one task.
+sums over scores are computed per range partition and stitched together
+with partition offsets, so no window ever holds all customers in one task.
 """
 
 from __future__ import annotations
@@ -26,7 +26,6 @@ HIGH, MEDIUM = 0.70, 0.40
 RISK_ORDER = ["High Risk", "Medium Risk", "Low Risk"]
 PREDICTION_COLUMNS = ["CustomerID", "Recency", "Frequency", "Monetary", "AvgOrderValue",
                       "PrimaryCategory", "Country", "Churn", "ChurnProbability", "RiskCategory"]
-SCORE_BUCKETS = 1024
 GAP_SCALE = 180  # days; scale of the closed-form check score
 
 
@@ -177,26 +176,29 @@ def _score_counts(split_scored: DataFrame, prob_col: str) -> DataFrame:
 def _running_above(counts: DataFrame) -> DataFrame:
     """Cumulative Pos/Neg over scores >= each score (descending order).
 
-    Two-level prefix sum: a window per score bucket, plus bucket offsets
-    from a window over at most ``SCORE_BUCKETS`` bucket totals.  The offset
-    table has a fixed bound and is broadcast.
+    Two-level prefix sum over the distinct-score table: range partitioning
+    (sampled, balanced boundaries; one distinct score never spans two
+    partitions) puts contiguous score ranges in each partition, a window
+    per partition gives the running sums inside it, and a window over the
+    per-partition totals (one row per partition, a bounded table that is
+    broadcast back) gives each partition's offset.
     """
-    bucket = F.least(F.greatest(F.floor(F.col("Score") * SCORE_BUCKETS), F.lit(0)),
-                     F.lit(SCORE_BUCKETS - 1)).cast("int")
-    b = counts.withColumn("Bucket", bucket)
-    within = Window.partitionBy("Bucket").orderBy(F.col("Score").desc()) \
+    n_parts = max(1, int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    b = (counts.repartitionByRange(n_parts, F.col("Score").desc())
+               .withColumn("Part", F.spark_partition_id()))
+    within = Window.partitionBy("Part").orderBy(F.col("Score").desc()) \
         .rowsBetween(Window.unboundedPreceding, 0)
     b = (b.withColumn("_pin", F.sum("Pos").over(within))
           .withColumn("_nin", F.sum("Neg").over(within)))
-    totals = b.groupBy("Bucket").agg(F.sum("Pos").alias("_bp"), F.sum("Neg").alias("_bn"))
-    above = Window.orderBy(F.col("Bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (totals.withColumn("_op", F.coalesce(F.sum("_bp").over(above), F.lit(0)))
-                     .withColumn("_on", F.coalesce(F.sum("_bn").over(above), F.lit(0)))
-                     .select("Bucket", "_op", "_on"))
-    return (b.join(F.broadcast(offsets), "Bucket")
+    totals = b.groupBy("Part").agg(F.sum("Pos").alias("_bp"), F.sum("Neg").alias("_bn"))
+    before = Window.orderBy("Part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (totals.withColumn("_op", F.coalesce(F.sum("_bp").over(before), F.lit(0)))
+                     .withColumn("_on", F.coalesce(F.sum("_bn").over(before), F.lit(0)))
+                     .select("Part", "_op", "_on"))
+    return (b.join(F.broadcast(offsets), "Part")
              .withColumn("CumPos", F.col("_pin") + F.col("_op"))
              .withColumn("CumNeg", F.col("_nin") + F.col("_on"))
-             .drop("_pin", "_nin", "_op", "_on", "Bucket"))
+             .drop("_pin", "_nin", "_op", "_on", "Part"))
 
 
 def roc_curve(split_scored: DataFrame, prob_col: str = "ProbRaw") -> DataFrame:

@@ -200,3 +200,35 @@ def q_decomposition(spark, sf_dir):
 def q_ridge_forecast(spark, sf_dir):
     """FC5: trend + weekday ridge forecast of total daily revenue."""
     return present(fc.ridge_forecast(transactions(spark, sf_dir)).drop("Coef"))
+
+
+@register("series_span", "WITH " + ",\n".join(_series_ctes("ProductCategory")[:5]) + """
+SELECT k AS ProductCategory, strftime(min(Date), '%Y-%m-%d') AS FirstDate,
+       strftime(max(Date), '%Y-%m-%d') AS LastDate, count(*) AS Days
+FROM dense GROUP BY k""")
+def q_series_span(spark, sf_dir):
+    """First day, last day and day count of every category series."""
+    dense = dense_daily(transactions(spark, sf_dir), ["ProductCategory"])
+    return present(dense.groupBy("ProductCategory").agg(
+        F.min("Date").alias("FirstDate"), F.max("Date").alias("LastDate"),
+        F.count(F.lit(1)).alias("Days")))
+
+
+@register("forecast_chart_feed", TABLE_SQL + """
+SELECT strftime(Date, '%Y-%m-%d') AS Date,
+       CASE WHEN DataType = 'Historical' THEN 'Historical Daily Revenue' ELSE '30-Day Forecasted Revenue' END AS Line,
+       CASE WHEN DataType = 'Historical' THEN ActualRevenue ELSE PredictedRevenue END AS Revenue,
+       CASE WHEN DataType = 'Forecast' THEN LowerBound END AS BandLower,
+       CASE WHEN DataType = 'Forecast' THEN UpperBound END AS BandUpper
+FROM tbl""")
+def q_forecast_chart_feed(spark, sf_dir):
+    """FC11/B9: the actual-vs-forecast line and confidence band feed."""
+    t = fc.holt_winters_forecast(transactions(spark, sf_dir))["table"]
+    hist = F.col("DataType") == "Historical"
+    fcst = F.col("DataType") == "Forecast"
+    return present(t.select(
+        "Date",
+        F.when(hist, "Historical Daily Revenue").otherwise("30-Day Forecasted Revenue").alias("Line"),
+        F.when(hist, F.col("ActualRevenue")).otherwise(F.col("PredictedRevenue")).alias("Revenue"),
+        F.when(fcst, F.col("LowerBound")).alias("BandLower"),
+        F.when(fcst, F.col("UpperBound")).alias("BandUpper")))

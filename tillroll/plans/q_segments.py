@@ -176,3 +176,16 @@ def q_kmeans_segments(spark, sf_dir):
 def q_kmeans_sweep(spark, sf_dir):
     """M7: elbow and silhouette over k = 2..8."""
     return seg.kmeans_sweep(spark, _features(spark, sf_dir))
+
+
+SLICE = ["High-Value VIPs", "Loyal Regulars"]
+
+
+@register("segment_slice", S.with_ctes(*SEGMENTS_CTES) + """
+SELECT CustomerID, CustomerSegment, Recency, Frequency, CAST(Monetary AS DOUBLE) AS Monetary
+FROM segments WHERE CustomerSegment IN ('High-Value VIPs', 'Loyal Regulars')""")
+def q_segment_slice(spark, sf_dir):
+    """The segment slicer applied to the segment table."""
+    from tillroll.operators.cleaning import segment_slice
+    return present(segment_slice(seg.fixed_segments(_features(spark, sf_dir)), SLICE)
+                   .select("CustomerID", "CustomerSegment", "Recency", "Frequency", "Monetary"))

@@ -53,8 +53,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_table_path(spark: SparkSession, name: str) -> str:
-    """Location for an intermediate table written to cut lineage."""
-    return os.path.join(ensure_checkpoint_dir(spark), "tables", name)
+    """Location for an intermediate table written to cut lineage.
+
+    ``tillroll.stage.namespace`` separates runs that must not share stage
+    outputs (the benchmark uses a fresh one so it pays for every stage)."""
+    ns = spark.conf.get("tillroll.stage.namespace", "shared")
+    return os.path.join(ensure_checkpoint_dir(spark), "tables", ns, name)
 
 
 def materialize(df: DataFrame) -> DataFrame:

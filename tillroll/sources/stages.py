@@ -28,8 +28,25 @@ def _hadoop_path(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def _code_version() -> str:
+    """Hash of the package source, so a code change never reuses a stage
+    table written by older logic."""
+    global _CODE
+    if _CODE is None:
+        import pathlib
+        root = pathlib.Path(__file__).resolve().parents[1]
+        h = hashlib.sha1()
+        for f in sorted(root.rglob("*.py")):
+            h.update(f.read_bytes())
+        _CODE = h.hexdigest()[:12]
+    return _CODE
+
+
+_CODE: str | None = None
+
+
 def fingerprint(spark: SparkSession, paths: list[str]) -> str:
-    h = hashlib.sha1()
+    h = hashlib.sha1(_code_version().encode())
     for path in paths:
         p, fs = _hadoop_path(spark, path)
         st = fs.getFileStatus(p)  # raises if the input is missing (S2)
