@@ -51,31 +51,32 @@ def _fold(ys, alpha, beta, gamma, keep_fitted: bool = False) -> F.Column:
     s = first 7 values minus l; fold from the 8th value:
       f = (l + b) + s0,  l' = a(y - s0) + (1-a)(l + b),
       b' = b_(l' - l) + (1-b_)b,  s_new = g(y - (l + b)) + (1-g)s0,
-    rotating the seasonal array; ``sse``/``sr`` accumulate the one-step
-    errors.  After the fold s[0] belongs to the next day.
+    rotating the seasonal slots; ``sse``/``sr`` accumulate the one-step
+    errors.  The seasonal terms are 7 scalar fields of the state struct, so
+    a step allocates one struct and no arrays.  After the fold slot s0
+    belongs to the next day.
     """
     one_a, one_b, one_g = F.lit(1.0) - alpha, F.lit(1.0) - beta, F.lit(1.0) - gamma
     head = F.slice(ys, 1, PERIOD)
     level0 = F.aggregate(head, F.lit(0.0), lambda acc, y: acc + y) / F.lit(float(PERIOD))
-    fields = [level0.alias("l"), F.lit(0.0).alias("b"),
-              F.transform(head, lambda y: y - level0).alias("s"),
-              F.lit(0.0).alias("sse"), F.lit(0.0).alias("sr")]
+    fields = [level0.alias("l"), F.lit(0.0).alias("b")]
+    fields += [(F.element_at(head, i + 1) - level0).alias(f"s{i}") for i in range(PERIOD)]
+    fields += [F.lit(0.0).alias("sse"), F.lit(0.0).alias("sr")]
     if keep_fitted:
         fields.append(F.array().cast("array<double>").alias("fit"))
     init = F.struct(*fields)
     rest = F.slice(ys, PERIOD + 1, 1 << 30)
 
     def step(st, y):
-        s0 = st["s"][0]
+        s0 = st["s0"]
         lb = st["l"] + st["b"]
         f = lb + s0
         lvl = alpha * (y - s0) + one_a * lb
-        out = [lvl.alias("l"),
-               (beta * (lvl - st["l"]) + one_b * st["b"]).alias("b"),
-               F.concat(F.slice(st["s"], 2, PERIOD - 1),
-                        F.array(gamma * (y - lb) + one_g * s0)).alias("s"),
-               (st["sse"] + (y - f) * (y - f)).alias("sse"),
-               (st["sr"] + (y - f)).alias("sr")]
+        out = [lvl.alias("l"), (beta * (lvl - st["l"]) + one_b * st["b"]).alias("b")]
+        out += [st[f"s{i + 1}"].alias(f"s{i}") for i in range(PERIOD - 1)]
+        out += [(gamma * (y - lb) + one_g * s0).alias(f"s{PERIOD - 1}"),
+                (st["sse"] + (y - f) * (y - f)).alias("sse"),
+                (st["sr"] + (y - f)).alias("sr")]
         if keep_fitted:
             out.append(F.concat(st["fit"], F.array(f)).alias("fit"))
         return F.struct(*out)
@@ -88,7 +89,8 @@ def _with_state(arrays: DataFrame, alpha, beta, gamma, keep_fitted=False) -> Dat
     out = arrays.withColumn("_st", st)
     m = (F.size("ys") - PERIOD).cast("double")
     var = F.col("_st.sse") / m - (F.col("_st.sr") / m) * (F.col("_st.sr") / m)
-    cols = {"Level": F.col("_st.l"), "Trend": F.col("_st.b"), "Seasonals": F.col("_st.s"),
+    cols = {"Level": F.col("_st.l"), "Trend": F.col("_st.b"),
+            "Seasonals": F.array(*[F.col(f"_st.s{i}") for i in range(PERIOD)]),
             "SSE": F.col("_st.sse"), "Residuals": F.size("ys") - PERIOD,
             "Sigma": F.when(m > 0, F.sqrt(F.greatest(var, F.lit(0.0))))}
     if keep_fitted:
