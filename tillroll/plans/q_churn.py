@@ -156,20 +156,23 @@ tot AS (SELECT sum(Pos) AS p, sum(Neg) AS n FROM sc)"""
 
 @register("roc_curve", SCORED + ROC_CTES + """
 SELECT Score AS Threshold,
-       CASE WHEN p > 0 THEN CAST(CumPos AS DOUBLE) / CAST(p AS DOUBLE) ELSE 0.0 END AS TPR,
-       CASE WHEN n > 0 THEN CAST(CumNeg AS DOUBLE) / CAST(n AS DOUBLE) ELSE 0.0 END AS FPR
-FROM run CROSS JOIN tot""")
+       CASE WHEN (SELECT p FROM tot) > 0 THEN CAST(CumPos AS DOUBLE) / CAST((SELECT p FROM tot) AS DOUBLE)
+            ELSE 0.0 END AS TPR,
+       CASE WHEN (SELECT n FROM tot) > 0 THEN CAST(CumNeg AS DOUBLE) / CAST((SELECT n FROM tot) AS DOUBLE)
+            ELSE 0.0 END AS FPR
+FROM run""")
 def q_roc_curve(spark, sf_dir):
     """ROC curve points."""
     return churn.roc_curve(_scored(spark, sf_dir))
 
 
 @register("roc_auc", SCORED + ROC_CTES + """
-SELECT CASE WHEN any_value(p) * any_value(n) > 0
-            THEN CAST(sum(Pos * ((n - CumNeg) * 2 + Neg)) AS DOUBLE) / CAST(any_value(p) * any_value(n) * 2 AS DOUBLE)
+SELECT CASE WHEN (SELECT p * n FROM tot) > 0
+            THEN CAST(sum(Pos * (((SELECT n FROM tot) - CumNeg) * 2 + Neg)) AS DOUBLE)
+                 / CAST((SELECT p * n * 2 FROM tot) AS DOUBLE)
        END AS AUC,
-       CAST(any_value(p) AS BIGINT) AS Positives, CAST(any_value(n) AS BIGINT) AS Negatives
-FROM run CROSS JOIN tot""")
+       CAST((SELECT p FROM tot) AS BIGINT) AS Positives, CAST((SELECT n FROM tot) AS BIGINT) AS Negatives
+FROM run""")
 def q_roc_auc(spark, sf_dir):
     """ROC-AUC with half credit for ties."""
     return present(churn.roc_auc(_scored(spark, sf_dir)))

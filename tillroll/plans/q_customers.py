@@ -31,11 +31,11 @@ def _rfm_sql_text(cte: str, table: str) -> str:
         f"snap AS (SELECT CAST(max(CAST(TransactionDate AS DATE)) + 1 AS TIMESTAMP) AS s FROM {table})",
     ) + f"""
 SELECT t.CustomerID,
-       {S.elapsed_days('max(t.TransactionDate)', 'any_value(snap.s)')} AS RecencyDays,
+       {S.elapsed_days('max(t.TransactionDate)', '(SELECT s FROM snap)')} AS RecencyDays,
        count(DISTINCT t.TransactionID) AS FrequencyOrders,
        CAST(sum(t.Revenue) AS DOUBLE) AS MonetarySpend,
        {S.money(S.div_half_up(S.cents('sum(t.Revenue)'), 'count(DISTINCT t.TransactionID)'))} AS AvgOrderValue
-FROM {table} t CROSS JOIN snap
+FROM {table} t
 GROUP BY t.CustomerID
 """
 

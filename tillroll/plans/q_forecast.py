@@ -31,9 +31,10 @@ def _series_ctes(key_sql: str) -> list[str]:
 
 
 def _params_cte(grid) -> str:
-    vals = ", ".join(f"({a!r}, {b!r}, {g!r})" for a, b, g in grid)
-    return (f"params AS (SELECT CAST(a AS DOUBLE) AS alpha, CAST(b AS DOUBLE) AS beta, "
-            f"CAST(g AS DOUBLE) AS gamma FROM (VALUES {vals}) v(a, b, g))")
+    """The parameter grid as one list literal, unnested per series (no join)."""
+    vals = ", ".join(f"{{'alpha': CAST({a!r} AS DOUBLE), 'beta': CAST({b!r} AS DOUBLE), "
+                     f"'gamma': CAST({g!r} AS DOUBLE)}}" for a, b, g in grid)
+    return f"params AS (SELECT [{vals}] AS grid)"
 
 
 _L0 = "(y1 + y2 + y3 + y4 + y5 + y6 + y7) / 7.0"
@@ -41,7 +42,8 @@ _LB = "(r.l + r.b)"
 _LVL = f"(r.alpha * (d.y - r.s[1]) + (1.0 - r.alpha) * {_LB})"
 _F = f"({_LB} + r.s[1])"
 REC_CTES = [
-    f"init AS (SELECT h.*, p.alpha, p.beta, p.gamma, {_L0} AS l0 FROM head h CROSS JOIN params p)",
+    "expanded AS (SELECT h.*, unnest((SELECT grid FROM params)) AS p FROM head h)",
+    f"init AS (SELECT e.*, e.p.alpha AS alpha, e.p.beta AS beta, e.p.gamma AS gamma, {_L0} AS l0 FROM expanded e)",
     f"""rec AS (
   SELECT k, alpha, beta, gamma, 7 AS t, l0 AS l, CAST(0.0 AS DOUBLE) AS b,
          [y1 - l0, y2 - l0, y3 - l0, y4 - l0, y5 - l0, y6 - l0, y7 - l0] AS s,
@@ -72,7 +74,7 @@ FUTURE_CTE = f"""future AS (
          round_even(l + h * b + s[((h - 1) % 7) + 1], 2) AS PredictedRevenue,
          round_even(greatest(l + h * b + s[((h - 1) % 7) + 1] - 1.96 * sigma, 0.0), 2) AS LowerBound,
          round_even(l + h * b + s[((h - 1) % 7) + 1] + 1.96 * sigma, 2) AS UpperBound
-  FROM best CROSS JOIN (SELECT unnest(generate_series(1, {fc.HORIZON})) AS h))"""
+  FROM (SELECT *, unnest(generate_series(1, {fc.HORIZON})) AS h FROM best))"""
 
 _STATE_SELECT = """alpha AS Alpha, beta AS Beta, gamma AS Gamma, l AS Level, b AS Trend, """ + \
     ", ".join(f"s[{i + 1}] AS S{i + 1}" for i in range(7)) + \
@@ -158,17 +160,16 @@ def q_forecast_summary(spark, sf_dir):
 
 @register("forecast_merged", _hw_sql(_GLOBAL, [fc.FIXED_PARAMS]) + ", best_f AS (SELECT * FROM final)" + """,
 fitted AS (SELECT s.Date, r.fit FROM rec r JOIN ser s ON s.k = r.k AND s.t = r.t WHERE r.t > 7),
-sig AS (SELECT sigma FROM final),
 preds AS (
   SELECT f.Date, round_even(greatest(f.fit, 0.0), 2) AS PredictedRevenue,
-         round_even(greatest(f.fit - 1.96 * sig.sigma, 0.0), 2) AS LowerBound,
-         round_even(f.fit + 1.96 * sig.sigma, 2) AS UpperBound FROM fitted f CROSS JOIN sig
+         round_even(greatest(f.fit - 1.96 * (SELECT sigma FROM final), 0.0), 2) AS LowerBound,
+         round_even(f.fit + 1.96 * (SELECT sigma FROM final), 2) AS UpperBound FROM fitted f
   UNION ALL
   SELECT CAST(LastDate + INTERVAL (h) DAY AS DATE),
          greatest(round_even(l + h * b + s[((h - 1) % 7) + 1], 2), 0.0),
          round_even(greatest(l + h * b + s[((h - 1) % 7) + 1] - 1.96 * sigma, 0.0), 2),
          round_even(l + h * b + s[((h - 1) % 7) + 1] + 1.96 * sigma, 2)
-  FROM final CROSS JOIN (SELECT unnest(generate_series(1, 30)) AS h))
+  FROM (SELECT *, unnest(generate_series(1, 30)) AS h FROM final))
 SELECT strftime(coalesce(d.Date, p.Date), '%Y-%m-%d') AS Date,
        round_even(CAST(d.ActualRevenue AS DOUBLE), 2) AS ActualRevenue,
        CAST(d.OrderVolume AS DOUBLE) AS OrderVolume, CAST(d.UnitsSold AS DOUBLE) AS UnitsSold,

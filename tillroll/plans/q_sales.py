@@ -116,11 +116,12 @@ def q_revenue_by_category(spark, sf_dir):
 , cat AS (SELECT ProductCategory, sum(Revenue) AS r FROM transactions GROUP BY 1),
 best AS (SELECT ProductCategory AS name, r FROM cat ORDER BY r DESC, ProductCategory LIMIT 1),
 tot AS (SELECT sum(r) AS t FROM cat)
-SELECT coalesce(b.name, 'N/A') AS name, coalesce(CAST(b.r AS DOUBLE), 0.0) AS revenue,
+SELECT coalesce((SELECT name FROM best), 'N/A') AS name,
+       coalesce(CAST((SELECT r FROM best) AS DOUBLE), 0.0) AS revenue,
        CASE WHEN coalesce(tot.t, 0) > 0
-            THEN CAST({S.div_half_even(S.cents('b.r') + ' * 100 * 10', S.cents('tot.t'))} AS DOUBLE) / 10.0
+            THEN CAST({S.div_half_even(S.cents('(SELECT r FROM best)') + ' * 100 * 10', S.cents('tot.t'))} AS DOUBLE) / 10.0
             ELSE 0.0 END AS share_of_total_pct
-FROM tot LEFT JOIN best b ON true""")
+FROM tot""")
 def q_top_category(spark, sf_dir):
     """Category leader with share of total."""
     return sales.top_category(transactions(spark, sf_dir))

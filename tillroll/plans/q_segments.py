@@ -18,7 +18,8 @@ def _features(spark, sf_dir):
 
 
 def _z_sql(col: str, i: int) -> str:
-    return (f"round(CASE WHEN s{i} > 0 THEN (CAST({col} AS DOUBLE) - m{i}) / s{i} ELSE 0.0 END, "
+    m, s = f"(SELECT m{i} FROM stats)", f"(SELECT s{i} FROM stats)"
+    return (f"round(CASE WHEN {s} > 0 THEN (CAST({col} AS DOUBLE) - {m}) / {s} ELSE 0.0 END, "
             f"{seg.Z_DIGITS})")
 
 
@@ -30,7 +31,7 @@ SCALED_CTES = S.features_ctes() + [
                   stddev_pop(CAST(Frequency AS DOUBLE)) AS s1,
                   stddev_pop(CAST(Monetary AS DOUBLE)) AS s2 FROM features)""",
     f"""scaled AS (SELECT f.*, {_z_sql('Recency', 0)} AS zRecency, {_z_sql('Frequency', 1)} AS zFrequency,
-                   {_z_sql('Monetary', 2)} AS zMonetary FROM features f CROSS JOIN stats)""",
+                   {_z_sql('Monetary', 2)} AS zMonetary FROM features f)""",
 ]
 
 

@@ -118,11 +118,11 @@ def features_ctes() -> list[str]:
   SELECT a.CustomerID, a.last_ts, a.first_ts, a.Frequency, a.Monetary, a.TotalProducts,
          a.UniqueCategories, mc.ProductCategory AS PrimaryCategory,
          mp.PaymentMethod AS PreferredPaymentMethod, mo.Country AS Country,
-         {elapsed_days('a.last_ts', 'snap.s')} AS Recency,
-         {elapsed_days('a.first_ts', 'snap.s')} AS CustomerTenureDays,
+         {elapsed_days('a.last_ts', '(SELECT s FROM snap)')} AS Recency,
+         {elapsed_days('a.first_ts', '(SELECT s FROM snap)')} AS CustomerTenureDays,
          CAST({div_half_even(cents('a.Monetary'), 'a.Frequency')} AS DECIMAL(20,0)) * CAST(0.01 AS DECIMAL(3,2))
            AS AvgOrderValue
-  FROM agg a CROSS JOIN snap
+  FROM agg a
   LEFT JOIN m_cat mc ON mc.CustomerID = a.CustomerID
   LEFT JOIN m_pay mp ON mp.CustomerID = a.CustomerID
   LEFT JOIN m_cty mo ON mo.CustomerID = a.CustomerID)""",
