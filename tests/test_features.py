@@ -90,3 +90,21 @@ def test_random_frames_against_python(spark):
         for k, v in e.items():
             gv = float(g[k]) if k in ("Monetary", "AvgOrderValue") else g[k]
             assert gv == v, (cid, k, gv, v)
+
+
+def test_session_time_zone_does_not_matter(spark):
+    rows = [dict(TransactionID="1", CustomerID="c1", TransactionDate=dt.datetime(2024, 3, 9, 2, 30)),
+            dict(TransactionID="2", CustomerID="c1", TransactionDate=dt.datetime(2024, 3, 10, 2, 15)),
+            dict(TransactionID="3", CustomerID="c2", TransactionDate=dt.datetime(2024, 3, 11, 2, 20)),
+            dict(TransactionID="4", CustomerID="c3", TransactionDate=dt.datetime(2024, 11, 2, 1, 30))]
+    tx = _tx(spark, rows)
+    before = sorted(feat.customer_features(tx).collect())
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        after = sorted(feat.customer_features(tx).collect())
+        sql_after = sorted(feat.rfm_sql(tx).collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert before == after
+    assert sorted(feat.rfm_sql(tx).collect()) == sql_after

@@ -1,5 +1,10 @@
-"""Date/time helpers (F1-F9).  All work on TIMESTAMP_NTZ and DATE values,
-so results do not depend on the session time zone."""
+"""Date/time helpers (F1-F9) on TIMESTAMP_NTZ and DATE values.
+
+Only zone-free operations are used: field extraction, casts between NTZ,
+DATE and STRING, and NTZ interval arithmetic.  ``date_format`` and
+``timestampdiff`` are avoided because they pass through the session time
+zone (a wall time inside a daylight-saving gap would move by an hour).
+"""
 
 from __future__ import annotations
 
@@ -13,7 +18,7 @@ def _c(col) -> Column:
 
 def month_key(ts) -> Column:
     """``yyyy-MM`` month key."""
-    return F.date_format(_c(ts), "yyyy-MM")
+    return F.substring(_c(ts).cast("string"), 1, 7)
 
 
 def day(ts) -> Column:
@@ -32,8 +37,21 @@ def plus_one_day(ts) -> Column:
 
 
 def elapsed_days(start, end) -> Column:
-    """whole elapsed 24-hour periods from ``start`` to ``end`` (end >= start)."""
-    return F.timestamp_diff("DAY", _c(start), _c(end))
+    """whole elapsed 24-hour periods from ``start`` to ``end`` (end >= start).
+
+    Calendar-day difference, minus one when the end's time of day is earlier
+    than the start's.  Everything stays in TIMESTAMP_NTZ/DATE arithmetic, so
+    no session time zone (and no daylight-saving shift) is involved.
+    """
+    s, e = _c(start), _c(end)
+    return (F.datediff(F.to_date(e), F.to_date(s)).cast("bigint")
+            - F.when(time_of_day(e) < time_of_day(s), 1).otherwise(0))
+
+
+def time_of_day(ts) -> Column:
+    """Interval since midnight of an NTZ timestamp (exact, zone-free)."""
+    c = _c(ts)
+    return c - F.to_date(c).cast("timestamp_ntz")
 
 
 def weekday(d) -> Column:
@@ -42,10 +60,10 @@ def weekday(d) -> Column:
 
 
 def ts_text(ts) -> Column:
-    """``yyyy-MM-dd HH:mm:ss`` text of a timestamp."""
-    return F.date_format(_c(ts), "yyyy-MM-dd HH:mm:ss")
+    """``yyyy-MM-dd HH:mm:ss`` text of a timestamp (fraction dropped)."""
+    return F.substring(_c(ts).cast("timestamp_ntz").cast("string"), 1, 19)
 
 
 def date_text(d) -> Column:
     """``yyyy-MM-dd`` text of a date."""
-    return F.date_format(_c(d), "yyyy-MM-dd")
+    return _c(d).cast("date").cast("string")

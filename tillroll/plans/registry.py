@@ -39,8 +39,10 @@ def present(df: DataFrame) -> DataFrame:
         elif isinstance(t, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("bigint")
         elif isinstance(t, T.DateType):
-            c = F.date_format(c, "yyyy-MM-dd")
-        elif isinstance(t, (T.TimestampNTZType, T.TimestampType)):
+            c = c.cast("string")
+        elif isinstance(t, T.TimestampNTZType):
+            c = F.substring(c.cast("string"), 1, 19)
+        elif isinstance(t, T.TimestampType):
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
         cols.append(c.alias(f.name))
     return df.select(*cols)

@@ -21,7 +21,7 @@ def write_transactions(df: DataFrame, path: str) -> None:
     secondary indexes: one folder per month (partition pruning on date),
     rows sorted by time then customer inside each file (row-group min/max
     statistics prune customer and time filters)."""
-    write_table(df.withColumn("TxMonth", F.date_format("TransactionDate", "yyyy-MM")), path,
+    write_table(df.withColumn("TxMonth", F.substring(F.col("TransactionDate").cast("string"), 1, 7)), path,
                 partition_by=["TxMonth"], sort_within=["TransactionDate", "CustomerID"])
 
 
