@@ -70,3 +70,20 @@ def test_forest_invariants(spark):
     a = {r.CustomerID: r.ChurnProbability for r in churn.forest_scores(split, again).collect()}
     b = {r.CustomerID: r.ChurnProbability for r in scored.collect()}
     assert a == b
+
+
+def test_auc_many_partitions_against_brute_force(spark):
+    import random
+    rnd = random.Random(11)
+    rows = [(f"c{i}", rnd.randint(0, 1), round(rnd.random(), 3), True) for i in range(4000)]
+    df = spark.createDataFrame(rows, "CustomerID string, Churn int, ProbRaw double, IsTest boolean")
+    pos = sorted(s for _, y, s, _ in rows if y == 1)
+    neg = sorted(s for _, y, s, _ in rows if y == 0)
+    import bisect
+    num2 = sum(2 * bisect.bisect_left(neg, p) + (bisect.bisect_right(neg, p) - bisect.bisect_left(neg, p))
+               for p in pos)
+    assert churn.roc_auc(df).first().AUC == num2 / (2.0 * len(pos) * len(neg))
+    roc = {r.Threshold: r for r in churn.roc_curve(df).collect()}
+    for t in (0.1, 0.5, 0.9):
+        assert roc[t].TPR == sum(p >= t for p in pos) / len(pos)
+        assert roc[t].FPR == sum(n >= t for n in neg) / len(neg)
