@@ -66,10 +66,22 @@ def stage_table(spark: SparkSession, name: str, inputs: list[str],
         lock = _LOCKS.setdefault(path, threading.Lock())
     with lock:
         if not _exists(spark, path + "/_SUCCESS"):
-            build().write.mode("overwrite").parquet(path)
+            _publish(spark, path, lambda tmp: build().write.mode("overwrite").parquet(tmp))
     return spark.read.parquet(path)
 
 
+def _publish(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Write to a private folder, then rename it into place; if another
+    writer published first, keep theirs (same inputs, same content)."""
+    import uuid
+    tmp = f"{path}.tmp-{uuid.uuid4().hex[:12]}"
+    write(tmp)
+    src, fs = _hadoop_path(spark, tmp)
+    dst, _ = _hadoop_path(spark, path)
+    if not fs.exists(dst):
+        fs.rename(src, dst)
+
+
 def source_inputs(sf_dir: str, tables=("lineitem", "orders", "customer", "nation", "part")) -> list[str]:
     return [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in tables]
 
