@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.money import div_round
-from tillroll.session import materialize
+from tillroll.operators.ranking import running_totals
 
 CHURN_DAYS = 60
 FEATURE_COLS = ["Frequency", "Monetary", "AvgOrderValue", "TotalProducts", "UniqueCategories",
@@ -175,34 +175,9 @@ def _score_counts(split_scored: DataFrame, prob_col: str) -> DataFrame:
 
 
 def _running_above(counts: DataFrame) -> DataFrame:
-    """Cumulative Pos/Neg over scores >= each score (descending order).
-
-    Two-level prefix sum over the distinct-score table: range partitioning
-    (sampled, balanced boundaries; one distinct score never spans two
-    partitions) puts contiguous score ranges in each partition, a window
-    per partition gives the running sums inside it, and a window over the
-    per-partition totals (one row per partition, a bounded table that is
-    broadcast back) gives each partition's offset.  The partitioned table is
-    checkpointed so that both uses see identical partition ids.
-    """
-    n_parts = max(1, int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    b = (counts.repartitionByRange(n_parts, F.col("Score").desc())
-               .withColumn("Part", F.spark_partition_id()))
-    within = Window.partitionBy("Part").orderBy(F.col("Score").desc()) \
-        .rowsBetween(Window.unboundedPreceding, 0)
-    # Written once: range boundaries come from sampling, so the windowed side
-    # and the offsets side must read one and the same partition assignment.
-    b = materialize(b.withColumn("_pin", F.sum("Pos").over(within))
-                     .withColumn("_nin", F.sum("Neg").over(within)))
-    totals = b.groupBy("Part").agg(F.sum("Pos").alias("_bp"), F.sum("Neg").alias("_bn"))
-    before = Window.orderBy("Part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (totals.withColumn("_op", F.coalesce(F.sum("_bp").over(before), F.lit(0)))
-                     .withColumn("_on", F.coalesce(F.sum("_bn").over(before), F.lit(0)))
-                     .select("Part", "_op", "_on"))
-    return (b.join(F.broadcast(offsets), "Part")
-             .withColumn("CumPos", F.col("_pin") + F.col("_op"))
-             .withColumn("CumNeg", F.col("_nin") + F.col("_on"))
-             .drop("_pin", "_nin", "_op", "_on", "Part"))
+    """Cumulative Pos/Neg over scores >= each score (descending order), by
+    the distributed two-level prefix sum of ``ranking.running_totals``."""
+    return running_totals(counts, "Score", ["Pos", "Neg"], descending=True)
 
 
 def roc_curve(split_scored: DataFrame, prob_col: str = "ProbRaw") -> DataFrame:

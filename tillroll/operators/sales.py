@@ -162,29 +162,36 @@ def describe(tx: DataFrame, columns=("Quantity", "UnitPrice", "Revenue"),
              exact: bool = True) -> DataFrame:
     """Count, mean, sample std, min, quartiles (linear), max per column.
 
-    One aggregate pass computes every statistic of every column; ``inline``
-    turns the single wide row into one row per column.  The mean divides an
-    exact decimal sum once.  ``exact`` quartiles hold one counter per
-    distinct value of a column in the final merge (bounded by the number of
-    distinct amounts, not by rows); ``exact=False`` switches to
-    ``percentile_approx``.  Mean, std and quartiles are rounded to 6 places
-    (the precision ``describe`` prints), which also absorbs the order
-    dependence of floating-point accumulation.
+    One aggregate pass computes the moments and extremes of every column;
+    the quartiles come from ``ranking.exact_quantiles`` (distributed: value
+    counts, running counts, rank lookup), attached as scalar subqueries, and
+    ``inline`` turns the result into one row per column.  ``exact=False``
+    uses ``percentile_approx`` instead.  Mean, std and quartiles are rounded
+    to 6 places (the precision ``describe`` prints), which also absorbs the
+    order dependence of floating-point accumulation.
     """
-    stats = []
+    from tillroll.operators.ranking import exact_quantiles
+
+    def r6(x):
+        return F.round(x, 6)
+
+    moments = []
     for c in columns:
         v = F.col(c).cast("double")
-        # one percentile aggregate (one value-count map) per column serves all
-        # three quartiles
-        probs = F.array(*[F.lit(p) for p in (0.25, 0.5, 0.75)])
-        q = F.percentile(v, probs) if exact else F.percentile_approx(v, probs, 100000)
-        qs = [q[i].cast("double") for i in range(3)]
         total = F.sum(F.col(c).cast("decimal(30,2)"))
-        r6 = lambda x: F.round(x, 6)  # noqa: E731  (printed precision of describe)
-        stats.append(F.struct(
-            F.lit(c).alias("column"), F.count(c).alias("count"),
-            r6(total.cast("double") / F.count(c)).alias("mean"),
-            r6(F.stddev_samp(v)).alias("std"),
-            F.min(v).alias("min"), r6(qs[0]).alias("p25"), r6(qs[1]).alias("p50"),
-            r6(qs[2]).alias("p75"), F.max(v).alias("max")))
-    return tx.agg(F.array(*stats).alias("_s")).select(F.inline("_s"))
+        fields = [F.lit(c).alias("column"), F.count(c).alias("count"),
+                  r6(total.cast("double") / F.count(c)).alias("mean"),
+                  r6(F.stddev_samp(v)).alias("std"), F.min(v).alias("min"), F.max(v).alias("max")]
+        if not exact:
+            q = F.percentile_approx(v, F.array(*[F.lit(p) for p in (0.25, 0.5, 0.75)]), 100000)
+            fields += [q[j].cast("double").alias(f"q{j}") for j in range(3)]
+        moments.append(F.struct(*fields))
+    stats = tx.agg(F.array(*moments).alias("_m")).select(F.inline("_m"))
+    if exact:
+        long = tx.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"),
+                                                     F.col(c).cast("double").alias("v"))
+                                           for c in columns])))
+        # one row per column: a bounded broadcast
+        stats = stats.join(F.broadcast(exact_quantiles(long)), "column")
+    return stats.select("column", "count", "mean", "std", "min",
+                        *[r6(F.col(f"q{j}")).alias(f"p{25 * (j + 1)}") for j in range(3)], "max")

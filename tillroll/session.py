@@ -63,11 +63,17 @@ def scratch_table_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage by writing ``df`` to the shared checkpoint folder.
+    """Cut lineage by writing ``df`` once as Parquet in the shared checkpoint
+    folder and reading it back.
 
-    Used where one intermediate (e.g. the customer table) feeds several
-    branches and scalar subqueries: they all read the written files instead
-    of re-running the joins, and the data survives executor loss.
+    Used where one intermediate feeds several branches that must agree on
+    nondeterministic choices (e.g. sampled range boundaries), or that would
+    otherwise re-run expensive joins.  Unlike an eager ``checkpoint()`` the
+    plan is computed once (no count-then-recompute), and the files survive
+    executor loss.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    import uuid
+    spark = df.sparkSession
+    path = scratch_table_path(spark, f"tmp/{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
