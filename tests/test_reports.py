@@ -77,3 +77,14 @@ def test_flat_kpis(spark):
     assert rows["top_category.name"] == (None, "Electronics")
     assert rows["customer_segmentation.Occasional Buyers.CustomerCount"][0] == 215.0
     assert rows["churn_risk_analysis.breakdown.High Risk.RevenueAtRisk"][0] == 3917393.0399999977
+
+
+def test_number_formats_match_python(spark):
+    import random
+    from tillroll.functions.text import fixed, grouped
+    rnd = random.Random(1)
+    vals = [0.15, 0.25, 16.15, 16.25, 16.35, 2.675, 1.005, -0.15, 1e6 + 0.125, 18.659649122807018]
+    vals += [rnd.randint(0, 10 ** 6) / 20 for _ in range(500)] + [rnd.random() * 1000 for _ in range(500)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    for r in df.select("x", fixed("x", 1).alias("a"), grouped("x", 2).alias("c")).collect():
+        assert (r.a, r.c) == (format(r.x, ".1f"), format(r.x, ",.2f")), r.x

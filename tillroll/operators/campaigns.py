@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.functions.text import fixed as fixed_places
 from tillroll.functions.money import cents_to_double, div_round, to_cents
 
 # The three rule branches of the campaign template
@@ -79,7 +80,7 @@ def _fmt(template: str) -> str:
 def copy(inp: DataFrame) -> DataFrame:
     """K5: subject, offer, body, call to action and the assembled text."""
     seg, cat = F.col("CustomerSegment"), F.col("FavoriteCategory")
-    spend = F.format_string("%.2f", F.bround("AvgSpend", 2))
+    spend = fixed_places(F.col("AvgSpend"), 2)
     vip = seg.contains("VIP")
     risk = seg.contains("At-Risk") | seg.contains("Inactive")
 

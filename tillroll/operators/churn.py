@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.money import div_round
 from tillroll.operators.ranking import running_totals
+from tillroll.session import partitions_for
 
 CHURN_DAYS = 60
 FEATURE_COLS = ["Frequency", "Monetary", "AvgOrderValue", "TotalProducts", "UniqueCategories",
@@ -220,8 +221,8 @@ def fit_forest(split: DataFrame, seed: int = 42, num_trees: int = 100, max_depth
     forest's per-partition sampling sees a repeatable layout.
     """
     weights = class_weights(split).select("Churn", "Weight")
-    train = (split.filter(~F.col("IsTest")).join(F.broadcast(weights), "Churn")
-             .repartition(8, "CustomerID").sortWithinPartitions("CustomerID"))
+    train = split.filter(~F.col("IsTest")).join(F.broadcast(weights), "Churn")
+    train = train.repartition(partitions_for(train), "CustomerID").sortWithinPartitions("CustomerID")
     rf = RandomForestClassifier(featuresCol="features", labelCol="Churn", weightCol="Weight",
                                 numTrees=num_trees, maxDepth=max_depth, seed=seed,
                                 featureSubsetStrategy="sqrt", maxBins=128)

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.functions import text
 from tillroll.operators import churn as ch
 from tillroll.operators import sales
 
@@ -147,18 +148,18 @@ REPORT_TAIL = """
 
 
 def _money(c):
-    """``{:,.2f}``: thousands separators, 2 places (half-even on the value)."""
-    return F.format_number(F.bround(c, 2), 2)
+    """``{:,.2f}``."""
+    return text.grouped(c, 2)
 
 
 def _count(c):
     """``{:,}`` for integers."""
-    return F.format_number(c.cast("bigint"), 0)
+    return text.grouped_int(c)
 
 
 def _fixed(c, places):
-    """``{:.Nf}``: round half-even first, then print without separators."""
-    return F.format_string(f"%.{places}f", F.bround(c.cast("double"), places))
+    """``{:.Nf}``."""
+    return text.fixed(c.cast("double"), places)
 
 
 def _pyfloat(c):

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.money import cents_to_double, div_round, to_cents
+from tillroll.session import partitions_for
 
 RFM = ["Recency", "Frequency", "Monetary"]
 Z = ["zRecency", "zFrequency", "zMonetary"]
@@ -171,7 +172,8 @@ def fit_kmeans(scaled: DataFrame, k: int = 4, seed: int = 42, restarts: int = 10
     driver threads) and only the k centroids and the cost reach the driver.
     Ties in cost keep the earliest seed.
     """
-    data = _vectors(scaled).select("features").persist()
+    vectors = _vectors(scaled).select("features")
+    data = vectors.repartition(partitions_for(vectors)).persist()
 
     def fit(s):
         model = KMeans(k=k, seed=s, maxIter=max_iter, featuresCol="features",
@@ -199,7 +201,8 @@ def kmeans_segments(features: DataFrame, k: int = 4, seed: int = 42, restarts: i
 
 def kmeans_sweep(spark: SparkSession, features: DataFrame, ks=range(2, 9), seed: int = 42) -> DataFrame:
     """M7: elbow (training cost) and silhouette for each k (fits run concurrently)."""
-    data = _vectors(standardise(features)).select("features").persist()
+    vectors = _vectors(standardise(features)).select("features")
+    data = vectors.repartition(partitions_for(vectors)).persist()
     evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="Cluster")
 
     def fit(k):

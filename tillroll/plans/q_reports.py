@@ -95,7 +95,52 @@ def q_kpi_payload(spark, sf_dir):
     return kpi.payload_json(_payload(spark, sf_dir, fitted=True))
 
 
-@register("executive_report")
+def _q(t: str) -> str:
+    return "'" + t.replace("'", "''") + "'"
+
+
+_KPI_CTES = ALL_CTES + [
+    "ov AS (SELECT sum(Revenue) AS rev, count(DISTINCT TransactionID) AS orders, "
+    "count(DISTINCT CustomerID) AS cust, count(Revenue) AS n FROM transactions)",
+    "cat AS (SELECT ProductCategory, sum(Revenue) AS r FROM transactions GROUP BY 1)",
+    "topc AS (SELECT ProductCategory AS name, r FROM cat ORDER BY r DESC, ProductCategory LIMIT 1)",
+    "tot AS (SELECT sum(r) AS t FROM cat)",
+    "segk AS (SELECT CustomerSegment, count(CustomerID) AS c, CAST(sum(Monetary) AS DOUBLE) AS sr, "
+    "CAST(sum(Recency) AS DOUBLE) / count(Recency) AS ar FROM segments GROUP BY 1)",
+    "riskk AS (SELECT RiskCategory, count(CustomerID) AS c, CAST(sum(Monetary) AS DOUBLE) AS r FROM banded GROUP BY 1)",
+    f"""kv AS (SELECT CAST(rev AS DOUBLE) AS total_revenue, orders, cust,
+       {S.money(S.div_half_even(S.cents('rev'), 'n'))} AS aov,
+       coalesce((SELECT name FROM topc), 'N/A') AS cat_name,
+       coalesce(CAST((SELECT r FROM topc) AS DOUBLE), 0.0) AS cat_rev,
+       CASE WHEN coalesce((SELECT t FROM tot), 0) > 0
+            THEN CAST({S.div_half_even(S.cents('(SELECT r FROM topc)') + ' * 1000', S.cents('(SELECT t FROM tot)'))} AS DOUBLE) / 10.0
+            ELSE 0.0 END AS share,
+       (SELECT count(*) FILTER (WHERE RiskCategory = 'High Risk') FROM banded) AS hi_c,
+       (SELECT CAST(coalesce(sum(Monetary) FILTER (WHERE RiskCategory = 'High Risk'), 0) AS DOUBLE) FROM banded) AS hi_r,
+       (SELECT Last30DayActualRevenue FROM fsum) AS l30, (SELECT Next30DayPredictedRevenue FROM fsum) AS n30,
+       (SELECT ProjectedChangePct FROM fsum) AS pct
+FROM ov)""",
+]
+
+REPORT_SQL = "WITH RECURSIVE " + ",\n".join(_KPI_CTES) + f"""
+SELECT printf({_q(kpi.REPORT_HEAD)}, format('{{:,.2f}}', total_revenue), format('{{:,}}', orders),
+              format('{{:,}}', cust), format('{{:.2f}}', aov), cat_name, format('{{:,.2f}}', cat_rev),
+              CASE WHEN share = 0 THEN '0' WHEN share = floor(share) THEN format('{{:.1f}}', share)
+                   ELSE format('{{}}', share) END)
+    || coalesce((SELECT string_agg(printf({_q(kpi.REPORT_SEGMENT_LINE)}, CustomerSegment, format('{{:,}}', c),
+                                          format('{{:,.2f}}', sr), format('{{:.1f}}', ar)), '' ORDER BY CustomerSegment)
+                 FROM segk), '')
+    || printf({_q(kpi.REPORT_CHURN)}, format('{{:,}}', hi_c), format('{{:,.2f}}', hi_r))
+    || coalesce((SELECT string_agg(printf({_q(kpi.REPORT_RISK_LINE)}, RiskCategory, format('{{:,}}', c),
+                                          format('{{:,.2f}}', r)), '' ORDER BY RiskCategory) FROM riskk), '')
+    || printf({_q(kpi.REPORT_TAIL)}, format('{{:,.2f}}', l30), format('{{:,.2f}}', n30),
+              CASE WHEN pct >= 0 THEN 'an increase' ELSE 'a decline' END, format('{{:.1f}}', abs(pct)),
+              CASE WHEN pct >= 0 THEN 'positive' ELSE 'concerning' END, CAST(hi_c AS VARCHAR),
+              format('{{:,.2f}}', hi_r), cat_name, format('{{:.2f}}', aov)) AS report
+FROM kv"""
+
+
+@register("executive_report", REPORT_SQL)
 def q_executive_report(spark, sf_dir):
     """Executive report text (checkable inputs)."""
     return kpi.report(_payload(spark, sf_dir))

@@ -62,6 +62,16 @@ def scratch_table_path(spark: SparkSession, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), "tables", ns, name)
 
 
+def partitions_for(df: DataFrame, rows_per_partition: int = 200_000) -> int:
+    """Partition count for iterative ML training data: enough partitions of
+    about ``rows_per_partition`` rows each (a count over a materialized
+    table is a cheap metadata-backed job), so small inputs are not split
+    into many tiny tasks per iteration and large ones spread over the
+    cluster."""
+    n = df.count()
+    return max(1, -(-n // rows_per_partition))
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage by writing ``df`` once as Parquet in the shared checkpoint
     folder and reading it back.
