@@ -17,7 +17,7 @@ from tillroll.plans.q_churn import SCORED_CTES
 from tillroll.plans.q_forecast import global_forecast_ctes
 from tillroll.plans.q_segments import ASSIGN_CTE, LABEL_CTES, SCALED_CTES
 from tillroll.plans.registry import present, register
-from tillroll.sources.tables import customer_table, transactions
+from tillroll.sources.tables import customer_table, forecast_table_stage, transactions
 
 ALL_CTES = (SCORED_CTES + SCALED_CTES[len(S.features_ctes()):] + [ASSIGN_CTE] + LABEL_CTES
             + global_forecast_ctes())
@@ -25,7 +25,8 @@ ALL_CTES = (SCORED_CTES + SCALED_CTES[len(S.features_ctes()):] + [ASSIGN_CTE] +
 
 def _inputs(spark, sf_dir, fitted: bool = False):
     """Transactions, segments, churn scores and forecast summary, from the
-    stage tables that every KPI section reads."""
+    stage tables that every KPI section reads (the forecast summary comes
+    from the stored forecast table, as in the reference's KPI step)."""
     tx = transactions(spark, sf_dir)
     f = customer_table(spark, sf_dir)
     if fitted:
@@ -37,7 +38,8 @@ def _inputs(spark, sf_dir, fitted: bool = False):
     else:
         segments = seg.fixed_segments(f)
         scored = churn.with_split(churn.gap_score(churn.label(f)))
-    summary = fc.holt_winters_forecast(tx)["summary"]
+    table, keys = fc.keyed(forecast_table_stage(spark, sf_dir), [])
+    summary = fc.forecast_summary(table, keys).drop(fc.GLOBAL_KEY)
     return tx, segments, scored, summary
 
 

@@ -148,3 +148,13 @@ def customer_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in SOURCE_TABLES]
     return stage_table(spark, "customer_features", inputs,
                        lambda: customer_features(transactions(spark, sf_dir), as_text=False))
+
+
+def forecast_table_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stage output of the forecast step (grid-fitted Holt-Winters history +
+    30-day forecast of total daily revenue), read by the KPI step."""
+    from tillroll.operators.forecast import holt_winters_forecast
+    from tillroll.sources.stages import stage_table
+    inputs = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in SOURCE_TABLES]
+    return stage_table(spark, "forecast_table", inputs,
+                       lambda: holt_winters_forecast(transactions(spark, sf_dir))["table"])
