@@ -74,8 +74,9 @@ def risk_category(prob) -> F.Column:
 
 
 def band(scored: DataFrame, raw_col: str = "ProbRaw") -> DataFrame:
-    """Round the probability to 4 places (half-even), then band it."""
-    p4 = F.bround(F.col(raw_col), 4).cast("decimal(5,4)")
+    """Round the probability to 4 places the way numpy's ``round(4)``
+    does (scale, round half-even, unscale), then band the rounded value."""
+    p4 = (F.bround(F.col(raw_col) * F.lit(10000.0), 0) / F.lit(10000.0)).cast("decimal(5,4)")
     return (scored.withColumn("ChurnProbability", p4)
                   .withColumn("RiskCategory", risk_category("ChurnProbability")))
 
