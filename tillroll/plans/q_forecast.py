@@ -233,3 +233,11 @@ def q_forecast_chart_feed(spark, sf_dir):
         F.when(hist, F.col("ActualRevenue")).otherwise(F.col("PredictedRevenue")).alias("Revenue"),
         F.when(fcst, F.col("LowerBound")).alias("BandLower"),
         F.when(fcst, F.col("UpperBound")).alias("BandUpper")))
+
+
+@register("country_forecast", _hw_sql("Country", [fc.FIXED_PARAMS]) + "," + FUTURE_CTE + """
+SELECT k AS Country, strftime(Date, '%Y-%m-%d') AS Date, CAST(h AS BIGINT) AS h,
+       PredictedRevenue, LowerBound, UpperBound FROM future""")
+def q_country_forecast(spark, sf_dir):
+    """FC2-FC4 for many series: 30-day forecast per country (fixed parameters)."""
+    return present(fc.holt_winters_forecast(transactions(spark, sf_dir), ["Country"], fit="fixed")["future"])
