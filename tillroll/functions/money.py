@@ -77,3 +77,9 @@ def round_ratio(num, den, scale: int, mode: str = "half_up") -> Column:
 def money_double(money) -> Column:
     """Decimal money to double at the presentation edge."""
     return _c(money).cast("double")
+
+
+def np_round(x, places: int) -> Column:
+    """numpy's ``round(x, places)`` on doubles: scale, round half-even, unscale."""
+    scale = float(10 ** places)
+    return F.bround(_c(x) * F.lit(scale), 0) / F.lit(scale)

@@ -16,7 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillroll.functions.money import div_round
+from tillroll.functions.money import div_round, np_round
 from tillroll.operators.ranking import running_totals
 from tillroll.session import partitions_for
 
@@ -76,7 +76,7 @@ def risk_category(prob) -> F.Column:
 def band(scored: DataFrame, raw_col: str = "ProbRaw") -> DataFrame:
     """Round the probability to 4 places the way numpy's ``round(4)``
     does (scale, round half-even, unscale), then band the rounded value."""
-    p4 = (F.bround(F.col(raw_col) * F.lit(10000.0), 0) / F.lit(10000.0)).cast("decimal(5,4)")
+    p4 = np_round(F.col(raw_col), 4).cast("decimal(5,4)")
     return (scored.withColumn("ChurnProbability", p4)
                   .withColumn("RiskCategory", risk_category("ChurnProbability")))
 

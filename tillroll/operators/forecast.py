@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.functions.money import div_round, to_cents
+from tillroll.functions.money import div_round, np_round, to_cents
 from tillroll.operators.sales import dense_daily
 
 PERIOD = 7
@@ -129,9 +129,9 @@ def project(states: DataFrame, keys: list[str], horizon: int = HORIZON) -> DataF
             + F.element_at("Seasonals", ((F.col("h") - 1) % PERIOD) + 1))
     band = F.lit(Z95) * F.col("Sigma")
     return rows.select(*keys, F.date_add("LastDate", F.col("h")).alias("Date"), "h",
-                       F.bround(pred, 2).alias("PredictedRevenue"),
-                       F.bround(F.greatest(pred - band, F.lit(0.0)), 2).alias("LowerBound"),
-                       F.bround(pred + band, 2).alias("UpperBound"))
+                       np_round(pred, 2).alias("PredictedRevenue"),
+                       np_round(F.greatest(pred - band, F.lit(0.0)), 2).alias("LowerBound"),
+                       np_round(pred + band, 2).alias("UpperBound"))
 
 
 GLOBAL_KEY = "_series"
@@ -214,13 +214,13 @@ def merged_fitted(tx: DataFrame, keys: list[str] | None = None, params=FIXED_PAR
         *k, "Date", F.lit(None).cast("double").alias("p"), "PredictedRevenue", "LowerBound",
         "UpperBound")
     hist_pred = fitted.select(
-        *k, "Date", "p", F.bround(F.greatest(F.col("p"), F.lit(0.0)), 2).alias("PredictedRevenue"),
-        F.bround(F.greatest(F.col("p") - band, F.lit(0.0)), 2).alias("LowerBound"),
-        F.bround(F.col("p") + band, 2).alias("UpperBound"))
+        *k, "Date", "p", np_round(F.greatest(F.col("p"), F.lit(0.0)), 2).alias("PredictedRevenue"),
+        np_round(F.greatest(F.col("p") - band, F.lit(0.0)), 2).alias("LowerBound"),
+        np_round(F.col("p") + band, 2).alias("UpperBound"))
     future = future.withColumn("PredictedRevenue", F.greatest("PredictedRevenue", F.lit(0.0)))
     preds = hist_pred.unionByName(future).drop("p")
     out = dense.join(preds, k + ["Date"], "full").select(
-        *k, "Date", F.bround(F.col("ActualRevenue").cast("double"), 2).alias("ActualRevenue"),
+        *k, "Date", np_round(F.col("ActualRevenue").cast("double"), 2).alias("ActualRevenue"),
         F.col("OrderVolume").cast("double").alias("OrderVolume"),
         F.col("UnitsSold").cast("double").alias("UnitsSold"),
         "PredictedRevenue", "LowerBound", "UpperBound")
@@ -300,9 +300,9 @@ def ridge_forecast(tx: DataFrame, keys: list[str] | None = None, horizon: int =
                 .withColumn("Date", F.date_add("LastDate", F.col("h"))))
     pred = predict(F.array(*_design(F.col("Date"), F.col("FirstDate"))))
     band = F.lit(Z95) * F.col("Sigma")
-    out = fut.select(*k, "Date", "h", F.bround(pred, 2).alias("PredictedRevenue"),
-                     F.bround(F.greatest(pred - band, F.lit(0.0)), 2).alias("LowerBound"),
-                     F.bround(pred + band, 2).alias("UpperBound"), "Intercept", "Coef", "Sigma")
+    out = fut.select(*k, "Date", "h", np_round(pred, 2).alias("PredictedRevenue"),
+                     np_round(F.greatest(pred - band, F.lit(0.0)), 2).alias("LowerBound"),
+                     np_round(pred + band, 2).alias("UpperBound"), "Intercept", "Coef", "Sigma")
     return out.drop(GLOBAL_KEY) if not keys else out
 
 
