@@ -1,12 +1,12 @@
-"""End-to-end pipeline at sf0.001 writes every stage output."""
+"""End-to-end run at sf0.001 writes every stage output."""
 
 import os
 
 from tests.conftest import SF001
-from tillroll.plans.pipeline import run
+from tillroll.plans.end_to_end import run
 
 
-def test_pipeline_writes_all_outputs(spark, tmp_path):
+def test_end_to_end_writes_all_outputs(spark, tmp_path):
     paths = run(spark, SF001, str(tmp_path / "out"))
     for name, p in paths.items():
         assert os.path.exists(p), name

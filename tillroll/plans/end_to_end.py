@@ -1,6 +1,6 @@
 """End-to-end run (the reference's main flow), Spark-first.
 
-    python -m tillroll.plans.pipeline --sf /root/testdata/sf0.01 --out /path/to/output
+    python -m tillroll.plans.end_to_end --sf /root/testdata/sf0.01 --out /path/to/output
 
 Stages: dirty fixture -> clean -> customer features -> k-means segments ->
 churn forest -> Holt-Winters forecast -> KPI document, report, campaigns ->

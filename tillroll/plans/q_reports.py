@@ -2,7 +2,7 @@
 
 The SQL-checked forms use the checkable inputs: fixed-centroid segments,
 the closed-form churn score and the grid-fitted global Holt-Winters
-forecast.  ``pipeline_*`` queries run the fitted models end to end.
+forecast.  ``kpi_payload`` uses the fitted k-means and forest models.
 """
 
 from __future__ import annotations
