@@ -39,3 +39,59 @@ def test_date_filter_pushed_down(spark):
 def test_features_single_customer_shuffle_no_cross_join(spark):
     plan = _plan(entry.queries()["customer_features"](spark, SF01))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+AGGS = ("HashAggregate", "ObjectHashAggregate", "SortAggregate")
+
+
+def _children(node):
+    name = node.nodeName()
+    if "QueryStage" in name:
+        return [node.plan()]
+    if name == "AdaptiveSparkPlan":
+        return [node.executedPlan()]
+    kids = node.children()
+    return [kids.apply(i) for i in range(kids.size())]
+
+
+def _reduced_before_scan(node) -> bool:
+    """Every path below ``node`` meets an aggregate before a file scan."""
+    name = node.nodeName()
+    if any(name.startswith(a) for a in AGGS):
+        return True
+    if "Scan" in name and "Exchange" not in name:
+        return False
+    kids = _children(node)
+    return all(_reduced_before_scan(k) for k in kids) if kids else True
+
+
+def _global_windows(node, out):
+    if node.nodeName() == "Window" and node.partitionSpec().isEmpty():
+        out.append(node)
+    for k in _children(node):
+        _global_windows(k, out)
+    return out
+
+
+@pytest.mark.parametrize("name", ["daily_sales_ma7", "analyst_daily_sales_ma7", "segment_labels",
+                                  "segment_table", "roc_auc", "roc_curve", "describe_transactions",
+                                  "forecast_summary", "decomposition", "kpi_flat"])
+def test_unpartitioned_windows_only_over_reduced_inputs(spark, name):
+    df = entry.queries()[name](spark, SF01)
+    df.write.format("noop").mode("overwrite").save()
+    root = df._jdf.queryExecution().executedPlan()
+    for w in _global_windows(root, []):
+        assert _reduced_before_scan(w), f"{name}: global window over unreduced rows"
+
+
+def test_window_check_is_not_vacuous(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    from tillroll.sources.tables import transactions
+    ma = entry.queries()["daily_sales_ma7"](spark, SF01)
+    ma.write.format("noop").mode("overwrite").save()
+    assert _global_windows(ma._jdf.queryExecution().executedPlan(), [])
+    bad = transactions(spark, SF01).withColumn("r", F.row_number().over(Window.orderBy("TransactionDate")))
+    bad.write.format("noop").mode("overwrite").save()
+    found = _global_windows(bad._jdf.queryExecution().executedPlan(), [])
+    assert found and not all(_reduced_before_scan(w) for w in found)
