@@ -41,3 +41,12 @@ def test_csv_null_tokens(spark, tmp_path):
     df = read_raw_csv(spark, str(p), schema="TransactionID string, CustomerID string, "
                                             "Quantity int, UnitPrice double")
     assert [r.CustomerID for r in cleaning.drop_null_keys(df).collect()] == ["C9"]
+
+
+def test_missing_input_raises(spark, tmp_path):
+    import pytest
+    from tillroll.sources.csv_io import read_raw_csv
+    with pytest.raises(Exception):
+        tables.transactions(spark, str(tmp_path / "absent"))
+    with pytest.raises(Exception):
+        read_raw_csv(spark, str(tmp_path / "absent.csv")).count()
