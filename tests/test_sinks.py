@@ -35,3 +35,14 @@ def test_json_document_and_texts(spark, tmp_path):
     write_csv(texts, str(tmp_path / "csv"))
     back = spark.read.option("header", True).csv(str(tmp_path / "csv"))
     assert sorted(r.slug for r in back.collect()) == ["other", "vip"]
+
+
+def test_fingerprint_follows_folder_content(spark, tmp_path):
+    from tillroll.sources.stages import fingerprint
+    d = tmp_path / "tbl"
+    d.mkdir()
+    (d / "a.parquet").write_bytes(b"x" * 10)
+    first = fingerprint(spark, [str(d)])
+    assert fingerprint(spark, [str(d)]) == first
+    (d / "b.parquet").write_bytes(b"y" * 5)
+    assert fingerprint(spark, [str(d)]) != first

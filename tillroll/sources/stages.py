@@ -3,9 +3,10 @@
 The pipeline's stage outputs (the canonical transactions, the customer
 table) are written as Parquet under ``spark.checkpoint.dir`` and read back
 by every later query, so the input joins run once per input version rather
-than once per query.  The folder name carries a fingerprint of the input
-files (path, length, modification time, via the Hadoop file system API), so
-changed inputs produce a new table.
+than once per query.  The folder name carries a fingerprint of the inputs
+(path, length and modification time of a file; bytes, file and directory
+counts of a table folder; via the Hadoop file system API) and of the package
+code, so changed inputs or logic produce a new table.
 """
 
 from __future__ import annotations
@@ -50,7 +51,13 @@ def fingerprint(spark: SparkSession, paths: list[str]) -> str:
     for path in paths:
         p, fs = _hadoop_path(spark, path)
         st = fs.getFileStatus(p)  # raises if the input is missing (S2)
-        h.update(f"{path}|{st.getLen()}|{st.getModificationTime()}".encode())
+        if st.isDirectory():
+            # a table folder: total bytes and file/dir counts change with its content
+            cs = fs.getContentSummary(p)
+            h.update(f"{path}|dir|{cs.getLength()}|{cs.getFileCount()}|{cs.getDirectoryCount()}|"
+                     f"{st.getModificationTime()}".encode())
+        else:
+            h.update(f"{path}|{st.getLen()}|{st.getModificationTime()}".encode())
     return h.hexdigest()[:16]
 
 
