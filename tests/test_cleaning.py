@@ -50,3 +50,12 @@ def test_missing_input_raises(spark, tmp_path):
         tables.transactions(spark, str(tmp_path / "absent"))
     with pytest.raises(Exception):
         read_raw_csv(spark, str(tmp_path / "absent.csv")).count()
+
+
+def test_approx_distinct_close_to_exact(spark):
+    from tillroll.operators import sales
+    tx = tables.transactions(spark, SF01)
+    exact = {r.YearMonth: r.TotalOrders for r in sales.monthly_trend(tx).collect()}
+    approx = {r.YearMonth: r.TotalOrders for r in sales.monthly_trend(tx, approx_distinct=True).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[k] - v) <= max(3, 0.05 * v) for k, v in exact.items())

@@ -95,3 +95,12 @@ def test_ridge_matches_closed_form(spark):
     assert got[0].Sigma == pytest.approx(sigma, rel=1e-9)
     fut = days[-1] + dt.timedelta(days=1)
     assert got[0].PredictedRevenue == pytest.approx(round(float(np.dot(design(fut), w) + b), 2), abs=0.011)
+
+
+def test_forecast_entry_point(spark):
+    tx = _tx(spark, [(d, 100 + d % 7 * 10) for d in range(60)])
+    for method in ("holt_winters", "holt_winters_fixed", "trend_dow"):
+        rows = fc.forecast(tx, horizon=5, method=method).collect()
+        assert [r.h for r in sorted(rows, key=lambda r: r.h)] == [1, 2, 3, 4, 5]
+    with pytest.raises(ValueError):
+        fc.forecast(tx, method="prophet")

@@ -331,3 +331,17 @@ def decomposition(tx: DataFrame, keys: list[str] | None = None, digits: int = 6)
                      F.round("Seasonal", digits).alias("Seasonal"),
                      F.round(y.cast("double") - F.col("Trend") - F.col("Seasonal"), digits).alias("Residual")))
     return out.drop(GLOBAL_KEY) if not keys else out
+
+
+def forecast(tx: DataFrame, keys: list[str] | None = None, horizon: int = HORIZON,
+             method: str = "holt_winters") -> DataFrame:
+    """One entry point for every series' forecast rows: ``holt_winters``
+    (grid-fitted, the default), ``holt_winters_fixed`` or ``trend_dow``
+    (the ridge model).  The method is an explicit argument."""
+    if method == "holt_winters":
+        return holt_winters_forecast(tx, keys, "grid", horizon)["future"]
+    if method == "holt_winters_fixed":
+        return holt_winters_forecast(tx, keys, "fixed", horizon)["future"]
+    if method == "trend_dow":
+        return ridge_forecast(tx, keys, horizon).drop("Intercept", "Coef", "Sigma")
+    raise ValueError(f"unknown forecast method {method!r}")

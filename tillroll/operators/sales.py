@@ -18,11 +18,18 @@ def _avg_money(sum_col: str, cnt_col: str, mode: str = "half_up") -> F.Column:
     return cents_to_double(div_round(to_cents(sum_col), cnt_col, mode))
 
 
-def monthly_trend(tx: DataFrame) -> DataFrame:
+def distinct_count(col: str, approx: bool = False, rsd: float = 0.01) -> F.Column:
+    """Exact COUNT(DISTINCT); ``approx`` switches to a HyperLogLog++
+    sketch (fixed-size partial state, no distinct-value shuffle) for very
+    large marts."""
+    return F.approx_count_distinct(col, rsd) if approx else F.countDistinct(col)
+
+
+def monthly_trend(tx: DataFrame, approx_distinct: bool = False) -> DataFrame:
     """A1: orders, active customers, units, revenue and AVG(Revenue) by month."""
     return (tx.groupBy(dates.month_key("TransactionDate").alias("YearMonth"))
-              .agg(F.countDistinct("TransactionID").alias("TotalOrders"),
-                   F.countDistinct("CustomerID").alias("ActiveCustomers"),
+              .agg(distinct_count("TransactionID", approx_distinct).alias("TotalOrders"),
+                   distinct_count("CustomerID", approx_distinct).alias("ActiveCustomers"),
                    F.sum("Quantity").cast("bigint").alias("TotalUnitsSold"),
                    F.sum("Revenue").alias("_rev"),
                    F.count("Revenue").alias("_n"))
@@ -46,11 +53,11 @@ def category_performance(tx: DataFrame) -> DataFrame:
     return agg.withColumn("RevenueSharePct", share)
 
 
-def country_payment(tx: DataFrame) -> DataFrame:
+def country_payment(tx: DataFrame, approx_distinct: bool = False) -> DataFrame:
     """A3: unique customers, transactions and revenue by (Country, PaymentMethod)."""
     return (tx.groupBy("Country", "PaymentMethod")
-              .agg(F.countDistinct("CustomerID").alias("UniqueCustomers"),
-                   F.countDistinct("TransactionID").alias("TotalTransactions"),
+              .agg(distinct_count("CustomerID", approx_distinct).alias("UniqueCustomers"),
+                   distinct_count("TransactionID", approx_distinct).alias("TotalTransactions"),
                    F.sum("Revenue").alias("TotalRevenue")))
 
 
