@@ -22,9 +22,10 @@ def running_totals(df: DataFrame, keys, sums: list[str], descending: bool = Fals
     """Add ``{prefix}{c}`` = sum of ``c`` over all rows whose key tuple is at
     or before this row's in the given order (key tuples must be distinct)."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    n_parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     order = [F.col(k).desc() if descending else F.col(k).asc() for k in keys]
-    b = df.repartitionByRange(n_parts, *order).withColumn("_part", F.spark_partition_id())
+    # no fixed count: adaptive execution may merge adjacent ranges, which keeps
+    # partition ids in key order
+    b = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
     within = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     b = materialize(b.withColumns({f"_in{c}": F.sum(c).over(within) for c in sums}))
     totals = b.groupBy("_part").agg(*[F.sum(c).alias(f"_t{c}") for c in sums])
