@@ -88,3 +88,15 @@ def test_number_formats_match_python(spark):
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     for r in df.select("x", fixed("x", 1).alias("a"), grouped("x", 2).alias("c")).collect():
         assert (r.a, r.c) == (format(r.x, ".1f"), format(r.x, ",.2f")), r.x
+
+
+def test_payload_json_document(spark):
+    import json
+    doc = json.loads(kpi.payload_json(_payload(spark)).first().json)
+    assert doc["financial_overview"]["total_revenue"] == 29180012.41
+    assert doc["top_category"] == {"name": "Electronics", "revenue": 16593350.91, "share_of_total_pct": 56.9}
+    assert doc["customer_segmentation"][0]["SegmentRevenue"] == 8578627.32
+    assert doc["churn_risk_analysis"]["breakdown"][0]["RevenueAtRisk"] == 3917393.04
+    assert doc["sales_forecasting"]["projected_revenue_change_pct"] == -16.51
+    raw = kpi.payload_json(_payload(spark)).first().json
+    assert "E7" not in raw and "29180012.41" in raw

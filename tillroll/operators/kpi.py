@@ -52,8 +52,35 @@ def payload(tx: DataFrame, segments: DataFrame, scored: DataFrame, summary: Data
 
 
 def payload_json(p: DataFrame) -> DataFrame:
-    """The payload as a JSON document column."""
-    return p.select(F.to_json(F.struct(*p.columns)).alias("json"))
+    """The payload as a JSON document column.  Money is written as
+    2-place decimals (plain notation, as the document is read by people and
+    BI tools), the share with 1 place; counts and mean recency unchanged."""
+    def m(c):
+        return c.cast("decimal(22,2)")
+
+    fin, cat = F.col("financial_overview"), F.col("top_category")
+    churn, fc = F.col("churn_risk_analysis"), F.col("sales_forecasting")
+    doc = F.struct(
+        F.struct(m(fin["total_revenue"]).alias("total_revenue"), fin["total_orders"].alias("total_orders"),
+                 fin["total_customers"].alias("total_customers"),
+                 m(fin["average_order_value"]).alias("average_order_value")).alias("financial_overview"),
+        F.struct(cat["name"].alias("name"), m(cat["revenue"]).alias("revenue"),
+                 cat["share_of_total_pct"].cast("decimal(6,1)").alias("share_of_total_pct")).alias("top_category"),
+        F.transform("customer_segmentation", lambda x: F.struct(
+            x["CustomerSegment"].alias("CustomerSegment"), x["CustomerCount"].alias("CustomerCount"),
+            m(x["SegmentRevenue"]).alias("SegmentRevenue"), x["AvgRecency"].alias("AvgRecency")))
+        .alias("customer_segmentation"),
+        F.struct(churn["high_risk_customer_count"].alias("high_risk_customer_count"),
+                 m(churn["high_risk_revenue_at_risk"]).alias("high_risk_revenue_at_risk"),
+                 F.transform(churn["breakdown"], lambda r: F.struct(
+                     r["RiskCategory"].alias("RiskCategory"), r["CustomerCount"].alias("CustomerCount"),
+                     m(r["RevenueAtRisk"]).alias("RevenueAtRisk"))).alias("breakdown"))
+        .alias("churn_risk_analysis"),
+        F.struct(m(fc["last_30_day_actual_revenue"]).alias("last_30_day_actual_revenue"),
+                 m(fc["next_30_day_predicted_revenue"]).alias("next_30_day_predicted_revenue"),
+                 m(fc["projected_revenue_change_pct"]).alias("projected_revenue_change_pct"))
+        .alias("sales_forecasting"))
+    return p.select(F.to_json(doc).alias("json"))
 
 
 def flat(p: DataFrame) -> DataFrame:
