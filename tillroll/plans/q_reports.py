@@ -231,3 +231,32 @@ def q_fact_enriched(spark, sf_dir):
     f = customer_table(spark, sf_dir)
     scored = churn.gap_score(churn.label(f))
     return present(marts.fact_enriched(tx, seg.fixed_segments(f), scored))
+
+
+def _d(expr: str, scale: int = 2) -> str:
+    return f"CAST({expr} AS DECIMAL({22 if scale == 2 else 6},{scale}))"
+
+
+KPI_DOC_SQL = "WITH RECURSIVE " + ",\n".join(_KPI_CTES) + f"""
+SELECT to_json(struct_pack(
+  financial_overview := struct_pack(total_revenue := {_d('total_revenue')}, total_orders := orders,
+                                    total_customers := cust, average_order_value := {_d('aov')}),
+  top_category := struct_pack(name := cat_name, revenue := {_d('cat_rev')},
+                              share_of_total_pct := {_d('share', 1)}),
+  customer_segmentation := (SELECT list(struct_pack(CustomerSegment := CustomerSegment, CustomerCount := c,
+                                                    SegmentRevenue := {_d('sr')}, AvgRecency := ar)
+                                        ORDER BY CustomerSegment) FROM segk),
+  churn_risk_analysis := struct_pack(
+      high_risk_customer_count := hi_c, high_risk_revenue_at_risk := {_d('hi_r')},
+      breakdown := (SELECT list(struct_pack(RiskCategory := RiskCategory, CustomerCount := c,
+                                            RevenueAtRisk := {_d('r')}) ORDER BY RiskCategory) FROM riskk)),
+  sales_forecasting := struct_pack(last_30_day_actual_revenue := {_d('l30')},
+                                   next_30_day_predicted_revenue := {_d('n30')},
+                                   projected_revenue_change_pct := {_d('pct')})
+)) AS json FROM kv"""
+
+
+@register("kpi_document", KPI_DOC_SQL)
+def q_kpi_document(spark, sf_dir):
+    """The KPI JSON document from the checkable inputs."""
+    return kpi.payload_json(_payload(spark, sf_dir))
