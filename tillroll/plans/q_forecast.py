@@ -241,3 +241,12 @@ SELECT k AS Country, strftime(Date, '%Y-%m-%d') AS Date, CAST(h AS BIGINT) AS h,
 def q_country_forecast(spark, sf_dir):
     """FC2-FC4 for many series: 30-day forecast per country (fixed parameters)."""
     return present(fc.holt_winters_forecast(transactions(spark, sf_dir), ["Country"], fit="fixed")["future"])
+
+
+@register("forecast_tail", TABLE_SQL + """
+SELECT strftime(Date, '%Y-%m-%d') AS Date, ActualRevenue, OrderVolume, UnitsSold, PredictedRevenue,
+       LowerBound, UpperBound, DataType FROM tbl ORDER BY tbl.Date DESC LIMIT 5""")
+def q_forecast_tail(spark, sf_dir):
+    """Preview of the last rows of the forecast table (dates are unique)."""
+    t = fc.holt_winters_forecast(transactions(spark, sf_dir))["table"]
+    return present(t.orderBy(F.col("Date").desc()).limit(5))
