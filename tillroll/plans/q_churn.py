@@ -248,3 +248,10 @@ def q_forest_metrics(spark, sf_dir):
     scored = churn.forest_scores(split, model)
     auc = churn.roc_auc(scored).select("AUC").scalar()
     return churn.classification_metrics(scored).withColumn("AUC", auc)
+
+
+@register("churn_predictions_head", SCORED + f"""
+SELECT {PRED_SELECT} FROM banded ORDER BY CustomerID LIMIT 5""")
+def q_churn_predictions_head(spark, sf_dir):
+    """Preview of the first rows of the predictions table (by CustomerID)."""
+    return present(churn.predictions_table(_scored(spark, sf_dir)).orderBy("CustomerID").limit(5))
