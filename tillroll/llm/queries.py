@@ -7,13 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.llm.fingerprints import op10_document_fingerprints
+from tillroll.llm.mixing import OP9_SQL, op9_mixing
 from tillroll.llm.simhash_dedup import op2_simhash_dedup
+from tillroll.llm.token_counts import op7_token_counts
+from tillroll.llm.url_filter import OP5_SQL, op5_url_filter
+from tillroll.llm.warc import OP3_SQL, op3_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op2_simhash_dedup,
+        op3_warc,
+        op5_url_filter,
+        op7_token_counts,
+        op9_mixing,
         op10_document_fingerprints,
     )
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op3_warc": OP3_SQL, "op5_url_filter": OP5_SQL, "op9_mixing": OP9_SQL}
