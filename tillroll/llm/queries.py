@@ -11,6 +11,7 @@ from tillroll.llm.language_id import op8_language_id
 from tillroll.llm.mixing import OP9_SQL, op9_mixing
 from tillroll.llm.simhash_dedup import op2_simhash_dedup
 from tillroll.llm.token_counts import op7_token_counts
+from tillroll.llm.toxicity import op6_toxicity
 from tillroll.llm.url_filter import OP5_SQL, op5_url_filter
 from tillroll.llm.warc import OP3_SQL, op3_warc
 
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_simhash_dedup,
         op3_warc,
         op5_url_filter,
+        op6_toxicity,
         op7_token_counts,
         op8_language_id,
         op9_mixing,
