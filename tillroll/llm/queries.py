@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.llm.fingerprints import op10_document_fingerprints
 from tillroll.llm.language_id import op8_language_id
+from tillroll.llm.line_dedup import op4_line_dedup
 from tillroll.llm.mixing import OP9_SQL, op9_mixing
 from tillroll.llm.simhash_dedup import op2_simhash_dedup
 from tillroll.llm.token_counts import op7_token_counts
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op2_simhash_dedup,
         op3_warc,
+        op4_line_dedup,
         op5_url_filter,
         op6_toxicity,
         op7_token_counts,
