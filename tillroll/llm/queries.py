@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillroll.llm.decontaminate import op1_decontaminate
 from tillroll.llm.fingerprints import op10_document_fingerprints
 from tillroll.llm.language_id import op8_language_id
 from tillroll.llm.line_dedup import op4_line_dedup
@@ -18,6 +19,7 @@ from tillroll.llm.warc import OP3_SQL, op3_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
+        op1_decontaminate,
         op2_simhash_dedup,
         op3_warc,
         op4_line_dedup,

@@ -6,8 +6,9 @@ import math
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import crc_mod, table
@@ -283,18 +284,20 @@ def features(text: str | None, model: Model) -> np.ndarray:
     return out
 
 
-def _with_features(rows: DataFrame, model: Model, carry: str, kind: str) -> DataFrame:
-    """(carry, features): the features of every row's ``text``."""
-    shared = rows.sparkSession.sparkContext.broadcast(tuple(model))
+def _sample_features(sample: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of the bounded sample."""
+    plain = tuple(model)
 
     def run(batches):
-        held = Model(*shared.value)
+        held = Model(*plain)
         for batch in batches:
-            found = [features(t.as_py(), held).tolist() for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.float64()))],
-                                             names=[carry, "features"])
+            found = [features(t.as_py(), held).tolist() for t in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.float64())), batch.column(1)],
+                                             names=["features", "toxic"])
 
-    return rows.select(carry, "text").mapInArrow(run, f"`{carry}` {kind}, features array<double>")
+    rows = sample.select("text", "toxic").mapInArrow(run, "features array<double>, toxic int").collect()
+    return (np.array([r["features"] for r in rows]).reshape(len(rows), N_FEATURES),
+            np.array([r["toxic"] for r in rows], dtype=float))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
@@ -331,26 +334,35 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     entries = lexicon(term_counts(sample), n_toxic, n_clean)
     model = Model(*compile_lexicon(entries), np.zeros(N_FEATURES + 1))
-    rows = _with_features(sample, model, "toxic", "int").collect()
-    x = np.array([r["features"] for r in rows]).reshape(len(rows), N_FEATURES)
-    y = np.array([r["toxic"] for r in rows], dtype=float)
+    x, y = _sample_features(sample, model)
     return model._replace(coefficients=_logistic(x, y))
 
 
+def score_column(model: Model, text: Column) -> Column:
+    """The score of every text, 0 to 1; null, empty and wordless texts get that of a text without hits."""
+    plain = tuple(model)  # plain values, for workers without this package
+
+    def run(texts: pd.Series) -> pd.Series:
+        held = Model(*plain)
+        logits = [float(features(t, held) @ held.coefficients[:-1] + held.coefficients[-1]) for t in texts]
+        return pd.Series(1 / (1 + np.exp(-np.clip(logits, -30, 30))), dtype="float64")
+
+    return F.pandas_udf(run, "double")(text)
+
+
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, score, predicted) for every row of ``docs``, from its whole text alone.
 
-    An empty, null or wordless text has no features and gets the score of a
-    text without hits.  ``predicted`` is 1 for a score of at least 0.5.
-    Repeated rows come back as often as they came; other columns are not read.
+    ``predicted`` is 1 for a score of at least 0.5.  Repeated rows come back
+    as often as they came; other columns are not read.
     """
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    found = _with_features(docs, model, "doc_id", kind)
-    logit = F.lit(float(model.coefficients[-1]))
-    for k in range(N_FEATURES):
-        logit = logit + F.col("features")[k] * float(model.coefficients[k])
-    score = 1 / (1 + F.exp(-F.least(F.greatest(logit, F.lit(-30.0)), F.lit(30.0))))
-    return found.select("doc_id", score.alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    scored = docs.select("doc_id", score_column(model, F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
+    """``docs`` without the rows whose score is 0.5 or more, all columns unchanged."""
+    return docs.where(score_column(model, F.col("text")) < 0.5)
 
 
 def train_rows(rows: DataFrame) -> DataFrame:
