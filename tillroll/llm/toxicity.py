@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import crc_mod, table
+from tillroll.llm.common import crc_mod, materialize, table
 
 #: The bounded sample of labelled rows that the model is fitted on: the rows
 #: of each class whose ids hash lowest.
@@ -329,7 +329,9 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     for toxic, most in ((1, SAMPLE_TOXIC), (0, SAMPLE_CLEAN)):
         part = marks.where(F.col("toxic") == toxic).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
         chosen = part if chosen is None else chosen.unionByName(part)
-    sample = docs.select("doc_id", "text").join(chosen, "doc_id").select("text", "toxic")
+    # Broadcast: SAMPLE_TOXIC + SAMPLE_CLEAN ids at most.
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
+    sample = materialize(sample, "toxicity-sample")
     sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     entries = lexicon(term_counts(sample), n_toxic, n_clean)
