@@ -94,11 +94,11 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", payload
                    url_col: str = "url", min_bytes: int = MIN_REVISIT_BYTES, file_bytes: int = FILE_BYTES) -> None:
     """Write one record per row of ``pages`` to gzip archives under ``path``.
 
-    Payloads (text in UTF-8 or bytes; null is empty) cross the network once,
-    and only for responses: revisits carry headers alone.  Spark's own writer
-    makes the files, so that a lost or repeated task leaves no half archive,
-    on any file system.  Files hold about ``file_bytes`` before compression,
-    dealt by record id.
+    Payloads (text in UTF-8 or bytes; null is empty) cross the network once;
+    revisits are written with headers alone.  Spark's own writer makes the
+    files, so that a lost or repeated task leaves no half archive, on any file
+    system.  Files hold about ``file_bytes`` before compression, dealt by a
+    hash of id and digest.
     """
     heads = materialize(captures(pages, id_col, payload_col, url_col), "captures")
     records = materialize(plan_records(heads, min_bytes), "records")
@@ -106,15 +106,28 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", payload
     files = max(1, -(-int(total) // file_bytes))
     payload = F.coalesce(F.col(payload_col).cast("binary"), F.lit(b""))
     key = F.concat_ws("|", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.sha1(payload))
-    payloads = pages.select(key.alias("key"), payload.alias("payload"))
+    payloads = pages.select(key.alias("key"), payload.alias("payload")).mapInArrow(
+        _first_of_key, "key string, payload binary").repartition(files, "key")
     payloads = payloads.groupBy("key").agg(F.first("payload").alias("payload"))
-    full = records.where("record_type = 'response'").join(payloads, "key").select(
-        "record_id", _record(F.col("payload")).alias("record"))
-    short = records.where("record_type = 'revisit'").select("record_id", _record(F.lit(b"")).alias("record"))
-    lines = full.unionByName(short).repartition(files, "record_id").select(F.col("record").cast("string").alias("value"))
+    full = records.where("record_type = 'response'").repartition(files, "key").join(payloads.hint("merge"), "key").select(
+        _record(F.col("payload")).alias("record"))
+    short = records.where("record_type = 'revisit'").select(_record(F.lit(b"")).alias("record"))
+    lines = full.unionByName(short).select(F.col("record").cast("string").alias("value"))
     lines.write.option("lineSep", CRLF + CRLF).option("compression", "gzip").text(path)
 
 
+def _first_of_key(batches):
+    """Rows of each key's first occurrence in the task, so that a capture
+    repeated in a third of all rows leaves every task once."""
+    seen = set()
+    for batch in batches:
+        keep = []
+        for key in batch.column(0).to_pylist():
+            keep.append(key not in seen)
+            seen.add(key)
+        yield batch.filter(pa.array(keep, pa.bool_()))
+
+
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """(headers, block) of each record; blocks are cut by Content-Length, whatever they contain."""
     at = 0
