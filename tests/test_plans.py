@@ -95,3 +95,37 @@ def test_window_check_is_not_vacuous(spark):
     bad.write.format("noop").mode("overwrite").save()
     found = _global_windows(bad._jdf.queryExecution().executedPlan(), [])
     assert found and not all(_reduced_before_scan(w) for w in found)
+
+
+def _core_names():
+    from tillroll.plans import registry
+    registry.load_all()
+    return sorted(registry.QUERIES)
+
+
+@pytest.mark.parametrize("name", _core_names())
+def test_no_keyless_join(spark, name):
+    plan = _plan(entry.queries()[name](spark, SF01))
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+@pytest.mark.parametrize("name", ["segment_share", "segment_table", "segment_breakdown", "campaigns"])
+def test_segment_plans_stay_small(spark, name):
+    df = entry.queries()[name](spark, SF01)
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation [") < 20
+
+
+def test_grid_values_are_shuffled_once(spark):
+    """The parameter grid runs in the series' row: no exchange above the arrays."""
+    plan = _plan(entry.queries()["holt_winters_grid"](spark, SF01))
+    above = plan.split("collect_list")[0]
+    assert "Exchange" not in above
+
+
+def test_aggregates_are_presented_in_order(spark):
+    for name, key in (("monthly_trend", lambda r: r["YearMonth"]), ("category_performance", lambda r: -r["GrossRevenue"]),
+                      ("country_payment", lambda r: -r["TotalRevenue"]), ("rfm_sql", lambda r: -r["MonetarySpend"]),
+                      ("segment_breakdown", lambda r: -r["TotalSegmentRevenue"]),
+                      ("analyst_monthly_trend", lambda r: r["YearMonth"])):
+        keys = [key(r) for r in entry.queries()[name](spark, SF01).collect()]
+        assert keys == sorted(keys), name

@@ -46,3 +46,15 @@ def test_fingerprint_follows_folder_content(spark, tmp_path):
     assert fingerprint(spark, [str(d)]) == first
     (d / "b.parquet").write_bytes(b"y" * 5)
     assert fingerprint(spark, [str(d)]) != first
+
+
+def test_fact_files_are_in_order_and_few(spark, tmp_path):
+    p = str(tmp_path / "tx")
+    sinks.write_transactions(transactions(spark, SF001).repartition(6), p)
+    checked = sinks.order_check(spark.read.parquet(p)).collect()
+    assert checked and sum(r["OutOfOrder"] for r in checked) == 0
+    files = [f for d, _, names in os.walk(p) for f in names if f.endswith(".parquet")]
+    assert len(files) == len(checked)  # one small file a month, not one from every task
+    broken = spark.read.parquet(p).orderBy(F.col("TransactionDate").desc()).coalesce(1)
+    sinks.write_table(broken, str(tmp_path / "bad"))
+    assert sum(r["OutOfOrder"] for r in sinks.order_check(spark.read.parquet(str(tmp_path / "bad"))).collect()) > 0

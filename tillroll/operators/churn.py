@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.money import div_round, np_round
 from tillroll.operators.ranking import running_totals
-from tillroll.session import partitions_for
 
 CHURN_DAYS = 60
 FEATURE_COLS = ["Frequency", "Monetary", "AvgOrderValue", "TotalProducts", "UniqueCategories",
@@ -44,19 +43,25 @@ def base_rate(labelled: DataFrame) -> DataFrame:
                         (F.sum("Churn").cast("double") / F.count(F.lit(1))).alias("ChurnRate"))
 
 
-def split_flag(test_pct: int = 20) -> F.Column:
-    """Deterministic test membership from a hash of CustomerID.
+def with_split(labelled: DataFrame, test_pct: int = 20) -> DataFrame:
+    """Stratified test membership: of each class the first ``test_pct``
+    percent (rounded half up) in the order of a hash of CustomerID.
 
-    The first 8 hex digits of md5 as an integer, mod 100, below ``test_pct``.
-    A per-row hash scales (no sort or window by class) and is reproducible
-    in any engine.
+    The order is the first 8 hex digits of md5 as an integer, then the id.
+    Ranks come from a two-level running count over (class, hash), so no task
+    holds a class; only keys move, and the flags are joined back by customer.
     """
     h = F.conv(F.substring(F.md5(F.col("CustomerID")), 1, 8), 16, 10).cast("bigint")
-    return (h % 100) < test_pct
-
-
-def with_split(labelled: DataFrame, test_pct: int = 20) -> DataFrame:
-    return labelled.withColumn("IsTest", split_flag(test_pct))
+    keys = labelled.groupBy("Churn", h.alias("_h"), "CustomerID").agg(F.count(F.lit(1)).alias("n"))
+    ranked = running_totals(keys, ["Churn", "_h", "CustomerID"], ["n"])
+    sizes = ranked.groupBy("Churn").agg(F.sum("n").alias("_size"))
+    start = F.coalesce(F.sum("_size").over(Window.orderBy("Churn").rowsBetween(Window.unboundedPreceding, -1)),
+                       F.lit(0))
+    sizes = sizes.select(F.col("Churn").alias("_class"), "_size", start.alias("_start"))  # one row per class
+    flags = ranked.join(F.broadcast(sizes), F.col("Churn") == F.col("_class")).select(
+        F.col("CustomerID").alias("_id"),
+        (F.col("Cumn") - F.col("_start") <= div_round(F.col("_size") * test_pct, F.lit(100))).alias("IsTest"))
+    return labelled.join(flags, F.col("CustomerID") == F.col("_id")).drop("_id")
 
 
 def class_weights(split: DataFrame) -> DataFrame:
@@ -215,7 +220,13 @@ def _assembled(df: DataFrame) -> DataFrame:
                            outputCol="features").transform(df.select("*", *feats))
 
 
-def fit_forest(split: DataFrame, seed: int = 42, num_trees: int = 100, max_depth: int = 6):
+#: Partitions of the training rows: a setting of the model, as bagging draws
+#: per partition; it does not follow the number of rows.
+FIT_PARTITIONS = 8
+
+
+def fit_forest(split: DataFrame, seed: int = 42, num_trees: int = 100, max_depth: int = 6,
+               partitions: int = FIT_PARTITIONS):
     """Random forest on the training rows with balanced weights.
 
     Training rows are hash-partitioned and sorted by CustomerID first so the
@@ -223,7 +234,7 @@ def fit_forest(split: DataFrame, seed: int = 42, num_trees: int = 100, max_depth
     """
     weights = class_weights(split).select("Churn", "Weight")
     train = split.filter(~F.col("IsTest")).join(F.broadcast(weights), "Churn")
-    train = train.repartition(partitions_for(train), "CustomerID").sortWithinPartitions("CustomerID")
+    train = train.repartition(partitions, "CustomerID").sortWithinPartitions("CustomerID")
     rf = RandomForestClassifier(featuresCol="features", labelCol="Churn", weightCol="Weight",
                                 numTrees=num_trees, maxDepth=max_depth, seed=seed,
                                 featureSubsetStrategy="sqrt", maxBins=128)
@@ -238,8 +249,10 @@ def forest_scores(split: DataFrame, model) -> DataFrame:
     return band(scored.drop(*extra))
 
 
-def forest_importances(spark: SparkSession, model) -> DataFrame:
-    """P10: feature importances, largest first (7 rows of model metadata)."""
-    imp = model.featureImportances.toArray()
-    rows = sorted(zip(FEATURE_COLS, (float(x) for x in imp)), key=lambda t: (-t[1], t[0]))
-    return spark.createDataFrame(rows, "Feature string, Importance double")
+def forest_importances(split: DataFrame, model) -> DataFrame:
+    """P10: feature importances with each feature's mean over the training
+    rows, largest importance first (7 rows)."""
+    means = split.filter(~F.col("IsTest")).agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in FEATURE_COLS])
+    rows = [F.struct(F.lit(c).alias("Feature"), F.lit(float(x)).alias("Importance"), F.col(c).alias("TrainMean"))
+            for c, x in zip(FEATURE_COLS, model.featureImportances.toArray())]
+    return means.select(F.inline(F.array(*rows))).orderBy(F.col("Importance").desc(), "Feature")

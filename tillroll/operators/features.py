@@ -47,7 +47,7 @@ def customer_features(tx: DataFrame, as_text: bool = True) -> DataFrame:
     decimal money).  AvgDaysBetweenOrders is rounded half-even to 1 place.
     """
     agg = customer_aggregates(tx)
-    snapshot = dates.plus_one_day(agg.select(F.max("LastPurchaseDate")).scalar())
+    snapshot = dates.plus_one_day(tx.select(F.max("TransactionDate")).scalar())  # one column, no shuffle by customer
     recency = dates.elapsed_days("LastPurchaseDate", snapshot)
     tenure = dates.elapsed_days("FirstPurchaseDate", snapshot)
     out = (agg

@@ -15,7 +15,6 @@ from __future__ import annotations
 import itertools
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,7 +47,9 @@ def _fold(ys, alpha, beta, gamma, keep_fitted: bool = False) -> F.Column:
     """Additive Holt-Winters (period 7) as a fold; returns the final state.
 
     start: l = mean of the first 7 values (summed left to right), b = 0,
-    s = first 7 values minus l; fold from the 8th value:
+    s = first 7 values minus l; fold from the 8th value (a series of fewer
+    than 7 days starts from the days it has, with 0 in the other slots, and
+    folds nothing):
       f = (l + b) + s0,  l' = a(y - s0) + (1-a)(l + b),
       b' = b_(l' - l) + (1-b_)b,  s_new = g(y - (l + b)) + (1-g)s0,
     rotating the seasonal slots; ``sse``/``sr`` accumulate the one-step
@@ -58,14 +59,15 @@ def _fold(ys, alpha, beta, gamma, keep_fitted: bool = False) -> F.Column:
     """
     one_a, one_b, one_g = F.lit(1.0) - alpha, F.lit(1.0) - beta, F.lit(1.0) - gamma
     head = F.slice(ys, 1, PERIOD)
-    level0 = F.aggregate(head, F.lit(0.0), lambda acc, y: acc + y) / F.lit(float(PERIOD))
+    level0 = F.aggregate(head, F.lit(0.0), lambda acc, y: acc + y) / F.size(head).cast("double")
     fields = [level0.alias("l"), F.lit(0.0).alias("b")]
-    fields += [(F.element_at(head, i + 1) - level0).alias(f"s{i}") for i in range(PERIOD)]
+    fields += [F.coalesce(F.try_element_at(head, F.lit(i + 1)) - level0, F.lit(0.0)).alias(f"s{i}")
+               for i in range(PERIOD)]
     fields += [F.lit(0.0).alias("sse"), F.lit(0.0).alias("sr")]
     if keep_fitted:
         fields.append(F.array().cast("array<double>").alias("fit"))
     init = F.struct(*fields)
-    rest = F.slice(ys, PERIOD + 1, 1 << 30)
+    rest = F.when(F.size(ys) > PERIOD, F.slice(ys, PERIOD + 1, 1 << 30)).otherwise(F.array().cast("array<double>"))
 
     def step(st, y):
         s0 = st["s0"]
@@ -87,12 +89,14 @@ def _fold(ys, alpha, beta, gamma, keep_fitted: bool = False) -> F.Column:
 def _with_state(arrays: DataFrame, alpha, beta, gamma, keep_fitted=False) -> DataFrame:
     st = _fold(F.col("ys"), alpha, beta, gamma, keep_fitted)
     out = arrays.withColumn("_st", st)
-    m = (F.size("ys") - PERIOD).cast("double")
+    residuals = F.greatest(F.size("ys") - PERIOD, F.lit(0))
+    m = F.nullif(residuals.cast("double"), F.lit(0.0))
     var = F.col("_st.sse") / m - (F.col("_st.sr") / m) * (F.col("_st.sr") / m)
     cols = {"Level": F.col("_st.l"), "Trend": F.col("_st.b"),
             "Seasonals": F.array(*[F.col(f"_st.s{i}") for i in range(PERIOD)]),
-            "SSE": F.col("_st.sse"), "Residuals": F.size("ys") - PERIOD,
-            "Sigma": F.when(m > 0, F.sqrt(F.greatest(var, F.lit(0.0))))}
+            "SSE": F.col("_st.sse"), "Residuals": residuals,
+            "Sigma": F.when(m > 0, F.sqrt(F.greatest(var, F.lit(0.0)))),
+            "Status": F.when(m > 0, "fitted").otherwise("short history")}
     if keep_fitted:
         cols["Fitted"] = F.col("_st.fit")
     return out.withColumns(cols).drop("_st")
@@ -107,22 +111,23 @@ def holt_winters(arrays: DataFrame, params=FIXED_PARAMS, keep_fitted=False) -> D
 
 def holt_winters_grid(arrays: DataFrame, keys: list[str], grid=GRID) -> DataFrame:
     """FC2 parameter fit: every grid point per series, lowest SSE kept
-    (ties to the smaller alpha, beta, gamma).  Grid rows are spread over
-    tasks by (series, parameters) before the folds run."""
+    (ties to the smaller alpha, beta, gamma).
+
+    The grid runs inside the series' row: its values are shuffled once, when
+    the array is gathered, however many points there are."""
     points = F.array(*[F.struct(F.lit(float(a)).alias("Alpha"), F.lit(float(b)).alias("Beta"),
                                 F.lit(float(g)).alias("Gamma")) for a, b, g in grid])
-    expanded = (arrays.select("*", F.inline(points))
-                .repartition(*[F.col(k) for k in keys], "Alpha", "Beta", "Gamma"))
-    fitted = _with_state(expanded, F.col("Alpha"), F.col("Beta"), F.col("Gamma"))
-    best = fitted.groupBy(*keys).agg(F.min_by(
-        F.struct(*[c for c in fitted.columns if c not in keys and c != "ys"]),
-        F.struct("SSE", "Alpha", "Beta", "Gamma")).alias("_b"))
-    return best.select(*keys, "_b.*")
+    errors = F.transform(points, lambda p: F.struct(
+        _fold(F.col("ys"), p["Alpha"], p["Beta"], p["Gamma"])["sse"].alias("e"),
+        p["Alpha"].alias("Alpha"), p["Beta"].alias("Beta"), p["Gamma"].alias("Gamma")))
+    best = arrays.withColumn("_b", F.array_min(errors)).select(*arrays.columns, "_b.Alpha", "_b.Beta", "_b.Gamma")
+    return _with_state(best, F.col("Alpha"), F.col("Beta"), F.col("Gamma")).drop("ys")
 
 
 def project(states: DataFrame, keys: list[str], horizon: int = HORIZON) -> DataFrame:
     """FC3/FC4: h-step forecasts with 95% bands (lower bound clipped at 0;
-    the prediction itself is not clipped).  Values rounded half-even to 2."""
+    the prediction itself is not clipped).  Values rounded half-even to 2.
+    A series without residuals (7 days or fewer) has a prediction but no band."""
     h = F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("h")
     rows = states.select(*keys, "LastDate", "Level", "Trend", "Seasonals", "Sigma", h)
     pred = (F.col("Level") + F.col("h") * F.col("Trend")
@@ -130,7 +135,8 @@ def project(states: DataFrame, keys: list[str], horizon: int = HORIZON) -> DataF
     band = F.lit(Z95) * F.col("Sigma")
     return rows.select(*keys, F.date_add("LastDate", F.col("h")).alias("Date"), "h",
                        np_round(pred, 2).alias("PredictedRevenue"),
-                       np_round(F.greatest(pred - band, F.lit(0.0)), 2).alias("LowerBound"),
+                       F.when(F.col("Sigma").isNotNull(), np_round(F.greatest(pred - band, F.lit(0.0)), 2))
+                       .alias("LowerBound"),
                        np_round(pred + band, 2).alias("UpperBound"))
 
 
@@ -147,34 +153,30 @@ def keyed(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
 
 def forecast_table(dense: DataFrame, future: DataFrame, keys: list[str]) -> DataFrame:
     """FC6/FC7/U1: history rows (prediction = bounds = actual) followed by
-    forecast rows; DataType compares the date with the series' last history
-    day (one value per series, joined back on the series key)."""
+    forecast rows.  Forecast days come after a series' last history day, so
+    either side is labelled where it arises."""
     # counts become doubles: forecast rows carry NaN-like nulls there, as in
     # the reference's float columns
     hist = dense.select(*keys, "Date", F.col("ActualRevenue").cast("double").alias("ActualRevenue"),
                         F.col("OrderVolume").cast("double").alias("OrderVolume"),
                         F.col("UnitsSold").cast("double").alias("UnitsSold"),
                         *[F.col("ActualRevenue").cast("double").alias(c)
-                          for c in ("PredictedRevenue", "LowerBound", "UpperBound")])
-    last = dense.groupBy(*keys).agg(F.max("Date").alias("_last"))
-    both = hist.unionByName(future.drop("h"), allowMissingColumns=True)
-    return (both.join(last, keys)
-                .withColumn("DataType", F.when(F.col("Date") <= F.col("_last"), "Historical")
-                            .otherwise("Forecast"))
-                .drop("_last"))
+                          for c in ("PredictedRevenue", "LowerBound", "UpperBound")],
+                        F.lit("Historical").alias("DataType"))
+    return hist.unionByName(future.drop("h").withColumn("DataType", F.lit("Forecast")), allowMissingColumns=True)
 
 
 def forecast_summary(table: DataFrame, keys: list[str], window: int = 30) -> DataFrame:
     """FC9/A26: last ``window`` actual days, forecast total and change %
     (2 dp half-even, 0 when the previous period is 0); sums exact in cents.
-    The row_number window is per series over its days."""
-    rank = Window.partitionBy(*keys).orderBy(F.col("Date").desc())
-    hist = (table.filter(F.col("DataType") == "Historical")
-                 .withColumn("_r", F.row_number().over(rank)).filter(F.col("_r") <= window))
-    last = hist.groupBy(*keys).agg(F.sum(F.col("ActualRevenue").cast("decimal(20,2)")).alias("Last30"))
-    nxt = (table.filter(F.col("DataType") == "Forecast").groupBy(*keys)
-                .agg(F.sum(F.col("PredictedRevenue").cast("decimal(20,2)")).alias("Next30")))
-    both = last.join(nxt, keys, "full")
+    The row_number window is per series and kind over its days."""
+    rank = Window.partitionBy(*keys, "DataType").orderBy(F.col("Date").desc())
+    ranked = table.withColumn("_r", F.row_number().over(rank))
+    actual = (F.col("DataType") == "Historical") & (F.col("_r") <= window)
+    total = lambda kind, c: F.sum(F.when(kind, F.col(c)).cast("decimal(20,2)"))
+    both = ranked.groupBy(*keys).agg(
+        total(actual, "ActualRevenue").alias("Last30"),
+        total(F.col("DataType") == "Forecast", "PredictedRevenue").alias("Next30"))
     lc, nc = to_cents("Last30"), to_cents("Next30")
     pct = F.when(lc > 0, div_round((nc - lc) * 10000, lc, "half_even").cast("double") / 100.0) \
         .otherwise(F.lit(0.0))
@@ -239,66 +241,49 @@ def _design(date_col, first_col) -> list:
 
 
 def _solve_ridge(batches):
-    """Solve each series' ridge system from its aggregated sums (7x7)."""
+    """Coefficients, intercept and residual spread of each series from its
+    day-ordered values; the 7x7 systems of a batch are solved together."""
     for pdf in batches:
-        coefs, icpts = [], []
-        for n, sx, sy, sxx, sxy in zip(pdf["n"], pdf["sx"], pdf["sy"], pdf["sxx"], pdf["sxy"]):
-            sx = np.asarray(sx, dtype=float)
-            xbar, ybar = sx / n, sy / n
-            a = np.asarray(sxx, dtype=float).reshape(N_FEATURES, N_FEATURES) - n * np.outer(xbar, xbar)
-            b = np.asarray(sxy, dtype=float) - n * xbar * ybar
-            w = np.linalg.solve(a + RIDGE_ALPHA * np.eye(N_FEATURES), b)
-            coefs.append(w.tolist())
-            icpts.append(float(ybar - xbar @ w))
-        out = pdf.drop(columns=["n", "sx", "sy", "sxx", "sxy"])
-        out["Coef"] = coefs
-        out["Intercept"] = icpts
-        yield out
+        designs, values = [], []
+        for first, ys in zip(pdf["FirstWeekday"], pdf["ys"]):
+            day = np.arange(len(ys))
+            weekday = (first + day) % 7
+            designs.append(np.column_stack([day] + [weekday == k for k in range(1, 7)]).astype(float))
+            values.append(np.asarray(ys, dtype=float))
+        if designs:
+            xbar = np.array([x.mean(axis=0) for x in designs])
+            ybar = np.array([y.mean() for y in values])
+            a = np.array([(x - m).T @ (x - m) for x, m in zip(designs, xbar)]) + RIDGE_ALPHA * np.eye(N_FEATURES)
+            b = np.array([(x - m).T @ (y - v) for x, m, y, v in zip(designs, xbar, values, ybar)])
+            coef = np.linalg.solve(a, b[:, :, None])[:, :, 0]
+            intercept = ybar - (xbar * coef).sum(axis=1)
+            spread = [float(np.std(y - x @ w - c)) for x, y, w, c in zip(designs, values, coef, intercept)]
+            yield pdf.drop(columns=["ys", "FirstWeekday"]).assign(
+                Coef=coef.tolist(), Intercept=intercept, Sigma=spread)
 
 
 def ridge_forecast(tx: DataFrame, keys: list[str] | None = None, horizon: int = HORIZON) -> DataFrame:
     """FC5: linear trend + day-of-week ridge (alpha 1, intercept not
     penalised), residual-std bands, for every series.
 
-    Spark accumulates each series' normal equations (n, sums of x, y, x x',
-    x y) with a partial aggregate; a small vectorised step solves the 7x7
-    system per series row.  Fixed weekday levels 1..6 keep the coding stable
-    for any horizon.
+    A series is one row with its day-ordered values (bounded by the calendar
+    span); a small vectorised step solves the 7x7 systems of many series at
+    once and measures the residuals, and the horizon is exploded from that
+    row, so nothing is joined.  Fixed weekday levels 1..6 keep the coding
+    stable for any horizon.
     """
     keys = list(keys or [])
     dense, k = keyed(dense_daily(tx, keys), keys)
-    first = dense.groupBy(*k).agg(F.min("Date").alias("FirstDate"), F.max("Date").alias("LastDate"))
-    rows = dense.join(first, k).withColumn("x", F.array(*_design(F.col("Date"), F.col("FirstDate")))) \
-        .withColumn("y", F.col("ActualRevenue").cast("double"))
-    sums = rows.groupBy(*k, "FirstDate", "LastDate").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.array(*[F.sum(F.col("x")[i]) for i in range(N_FEATURES)]).alias("sx"),
-        F.sum("y").alias("sy"),
-        F.array(*[F.sum(F.col("x")[i] * F.col("x")[j]) for i in range(N_FEATURES)
-                  for j in range(N_FEATURES)]).alias("sxx"),
-        F.array(*[F.sum(F.col("x")[i] * F.col("y")) for i in range(N_FEATURES)]).alias("sxy"))
-    schema = T.StructType([f for f in sums.schema.fields if f.name not in ("n", "sx", "sy", "sxx", "sxy")]
+    arrays = series_arrays(dense, k).withColumn("FirstWeekday", F.weekday("FirstDate"))
+    schema = T.StructType([f for f in arrays.schema.fields if f.name not in ("ys", "FirstWeekday")]
                           + [T.StructField("Coef", T.ArrayType(T.DoubleType())),
-                             T.StructField("Intercept", T.DoubleType())])
-    model = sums.mapInPandas(_solve_ridge, schema)
-
-    def predict(x):
-        terms = F.col("Intercept")
-        for i in range(N_FEATURES):
-            terms = terms + F.col("Coef")[i] * x[i]
-        return terms
-
-    resid = (rows.join(model.select(*k, "Coef", "Intercept"), k)
-                 .withColumn("r", F.col("y") - predict(F.col("x")))
-                 .groupBy(*k).agg(F.count("r").alias("m"), F.sum("r").alias("sr"),
-                                  F.sum(F.col("r") * F.col("r")).alias("srr")))
-    sigma = F.sqrt(F.greatest(F.col("srr") / F.col("m") - (F.col("sr") / F.col("m")) ** 2, F.lit(0.0)))
-    fut = (model.join(resid.select(*k, sigma.alias("Sigma")), k)
-                .select(*k, "FirstDate", "Coef", "Intercept", "Sigma",
-                        F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("h"),
-                        F.col("LastDate"))
+                             T.StructField("Intercept", T.DoubleType()), T.StructField("Sigma", T.DoubleType())])
+    model = arrays.mapInPandas(_solve_ridge, schema)
+    fut = (model.select("*", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("h"))
                 .withColumn("Date", F.date_add("LastDate", F.col("h"))))
-    pred = predict(F.array(*_design(F.col("Date"), F.col("FirstDate"))))
+    pred = F.col("Intercept")
+    for i, x in enumerate(_design(F.col("Date"), F.col("FirstDate"))):
+        pred = pred + F.col("Coef")[i] * x
     band = F.lit(Z95) * F.col("Sigma")
     out = fut.select(*k, "Date", "h", np_round(pred, 2).alias("PredictedRevenue"),
                      np_round(F.greatest(pred - band, F.lit(0.0)), 2).alias("LowerBound"),

@@ -50,7 +50,7 @@ def exact_quantiles(long_df: DataFrame, group: str = "column", value: str = "v",
     wanted rank are kept.  Every group is handled in the same pass.
     """
     v = long_df.select(group, F.col(value).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    counts = v.groupBy(group, "v").agg(F.count(F.lit(1)).alias("n"))
+    counts = materialize(v.groupBy(group, "v").agg(F.count(F.lit(1)).alias("n")))  # read three times below
     per_group = counts.groupBy(group).agg(F.sum("n").alias("_ng"))
     start = per_group.withColumn(
         "_start", F.coalesce(F.sum("_ng").over(Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)),

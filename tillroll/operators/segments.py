@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.money import cents_to_double, div_round, to_cents
-from tillroll.session import partitions_for
 
 RFM = ["Recency", "Frequency", "Monetary"]
 Z = ["zRecency", "zFrequency", "zMonetary"]
@@ -43,13 +42,13 @@ def standardise(features: DataFrame) -> DataFrame:
         *[(F.sum(F.col(c)).cast("double") / F.count(c)).alias(f"m{i}") for i, c in enumerate(RFM)],
         *[F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(RFM)],
     )).scalar()
-    out = features
+    out = features.withColumn("_stats", stats)  # one subquery, whatever reads it
+    scores = {}
     for i, (c, z) in enumerate(zip(RFM, Z)):
-        mean, sd = stats[f"m{i}"], stats[f"s{i}"]
+        mean, sd = F.col(f"_stats.m{i}"), F.col(f"_stats.s{i}")
         x = F.col(c).cast("double")
-        out = out.withColumn(z, F.round(F.when(sd > 0, (x - mean) / sd).otherwise(F.lit(0.0)),
-                                        Z_DIGITS))
-    return out
+        scores[z] = F.round(F.when(sd > 0, (x - mean) / sd).otherwise(F.lit(0.0)), Z_DIGITS)
+    return out.withColumns(scores).drop("_stats")
 
 
 def assign(scaled: DataFrame, centroids) -> DataFrame:
@@ -150,42 +149,72 @@ def segment_matrix(segments: DataFrame) -> DataFrame:
         (F.sum("Monetary").cast("double") / F.count("Monetary")).alias("AvgMonetarySpend"))
 
 
-def segment_share(segments: DataFrame) -> DataFrame:
-    """Customers per segment and percent of all customers (2 dp)."""
-    agg = segments.groupBy("CustomerSegment").agg(F.count(F.lit(1)).alias("CustomerCount"))
-    total = agg.select(F.sum("CustomerCount")).scalar()
+def share_of(rows: DataFrame, column: str) -> DataFrame:
+    """Customers per value of ``column`` and percent of all customers (2 dp);
+    the window runs over one row per value."""
+    agg = rows.groupBy(column).agg(F.count(F.lit(1)).alias("CustomerCount"))
+    total = F.sum("CustomerCount").over(Window.partitionBy(F.lit(0)))
     return agg.withColumn("SharePct", div_round(F.col("CustomerCount") * 10000, total)
                           .cast("double") / 100.0)
 
 
+def segment_share(segments: DataFrame) -> DataFrame:
+    """Customers per segment and percent of all customers (2 dp)."""
+    return share_of(segments, "CustomerSegment")
+
+
 # ---------------------------------------------------------------- MLlib fit
+#: Partitions of the training vectors.  A setting of the model, not of the
+#: data: initialisation draws per partition, so a count that followed the rows
+#: would change the model with the input's size.
+FIT_PARTITIONS = 8
+#: Lloyd steps after which a fit that still moves is an error, never a result.
+STEP_LIMIT = 10_000
+TOLERANCE = 1e-4
+
+
 def _vectors(scaled: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=Z, outputCol="features").transform(scaled)
 
 
+def _training_data(scaled: DataFrame, partitions: int) -> DataFrame:
+    """Feature vectors in an order and partitioning that depend on the customers alone."""
+    return (_vectors(scaled).repartition(partitions, "CustomerID").sortWithinPartitions("CustomerID")
+            .select("features").persist())
+
+
+def _fit_restarts(data: DataFrame, ks: list[int], seed: int, restarts: int) -> dict:
+    """For each k the model of ``restarts`` seeds with the lowest training
+    cost, ties to the earliest seed.  Every fit runs until its centroids move
+    less than TOLERANCE; fits of all k and seeds are submitted concurrently."""
+    def fit(task):
+        k, s = task
+        model = KMeans(k=k, seed=s, maxIter=STEP_LIMIT, tol=TOLERANCE, featuresCol="features",
+                       predictionCol="Cluster").fit(data)
+        if model.summary.numIter >= STEP_LIMIT:
+            raise RuntimeError(f"k-means with k={k}, seed={s} did not converge")
+        return k, model.summary.trainingCost, s, model
+
+    tasks = [(k, seed + i) for k in ks for i in range(restarts)]
+    with ThreadPoolExecutor(max_workers=min(len(tasks), 8)) as pool:
+        fitted = list(pool.map(fit, tasks))
+    return {k: min((f for f in fitted if f[0] == k), key=lambda f: (f[1], f[2]))[3] for k in ks}
+
+
 def fit_kmeans(scaled: DataFrame, k: int = 4, seed: int = 42, restarts: int = 10,
-               max_iter: int = 50):
+               partitions: int = FIT_PARTITIONS):
     """M2: k-means with ``restarts`` seeds; keep the lowest training cost.
 
     Each fit is a distributed MLlib job over the cached feature vectors; the
     restarts are submitted concurrently (Spark schedules jobs from several
     driver threads) and only the k centroids and the cost reach the driver.
-    Ties in cost keep the earliest seed.
+    ``model.summary.numIter`` tells how many steps the kept fit took.
     """
-    vectors = _vectors(scaled).select("features")
-    data = vectors.repartition(partitions_for(vectors)).persist()
-
-    def fit(s):
-        model = KMeans(k=k, seed=s, maxIter=max_iter, featuresCol="features",
-                       predictionCol="Cluster").fit(data)
-        return model.summary.trainingCost, s, model
-
+    data = _training_data(scaled, partitions)
     try:
-        with ThreadPoolExecutor(max_workers=min(restarts, 8)) as pool:
-            fitted = list(pool.map(fit, [seed + i for i in range(restarts)]))
+        return _fit_restarts(data, [k], seed, restarts)[k]
     finally:
         data.unpersist()
-    return min(fitted, key=lambda t: (t[0], t[1]))[2]
 
 
 def kmeans_segments(features: DataFrame, k: int = 4, seed: int = 42, restarts: int = 10,
@@ -199,19 +228,16 @@ def kmeans_segments(features: DataFrame, k: int = 4, seed: int = 42, restarts: i
     return attach_labels(assign(scaled, centroids))
 
 
-def kmeans_sweep(spark: SparkSession, features: DataFrame, ks=range(2, 9), seed: int = 42) -> DataFrame:
-    """M7: elbow (training cost) and silhouette for each k (fits run concurrently)."""
-    vectors = _vectors(standardise(features)).select("features")
-    data = vectors.repartition(partitions_for(vectors)).persist()
+def kmeans_sweep(spark: SparkSession, features: DataFrame, ks=range(2, 9), seed: int = 42,
+                 restarts: int = 10, partitions: int = FIT_PARTITIONS) -> DataFrame:
+    """M7: elbow (training cost) and silhouette for each k, with the restarts
+    and settings of ``fit_kmeans``: at the same k it is the same model."""
+    data = _training_data(standardise(features), partitions)
     evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="Cluster")
-
-    def fit(k):
-        model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="Cluster").fit(data)
-        return int(k), float(model.summary.trainingCost), float(evaluator.evaluate(model.transform(data)))
-
     try:
-        with ThreadPoolExecutor(max_workers=8) as pool:
-            rows = list(pool.map(fit, list(ks)))
+        models = _fit_restarts(data, list(ks), seed, restarts)
+        rows = [(int(k), float(model.summary.trainingCost), float(evaluator.evaluate(model.transform(data))))
+                for k, model in models.items()]
     finally:
         data.unpersist()
     return spark.createDataFrame(rows, "k long, TrainingCost double, Silhouette double")

@@ -47,7 +47,7 @@ def run(spark: SparkSession, sf_dir: str, out: str) -> dict[str, str]:
     rf.write().overwrite().save(paths["models/forest"])
     sinks.write_table(churn.predictions_table(churn.forest_scores(split, rf)), paths["churn_predictions"])
     preds = spark.read.parquet(paths["churn_predictions"])
-    write_csv(churn.high_risk_list(preds).coalesce(1), paths["churn_action_list"])
+    write_csv(churn.high_risk_list(preds), paths["churn_action_list"])
 
     fc = forecast.holt_winters_forecast(tx)
     sinks.write_table(fc["table"], paths["forecasts"])
@@ -55,7 +55,7 @@ def run(spark: SparkSession, sf_dir: str, out: str) -> dict[str, str]:
     summary = forecast.forecast_summary(table.withColumn("_series", F.lit(0)), ["_series"]).drop("_series")
 
     payload = kpi.payload(tx, segments, preds, summary)
-    sinks.write_json_document(payload, paths["executive_summary_json"])
+    sinks.write_json_lines(kpi.payload_json(payload), paths["executive_summary_json"])
     kpi.report(payload).coalesce(1).write.mode("overwrite").text(paths["executive_summary_md"])
 
     copy = campaigns.copy(campaigns.inputs(segments, preds))

@@ -16,7 +16,7 @@ from tillroll.plans import sqlfrag as S
 from tillroll.plans.q_segments import LABEL_CTES, SCALED_CTES, ASSIGN_CTE
 from tillroll.plans.registry import present, register
 from tillroll.sources.stages import source_inputs, stage_model
-from tillroll.sources.tables import customer_table, transactions
+from tillroll.sources.tables import churn_split, customer_table, segment_table, transactions
 
 
 def _features(spark, sf_dir):
@@ -26,7 +26,12 @@ def _features(spark, sf_dir):
 
 def _scored(spark, sf_dir, features=None):
     f = features if features is not None else _features(spark, sf_dir)
-    return churn.with_split(churn.gap_score(churn.label(f)))
+    return churn.gap_score(churn.label(f))
+
+
+def _split(spark, sf_dir):
+    """Scored customers with their test flag, from the split's stage table."""
+    return churn.gap_score(churn_split(spark, sf_dir))
 
 
 G10 = (f"CASE WHEN Frequency > 1 THEN {S.div_half_even('(CustomerTenureDays - Recency) * 10', 'Frequency - 1')} "
@@ -37,7 +42,8 @@ SCORED_CTES = S.features_ctes() + [
   SELECT *, CAST(g10 AS DOUBLE) / CAST(g10 + 1800 AS DOUBLE) AS ProbRaw,
          CAST({S.div_half_even('g10 * 10000', 'g10 + 1800')} AS DECIMAL(18,0)) * CAST(0.0001 AS DECIMAL(5,4))
            AS ChurnProbability,
-         (('0x' || substr(md5(CustomerID), 1, 8))::BIGINT % 100) < 20 AS IsTest
+         row_number() OVER (PARTITION BY Churn ORDER BY ('0x' || substr(md5(CustomerID), 1, 8))::BIGINT, CustomerID)
+           <= (2 * count(*) OVER (PARTITION BY Churn) * 20 + 100) // 200 AS IsTest
   FROM g)""",
     """banded AS (SELECT *, CASE WHEN ChurnProbability >= 0.70 THEN 'High Risk'
                                   WHEN ChurnProbability >= 0.40 THEN 'Medium Risk' ELSE 'Low Risk' END AS RiskCategory
@@ -66,8 +72,8 @@ def q_churn_base_rate(spark, sf_dir):
 
 @register("stratified_split", SCORED + "SELECT CustomerID, CAST(Churn AS BIGINT) AS Churn, IsTest FROM scored")
 def q_stratified_split(spark, sf_dir):
-    """Hash-based 80/20 split."""
-    return present(_scored(spark, sf_dir).select("CustomerID", "Churn", "IsTest"))
+    """Stratified 80/20 split: a fifth of each class in hash order."""
+    return present(_split(spark, sf_dir).select("CustomerID", "Churn", "IsTest"))
 
 
 @register("class_weights", SCORED + """
@@ -77,7 +83,7 @@ SELECT CAST(Churn AS BIGINT) AS Churn, count(*) AS Count,
 FROM tr GROUP BY Churn""")
 def q_class_weights(spark, sf_dir):
     """Balanced class weights from the training split."""
-    return present(churn.class_weights(_scored(spark, sf_dir)))
+    return present(churn.class_weights(_split(spark, sf_dir)))
 
 
 @register("risk_bands", SCORED + f"SELECT {PRED_SELECT} FROM banded")
@@ -94,6 +100,16 @@ def q_risk_breakdown(spark, sf_dir):
     return present(churn.risk_breakdown(_scored(spark, sf_dir)))
 
 
+@register("risk_share", SCORED + f"""
+, c AS (SELECT RiskCategory, count(*) AS CustomerCount FROM banded GROUP BY 1)
+SELECT RiskCategory, CustomerCount,
+       CAST({S.div_half_up('CustomerCount * 10000', '(SELECT sum(CustomerCount) FROM c)')} AS DOUBLE) / 100.0 AS SharePct
+FROM c""")
+def q_risk_share(spark, sf_dir):
+    """Customers per risk band and percent of all customers."""
+    return present(seg.share_of(_scored(spark, sf_dir), "RiskCategory"))
+
+
 @register("high_risk_rollup", SCORED + """
 SELECT count(*) FILTER (WHERE RiskCategory = 'High Risk') AS HighRiskCustomers,
        CAST(coalesce(sum(Monetary) FILTER (WHERE RiskCategory = 'High Risk'), 0) AS DOUBLE) AS HighRiskRevenue
@@ -126,7 +142,7 @@ SELECT CAST(Churn AS BIGINT) AS Actual, CAST(ProbRaw > 0.5 AS BIGINT) AS Predict
 FROM scored WHERE IsTest GROUP BY ALL""")
 def q_confusion_matrix(spark, sf_dir):
     """Confusion matrix on the test split."""
-    return present(churn.confusion(_scored(spark, sf_dir)))
+    return present(churn.confusion(_split(spark, sf_dir)))
 
 
 @register("classification_metrics", SCORED + """
@@ -143,7 +159,7 @@ SELECT CASE WHEN dtp + dfp + dfn + dtn > 0 THEN (dtp + dtn) / (dtp + dfp + dfn +
        tp, fp, fn, tn FROM d""")
 def q_classification_metrics(spark, sf_dir):
     """Accuracy, precision, recall, F1."""
-    return churn.classification_metrics(_scored(spark, sf_dir))
+    return churn.classification_metrics(_split(spark, sf_dir))
 
 
 ROC_CTES = """
@@ -163,7 +179,7 @@ SELECT Score AS Threshold,
 FROM run""")
 def q_roc_curve(spark, sf_dir):
     """ROC curve points."""
-    return churn.roc_curve(_scored(spark, sf_dir))
+    return churn.roc_curve(_split(spark, sf_dir))
 
 
 @register("roc_auc", SCORED + ROC_CTES + """
@@ -175,7 +191,7 @@ SELECT CASE WHEN (SELECT p * n FROM tot) > 0
 FROM run""")
 def q_roc_auc(spark, sf_dir):
     """ROC-AUC with half credit for ties."""
-    return present(churn.roc_auc(_scored(spark, sf_dir)))
+    return present(churn.roc_auc(_split(spark, sf_dir)))
 
 
 @register("high_risk_list", SCORED + f"SELECT {PRED_SELECT} FROM banded WHERE RiskCategory = 'High Risk'")
@@ -195,7 +211,7 @@ def q_action_list(spark, sf_dir):
     """Top-20 high-risk customers with their segment."""
     f = _features(spark, sf_dir)
     cp = _scored(spark, sf_dir, f)
-    cs = seg.fixed_segments(f).select("CustomerID", "CustomerSegment")
+    cs = segment_table(spark, sf_dir).select("CustomerID", "CustomerSegment")
     out = (cp.filter(F.col("RiskCategory") == "High Risk").join(cs, "CustomerID")
              .orderBy(F.col("Monetary").desc(), F.col("CustomerID")).limit(20)
              .select("CustomerID", "CustomerSegment", "RiskCategory", "ChurnProbability",
@@ -217,13 +233,13 @@ def forest_model(spark, sf_dir, split=None):
     """The fitted forest, trained once per input version."""
     from pyspark.ml.classification import RandomForestClassificationModel
     if split is None:
-        split = churn.with_split(churn.label(_features(spark, sf_dir)))
+        split = churn_split(spark, sf_dir)
     return stage_model(spark, "forest-t100-d6-s42", source_inputs(sf_dir),
                        lambda: churn.fit_forest(split), RandomForestClassificationModel)
 
 
 def _forest(spark, sf_dir):
-    split = churn.with_split(churn.label(_features(spark, sf_dir)))
+    split = churn_split(spark, sf_dir)
     return split, forest_model(spark, sf_dir, split)
 
 
@@ -236,9 +252,9 @@ def q_forest_scores(spark, sf_dir):
 
 @register("forest_importances")
 def q_forest_importances(spark, sf_dir):
-    """P10: forest feature importances."""
-    _, model = _forest(spark, sf_dir)
-    return churn.forest_importances(spark, model)
+    """P10: forest feature importances, beside each feature's mean over the training rows."""
+    split, model = _forest(spark, sf_dir)
+    return churn.forest_importances(split, model)
 
 
 @register("forest_metrics")

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from tillroll.operators import cleaning
 from tillroll.plans import sqlfrag as S
 from tillroll.plans.registry import present, register
-from tillroll.sources.tables import dirty_transactions, transactions
+from tillroll.session import temporary_path
+from tillroll.sources import csv_io, sinks
+from tillroll.sources.tables import dirty_text, dirty_transactions, transactions
 
 DIRTY = S.with_ctes(S.TX_CTE, S.DIRTY_CTE)
 
@@ -96,3 +98,92 @@ FROM cleaned""")
 def q_reconciliation(spark, sf_dir):
     """Totals after cleaning, recomputed vs stored revenue."""
     return present(cleaning.reconciliation(cleaning.clean(dirty_transactions(spark, sf_dir))))
+
+
+# ------------------------------------------------------------- raw text ingest
+FAULTS = ("CASE WHEN CAST(ProductID AS BIGINT) % 89 = 7 THEN 'Quantity is not a int' "
+          "WHEN CAST(ProductID AS BIGINT) % 101 = 3 THEN 'UnitPrice is not a double' "
+          "WHEN CAST(TransactionID AS BIGINT) % 97 = 5 THEN 'TransactionDate is not a timestamp_ntz' END")
+INGEST = DIRTY.rstrip() + f""",
+arrived AS (SELECT *, {FAULTS} AS RejectReason FROM dirty),
+accepted AS (SELECT * EXCLUDE (RejectReason) FROM arrived WHERE RejectReason IS NULL)"""
+
+
+def _raw_csv(spark, sf_dir):
+    """The text fixture after a trip through a CSV file."""
+    path = temporary_path(spark)
+    csv_io.write_csv(dirty_text(spark, sf_dir), path)
+    return csv_io.read_raw_text(spark, path)
+
+
+@register("csv_round_trip", INGEST + ",\n" + CLEAN_CTE.replace("FROM dirty)", "FROM accepted)") + f"""
+SELECT TransactionID, CustomerID, ProductID, ProductCategory, CAST(Quantity AS BIGINT) AS Quantity,
+       CAST(UnitPrice AS DOUBLE) AS UnitPrice, CAST(Revenue AS DOUBLE) AS Revenue,
+       {S.ts_text('TransactionDate')} AS TransactionDate, Country, PaymentMethod
+FROM cleaned""")
+def q_csv_round_trip(spark, sf_dir):
+    """Raw text written as CSV, read, typed and cleaned."""
+    return present(cleaning.clean(csv_io.accepted(_raw_csv(spark, sf_dir))))
+
+
+@register("rejected_rows", INGEST + f"""
+SELECT TransactionID, CustomerID, ProductID, ProductCategory, Country, PaymentMethod, RejectReason,
+       CASE WHEN CAST(ProductID AS BIGINT) % 89 = 7 THEN 'ten' ELSE CAST(Quantity AS VARCHAR) END AS Quantity,
+       CASE WHEN CAST(TransactionID AS BIGINT) % 97 = 5 THEN 'soon' ELSE {S.ts_text('TransactionDate')} END AS TransactionDate
+FROM arrived WHERE RejectReason IS NOT NULL""")
+def q_rejected_rows(spark, sf_dir):
+    """C4: rows that can't be read, as they arrived, with the reason."""
+    return csv_io.rejected(_raw_csv(spark, sf_dir)).drop("UnitPrice")
+
+
+@register("ingest_audit", INGEST + """
+, grouped AS (SELECT *, count(*) AS n FROM accepted GROUP BY ALL)
+SELECT (SELECT count(*) FROM arrived) AS RawRows,
+       (SELECT count(*) FROM arrived WHERE RejectReason IS NOT NULL) AS RejectedRows,
+       CAST(sum(n - 1) AS BIGINT) AS DuplicatesRemoved,
+       count(*) FILTER (WHERE CustomerID IS NULL OR TransactionID IS NULL) AS MissingKeyRemoved,
+       count(*) FILTER (WHERE CustomerID IS NOT NULL AND TransactionID IS NOT NULL
+                        AND NOT coalesce(Quantity > 0 AND UnitPrice > 0, false)) AS InvalidRemoved,
+       count(*) FILTER (WHERE CustomerID IS NOT NULL AND TransactionID IS NOT NULL
+                        AND coalesce(Quantity > 0 AND UnitPrice > 0, false)) AS FinalRows
+FROM grouped""")
+def q_ingest_audit(spark, sf_dir):
+    """C8 from the raw text on: rejected rows, then the rows each step removes."""
+    raw = _raw_csv(spark, sf_dir)
+    steps = cleaning.audit(csv_io.accepted(raw))
+    rejects = csv_io.rejected(raw).agg(F.count(F.lit(1))).scalar()
+    return steps.select((F.col("InitialRows") + rejects).alias("RawRows"), rejects.alias("RejectedRows"),
+                        "DuplicatesRemoved", "MissingKeyRemoved", "InvalidRemoved", "FinalRows")
+
+
+@register("adapter_audit", """
+SELECT count(*) AS LineRows, count(*) FILTER (WHERE o.o_orderkey IS NULL) AS WithoutOrder,
+       count(*) FILTER (WHERE o.o_orderkey IS NOT NULL AND (c.c_custkey IS NULL OR n.n_nationkey IS NULL)) AS WithoutCustomer,
+       count(*) FILTER (WHERE p.p_partkey IS NULL) AS WithoutPart
+FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey LEFT JOIN part p ON l.l_partkey = p.p_partkey""")
+def q_adapter_audit(spark, sf_dir):
+    """Order lines that the adapter's joins can't complete, by what is missing."""
+    from tillroll.sources.tables import adapter_audit
+    return adapter_audit(spark, sf_dir)
+
+
+@register("table_round_trip", S.with_ctes(S.TX_CTE) + """
+SELECT strftime(TransactionDate, '%Y-%m') AS TxMonth, count(*) AS Rows, CAST(sum(Revenue) AS DOUBLE) AS Revenue,
+       CAST(0 AS BIGINT) AS OutOfOrder
+FROM transactions GROUP BY 1""")
+def q_table_round_trip(spark, sf_dir):
+    """The month-partitioned fact table read back, with the rows that break a file's order."""
+    path = temporary_path(spark)
+    sinks.write_transactions(transactions(spark, sf_dir), path)
+    return present(sinks.order_check(spark.read.parquet(path)))
+
+
+@register("mart_round_trip", S.with_ctes(S.TX_CTE) + """
+SELECT Country, count(*) AS Rows, CAST(sum(Revenue) AS DOUBLE) AS Revenue FROM transactions GROUP BY 1""")
+def q_mart_round_trip(spark, sf_dir):
+    """A mart exported for BI and read back from its CSV."""
+    mart = transactions(spark, sf_dir).groupBy("Country").agg(F.count(F.lit(1)).alias("Rows"), F.sum("Revenue").alias("Revenue"))
+    paths = sinks.export_marts({"by_country": mart}, temporary_path(spark))
+    back = spark.read.schema("Country string, Rows bigint, Revenue decimal(22,2)").option("header", True).csv(paths["by_country"])
+    return present(back)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tillroll.operators import features
 from tillroll.plans import sqlfrag as S
 from tillroll.plans.registry import present, register
@@ -42,7 +44,7 @@ GROUP BY t.CustomerID
 
 @register("rfm_sql", _rfm_sql_text(S.TX_CTE, "transactions"))
 def q_rfm_sql(spark, sf_dir):
-    return present(features.rfm_sql(transactions(spark, sf_dir)))
+    return present(features.rfm_sql(transactions(spark, sf_dir)).orderBy(F.col("MonetarySpend").desc(), "CustomerID"))
 
 
 @register("rfm_events", _rfm_sql_text(S.PURCHASES_CTE, "purchases"))

@@ -3,6 +3,7 @@ Holt-Winters recursion as a recursive CTE with identical operand order."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tillroll.operators import forecast as fc
@@ -197,10 +198,79 @@ def q_decomposition(spark, sf_dir):
     return present(fc.decomposition(transactions(spark, sf_dir)))
 
 
-@register("ridge_forecast")
+# The weekday block of the ridge system is diagonal: eliminating it (its Schur
+# complement) leaves two equations in the intercept and the slope.
+RIDGE_CTES = [
+    "obs AS (SELECT date_diff('day', min(Date) OVER (), Date) AS x, isodow(Date) - 1 AS wd, "
+    "CAST(ActualRevenue AS DOUBLE) AS y FROM dense)",
+    "grp AS (SELECT wd, CAST(count(*) AS DOUBLE) AS n, CAST(sum(x) AS DOUBLE) AS sx, sum(y) AS sy, "
+    "CASE WHEN wd = 0 THEN 1.0::DOUBLE ELSE 1.0::DOUBLE / (count(*) + 1) END AS f, "
+    "CASE WHEN wd = 0 THEN 0.0::DOUBLE ELSE 1.0::DOUBLE / (count(*) + 1) END AS g FROM obs GROUP BY wd)",
+    "tot AS (SELECT CAST(sum(x) AS DOUBLE) AS sx, CAST(sum(x * x) AS DOUBLE) AS sxx, sum(x * y) AS sxy FROM obs)",
+    """eqn AS (SELECT sum(f * n) AS a11, sum(f * sx) AS a12, sum(f * sy) AS c1,
+              (SELECT sx FROM tot) - sum(g * sx * n) AS a21, (SELECT sxx FROM tot) + 1 - sum(g * sx * sx) AS a22,
+              (SELECT sxy FROM tot) - sum(g * sx * sy) AS c2 FROM grp)""",
+    """sol AS (SELECT (c1 * a22 - a12 * c2) / (a11 * a22 - a12 * a21) AS b0,
+                   (a11 * c2 - a21 * c1) / (a11 * a22 - a12 * a21) AS slope FROM eqn)""",
+    """eff AS (SELECT wd, CASE WHEN wd = 0 THEN 0.0::DOUBLE ELSE
+                   (sy - (SELECT slope FROM sol) * sx - n * (SELECT b0 FROM sol)) / (n + 1) END AS d FROM grp)""",
+    """res AS (SELECT stddev_pop(o.y - (SELECT b0 FROM sol) - (SELECT slope FROM sol) * o.x - e.d) AS sigma
+              FROM obs o JOIN eff e ON e.wd = o.wd)""",
+    """days AS (SELECT CAST(hi + INTERVAL (h) DAY AS DATE) AS Date, h, date_diff('day', lo, hi) + h AS x
+               FROM (SELECT lo, hi, unnest(generate_series(1, 30)) AS h FROM span))""",
+    """fut AS (SELECT t.Date, t.h, (SELECT b0 FROM sol) + (SELECT slope FROM sol) * t.x + coalesce(e.d, 0.0) AS p,
+                   (SELECT sigma FROM res) AS sigma
+              FROM days t LEFT JOIN eff e ON e.wd = isodow(t.Date) - 1)""",
+]
+
+
+@register("ridge_forecast", "WITH " + ",\n".join(_series_ctes(_GLOBAL)[:5] + RIDGE_CTES) + """
+SELECT strftime(Date, '%Y-%m-%d') AS Date, CAST(h AS BIGINT) AS h, round_even(p, 2) AS PredictedRevenue,
+       round_even(greatest(p - 1.96 * sigma, 0.0), 2) AS LowerBound, round_even(p + 1.96 * sigma, 2) AS UpperBound,
+       round((SELECT b0 FROM sol), 2) AS Intercept, round(sigma, 2) AS Sigma
+FROM fut""")
 def q_ridge_forecast(spark, sf_dir):
     """FC5: trend + weekday ridge forecast of total daily revenue."""
-    return present(fc.ridge_forecast(transactions(spark, sf_dir)).drop("Coef"))
+    out = fc.ridge_forecast(transactions(spark, sf_dir)).drop("Coef")
+    return present(out.withColumns({c: F.round(c, 2) for c in ("Intercept", "Sigma")}))
+
+
+SHORT_DAYS = (1, 6, 7, 8)
+_SHORT_INIT = "[" + ", ".join(f"coalesce(y{i} - l0, 0.0)" for i in range(1, 8)) + "]"
+SHORT_SQL = "WITH RECURSIVE " + ",\n".join(_series_ctes("ProductCategory")[:5] + [
+    f"cut AS (SELECT d.k || '/' || u.n AS k, d.Date, d.ActualRevenue FROM dense d JOIN span s ON s.k = d.k "
+    f"JOIN (SELECT unnest([{', '.join(map(str, SHORT_DAYS))}]) AS n) u ON d.Date < s.lo + INTERVAL (u.n) DAY)",
+    "ser AS (SELECT k, Date, CAST(ActualRevenue AS DOUBLE) AS y, row_number() OVER (PARTITION BY k ORDER BY Date) AS t FROM cut)",
+    "head AS (SELECT k, " + ", ".join(f"max(y) FILTER (WHERE t = {i}) AS y{i}" for i in range(1, 8))
+    + ", count(*) AS n, max(Date) AS LastDate FROM ser GROUP BY k)",
+    "init AS (SELECT *, (" + " + ".join(f"coalesce(y{i}, 0.0)" for i in range(1, 8)) + ") / CAST(least(n, 7) AS DOUBLE) AS l0, "
+    "0.3::DOUBLE AS alpha, 0.1::DOUBLE AS beta, 0.2::DOUBLE AS gamma FROM head)",
+    f"""rec AS (SELECT k, alpha, beta, gamma, least(n, 7) AS t, l0 AS l, CAST(0.0 AS DOUBLE) AS b, {_SHORT_INIT} AS s,
+         CAST(0.0 AS DOUBLE) AS sse, CAST(0.0 AS DOUBLE) AS sr FROM init
+  UNION ALL
+  SELECT r.k, r.alpha, r.beta, r.gamma, r.t + 1, {_LVL}, r.beta * ({_LVL} - r.l) + (1.0 - r.beta) * r.b,
+         list_concat(r.s[2:7], [r.gamma * (d.y - {_LB}) + (1.0 - r.gamma) * r.s[1]]),
+         r.sse + (d.y - {_F}) * (d.y - {_F}), r.sr + (d.y - {_F})
+  FROM rec r JOIN ser d ON d.k = r.k AND d.t = r.t + 1)""",
+    """best AS (SELECT r.*, h.n, h.LastDate, CASE WHEN h.n > 7 THEN sqrt(greatest(r.sse / (h.n - 7) - (r.sr / (h.n - 7)) * (r.sr / (h.n - 7)), 0.0)) END
+              AS sigma FROM rec r JOIN head h ON h.k = r.k AND r.t = h.n)""", FUTURE_CTE])
+
+
+@register("short_series_forecast", SHORT_SQL + """
+SELECT f.k AS Series, strftime(f.Date, '%Y-%m-%d') AS Date, CAST(f.h AS BIGINT) AS h, f.PredictedRevenue,
+       CASE WHEN b.sigma IS NOT NULL THEN f.LowerBound END AS LowerBound, f.UpperBound,
+       CASE WHEN b.sigma IS NULL THEN 'short history' ELSE 'fitted' END AS Status
+FROM future f JOIN best b ON b.k = f.k""")
+def q_short_series_forecast(spark, sf_dir):
+    """FC2-FC4 on the first 1, 6, 7 and 8 days of every category: what a series too short to fit gives."""
+    dense = dense_daily(transactions(spark, sf_dir), ["ProductCategory"])
+    first = F.min("Date").over(Window.partitionBy("ProductCategory"))
+    cut = (dense.withColumn("_first", first).select("*", F.explode(F.array(*map(F.lit, SHORT_DAYS))).alias("_n"))
+           .where(F.col("Date") < F.date_add("_first", F.col("_n")))
+           .withColumn("Series", F.concat_ws("/", "ProductCategory", F.col("_n").cast("string"))))
+    states = fc.holt_winters(fc.series_arrays(cut, ["Series"]))
+    return present(fc.project(states.withColumn("_key", F.struct("Series", "Status")), ["_key"]).select("_key.*", "Date", "h",
+                   "PredictedRevenue", "LowerBound", "UpperBound"))
 
 
 @register("series_span", "WITH " + ",\n".join(_series_ctes("ProductCategory")[:5]) + """

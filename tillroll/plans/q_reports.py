@@ -17,7 +17,9 @@ from tillroll.plans.q_churn import SCORED_CTES
 from tillroll.plans.q_forecast import global_forecast_ctes
 from tillroll.plans.q_segments import ASSIGN_CTE, LABEL_CTES, SCALED_CTES
 from tillroll.plans.registry import present, register
-from tillroll.sources.tables import customer_table, forecast_table_stage, transactions
+from tillroll.session import temporary_path
+from tillroll.sources import sinks
+from tillroll.sources.tables import churn_split, customer_table, forecast_table_stage, segment_table, transactions
 
 ALL_CTES = (SCORED_CTES + SCALED_CTES[len(S.features_ctes()):] + [ASSIGN_CTE] + LABEL_CTES
             + global_forecast_ctes())
@@ -33,11 +35,11 @@ def _inputs(spark, sf_dir, fitted: bool = False):
         from tillroll.plans.q_churn import forest_model
         from tillroll.plans.q_segments import kmeans_model
         segments = seg.kmeans_segments(f, model=kmeans_model(spark, sf_dir))
-        split = churn.with_split(churn.label(f))
+        split = churn_split(spark, sf_dir)
         scored = churn.forest_scores(split, forest_model(spark, sf_dir, split))
     else:
-        segments = seg.fixed_segments(f)
-        scored = churn.with_split(churn.gap_score(churn.label(f)))
+        segments = segment_table(spark, sf_dir)
+        scored = churn.gap_score(churn.label(f))
     table, keys = fc.keyed(forecast_table_stage(spark, sf_dir), [])
     summary = fc.forecast_summary(table, keys).drop(fc.GLOBAL_KEY)
     return tx, segments, scored, summary
@@ -163,7 +165,7 @@ CAMPAIGN_INPUTS_SQL = "WITH " + ",\n".join(
 
 def _campaign_inputs(spark, sf_dir):
     f = customer_table(spark, sf_dir)
-    return campaigns.inputs(seg.fixed_segments(f), churn.gap_score(churn.label(f)))
+    return campaigns.inputs(segment_table(spark, sf_dir), churn.gap_score(churn.label(f)))
 
 
 @register("campaign_inputs", CAMPAIGN_INPUTS_SQL + "SELECT * FROM ci")
@@ -230,7 +232,7 @@ def q_fact_enriched(spark, sf_dir):
     tx = transactions(spark, sf_dir)
     f = customer_table(spark, sf_dir)
     scored = churn.gap_score(churn.label(f))
-    return present(marts.fact_enriched(tx, seg.fixed_segments(f), scored))
+    return present(marts.fact_enriched(tx, segment_table(spark, sf_dir), scored))
 
 
 def _d(expr: str, scale: int = 2) -> str:
@@ -260,3 +262,11 @@ SELECT to_json(struct_pack(
 def q_kpi_document(spark, sf_dir):
     """The KPI JSON document from the checkable inputs."""
     return kpi.payload_json(_payload(spark, sf_dir))
+
+
+@register("json_round_trip", KPI_DOC_SQL)
+def q_json_round_trip(spark, sf_dir):
+    """The KPI document as the file on disk holds it."""
+    path = temporary_path(spark)
+    sinks.write_json_lines(kpi.payload_json(_payload(spark, sf_dir)), path)
+    return spark.read.text(path).withColumnRenamed("value", "json")

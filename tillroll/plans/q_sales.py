@@ -25,7 +25,7 @@ SELECT strftime(TransactionDate, '%Y-%m') AS YearMonth,
        {_avg_money('sum(Revenue)', 'count(Revenue)')} AS AverageOrderValue
 FROM transactions GROUP BY YearMonth""")
 def q_monthly_trend(spark, sf_dir):
-    return present(sales.monthly_trend(transactions(spark, sf_dir)))
+    return present(sales.monthly_trend(transactions(spark, sf_dir)).orderBy("YearMonth"))
 
 
 @register("category_performance", TX + f"""
@@ -37,7 +37,7 @@ SELECT ProductCategory, TotalOrders, TotalUnitsSold, CAST(GrossRevenue AS DOUBLE
          AS RevenueSharePct
 FROM agg""")
 def q_category_performance(spark, sf_dir):
-    return present(sales.category_performance(transactions(spark, sf_dir)))
+    return present(sales.category_performance(transactions(spark, sf_dir)).orderBy(F.col("GrossRevenue").desc(), "ProductCategory"))
 
 
 @register("country_payment", TX + """
@@ -45,7 +45,7 @@ SELECT Country, PaymentMethod, count(DISTINCT CustomerID) AS UniqueCustomers,
        count(DISTINCT TransactionID) AS TotalTransactions, CAST(sum(Revenue) AS DOUBLE) AS TotalRevenue
 FROM transactions GROUP BY Country, PaymentMethod""")
 def q_country_payment(spark, sf_dir):
-    return present(sales.country_payment(transactions(spark, sf_dir)))
+    return present(sales.country_payment(transactions(spark, sf_dir)).orderBy(F.col("TotalRevenue").desc(), "Country", "PaymentMethod"))
 
 
 @register("daily_sales_ma7", TX + f"""

@@ -10,6 +10,7 @@ from tillroll.plans import sqlfrag as S
 from tillroll.plans.registry import present, register
 from tillroll.sources.stages import source_inputs, stage_model
 from tillroll.sources.tables import customer_table, transactions
+from tillroll.sources.tables import segment_table as segments_stage
 
 
 def _features(spark, sf_dir):
@@ -115,7 +116,7 @@ SELECT CustomerID, Recency, Frequency, CAST(Monetary AS DOUBLE) AS Monetary,
 FROM segments""")
 def q_segment_table(spark, sf_dir):
     """M6: customer segment table."""
-    return present(seg.fixed_segments(_features(spark, sf_dir)))
+    return present(segments_stage(spark, sf_dir))
 
 
 @register("segment_breakdown", S.with_ctes(*SEGMENTS_CTES) + f"""
@@ -126,7 +127,8 @@ SELECT CustomerSegment, count(CustomerID) AS CustomerCount,
 FROM segments GROUP BY CustomerSegment""")
 def q_segment_breakdown(spark, sf_dir):
     """Segment revenue contribution."""
-    return present(seg.segment_breakdown(seg.fixed_segments(_features(spark, sf_dir))))
+    return present(seg.segment_breakdown(segments_stage(spark, sf_dir))
+                   .orderBy(F.col("TotalSegmentRevenue").desc(), "CustomerSegment"))
 
 
 @register("segment_matrix", S.with_ctes(*SEGMENTS_CTES) + """
@@ -137,7 +139,7 @@ SELECT CustomerSegment, count(CustomerID) AS CustomerCount,
 FROM segments GROUP BY CustomerSegment""")
 def q_segment_matrix(spark, sf_dir):
     """Segment matrix."""
-    return present(seg.segment_matrix(seg.fixed_segments(_features(spark, sf_dir))))
+    return present(seg.segment_matrix(segments_stage(spark, sf_dir)))
 
 
 @register("segment_share", S.with_ctes(*SEGMENTS_CTES) + f"""
@@ -147,14 +149,14 @@ SELECT CustomerSegment, CustomerCount,
 FROM c""")
 def q_segment_share(spark, sf_dir):
     """Segment share of customers."""
-    return present(seg.segment_share(seg.fixed_segments(_features(spark, sf_dir))))
+    return present(seg.segment_share(segments_stage(spark, sf_dir)))
 
 
 @register("rfm_scatter", S.with_ctes(*SEGMENTS_CTES) + """
 SELECT CustomerID, Recency, CAST(Monetary AS DOUBLE) AS Monetary, Frequency, CustomerSegment FROM segments""")
 def q_rfm_scatter(spark, sf_dir):
     """RFM scatter feed."""
-    return present(seg.fixed_segments(_features(spark, sf_dir))
+    return present(segments_stage(spark, sf_dir)
                    .select("CustomerID", "Recency", "Monetary", "Frequency", "CustomerSegment"))
 
 
@@ -188,5 +190,5 @@ FROM segments WHERE CustomerSegment IN ('High-Value VIPs', 'Loyal Regulars')""")
 def q_segment_slice(spark, sf_dir):
     """The segment slicer applied to the segment table."""
     from tillroll.operators.cleaning import segment_slice
-    return present(segment_slice(seg.fixed_segments(_features(spark, sf_dir)), SLICE)
+    return present(segment_slice(segments_stage(spark, sf_dir), SLICE)
                    .select("CustomerID", "CustomerSegment", "Recency", "Frequency", "Monetary"))

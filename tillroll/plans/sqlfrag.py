@@ -13,7 +13,7 @@ TX_SELECT = """
          p.p_type AS ProductCategory,
          CAST(l.l_quantity AS INTEGER) AS Quantity,
          CAST(l.unit * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(10,2)) AS UnitPrice,
-         CAST(l.unit * CAST(l.l_quantity AS BIGINT) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(12,2)) AS Revenue,
+         CAST(CAST(round(l.l_extendedprice * 100) AS BIGINT) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(12,2)) AS Revenue,
          o.o_orderdate AS TransactionDate,
          n.n_name AS Country,
          o.o_orderpriority AS PaymentMethod,

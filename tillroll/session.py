@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,14 +40,22 @@ def build_session(master: str | None = None, app: str = "tillroll",
     return spark
 
 
+def _one_machine(master: str) -> bool:
+    """``local[...]`` runs everything in one JVM; ``local-cluster`` and all others don't."""
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is used as is.
-    Only when it is unset (local runs, tests) a scratch folder is created.
+    On a cluster this setting points at shared storage and is used as is; a
+    cluster without it is refused, because each executor would write to its
+    own disk.  Only a one-machine session gets a scratch folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not _one_machine(spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir is unset: name a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="tillroll-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -62,14 +72,8 @@ def scratch_table_path(spark: SparkSession, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), "tables", ns, name)
 
 
-def partitions_for(df: DataFrame, rows_per_partition: int = 200_000) -> int:
-    """Partition count for iterative ML training data: enough partitions of
-    about ``rows_per_partition`` rows each (a count over a materialized
-    table is a cheap metadata-backed job), so small inputs are not split
-    into many tiny tasks per iteration and large ones spread over the
-    cluster."""
-    n = df.count()
-    return max(1, -(-n // rows_per_partition))
+#: Temporary tables of this process that no DataFrame may read any more.
+_TEMPORARY: list[str] = []
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -78,12 +82,29 @@ def materialize(df: DataFrame) -> DataFrame:
 
     Used where one intermediate feeds several branches that must agree on
     nondeterministic choices (e.g. sampled range boundaries), or that would
-    otherwise re-run expensive joins.  Unlike an eager ``checkpoint()`` the
-    plan is computed once (no count-then-recompute), and the files survive
-    executor loss.
+    otherwise re-run expensive joins.  The files survive executor loss and
+    are removed by ``drop_temporary`` (at the latest when the driver exits).
     """
-    import uuid
-    spark = df.sparkSession
-    path = scratch_table_path(spark, f"tmp/{uuid.uuid4().hex}")
+    path = temporary_path(df.sparkSession)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def temporary_path(spark: SparkSession) -> str:
+    """A fresh path in the shared folder that ``drop_temporary`` removes."""
+    path = scratch_table_path(spark, f"tmp/{uuid.uuid4().hex}")
+    if not _TEMPORARY:
+        atexit.register(drop_temporary, spark)
+    _TEMPORARY.append(path)
+    return path
+
+
+def drop_temporary(spark: SparkSession) -> None:
+    """Remove the temporary tables written so far; call it when the results
+    that read them have been taken."""
+    sc = spark.sparkContext
+    if sc._jsc is None or sc._jsc.sc().isStopped():
+        return
+    while _TEMPORARY:
+        target = sc._jvm.org.apache.hadoop.fs.Path(_TEMPORARY.pop())
+        target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)

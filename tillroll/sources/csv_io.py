@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.operators.cleaning import normalise_null_tokens
@@ -20,6 +21,37 @@ def read_raw_csv(spark: SparkSession, path: str, schema: str = RAW_SCHEMA) -> Da
     return normalise_null_tokens(df, text_cols)
 
 
+#: Typed raw columns and how their text is read; a text that can't be read
+#: rejects its row.
+TYPED = {"Quantity": "int", "UnitPrice": "double", "TransactionDate": "timestamp_ntz"}
+
+
+def read_raw_text(spark: SparkSession, path: str) -> DataFrame:
+    """The raw CSV as text, null tokens made null: what arrived, untouched."""
+    names = [f.split()[0] for f in RAW_SCHEMA.split(", ")]
+    df = spark.read.schema(", ".join(f"{n} string" for n in names)).option("header", True).csv(path)
+    return normalise_null_tokens(df, names)
+
+
+def _reject_reason() -> F.Column:
+    out = F.lit(None).cast("string")
+    for name, kind in reversed(list(TYPED.items())):
+        unreadable = F.col(name).isNotNull() & F.expr(f"try_cast({name} AS {kind})").isNull()
+        out = F.when(unreadable, f"{name} is not a {kind}").otherwise(out)
+    return out
+
+
+def accepted(raw_text: DataFrame) -> DataFrame:
+    """C4: rows whose fields can all be read, typed; nulls stay nulls."""
+    typed = {name: F.expr(f"try_cast({name} AS {kind})") for name, kind in TYPED.items()}
+    return raw_text.where(_reject_reason().isNull()).withColumns(typed)
+
+
+def rejected(raw_text: DataFrame) -> DataFrame:
+    """C4: the other rows as they arrived, with the first unreadable field."""
+    return raw_text.withColumn("RejectReason", _reject_reason()).where("RejectReason IS NOT NULL")
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Header CSV, overwrite; one file per partition."""
     df.write.mode("overwrite").option("header", True).csv(path)

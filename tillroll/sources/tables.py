@@ -52,6 +52,24 @@ def _joined_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.join(order_dim, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
+def adapter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row: lines, and those that the adapter's inner joins drop, by the table that lacks them."""
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    nation = read_table(spark, sf_dir, "nation").select("n_nationkey")
+    known = (orders.join(cust, F.col("o_custkey") == F.col("c_custkey"), "left")
+             .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+             .select("o_orderkey", F.col("n_nationkey").isNotNull().alias("complete")))
+    part = read_table(spark, sf_dir, "part").select("p_partkey")
+    lines = (li.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
+             .join(known, F.col("l_orderkey") == F.col("o_orderkey"), "left"))
+    return lines.agg(
+        F.count(F.lit(1)).alias("LineRows"), F.count(F.when(F.col("o_orderkey").isNull(), 1)).alias("WithoutOrder"),
+        F.count(F.when(F.col("o_orderkey").isNotNull() & ~F.col("complete"), 1)).alias("WithoutCustomer"),
+        F.count(F.when(F.col("p_partkey").isNull(), 1)).alias("WithoutPart"))
+
+
 def _mapped(joined: DataFrame) -> DataFrame:
     qty = F.col("l_quantity").cast("bigint")
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
@@ -63,7 +81,8 @@ def _mapped(joined: DataFrame) -> DataFrame:
         F.col("p_type").alias("ProductCategory"),
         F.col("l_quantity").cast("int").alias("Quantity"),
         (unit * F.lit(0.01).cast("decimal(3,2)")).cast("decimal(10,2)").alias("UnitPrice"),
-        (unit * qty * F.lit(0.01).cast("decimal(3,2)")).cast("decimal(12,2)").alias("Revenue"),
+        # the line's own price to the cent, whatever the rounded unit price makes of it
+        (cents * F.lit(0.01).cast("decimal(3,2)")).cast("decimal(12,2)").alias("Revenue"),
         F.col("o_orderdate").alias("TransactionDate"),
         F.col("n_name").alias("Country"),
         F.col("o_orderpriority").alias("PaymentMethod"),
@@ -140,6 +159,23 @@ def dirty_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corrupted.select(*RAW_COLUMNS)
 
 
+# Faults of the text fixture, again by predicates on keys: a number, a price
+# and a date that can't be read.
+BAD_NUMBER_PRED = "CAST(ProductID AS BIGINT) % 89 = 7"
+BAD_PRICE_TEXT_PRED = "CAST(ProductID AS BIGINT) % 101 = 3"
+BAD_DATE_PRED = "CAST(TransactionID AS BIGINT) % 97 = 5"
+
+
+def dirty_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dirty fixture as a raw export prints it: dates as text, prices
+    with a third decimal, and some fields that can't be read."""
+    text = lambda pred, bad, good: F.when(F.expr(pred), F.lit(bad)).otherwise(good)
+    return dirty_transactions(spark, sf_dir).withColumns({
+        "Quantity": text(BAD_NUMBER_PRED, "ten", F.col("Quantity").cast("string")),
+        "UnitPrice": text(BAD_PRICE_TEXT_PRED, "free", (F.col("UnitPrice") + F.lit(0.001).cast("decimal(4,3)")).cast("string")),
+        "TransactionDate": text(BAD_DATE_PRED, "soon", F.substring(F.col("TransactionDate").cast("string"), 1, 19))})
+
+
 def customer_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stage output of the feature step (typed timestamps, exact money):
     the input of segmentation, churn, campaigns and KPIs."""
@@ -150,6 +186,24 @@ def customer_table(spark: SparkSession, sf_dir: str) -> DataFrame:
                        lambda: customer_features(transactions(spark, sf_dir), as_text=False))
 
 
+def segment_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stage output of the segmentation step: every customer with the label
+    of the fixed-centroid segments.  Readers scan this table instead of
+    repeating the scaling, assignment and labelling plan."""
+    from tillroll.operators.segments import fixed_segments
+    from tillroll.sources.stages import stage_table
+    inputs = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in SOURCE_TABLES]
+    return stage_table(spark, "segments", inputs, lambda: fixed_segments(customer_table(spark, sf_dir)))
+
+
+def churn_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stage output of the split step: labelled customers with their test flag."""
+    from tillroll.operators.churn import label, with_split
+    from tillroll.sources.stages import stage_table
+    inputs = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in SOURCE_TABLES]
+    return stage_table(spark, "churn_split", inputs, lambda: with_split(label(customer_table(spark, sf_dir))))
+
+
 def forecast_table_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stage output of the forecast step (grid-fitted Holt-Winters history +
     30-day forecast of total daily revenue), read by the KPI step."""

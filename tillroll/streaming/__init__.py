@@ -1,0 +1,5 @@
+"""Streaming.
+
+The reference has no streaming operators (every read is a full table and
+every write a full overwrite), so this package holds no streaming queries.
+"""
