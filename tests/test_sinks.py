@@ -58,3 +58,14 @@ def test_fact_files_are_in_order_and_few(spark, tmp_path):
     broken = spark.read.parquet(p).orderBy(F.col("TransactionDate").desc()).coalesce(1)
     sinks.write_table(broken, str(tmp_path / "bad"))
     assert sum(r["OutOfOrder"] for r in sinks.order_check(spark.read.parquet(str(tmp_path / "bad"))).collect()) > 0
+
+
+def test_fingerprint_notices_a_nested_rewrite(spark, tmp_path):
+    from tillroll.sources.stages import fingerprint
+    nested = tmp_path / "tbl" / "day=1"
+    nested.mkdir(parents=True)
+    (nested / "a.parquet").write_bytes(b"x" * 10)
+    first = fingerprint(spark, [str(tmp_path / "tbl")])
+    (nested / "a.parquet").write_bytes(b"y" * 10)
+    os.utime(nested / "a.parquet", (1, 1_000_000_000))
+    assert fingerprint(spark, [str(tmp_path / "tbl")]) != first

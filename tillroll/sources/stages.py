@@ -4,8 +4,8 @@ The pipeline's stage outputs (the canonical transactions, the customer
 table) are written as Parquet under ``spark.checkpoint.dir`` and read back
 by every later query, so the input joins run once per input version rather
 than once per query.  The folder name carries a fingerprint of the inputs
-(path, length and modification time of a file; bytes, file and directory
-counts of a table folder; via the Hadoop file system API) and of the package
+(path, length and modification time of every file, via the Hadoop file
+system API) and of the package
 code, so changed inputs or logic produce a new table.
 """
 
@@ -46,16 +46,23 @@ def _code_version() -> str:
 _CODE: str | None = None
 
 
+def _listing(fs, folder) -> str:
+    """Hash over path, length and modification time of every file below
+    ``folder``: a file rewritten in place is noticed at any depth."""
+    found, files = [], fs.listFiles(folder, True)
+    while files.hasNext():
+        f = files.next()
+        found.append(f"{f.getPath().toString()}|{f.getLen()}|{f.getModificationTime()}")
+    return hashlib.sha1("\n".join(sorted(found)).encode()).hexdigest()
+
+
 def fingerprint(spark: SparkSession, paths: list[str]) -> str:
     h = hashlib.sha1(_code_version().encode())
     for path in paths:
         p, fs = _hadoop_path(spark, path)
         st = fs.getFileStatus(p)  # raises if the input is missing (S2)
         if st.isDirectory():
-            # a table folder: total bytes and file/dir counts change with its content
-            cs = fs.getContentSummary(p)
-            h.update(f"{path}|dir|{cs.getLength()}|{cs.getFileCount()}|{cs.getDirectoryCount()}|"
-                     f"{st.getModificationTime()}".encode())
+            h.update(f"{path}|dir|{_listing(fs, p)}".encode())
         else:
             h.update(f"{path}|{st.getLen()}|{st.getModificationTime()}".encode())
     return h.hexdigest()[:16]
