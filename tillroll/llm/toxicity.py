@@ -6,7 +6,6 @@ import math
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +28,7 @@ FUZZY_TERMS, FUZZY_LENGTH = 100, 5
 WINDOW = 8
 OPEN_QUOTES, CLOSE_QUOTES = "\"“„«‹", "\"”“»›"
 N_FEATURES = 7
-_MAX_COUNTED = 400_000
+_MAX_COUNTED = 100_000
 
 
 class Entry(NamedTuple):
@@ -344,12 +343,12 @@ def score_column(model: Model, text: Column) -> Column:
     """The score of every text, 0 to 1; null, empty and wordless texts get that of a text without hits."""
     plain = tuple(model)  # plain values, for workers without this package
 
-    def run(texts: pd.Series) -> pd.Series:
+    def run(texts: pa.Array) -> pa.Array:
         held = Model(*plain)
-        logits = [float(features(t, held) @ held.coefficients[:-1] + held.coefficients[-1]) for t in texts]
-        return pd.Series(1 / (1 + np.exp(-np.clip(logits, -30, 30))), dtype="float64")
+        logits = [float(features(t.as_py(), held) @ held.coefficients[:-1] + held.coefficients[-1]) for t in texts]
+        return pa.array(1 / (1 + np.exp(-np.clip(logits, -30, 30))), pa.float64())
 
-    return F.pandas_udf(run, "double")(text)
+    return F.arrow_udf(run, "double")(text)
 
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
