@@ -4,6 +4,7 @@ from pyspark.sql import Row
 
 from tillroll.operators import campaigns, kpi
 
+# Expected output texts and sample KPI values that must match.
 VIP_TEXT = """### Campaign Strategy: High-Value VIPs
 
 * **Target Audience:** Customers categorized as 'High-Value VIPs' with Low Risk churn risk.
