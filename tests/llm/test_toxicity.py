@@ -91,3 +91,37 @@ def test_odd_rows(spark):
     assert sorted(str(r["doc_id"]) for r in out) == sorted(str(r[0]) for r in odd_documents())
     assert all(0 <= r["score"] <= 1 for r in out)
     assert T.score_documents(empty(spark), m).count() == 0 and T.learn(empty(spark), no_labels) is not None
+
+
+def test_every_word_of_a_large_lexicon_takes_edits(monkeypatch):
+    rng = random.Random(3)
+    terms = sorted({"".join(rng.choice("abcdefgh") for _ in range(rng.randrange(5, 9))) for _ in range(260)})
+    entries = [T.Entry(w, False, 1.0 + rng.random()) for w in terms] + [T.Entry("hagf", True, 9.0)]
+    rng.shuffle(entries)
+    for group in (T.FUZZY_GROUP, 100):
+        monkeypatch.setattr(T, "FUZZY_GROUP", group)
+        m = model(entries)
+        assert all(hits(m, f"{w[:2]}9{w[2:]}")[0][0] > 0 for w in terms)
+        for _ in range(300):
+            word = list(rng.choice(terms))
+            word[rng.randrange(len(word))] = rng.choice("abcdefgh9")
+            word = "".join(word)
+            exact = [e.weight for e in entries if (word.startswith(e.text) if e.stem else word == e.text)]
+            near = [e.weight for e in entries if not e.stem and distance(word, e.text) == 1]
+            assert hits(m, word) == [(max(exact), False) if exact else (max(near), True) if near else (0.0, False)]
+
+
+def test_lexicon_holds_every_term_that_passes(spark):
+    rows = [(f"w{i:04d}", False, 50, 0) for i in range(2_500)] + [("snarkling"[:n], True, 90, 0) for n in range(4, 10)]
+    found = T.lexicon(spark.createDataFrame(rows, "term string, stem boolean, toxic bigint, clean bigint"), 100, 500)
+    assert {e.text for e in found} == {f"w{i:04d}" for i in range(2_500)} | {"snar"}
+
+
+def test_copies_of_a_text_count_once(spark):
+    rng = random.Random(5)
+    rows = [(i, "harmless pangolin story" if i <= 60 else words(rng, 30) + (" grumblefoot" if i % 5 == 0 else ""), "en", "a", 0)
+            for i in range(1, 500)]
+    labels = spark.createDataFrame([(i, int(i <= 60 or i % 5 == 0)) for i in range(1, 500)], "doc_id bigint, toxic int")
+    m = T.learn(frame(spark, rows), labels)
+    (pangolin, _), (near, edited) = hits(m, "pangolin brumblefoot")
+    assert pangolin == 0 and near > 0 and edited

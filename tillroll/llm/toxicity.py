@@ -20,10 +20,9 @@ MIN_STEM, MAX_STEM = 4, 10
 #: on toxic documents (natural log), and so large a share of its documents,
 #: with classes at their sizes in the sample, is toxic.
 CHANCE, PRECISION = math.log(1e-6), 0.9
-MAX_TERMS = 2_000
-#: Whole words that misspellings are sought for: the strongest, of a length
-#: that leaves one edit telling.
-FUZZY_TERMS, FUZZY_LENGTH = 100, 5
+#: Misspellings are sought for every whole word of the lexicon (words have
+#: FUZZY_LENGTH letters at least), for so many words by each automaton.
+FUZZY_LENGTH, FUZZY_GROUP = 3, 512
 #: Words to each side of a hit that its context score looks at.
 WINDOW = 8
 OPEN_QUOTES, CLOSE_QUOTES = "\"“„«‹", "\"”“»›"
@@ -39,6 +38,7 @@ class Entry(NamedTuple):
 
 class Model(NamedTuple):
     symbols: np.ndarray     # symbol of each code point: 0 ends words, 1 is any other letter
+    starts: np.ndarray      # first state of each automaton; they share the tables and the dead state, 1
     steps: np.ndarray       # next state * number of symbols, by state and symbol
     accepts: np.ndarray     # weight of the entry that a word ending in the state matches, else 0
     inexact: np.ndarray     # True where that match needs an edit
@@ -54,7 +54,7 @@ def points(text: str) -> np.ndarray:
 def _terms(text: str) -> set[tuple[str, bool]]:
     """Whole words, and their beginnings of MIN_STEM to MAX_STEM letters as stems."""
     words = set("".join(c if c.isalnum() else " " for c in text.lower()).split())
-    out = {(w, False) for w in words if 3 <= len(w) <= 32}
+    out = {(w, False) for w in words if FUZZY_LENGTH <= len(w) <= 32}
     return out | {(w[:n], True) for w in words for n in range(MIN_STEM, min(MAX_STEM, len(w)) + 1)}
 
 
@@ -83,7 +83,7 @@ def term_counts(sample: DataFrame) -> DataFrame:
 
 
 def lexicon(counts: DataFrame, n_toxic: int, n_clean: int) -> list[Entry]:
-    """The terms that mark toxic documents beyond chance, at most MAX_TERMS.
+    """All terms that mark toxic documents beyond chance, strongest first.
 
     Chance is the likelihood ratio of the term's own toxic share to the
     sample's.  A stem whose shorter stem is in the lexicon adds nothing and
@@ -97,7 +97,7 @@ def lexicon(counts: DataFrame, n_toxic: int, n_clean: int) -> list[Entry]:
     gain = F.col("toxic") * F.log(share / prior) + F.when(
         F.col("clean") > 0, F.col("clean") * F.log((1 - share) / (1 - prior))).otherwise(0.0)
     found = counts.where("toxic > 2").where(share >= PRECISION).withColumn("gain", gain).where(F.col("gain") >= -CHANCE)
-    rows = found.orderBy(F.desc("gain"), "term", "stem").limit(MAX_TERMS).collect()
+    rows = found.orderBy(F.desc("gain"), "term", "stem").collect()
     stems = {r["term"] for r in rows if r["stem"]}
     out = []
     for r in rows:
@@ -110,21 +110,52 @@ def lexicon(counts: DataFrame, n_toxic: int, n_clean: int) -> list[Entry]:
 
 # -- the automaton ------------------------------------------------------------
 
-def compile_lexicon(entries: list[Entry]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(symbols, steps, accepts, inexact): one deterministic automaton for the
-    lexicon trie run against Levenshtein automata.
+def compile_lexicon(entries: list[Entry]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(symbols, starts, steps, accepts, inexact): the whole lexicon, as
+    deterministic automata over one alphabet.
+
+    The first holds every entry, and each allows edits in FUZZY_GROUP of the
+    whole words, in the order of the words.
+    """
+    loose = sorted(e for e in entries if not e.stem and len(e.text) >= FUZZY_LENGTH)
+    letters = sorted({letter for e in entries for letter in e.text})
+    number = {letter: i + 2 for i, letter in enumerate(letters)}
+    starts, steps, accepts, inexact, size = [], [], [], [], 0
+    for a in range(0, max(len(loose), 1), FUZZY_GROUP):
+        group = loose[a:a + FUZZY_GROUP]
+        rows, weights, near = _automaton(group if a else entries, group, number)
+        # Behind the first, an automaton's own dead state, 1, goes for the shared one.
+        place = np.arange(len(weights)) + size - (1 if a else 0)
+        place[:2] = size, 1
+        keep = np.arange(len(weights)) != (1 if a else -1)
+        starts.append(size)
+        steps.append(place[rows[keep]] * (len(letters) + 2))
+        accepts.append(weights[keep])
+        inexact.append(near[keep])
+        size += int(keep.sum())
+    symbols = np.zeros(0x110000, dtype=np.uint8 if len(letters) < 254 else np.uint16)
+    symbols[[p for p in range(0x110000) if not 0xD800 <= p < 0xE000 and chr(p).isalnum()]] = 1
+    for letter, symbol in number.items():
+        symbols[ord(letter)] = symbol
+    return (symbols, np.array(starts), np.concatenate(steps).astype(np.int32).ravel(), np.concatenate(accepts),
+            np.concatenate(inexact))
+
+
+def _automaton(entries: list[Entry], loose: list[Entry],
+               number: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(steps, accepts, inexact): one deterministic automaton for the trie of
+    ``entries`` run against Levenshtein automata, start state first, dead
+    state second.
 
     A state is a set of (trie node, edits so far, letter awaited after a
     swap); an edit inserts, drops, replaces or swaps neighbouring letters, at
-    most one in a word, and only on the way to an entry that allows it: a
-    whole word of FUZZY_LENGTH letters or more among the FUZZY_TERMS strongest.
-    A stem accepts as soon as it is read.
+    most one in a word, and only on the way to an entry of ``loose``.  A stem
+    accepts as soon as it is read.
     """
     children: list[dict[str, int]] = [{}]
     word_at: dict[int, float] = {}
     stem_at: dict[int, float] = {}
     fuzzy: set[int] = {0}
-    loose = [e for e in entries if not e.stem and len(e.text) >= FUZZY_LENGTH][:FUZZY_TERMS]
     for entry in entries:
         node = 0
         for letter in entry.text:
@@ -141,9 +172,7 @@ def compile_lexicon(entries: list[Entry]) -> tuple[np.ndarray, np.ndarray, np.nd
             node = children[node][letter]
             fuzzy.add(node)
         fuzzy_words.add(node)
-    letters = sorted({letter for node in children for letter in node})
-    number = {letter: i + 2 for i, letter in enumerate(letters)}
-    n_symbols = len(letters) + 2
+    n_symbols = len(number) + 2
 
     def closed(items: set) -> frozenset:
         """Adds the letters of the trie that a word may have dropped."""
@@ -173,6 +202,19 @@ def compile_lexicon(entries: list[Entry]) -> tuple[np.ndarray, np.ndarray, np.nd
                             out.add((second, 1, first))
         return closed(out)
 
+    def telling(state: frozenset) -> set[str]:
+        """Letters after which the state isn't that of any other letter."""
+        out = set()
+        for node, edits, swap in state:
+            if swap is not None:
+                out.add(swap)
+                continue
+            out.update(children[node])
+            if edits == 0 and node in fuzzy:
+                for child in children[node].values():
+                    out.update(children[child])
+        return out
+
     def value(state: frozenset) -> tuple[float, bool]:
         exact = [word_at.get(node, 0.0) for node, edits, swap in state if edits == 0 and swap is None]
         near = [word_at[node] for node, edits, swap in state
@@ -207,39 +249,47 @@ def compile_lexicon(entries: list[Entry]) -> tuple[np.ndarray, np.ndarray, np.nd
     while todo:
         items = todo.pop()
         row = steps[index[items]]
+        row[1:] = [state_of(after(items, None))] * (n_symbols - 1)
         row[0] = 0
-        for letter, symbol in [(None, 1), *number.items()]:
-            row[symbol] = state_of(after(items, letter))
-    # The start state comes first in the tables, the dead state second.
+        for letter in telling(items):
+            row[number[letter]] = state_of(after(items, letter))
     order = [first, 0, *(i for i in range(1, len(steps)) if i != first)]
     place = np.empty(len(steps), dtype=np.int64)
     place[order] = np.arange(len(steps))
-    table_ = place[np.array(steps)][order] * n_symbols
-    symbols = np.zeros(0x110000, dtype=np.uint8 if n_symbols < 256 else np.uint16)
-    symbols[[p for p in range(0x110000) if not 0xD800 <= p < 0xE000 and chr(p).isalnum()]] = 1
-    for letter, symbol in number.items():
-        symbols[ord(letter)] = symbol
-    return symbols, table_.astype(np.int32).ravel(), np.array(accepts)[order], np.array(inexact)[order]
+    return place[np.array(steps)][order], np.array(accepts)[order], np.array(inexact)[order]
 
 
 # -- scoring -------------------------------------------------------------------
 
 def match_words(codes: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, ends, states) of all words of a text, every word run through
-    the automaton side by side, letter by letter."""
+    the automata side by side, letter by letter.  A word's state is that of
+    its exact match in any automaton, or else of its strongest one."""
     n_symbols = len(model.steps) // len(model.accepts)
     symbols = model.symbols[codes].astype(np.int64)
     inside = symbols > 0
     edges = np.flatnonzero(np.diff(np.concatenate(([False], inside, [False])).astype(np.int8)))
     starts, ends = edges[::2], edges[1::2]
-    states = np.zeros(len(starts), dtype=np.int64)
-    alive, at = np.arange(len(starts)), starts.copy()
-    while len(alive):
-        states[alive] = model.steps[states[alive] + symbols[at]]
-        at = at + 1
-        going = (at < ends[alive]) & (states[alive] != n_symbols)
-        alive, at = alive[going], at[going]
-    return starts, ends, states // n_symbols
+    best = None
+    for start in model.starts:
+        states = np.full(len(starts), start * n_symbols, dtype=np.int64)
+        alive, at = np.arange(len(starts)), starts.copy()
+        while len(alive):
+            states[alive] = model.steps[states[alive] + symbols[at]]
+            at = at + 1
+            going = (at < ends[alive]) & (states[alive] != n_symbols)
+            alive, at = alive[going], at[going]
+        states //= n_symbols
+        if best is None:
+            best = states
+        else:
+            some = np.flatnonzero(model.accepts[states] > 0)
+            new, old = states[some], best[some]
+            stronger = (model.accepts[new] > model.accepts[old]) & (model.inexact[new] <= model.inexact[old])
+            exact = model.inexact[old] & ~model.inexact[new]
+            free = model.accepts[old] == 0
+            best[some] = np.where(free | exact | stronger, new, old)
+    return starts, ends, best
 
 
 def quoted(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, hits: np.ndarray) -> np.ndarray:
@@ -317,9 +367,10 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     """A model from documents joined to labels (doc_id, toxic).
 
     Of each class the documents whose ids hash lowest are taken, SAMPLE_TOXIC
-    and SAMPLE_CLEAN at most; what reaches the driver is their feature rows
-    and at most MAX_TERMS terms.  A document labelled more than once is toxic
-    if any label says so; null labels and ids count for nothing.  Without both
+    and SAMPLE_CLEAN at most; of rows that share text and class one counts.
+    What reaches the driver is their feature rows and the terms that pass, so
+    the sample bounds both.  A document labelled more than once is toxic if
+    any label says so; null labels and ids count for nothing.  Without both
     classes the lexicon is empty and every score is the share of toxic rows.
     """
     marks = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(
@@ -329,8 +380,12 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
         part = marks.where(F.col("toxic") == toxic).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
         chosen = part if chosen is None else chosen.unionByName(part)
     # Broadcast: SAMPLE_TOXIC + SAMPLE_CLEAN ids at most.
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(
+        "text", "toxic", F.xxhash64("text").alias("text_key"), F.monotonically_increasing_id().alias("row"))
     sample = materialize(sample, "toxicity-sample")
+    # Hashes are grouped, so texts are not shuffled.
+    firsts = sample.groupBy("text_key", "toxic").agg(F.min("row").alias("row"))
+    sample = materialize(sample.join(firsts.select("row"), "row", "left_semi").select("text", "toxic"), "toxicity-texts")
     sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     entries = lexicon(term_counts(sample), n_toxic, n_clean)
