@@ -102,3 +102,16 @@ def test_very_long_line(spark):
     long = words(random.Random(1), 40_000)
     rows = [(1, long, "en", "a", 0), (2, long[:100_000] + "#" + long[100_000:], "en", "a", 0), (3, long + "##", "en", "a", 0)]
     assert result(frame(spark, rows)) == Counter([(1, long), (2, ""), (3, long + "##")])
+
+
+def test_rows_of_one_id_do_not_share_an_array(spark):
+    """As many lines at an entry as its own text has, however many rows have its id or repeat it."""
+    rng = random.Random(8)
+    common = "a line that stands in all of the documents"
+    rows = [(None, f"{words(rng, 6)}\n{common}\n{common}!", "en", "a", 0) for _ in range(200)]
+    rows += [(7, f"{words(rng, 6)}\n{common}", "en", "a", 0) for _ in range(100)] + [(9, f"x\n{common}", "en", "a", 0)] * 150
+    docs = frame(spark, rows)
+    entries = L.repeated_lines(docs).collect()
+    assert max(len(r["lines"]) for r in entries) <= 3
+    assert sum(r["id"] is None for r in entries) == 200 and sum(r["id"] == 9 for r in entries) == 1
+    assert result(docs) == brute([r[:2] for r in rows])

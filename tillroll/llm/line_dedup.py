@@ -111,7 +111,8 @@ def _place(prefix: str = "") -> Column:
 
 
 def _line_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, line, h1, h2, halves) for every line that isn't blank."""
+    """(id, text_key, line, h1, h2, halves) for every line that isn't blank;
+    ``text_key`` is a hash of the text, which tells rows of one id apart."""
     def run(batches):
         for batch in batches:
             ids, lines, h1, h2, halves = [], [], [], [], []
@@ -124,13 +125,15 @@ def _line_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                         h1.append(a)
                         h2.append(b)
                         halves.append(half_keys(line))
+            take = pa.array(ids, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(ids, pa.int64())), pa.array(lines, pa.int32()), pa.array(h1, pa.int64()),
-                 pa.array(h2, pa.int64()), pa.array(halves, pa.list_(pa.int64()))],
-                names=["id", "line", "h1", "h2", "halves"])
+                [batch.column(0).take(take), batch.column(2).take(take), pa.array(lines, pa.int32()),
+                 pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(halves, pa.list_(pa.int64()))],
+                names=["id", "text_key", "line", "h1", "h2", "halves"])
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"id {_id_type(docs, id_col)}, line int, h1 bigint, h2 bigint, halves array<bigint>")
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
+                       F.xxhash64(text_col).alias("text_key")).mapInArrow(
+        run, f"id {_id_type(docs, id_col)}, text_key bigint, line int, h1 bigint, h2 bigint, halves array<bigint>")
 
 
 def _shared_halves(distinct: DataFrame) -> DataFrame:
@@ -143,21 +146,27 @@ def _shared_halves(distinct: DataFrame) -> DataFrame:
 def _texts_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``wanted`` (h1, h2, first, halves) with the normalised line, read from
     the document it stands in first.  A document's wanted lines, at most its
-    own lines, travel to the document."""
-    per_doc = wanted.groupBy(F.col("first.id").alias("id")).agg(
+    own lines, travel to the document; a document listed again is read once a
+    task."""
+    per_doc = wanted.groupBy(F.col("first.id").alias("id"), F.col("first.text_key").alias("text_key")).agg(
         F.collect_list(F.struct("h1", "h2", F.col("first.line").alias("line"), "halves")).alias("lines"))
-    rows = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
-    joined = rows.join(per_doc, F.col("doc").eqNullSafe(F.col("id"))).select("id", "text", "lines")
+    rows = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("doc_key"))
+    joined = rows.join(per_doc, F.col("doc").eqNullSafe(F.col("id")) & (F.col("doc_key") == F.col("text_key"))).select(
+        "id", "text", "lines", "text_key")
     kind = _id_type(docs, id_col)
 
     def run(batches):
+        seen = set()
         for batch in batches:
             out = {name: [] for name in ("row", "h1", "h2", "line", "halves", "text")}
-            for row in range(batch.num_rows):
+            for row, key in enumerate(zip(batch.column(0).to_pylist(), batch.column(3).to_pylist(), strict=True)):
+                if key in seen:
+                    continue
+                seen.add(key)
                 lines = (batch.column(1)[row].as_py() or "").split("\n")
                 for want in batch.column(2)[row].as_py():
                     text = normal(lines[want["line"]]) if want["line"] < len(lines) else ""
-                    if line_hash(text) == (want["h1"], want["h2"]):  # another row of the same id may differ
+                    if line_hash(text) == (want["h1"], want["h2"]):  # a text of equal text_key may differ
                         for name, value in (("row", row), ("text", text), *want.items()):
                             out[name].append(value)
             yield pa.RecordBatch.from_arrays(
@@ -218,16 +227,17 @@ def near_lines(docs: DataFrame, distinct: DataFrame, id_col: str, text_col: str)
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, lines): for each document that has any, the numbers and hashes of
-    the lines that go because an earlier line is equal or one edit away."""
+    """(id, text_key, lines): for each document that has any, the numbers and
+    hashes of the lines that go because an earlier line is equal or one edit
+    away.  Rows that share id and text share one entry."""
     rows = materialize(_line_rows(docs, id_col, text_col), "line-rows")
     distinct = materialize(rows.groupBy("h1", "h2").agg(
-        F.min(_place()).alias("first"), F.count("*").alias("n"), F.first("halves").alias("halves")), "distinct-lines")
+        F.min(_place().withField("text_key", F.col("text_key"))).alias("first"), F.count("*").alias("n"), F.first("halves").alias("halves")), "distinct-lines")
     near = near_lines(docs, distinct, id_col, text_col).withColumn("near", F.lit(True))
-    bad = distinct.select("h1", "h2", "first", "n").join(near, ["h1", "h2"], "left").where("n > 1 OR near")
-    gone = rows.select("id", "line", "h1", "h2").join(bad, ["h1", "h2"]).where(
+    bad = distinct.select("h1", "h2", _place("first.").alias("first"), "n").join(near, ["h1", "h2"], "left").where("n > 1 OR near")
+    gone = rows.select("id", "text_key", "line", "h1", "h2").join(bad, ["h1", "h2"]).where(
         F.coalesce("near", F.lit(False)) | (_place() > F.col("first")))
-    return gone.groupBy("id").agg(F.collect_list(F.struct("line", "h1", "h2")).alias("lines"))
+    return gone.groupBy("id", "text_key").agg(F.collect_set(F.struct("line", "h1", "h2")).alias("lines"))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -244,8 +254,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     where its number and its hash both say so.
     """
     gone = repeated_lines(docs, id_col, text_col)
-    packed = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_doc"), F.col(text_col).alias("_text"))
-    joined = packed.join(gone, F.col("_doc").eqNullSafe(F.col("id")), "left")
+    packed = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_doc"), F.col(text_col).alias("_text"),
+                         F.xxhash64(text_col).alias("_key"))
+    joined = packed.join(gone, F.col("_doc").eqNullSafe(F.col("id")) & (F.col("_key") == F.col("text_key")), "left")
     cut = F.pandas_udf(_cut, "text string, n_lines int, n_kept int")
     return joined.select("_row", cut("_text", "lines").alias("c")).select("_row", "c.*")
 
