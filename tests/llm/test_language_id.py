@@ -67,3 +67,29 @@ def test_too_many_languages_is_an_error(spark, monkeypatch):
     with pytest.raises(ValueError, match="languages"):
         I.learn(frame(spark, [(1, "abc", "en", "a", 1), (2, "abc", "de", "a", 1)]))
 
+
+
+def _invented(rng, letters, n):
+    return " ".join("".join(rng.choice(letters) for _ in range(rng.randrange(3, 8))) for _ in range(n))
+
+
+def test_whole_texts_are_sampled_and_headers_do_not_fill_references(spark):
+    rng = random.Random(4)
+    header = _invented(rng, "abcdefghijklmnop", 1_500)
+    rows = [(i, header + " " + _invented(rng, letters, 300), lang, "a", 0)
+            for i, (lang, letters) in enumerate([("de", "abcdefgh"), ("en", "ijklmnop")] * 40)]
+    model = I.learn(frame(spark, rows))
+    tests = [(i, _invented(rng, letters, 80), None, "a", 0) for i, letters in enumerate(["abcdefgh", "ijklmnop"] * 5)]
+    got = {r["doc_id"]: r["lang_pred"] for r in I.identify(frame(spark, tests), model).collect()}
+    assert got == {i: ("de", "en")[i % 2] for i in range(10)}
+
+
+def test_languages_without_letters_in_their_heads_are_kept(spark):
+    rng = random.Random(5)
+    rows = [(i, "12 34 " * 2_000 + _invented(rng, "abcdefgh", 200), "aa", "a", 0) for i in range(30)]
+    rows += [(100 + i, _invented(rng, "ijklmnop", 200), "bb", "a", 0) for i in range(30)] + [(200, "1 2 3", "cc", "a", 0)]
+    model = I.learn(frame(spark, rows))
+    assert model.languages == ("aa", "bb", "cc")
+    tests = [(1, _invented(rng, "abcdefgh", 50), None, "a", 0), (2, _invented(rng, "ijklmnop", 50), None, "a", 0)]
+    got = I.identify(frame(spark, tests), model).collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in got} == {1: "aa", 2: "bb"} and all(0.5 <= r["score"] <= 1 for r in got)

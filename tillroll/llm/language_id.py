@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+import zlib
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import crc_mod, table
 
-#: The bounded sample a language's automaton is made of: so many documents, so
-#: many letters of each, so many letters in all.
-SAMPLE_DOCS = 64
+#: The bounded sample a language's automaton is made of: about so many letters
+#: of a document, so many letters in all.
 DOC_CHARS = 1_000
 REFERENCE_CHARS = 24_000
+#: A passage ends behind a word whose hash says so, once it has so many letters,
+#: or at the second number: the same words make the same passages anywhere.
+PASSAGE_CHARS = (60, 250)
 #: Languages that a model may hold; more is an error, as each adds a table of
 #: at most 2 * REFERENCE_CHARS * SYMBOLS * 4 bytes to what every worker loads.
 MAX_LANGUAGES = 100
@@ -107,30 +111,104 @@ def automaton(sequence: np.ndarray) -> np.ndarray:
     return out.ravel()
 
 
+def passages(text: str) -> list[str]:
+    """The text's letters, lower-cased, in passages cut by their own words."""
+    out, held, size = [], [], 0
+    low, high = PASSAGE_CHARS
+    for word in _letters(text).split():
+        for piece in (word[i:i + high] for i in range(0, len(word), high)):
+            held.append(piece)
+            size += len(piece) + 1
+            if size >= high or (size >= low and zlib.crc32(piece.encode("utf-8", "surrogatepass")) % 8 == 0):
+                out.append(" ".join(held))
+                held, size = [], 0
+    return [*out, " ".join(held)] if held else out
+
+
+def _chosen(text: str) -> list[tuple[int, str]]:
+    """(number, passage) of distinct passages of the whole text, those that hash lowest, DOC_CHARS letters or all there are."""
+    first: dict[str, int] = {}
+    for i, passage in enumerate(passages(text)):
+        first.setdefault(passage, i)
+    out, size = [], 0
+    for passage in sorted(first, key=lambda p: (xxhash.xxh3_64_intdigest(p.encode("utf-8", "surrogatepass")), p)):
+        if size >= DOC_CHARS:
+            break
+        out.append((first[passage], passage))
+        size += len(passage)
+    return sorted(out)
+
+
+def _until_full(rows: list[tuple]) -> list[tuple]:
+    """The first of rows (rank, number, passage) that hold REFERENCE_CHARS letters, each passage once."""
+    out, seen, size = [], set(), 0
+    for row in sorted(rows):
+        if size >= REFERENCE_CHARS:
+            break
+        if row[2] not in seen:
+            seen.add(row[2])
+            out.append(row)
+            size += len(row[2])
+    return out
+
+
+def _sample(known: DataFrame) -> DataFrame:
+    """(lang, rank, number, passage) from (lang, rank, text): for each language
+    and task, passages of the documents that rank lowest.
+
+    A document beyond those that fill a reference in its task is beyond those
+    that fill it in all, so it is not read further.
+    """
+    def run(batches):
+        held: dict[str, list[tuple]] = {}
+        limit: dict[str, int] = {}  # documents that rank higher can't enter
+        for batch in batches:
+            langs, ranks = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for row, (lang, rank) in enumerate(zip(langs, ranks, strict=True)):
+                if lang in limit and rank > limit[lang]:
+                    continue
+                mine = held.setdefault(lang, [])
+                mine += [(rank, number, passage) for number, passage in _chosen(batch.column(2)[row].as_py())]
+                if sum(len(r[2]) for r in mine) >= 4 * REFERENCE_CHARS:
+                    held[lang] = mine = _until_full(mine)
+                    if sum(len(r[2]) for r in mine) >= REFERENCE_CHARS:
+                        limit[lang] = mine[-1][0]
+        rows = [(lang, *r) for lang, mine in held.items() for r in _until_full(mine)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.string(), pa.int64(), pa.int32(), pa.string()))],
+            names=["lang", "rank", "number", "passage"])
+
+    return known.select("lang", "rank", "text").mapInArrow(run, "lang string, rank bigint, number int, passage string")
+
+
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """A model from the rows of ``docs`` with a language and a text.
 
-    Each language's reference is made of the SAMPLE_DOCS documents whose ids
-    hash lowest, the first DOC_CHARS letters of each, REFERENCE_CHARS in all:
-    what reaches the driver is bounded by the number of languages.
+    Each language's reference is made of the documents whose ids and texts
+    hash lowest, as many as it takes: DOC_CHARS letters of each, passages that
+    a hash chooses from the whole text, REFERENCE_CHARS in all.  A passage
+    enters a reference once, so headers that documents share don't fill it.
+    What reaches the driver is bounded by the number of languages.  A language
+    of which no text has a letter stays in the model with an empty reference,
+    in which every letter is a phrase.
     """
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     names = [r[0] for r in known.select(lang_col).distinct().orderBy(lang_col).limit(MAX_LANGUAGES + 1).collect()]
     if len(names) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "head")
-    heads = known.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("id"),
-                         F.substring(text_col, 1, 4 * DOC_CHARS).alias("head"))
-    heads = heads.withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE_DOCS)
+    known = known.select(F.col(lang_col).alias("lang"), F.xxhash64(id_col, text_col).alias("rank"),
+                         F.col(text_col).alias("text"))
+    once = _sample(known).groupBy("lang", "passage").agg(F.min(F.struct("rank", "number")).alias("at"))
+    before = Window.partitionBy("lang").orderBy("at", "passage").rowsBetween(Window.unboundedPreceding, -1)
+    full = F.coalesce(F.sum(F.length("passage")).over(before), F.lit(0)) >= REFERENCE_CHARS
     texts: dict[str, list[str]] = {name: [] for name in names}
-    for row in heads.orderBy("lang", "n").collect():
-        texts[row["lang"]].append(" ".join(_letters(row["head"]).split())[:DOC_CHARS])
-    references = {name: " ".join(t for t in parts if t)[:REFERENCE_CHARS] for name, parts in texts.items()}
-    references = {name: text for name, text in references.items() if text}
+    for row in once.withColumn("full", full).where("NOT full").orderBy("lang", "at", "passage").collect():
+        texts[row["lang"]].append(row["passage"])
+    references = {name: " ".join(parts)[:REFERENCE_CHARS] for name, parts in texts.items()}
     symbols = _symbol_map(list(references.values()))
     sequences = [encode(text, symbols) for text in references.values()]
     return Model(symbols, tuple(references), tuple(automaton(s) for s in sequences),
-                 tuple(float(np.log2(len(s) + 1)) for s in sequences))
+                 tuple(float(np.log2((len(s) or REFERENCE_CHARS) + 1)) for s in sequences))
 
 
 def phrases(sequences: list[np.ndarray], tables: tuple[np.ndarray, ...]) -> np.ndarray:
