@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillroll.llm.bitplanes import OP11_SQL, op11_centroid_clustering
 from tillroll.llm.decontaminate import op1_decontaminate
 from tillroll.llm.fingerprints import op10_document_fingerprints
 from tillroll.llm.language_id import op8_language_id
@@ -29,7 +30,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_language_id,
         op9_mixing,
         op10_document_fingerprints,
+        op11_centroid_clustering,
     )
 }
 
-ORACLE: dict[str, str] = {"op3_warc": OP3_SQL, "op5_url_filter": OP5_SQL, "op9_mixing": OP9_SQL}
+ORACLE: dict[str, str] = {"op3_warc": OP3_SQL, "op5_url_filter": OP5_SQL, "op9_mixing": OP9_SQL,
+                          "op11_centroid_clustering": OP11_SQL}
