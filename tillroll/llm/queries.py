@@ -13,6 +13,7 @@ from tillroll.llm.language_id import op8_language_id
 from tillroll.llm.line_dedup import op4_line_dedup
 from tillroll.llm.mixing import OP9_SQL, op9_mixing
 from tillroll.llm.simhash_dedup import op2_simhash_dedup
+from tillroll.llm.spelling import OP13_SQL, op13_spelling_variants
 from tillroll.llm.token_counts import op7_token_counts
 from tillroll.llm.toxicity import op6_toxicity
 from tillroll.llm.url_filter import OP5_SQL, op5_url_filter
@@ -31,8 +32,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_mixing,
         op10_document_fingerprints,
         op11_centroid_clustering,
+        op13_spelling_variants,
     )
 }
 
 ORACLE: dict[str, str] = {"op3_warc": OP3_SQL, "op5_url_filter": OP5_SQL, "op9_mixing": OP9_SQL,
-                          "op11_centroid_clustering": OP11_SQL}
+                          "op11_centroid_clustering": OP11_SQL, "op13_spelling_variants": OP13_SQL}
