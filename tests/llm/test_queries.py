@@ -26,7 +26,7 @@ def test_matches_oracle(spark, name):
 
 def test_registered():
     names = set(entry.queries())
-    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 11))
+    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 14))
     assert set(queries.ORACLE) <= set(entry.oracle_sql()) and duckdb is not None
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tillroll.llm.bitplanes import OP11_SQL, op11_centroid_clustering
 from tillroll.llm.decontaminate import op1_decontaminate
 from tillroll.llm.fingerprints import op10_document_fingerprints
+from tillroll.llm.html_text import OP12_SQL, op12_html_extraction
 from tillroll.llm.language_id import op8_language_id
 from tillroll.llm.line_dedup import op4_line_dedup
 from tillroll.llm.mixing import OP9_SQL, op9_mixing
@@ -32,9 +33,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_mixing,
         op10_document_fingerprints,
         op11_centroid_clustering,
+        op12_html_extraction,
         op13_spelling_variants,
     )
 }
 
 ORACLE: dict[str, str] = {"op3_warc": OP3_SQL, "op5_url_filter": OP5_SQL, "op9_mixing": OP9_SQL,
-                          "op11_centroid_clustering": OP11_SQL, "op13_spelling_variants": OP13_SQL}
+                          "op11_centroid_clustering": OP11_SQL, "op12_html_extraction": OP12_SQL,
+                          "op13_spelling_variants": OP13_SQL}
