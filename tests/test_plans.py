@@ -7,7 +7,7 @@ from tests.conftest import SF01
 import __spark_entry__ as entry
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas")
-ML_OR_PANDAS = {"kmeans_segments", "kmeans_sweep", "forest_scores", "forest_importances", "forest_metrics",
+ML_OR_PANDAS = {"kmeans_segments", "kmeans_sweep", "forest_scores", "forest_importances", "forest_metrics", "forest_nodes", "kmeans_fixed_fit",
                 "ridge_forecast", "kpi_payload"}
 
 

@@ -8,15 +8,12 @@ k-row label table is the only broadcast and its size is k.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, SparkSession, Window
+import numpy as np
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.money import cents_to_double, div_round, to_cents
+from tillroll.operators import lloyd, scoring
 
 RFM = ["Recency", "Frequency", "Monetary"]
 Z = ["zRecency", "zFrequency", "zMonetary"]
@@ -31,17 +28,21 @@ FIXED_CENTROIDS = [(-0.5, 1.0, 1.0), (-0.5, 0.0, 0.0), (0.5, -0.5, -0.5), (2.0,
 Z_DIGITS = 9
 
 
+def scaling_statistics() -> F.Column:
+    """Means and population deviations of R, F, M; each mean divides an exact sum once."""
+    return F.struct(
+        *[(F.sum(F.col(c)).cast("double") / F.count(c)).alias(f"m{i}") for i, c in enumerate(RFM)],
+        *[F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(RFM)])
+
+
 def standardise(features: DataFrame) -> DataFrame:
     """M1: z-scores with population std, rounded to 9 places.
 
     All six statistics come from one scalar subquery over the customer
-    table.  Each mean divides an exact sum once; the rounding makes the
-    scores independent of the accumulation order of the std.
+    table; the rounding makes the scores independent of the accumulation
+    order of the std.
     """
-    stats = features.select(F.struct(
-        *[(F.sum(F.col(c)).cast("double") / F.count(c)).alias(f"m{i}") for i, c in enumerate(RFM)],
-        *[F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(RFM)],
-    )).scalar()
+    stats = features.select(scaling_statistics()).scalar()
     out = features.withColumn("_stats", stats)  # one subquery, whatever reads it
     scores = {}
     for i, (c, z) in enumerate(zip(RFM, Z)):
@@ -163,81 +164,73 @@ def segment_share(segments: DataFrame) -> DataFrame:
     return share_of(segments, "CustomerSegment")
 
 
-# ---------------------------------------------------------------- MLlib fit
-#: Partitions of the training vectors.  A setting of the model, not of the
-#: data: initialisation draws per partition, so a count that followed the rows
-#: would change the model with the input's size.
-FIT_PARTITIONS = 8
-#: Lloyd steps after which a fit that still moves is an error, never a result.
-STEP_LIMIT = 10_000
-TOLERANCE = 1e-4
+# ------------------------------------------------------------------- fits
+UNIT = float(10 ** Z_DIGITS)
+_AXES = ["u0", "u1", "u2"]
 
 
-def _vectors(scaled: DataFrame) -> DataFrame:
-    return VectorAssembler(inputCols=Z, outputCol="features").transform(scaled)
+def _fits(scaled: DataFrame, ks: list[int], seed: int, restarts: int):
+    """The points, and for each k the centroids of the restart with the lowest
+    training cost (ties to the earliest seed).  All k and seeds share the scans."""
+    pts = lloyd.points(scaled, Z, Z_DIGITS).persist()
+    seeds = [seed + i for i in range(restarts)]
+    drawn = lloyd.hash_starts(pts, max(ks), seeds)
+    fitted = lloyd.fit(pts, {(k, s): drawn[s][:k] for k in ks for s in seeds}, UNIT)
+    names = list(fitted)
+    found = {i: fitted[m][0] for i, m in enumerate(names)}
+    cost = lloyd.costs(_assigned(pts, found), _AXES, found, UNIT, "model")
+    best = {k: min((i for i, m in enumerate(names) if m[0] == k), key=lambda i: (round(cost[i], 6), names[i][1]))
+            for k in ks}
+    return pts, {k: found[i] for k, i in best.items()}, {k: cost[i] for k, i in best.items()}
 
 
-def _training_data(scaled: DataFrame, partitions: int) -> DataFrame:
-    """Feature vectors in an order and partitioning that depend on the customers alone."""
-    return (_vectors(scaled).repartition(partitions, "CustomerID").sortWithinPartitions("CustomerID")
-            .select("features").persist())
+def _assigned(pts: DataFrame, centroids: dict) -> DataFrame:
+    """(model, Cluster, u0, u1, u2): every point once for each model, lowest cluster on ties."""
+    def distance(c):
+        terms = [(F.col(a) - c[i]) * (F.col(a) - c[i]) for i, a in enumerate(_AXES)]
+        return terms[0] + terms[1] + terms[2]
 
+    models = F.array(*[F.struct(F.lit(m).alias("model"), F.array(*[F.array(*[F.lit(float(v)) for v in row]) for row in c])
+                                .alias("c")) for m, c in centroids.items()])
+    nearest = F.transform(models, lambda m: F.struct(
+        m["model"].alias("model"), F.array_min(F.transform(m["c"], lambda c, j: F.struct(distance(c).alias("d"), j.alias("j"))))["j"]
+        .alias("Cluster")))
+    return pts.select(F.inline(nearest), *_AXES)
 
-def _fit_restarts(data: DataFrame, ks: list[int], seed: int, restarts: int) -> dict:
-    """For each k the model of ``restarts`` seeds with the lowest training
-    cost, ties to the earliest seed.  Every fit runs until its centroids move
-    less than TOLERANCE; fits of all k and seeds are submitted concurrently."""
-    def fit(task):
-        k, s = task
-        model = KMeans(k=k, seed=s, maxIter=STEP_LIMIT, tol=TOLERANCE, featuresCol="features",
-                       predictionCol="Cluster").fit(data)
-        if model.summary.numIter >= STEP_LIMIT:
-            raise RuntimeError(f"k-means with k={k}, seed={s} did not converge")
-        return k, model.summary.trainingCost, s, model
 
-    tasks = [(k, seed + i) for k in ks for i in range(restarts)]
-    with ThreadPoolExecutor(max_workers=min(len(tasks), 8)) as pool:
-        fitted = list(pool.map(fit, tasks))
-    return {k: min((f for f in fitted if f[0] == k), key=lambda f: (f[1], f[2]))[3] for k in ks}
+def fit_kmeans(features: DataFrame, k: int = 4, seed: int = 42, restarts: int = 10):
+    """K-means with ``restarts`` hash-drawn starts, the lowest training
+    cost kept, as one saved-ready chain of scaling, assignment and labels."""
+    pts, centroids, _ = _fits(standardise(features), [k], seed, restarts)
+    pts.unpersist()
+    return scoring.segment_chain(features, (centroids[k] / UNIT).tolist())
 
 
-def fit_kmeans(scaled: DataFrame, k: int = 4, seed: int = 42, restarts: int = 10,
-               partitions: int = FIT_PARTITIONS):
-    """M2: k-means with ``restarts`` seeds; keep the lowest training cost.
+def fixed_fit(features: DataFrame, centroids=FIXED_CENTROIDS) -> DataFrame:
+    """M2 from given starts until no centroid moves: (Cluster, Steps, centroid in standardised space)."""
+    pts = lloyd.points(standardise(features), Z, Z_DIGITS).persist()
+    found, steps = lloyd.fit(pts, {"fixed": np.array(centroids) * UNIT}, UNIT, tolerance=0.0)["fixed"]
+    pts.unpersist()
+    rows = [(j, steps, *(round(float(v) / UNIT, Z_DIGITS) for v in c)) for j, c in enumerate(found)]
+    return features.sparkSession.createDataFrame(
+        rows, "Cluster long, Steps long, c_zRecency double, c_zFrequency double, c_zMonetary double")
 
-    Each fit is a distributed MLlib job over the cached feature vectors; the
-    restarts are submitted concurrently (Spark schedules jobs from several
-    driver threads) and only the k centroids and the cost reach the driver.
-    ``model.summary.numIter`` tells how many steps the kept fit took.
-    """
-    data = _training_data(scaled, partitions)
-    try:
-        return _fit_restarts(data, [k], seed, restarts)[k]
-    finally:
-        data.unpersist()
-
-
-def kmeans_segments(features: DataFrame, k: int = 4, seed: int = 42, restarts: int = 10,
-                    model=None) -> DataFrame:
-    """M2 + M3 + M5 + M6: fitted segmentation of every customer.  The k
-    fitted centroids are inlined into the assignment projection."""
-    scaled = standardise(features)
-    if model is None:
-        model = fit_kmeans(scaled, k=k, seed=seed, restarts=restarts)
-    centroids = [tuple(float(v) for v in c) for c in model.clusterCenters()]
-    return attach_labels(assign(scaled, centroids))
-
-
-def kmeans_sweep(spark: SparkSession, features: DataFrame, ks=range(2, 9), seed: int = 42,
-                 restarts: int = 10, partitions: int = FIT_PARTITIONS) -> DataFrame:
+
+def kmeans_segments(features: DataFrame, model=None, **settings) -> DataFrame:
+    """M2 + M3 + M5 + M6: fitted segmentation of every customer, by a saved chain or a new fit."""
+    return (model or fit_kmeans(features, **settings)).transform(features).select(*SEGMENT_COLUMNS)
+
+
+def fixed_silhouette(features: DataFrame) -> DataFrame:
+    """M7 for the fixed-centroid clusters."""
+    assigned = assign(standardise(features), FIXED_CENTROIDS)
+    return lloyd.silhouette(lloyd.points(assigned, Z, Z_DIGITS, "Cluster"), _AXES, UNIT)
+
+
+def kmeans_sweep(features: DataFrame, ks=range(2, 9), seed: int = 42, restarts: int = 10) -> DataFrame:
     """M7: elbow (training cost) and silhouette for each k, with the restarts
     and settings of ``fit_kmeans``: at the same k it is the same model."""
-    data = _training_data(standardise(features), partitions)
-    evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="Cluster")
-    try:
-        models = _fit_restarts(data, list(ks), seed, restarts)
-        rows = [(int(k), float(model.summary.trainingCost), float(evaluator.evaluate(model.transform(data))))
-                for k, model in models.items()]
-    finally:
-        data.unpersist()
-    return spark.createDataFrame(rows, "k long, TrainingCost double, Silhouette double")
+    pts, centroids, cost = _fits(standardise(features), list(ks), seed, restarts)
+    rows = features.sparkSession.createDataFrame([(k, float(cost[k])) for k in ks], "model int, TrainingCost double")
+    score = lloyd.silhouette(_assigned(pts, centroids), _AXES, UNIT, by=["model"])
+    return rows.join(F.broadcast(score), "model").select(F.col("model").cast("long").alias("k"), "TrainingCost", "Silhouette")

@@ -15,7 +15,7 @@ import argparse
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.operators import campaigns, churn, cleaning, features, forecast, kpi, marts
+from tillroll.operators import campaigns, churn, cleaning, features, forecast, kpi, marts, scoring
 from tillroll.operators import segments as seg
 from tillroll.sources import sinks
 from tillroll.sources.csv_io import write_csv
@@ -36,15 +36,14 @@ def run(spark: SparkSession, sf_dir: str, out: str) -> dict[str, str]:
     sinks.write_table(features.customer_features(tx, as_text=False), paths["customer_features"])
     feats = spark.read.parquet(paths["customer_features"])
 
-    scaled = seg.standardise(feats)
-    km = seg.fit_kmeans(scaled)
-    km.write().overwrite().save(paths["models/kmeans"])
+    km = seg.fit_kmeans(feats)
+    scoring.save(km, paths["models/kmeans"])
     sinks.write_table(seg.kmeans_segments(feats, model=km), paths["customer_segments"])
     segments = spark.read.parquet(paths["customer_segments"])
 
     split = churn.with_split(churn.label(feats))
     rf = churn.fit_forest(split)
-    rf.write().overwrite().save(paths["models/forest"])
+    scoring.save(scoring.forest_chain(rf), paths["models/forest"])
     sinks.write_table(churn.predictions_table(churn.forest_scores(split, rf)), paths["churn_predictions"])
     preds = spark.read.parquet(paths["churn_predictions"])
     write_csv(churn.high_risk_list(preds), paths["churn_action_list"])

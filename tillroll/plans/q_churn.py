@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillroll.operators import churn
+from tillroll.operators import churn, forest
 from tillroll.operators import features as feat
 from tillroll.operators import segments as seg
 from tillroll.plans import sqlfrag as S
 from tillroll.plans.q_segments import LABEL_CTES, SCALED_CTES, ASSIGN_CTE
 from tillroll.plans.registry import present, register
+from tillroll.session import temporary_path
 from tillroll.sources.stages import source_inputs, stage_model
 from tillroll.sources.tables import churn_split, customer_table, segment_table, transactions
 
@@ -266,6 +267,48 @@ def q_forest_metrics(spark, sf_dir):
     return churn.classification_metrics(scored).withColumn("AUC", auc)
 
 
+@register("forest_nodes")
+def q_forest_nodes(spark, sf_dir):
+    """P5: the fitted forest as one row a node."""
+    _, model = _forest(spark, sf_dir)
+    path = temporary_path(spark)
+    model.write().overwrite().save(path)
+    return present(forest.node_table(spark, path))
+
+
+#: A small forest as constants (tree, node, feature, threshold, left, right, weight 0, weight 1): the
+#: weights of a leaf add up to a power of two, so that shares are exact.
+CONSTANT_FOREST = [
+    (0, 0, "Frequency", 8.5, 1, 2, 32.0, 32.0), (0, 1, None, 0.0, -1, -1, 4.0, 12.0),
+    (0, 2, "CustomerTenureDays", 2200.0, 3, 4, 28.0, 20.0), (0, 3, None, 0.0, -1, -1, 14.0, 2.0),
+    (0, 4, None, 0.0, -1, -1, 6.0, 10.0),
+    (1, 0, "AvgDaysBetweenOrders", 180.0, 1, 2, 32.0, 32.0), (1, 1, None, 0.0, -1, -1, 24.0, 8.0),
+    (1, 2, None, 0.0, -1, -1, 10.0, 22.0),
+    (2, 0, "Monetary", 1500000.0, 1, 2, 8.0, 8.0), (2, 1, "UniqueCategories", 20.0, 3, 4, 5.0, 3.0),
+    (2, 2, None, 0.0, -1, -1, 3.0, 5.0), (2, 3, None, 0.0, -1, -1, 3.0, 1.0), (2, 4, None, 0.0, -1, -1, 1.0, 3.0),
+    (3, 0, None, 0.0, -1, -1, 1.0, 1.0)]
+
+
+def _tree_sql(tree: int, node: int = 0) -> str:
+    """One tree of the constant forest as nested CASE."""
+    _, _, feature, threshold, left, right, w0, w1 = next(r for r in CONSTANT_FOREST if r[:2] == (tree, node))
+    if feature is None:
+        return f"CAST({w1 / (w0 + w1)!r} AS DOUBLE)"
+    return (f"CASE WHEN CAST({feature} AS DOUBLE) <= {threshold!r} THEN {_tree_sql(tree, left)} "
+            f"ELSE {_tree_sql(tree, right)} END")
+
+
+@register("constant_forest", SCORED + f"""
+SELECT CustomerID, ({' + '.join(_tree_sql(t) for t in range(4))}) / 4 AS ProbRaw
+FROM (SELECT *, CAST(g10 AS DOUBLE) / 10 AS AvgDaysBetweenOrders FROM g)""")
+def q_constant_forest(spark, sf_dir):
+    """Every customer scored by the node table of a forest written as constants."""
+    rows = [(t, n, churn.FEATURE_COLS.index(f) if f else -1, x, left, right, 0.0, w0, w1)
+            for t, n, f, x, left, right, w0, w1 in CONSTANT_FOREST]
+    nodes = spark.createDataFrame(rows, forest.NODE_SCHEMA)
+    return forest.score(_features(spark, sf_dir), nodes, churn.FEATURE_COLS, depth=2).select("CustomerID", "ProbRaw")
+
+
 @register("churn_predictions_head", SCORED + f"""
 SELECT {PRED_SELECT} FROM banded ORDER BY CustomerID LIMIT 5""")
 def q_churn_predictions_head(spark, sf_dir):

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillroll.operators import features as feat
+from tillroll.operators import scoring
 from tillroll.operators import segments as seg
 from tillroll.plans import sqlfrag as S
 from tillroll.plans.registry import present, register
+from tillroll.session import temporary_path
 from tillroll.sources.stages import source_inputs, stage_model
 from tillroll.sources.tables import customer_table, transactions
 from tillroll.sources.tables import segment_table as segments_stage
@@ -161,24 +162,81 @@ def q_rfm_scatter(spark, sf_dir):
 
 
 def kmeans_model(spark, sf_dir, k: int = 4, seed: int = 42, restarts: int = 10):
-    """The fitted k-means model, trained once per input version."""
-    from pyspark.ml.clustering import KMeansModel
+    """The fitted segmentation chain, trained once per input version."""
+    from pyspark.ml import PipelineModel
     f = _features(spark, sf_dir)
     return stage_model(spark, f"kmeans-k{k}-s{seed}-r{restarts}", source_inputs(sf_dir),
-                       lambda: seg.fit_kmeans(seg.standardise(f), k=k, seed=seed, restarts=restarts),
-                       KMeansModel)
+                       lambda: seg.fit_kmeans(f, k=k, seed=seed, restarts=restarts), PipelineModel)
 
 
 @register("kmeans_segments")
 def q_kmeans_segments(spark, sf_dir):
-    """M2-M6 with the MLlib fit (10 restarts, lowest cost kept)."""
+    """M2-M6 with the fitted centroids (10 restarts, lowest cost kept)."""
     return present(seg.kmeans_segments(_features(spark, sf_dir), model=kmeans_model(spark, sf_dir)))
 
 
 @register("kmeans_sweep")
 def q_kmeans_sweep(spark, sf_dir):
     """M7: elbow and silhouette over k = 2..8."""
-    return seg.kmeans_sweep(spark, _features(spark, sf_dir))
+    return seg.kmeans_sweep(_features(spark, sf_dir))
+
+
+UNITS = f"""pts AS MATERIALIZED (
+  SELECT Cluster, {', '.join(f'CAST(round({z} * 1e{seg.Z_DIGITS}) AS BIGINT) AS u{i}' for i, z in enumerate(seg.Z))}
+  FROM assigned)"""
+_STARTS = ", ".join(f"({j}, " + ", ".join(f"{v!r} * 1e{seg.Z_DIGITS}" for v in c) + ")"
+                    for j, c in enumerate(seg.FIXED_CENTROIDS))
+
+
+@register("kmeans_fixed_fit", S.with_ctes(*SCALED_CTES, ASSIGN_CTE, UNITS).replace("WITH ", "WITH RECURSIVE ", 1) + f""",
+fit AS (
+  SELECT 0 AS step, j AS k, CAST(a AS DOUBLE) AS c0, CAST(b AS DOUBLE) AS c1, CAST(c AS DOUBLE) AS c2, true AS moved
+  FROM (VALUES {_STARTS}) AS t(j, a, b, c)
+  UNION ALL
+  SELECT step + 1, k, n0, n1, n2, bool_or(n0 <> c0 OR n1 <> c1 OR n2 <> c2) OVER ()
+  FROM (
+    SELECT f.step, f.k, f.c0, f.c1, f.c2, coalesce(CAST(s0 AS DOUBLE) / n, f.c0) AS n0,
+           coalesce(CAST(s1 AS DOUBLE) / n, f.c1) AS n1, coalesce(CAST(s2 AS DOUBLE) / n, f.c2) AS n2
+    FROM fit f LEFT JOIN (
+      SELECT best.j AS j, count(*) AS n, sum(u0) AS s0, sum(u1) AS s1, sum(u2) AS s2
+      FROM (SELECT u0, u1, u2, (SELECT min({{'d': (u0 - g.c0) * (u0 - g.c0) + (u1 - g.c1) * (u1 - g.c1)
+                                               + (u2 - g.c2) * (u2 - g.c2), 'j': g.k}}) FROM fit g) AS best FROM pts)
+      GROUP BY best.j) m ON m.j = f.k
+    WHERE f.moved))
+SELECT CAST(k AS BIGINT) AS Cluster, CAST(step AS BIGINT) AS Steps, round(c0 / 1e{seg.Z_DIGITS}, {seg.Z_DIGITS}) AS c_zRecency,
+       round(c1 / 1e{seg.Z_DIGITS}, {seg.Z_DIGITS}) AS c_zFrequency, round(c2 / 1e{seg.Z_DIGITS}, {seg.Z_DIGITS}) AS c_zMonetary
+FROM fit WHERE step = (SELECT max(step) FROM fit)""")
+def q_kmeans_fixed_fit(spark, sf_dir):
+    """M2: a whole fit from the fixed starting centroids."""
+    return seg.fixed_fit(_features(spark, sf_dir))
+
+
+@register("fixed_silhouette", S.with_ctes(*SCALED_CTES, ASSIGN_CTE, UNITS) + """
+, m AS (SELECT Cluster AS c, CAST(count(*) AS DOUBLE) AS n, CAST(sum(u0) AS DOUBLE) / 1e9 AS y0,
+               CAST(sum(u1) AS DOUBLE) / 1e9 AS y1, CAST(sum(u2) AS DOUBLE) / 1e9 AS y2,
+               CAST(sum(CAST(u0 AS HUGEINT) * u0 + CAST(u1 AS HUGEINT) * u1 + CAST(u2 AS HUGEINT) * u2) AS DOUBLE)
+                 / 1e9 / 1e9 AS q FROM pts GROUP BY Cluster),
+x AS (SELECT row_number() OVER () AS id, Cluster, u0 / 1e9 AS x0, u1 / 1e9 AS x1, u2 / 1e9 AS x2 FROM pts),
+apart AS (
+  SELECT id, Cluster, c, n, greatest(n * (x0 * x0 + x1 * x1 + x2 * x2) + q - 2.0 * (x0 * y0 + x1 * y1 + x2 * y2), 0.0) AS d
+  FROM x CROSS JOIN m),
+ab AS (
+  SELECT id, max(CASE WHEN c = Cluster THEN n END) AS n, max(CASE WHEN c = Cluster AND n > 1 THEN d / (n - 1) END) AS a,
+         min(CASE WHEN c <> Cluster THEN d / n END) AS b FROM apart GROUP BY id)
+SELECT round(avg(CASE WHEN b IS NULL THEN NULL WHEN n = 1 OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END), 6)
+         AS Silhouette FROM ab""")
+def q_fixed_silhouette(spark, sf_dir):
+    """M7: exact silhouette of the fixed-centroid clusters from cluster moments."""
+    return seg.fixed_silhouette(_features(spark, sf_dir))
+
+
+@register("scored_from_disk", S.with_ctes(*SEGMENTS_CTES) + """
+SELECT CustomerID, zRecency, zFrequency, zMonetary, CAST(Cluster AS BIGINT) AS Cluster, CustomerSegment FROM segments""")
+def q_scored_from_disk(spark, sf_dir):
+    """The fixed-centroid chain saved, loaded, and every customer scored by it."""
+    f = _features(spark, sf_dir)
+    chain = scoring.load(scoring.save(scoring.segment_chain(f, seg.FIXED_CENTROIDS), temporary_path(spark)))
+    return present(chain.transform(f).select("CustomerID", *seg.Z, "Cluster", "CustomerSegment"))
 
 
 SLICE = ["High-Value VIPs", "Loyal Regulars"]
