@@ -174,14 +174,13 @@ def _fits(scaled: DataFrame, ks: list[int], seed: int, restarts: int):
     training cost (ties to the earliest seed).  All k and seeds share the scans."""
     pts = lloyd.points(scaled, Z, Z_DIGITS).persist()
     seeds = [seed + i for i in range(restarts)]
-    drawn = lloyd.hash_starts(pts, max(ks), seeds)
-    fitted = lloyd.fit(pts, {(k, s): drawn[s][:k] for k in ks for s in seeds}, UNIT)
-    names = list(fitted)
-    found = {i: fitted[m][0] for i, m in enumerate(names)}
-    cost = lloyd.costs(_assigned(pts, found), _AXES, found, UNIT, "model")
-    best = {k: min((i for i, m in enumerate(names) if m[0] == k), key=lambda i: (round(cost[i], 6), names[i][1]))
-            for k in ks}
-    return pts, {k: found[i] for k, i in best.items()}, {k: cost[i] for k, i in best.items()}
+    sample = lloyd.hash_sample(pts, lloyd.SAMPLE, seed)
+    drawn = lloyd.hash_starts(sample, max(ks), seeds)
+    warm = lloyd.warm(sample, {(k, s): drawn[s][:k] for k in ks for s in seeds}, UNIT, tolerance=0.0)
+    found = {m: c for m, (c, _) in lloyd.fit(pts, lloyd.distinct(dict(sorted(warm.items()))), UNIT).items()}
+    cost = lloyd.costs(pts, found, UNIT)
+    best = {k: min((m for m in found if m[0] == k), key=lambda m: (round(cost[m], 6), m[1])) for k in ks}
+    return pts, {k: found[m] for k, m in best.items()}, {k: cost[m] for k, m in best.items()}
 
 
 def _assigned(pts: DataFrame, centroids: dict) -> DataFrame:
