@@ -12,7 +12,20 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Bytes of text that Arrow hands a Python worker at once; a batch lies in the JVM, in the worker and as
+#: Python strings at the same time.
+BATCH_BYTES = "4m"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by bytes, unless the session sets its own bound."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.sparkContext.getConf().get(key) is None:
+        spark.conf.set(key, BATCH_BYTES)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
