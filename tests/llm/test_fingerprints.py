@@ -74,3 +74,39 @@ def test_no_python_in_the_plan(spark):
     rows = frame(spark, odd_documents(), clashing=False).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     plan = P.simhash(rows, ["doc_id"], "text")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def plain_simhash(text):
+    """The fingerprint in plain Python: words with their followers, weighted by length, voting by Spark's xxHash64."""
+    import re
+    import xxhash
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", text.lower().strip(" \t\n\x0b\x0c\r")) if w]
+    votes, total = [0] * 64, 0
+    for a, b in zip(words, words[1:] + [None]):
+        h = xxhash.xxh64_intdigest(a.encode(), 42)
+        if b is not None:
+            h = xxhash.xxh64_intdigest(b.encode(), h)
+        weight = min(64, len(a) + len(b or ""))
+        total += weight
+        votes = [v + weight * (h >> i & 1) for i, v in enumerate(votes)]
+    return f"{sum(1 << i for i, v in enumerate(votes) if 2 * v > total):016x}"
+
+
+def test_fingerprints_equal_plain_simhash(spark):
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()}
+    rows = P.op10_document_fingerprints(spark, SF001).collect()
+    assert len(rows) == len(texts)
+    assert {r["doc_id"]: r["fingerprint"] for r in rows} == {i: plain_simhash(t) for i, t in texts.items()}
+
+
+def test_copies_vote_once_and_full_counters_are_an_error(spark, monkeypatch):
+    """Copies that together weigh more than a counter holds leave the fingerprint
+    as it is; one group of such weight is refused."""
+    monkeypatch.setattr(P, "MOST", 20_000)
+    text = " ".join(f"word{i}" for i in range(400))
+    one = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    many = one.select(F.explode(F.sequence(F.lit(1), F.lit(50))), "doc_id", "text").drop("col")
+    alone, copied = (P.edited_fingerprints(df).select("fingerprint", "edited_fingerprint").collect() for df in (one, many))
+    assert len(copied) == 50 and set(copied) == set(alone)
+    with pytest.raises(Exception, match="2\\^31"):
+        P.simhash(many, ["doc_id"], "text").collect()

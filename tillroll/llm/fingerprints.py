@@ -15,6 +15,7 @@ RADIUS = 3
 #: Blocks of a fingerprint; a table fixes ``BLOCKS - RADIUS`` of them.
 BLOCKS = 6
 _PAIR = 0x0000000100000001  # two 32-bit vote counters in a long
+MOST = 1 << 31  # weight that a counter holds
 
 
 def terms(text: Column) -> Column:
@@ -29,8 +30,10 @@ def simhash(rows: DataFrame, keys: list[str], text_col: str) -> DataFrame:
     A term is a word with its follower; its weight is its number of characters,
     at most 64, so that longer, rarer words count for more.  Every term votes
     its weight for each bit of its hash; a bit is set when it gets over half
-    of all weight.  Thirty-two sums hold the 64 counters, two to a long.  A
-    text without words votes nothing and gets zero.
+    of all weight.  Thirty-two sums hold the 64 counters, two to a long; a
+    group whose weight reaches 2^31, where a counter could run into its
+    neighbour, is an error, never a wrong fingerprint.  A text without words
+    votes nothing and gets zero.
     """
     words = rows.select(*keys, F.inline(terms(F.col(text_col)))).toDF(*keys, "_a", "_b")
     weight = F.least(F.lit(64), F.length("_a") + F.coalesce(F.length("_b"), F.lit(0))).cast("long")
@@ -38,6 +41,8 @@ def simhash(rows: DataFrame, keys: list[str], text_col: str) -> DataFrame:
     sums = [F.sum(F.shiftrightunsigned("_h", g).bitwiseAND(F.lit(_PAIR)) * F.col("_w")).alias(f"_v{g}")
             for g in range(BITS // 2)]
     counted = votes.groupBy(*keys).agg(F.sum("_w").alias("_n"), *sums)
+    counted = counted.withColumn("_n", F.when(F.col("_n") < F.lit(MOST).cast("long"), F.col("_n")).otherwise(
+        F.raise_error(F.lit("the words of one group weigh 2^31 or more"))))
     fp = F.lit(0).cast("long")
     for g in range(BITS // 2):
         low = F.col(f"_v{g}").bitwiseAND(F.lit(0xFFFFFFFF))
@@ -83,6 +88,11 @@ def _document_key(id_col: str) -> Column:
     return F.md5(F.concat_ws("|", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.col("text")))
 
 
+def _parts(digest: Column, name: str, n: int) -> list[Column]:
+    """A hexadecimal digest as n longs of 16 digits each: name0, name1, ..."""
+    return [F.conv(F.substring(digest, 1 + 16 * i, 16), 16, -10).cast("long").alias(f"{name}{i}") for i in range(n)]
+
+
 def ring(heads: DataFrame) -> DataFrame:
     """``heads`` (key, doc_id, ...) with ``next_key``: the key after it in
     ascending (doc_id, key), nulls last, and the first after the last.
@@ -112,7 +122,9 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     first follows the last.  A null text is empty.  Documents without an id
     come last in the order; documents that share an id follow each other by a
     digest of id and text; rows equal in id and text are one document listed
-    again and get the same result each.  A single document follows itself.
+    again: its words vote once, and each row gets the same result.  A single
+    document follows itself; an empty table gives no rows; a text may have up
+    to 2^29 characters (see ``simhash``).
     Other columns are not read.  Returns one row per input row: doc_id,
     n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
     near_next, and ``within_radius``: how many other rows have a fingerprint
@@ -123,6 +135,7 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     texts = texts.select(_document_key("doc_id").alias("key"), "doc_id", "text")
     heads = texts.groupBy("key", "doc_id", F.length("text").alias("n_chars")).agg(F.count("*").alias("copies"))
     heads = materialize(ring(heads), "heads")
+    texts = texts.groupBy("key").agg(F.first("text").alias("text"))  # one row a document, whatever its copies
 
     gives = heads.select(F.col("next_key").alias("key"), F.col("key").alias("to_key"),
                          F.floor(F.col("n_chars") / 4).cast("int").alias("taken"))
@@ -133,11 +146,14 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     both = texts.join(sent, "key").select(
         "key", "text", F.concat(F.expr("substring(text, 1, length(text) - int(floor(length(text) / 4)))"),
                                 F.col("tail")).alias("edited"))
-    sides = both.select("key", F.sha2("edited", 256).alias("sha"), F.explode(F.array(
+    # the votes of a side are counted under longs: the parts of its key's and its edited text's digests
+    sides = both.select(*_parts(F.col("key"), "k", 2), *_parts(F.sha2("edited", 256), "s", 4), F.explode(F.array(
         F.struct(F.lit(0).alias("side"), F.col("text").alias("body")),
         F.struct(F.lit(1).alias("side"), F.col("edited").alias("body")))).alias("s"))
-    prints = materialize(simhash(sides.select("key", "sha", "s.side", "s.body"), ["key", "sha", "side"], "body"),
-                         "prints")
+    keys = ["k0", "k1", "s0", "s1", "s2", "s3", "side"]
+    prints = materialize(simhash(sides.select(*keys[:-1], "s.side", "s.body"), keys, "body"), "prints")
+    whole = lambda *parts: F.concat(*(hex16(F.col(c)) for c in parts))
+    prints = prints.select(whole("k0", "k1").alias("key"), whole("s0", "s1", "s2", "s3").alias("sha"), "side", "fp")
     own = prints.where("side = 0").select("key", "sha", F.col("fp").alias("own_fp"))
     edited = prints.where("side = 1").select("key", F.col("fp").alias("edited_fp"))
     after = own.select(F.col("key").alias("next_key"), F.col("own_fp").alias("next_fp"))
