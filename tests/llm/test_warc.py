@@ -70,3 +70,33 @@ def test_unresolved_revisit_raises(spark):
     lonely = W.read_archives(spark, path).where("record_type = 'revisit'")
     with pytest.raises(Exception, match="unresolved revisit"):
         W.resolve(lonely).collect()
+
+
+def test_reads_every_member(spark, tmp_path):
+    """One gzip member a record, all records in one member, no compression: the same records."""
+    import base64
+    import gzip
+    blocks = [b"HTTP/1.1 200 OK\r\nA: b\r\n\r\n" + bytes([65 + i]) * (70_000 * i) for i in range(6)]
+    records = []
+    for i, block in enumerate(blocks):
+        payload = block.partition(b"\r\n\r\n")[2]
+        sha = hashlib.sha1(payload)
+        digest = ["sha1:" + sha.hexdigest(), "sha1:" + base64.b32encode(sha.digest()).decode(), None][i % 3]
+        head = ["WARC/1.0", "WARC-Type: response", f"WARC-Record-ID: <urn:x:{i}>", "Content-Type: application/http; msgtype=response",
+                f"Content-Length:{len(block)}"] + ([f"WARC-Payload-Digest: {digest}"] if digest else [])
+        records.append("\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n")
+    info = b"WARC/1.0\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:x:info>\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    records.insert(0, info)
+    for name, data in (("each", b"".join(map(gzip.compress, records))), ("one", gzip.compress(b"".join(records))),
+                       ("mixed", gzip.compress(records[0]) + gzip.compress(b"".join(records[1:])) + b"\0" * 9),
+                       ("plain", b"".join(records))):
+        folder = tmp_path / name
+        folder.mkdir()
+        (folder / "a.warc.gz").write_bytes(data)
+        got = W.read_archives(spark, str(folder), "*.warc.gz").collect()
+        assert [r["record_id"] for r in got] == ["urn:x:info"] + [f"urn:x:{i}" for i in range(6)]
+        assert [r["payload_bytes"] for r in got] == [3] + [70_000 * i for i in range(6)]
+        assert all(r["block_digest"] == r["header_digest"] for r in got)
+    (folder / "a.warc.gz").write_bytes(gzip.compress(records[1])[:-9])
+    with pytest.raises(Exception, match="cut off"):
+        W.read_archives(spark, str(folder), "*.warc.gz").collect()

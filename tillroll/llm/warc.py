@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import zlib
 from collections.abc import Iterator
@@ -19,6 +20,7 @@ DATE = "2020-01-01T00:00:00Z"
 MIN_REVISIT_BYTES = 1000
 #: Uncompressed bytes of an archive file, about.
 FILE_BYTES = 32 << 20
+SLICE = 1 << 16  # bytes fed to the decompressor at once
 READ_SCHEMA = ("record_id string, record_type string, page_key string, refers_to string, "
                "block_digest string, header_digest string, payload_bytes bigint")
 
@@ -136,7 +138,7 @@ def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         version, *lines = data[at:end].decode().split(CRLF)
         if not version.startswith("WARC/"):
             raise ValueError(f"no WARC record at byte {at}")
-        headers = dict(line.split(": ", 1) for line in lines)
+        headers = {name.strip(): value.strip() for name, _, value in (line.partition(":") for line in lines)}
         start = end + 4
         stop = start + int(headers["Content-Length"])
         if data[stop:stop + 4] != b"\r\n\r\n":
@@ -145,25 +147,70 @@ def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         at = stop + 4
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of READ_SCHEMA, one per record: digest and length are those of the payload found in the block."""
+def unzip(data: bytes) -> bytes:
+    """All gzip members of a file, one after the other; a file that isn't gzip as it is.
+
+    Archives usually hold one member a record.  The file is fed in slices, so
+    that what a member leaves over is never more than a slice.
+    """
+    if data[:2] != b"\x1f\x8b":
+        return data
+    out, at, view = [], 0, memoryview(data)
+    while at < len(data):
+        if data[at:at + 1] == b"\0":  # padding behind a member
+            at += 1
+            continue
+        member = zlib.decompressobj(wbits=31)
+        while not member.eof:
+            if at >= len(data):
+                raise ValueError("the last gzip member is cut off")
+            part = view[at:at + SLICE]
+            out.append(member.decompress(part))
+            at += len(part) - len(member.unused_data)
+    return b"".join(out)
+
+
+def payload_of(headers: dict[str, str], block: bytes) -> bytes:
+    """The payload: what follows the HTTP headers of an HTTP message, else the block."""
+    if not headers.get("Content-Type", "").startswith("application/http"):
+        return block
+    return block.partition(b"\r\n\r\n")[2]
+
+
+def sha1_hex(value: str | None) -> str | None:
+    """A header's SHA-1 in lower-case hex, whether written in hex or base32; None where there is none."""
+    label, _, digest = (value or "").partition(":")
+    if label.lower() != "sha1":
+        return None
+    return digest.lower() if len(digest) == 40 else base64.b32decode(digest.upper()).hex()
+
+
+def read_archives(spark: SparkSession, path: str, pattern: str = "part-*") -> DataFrame:
+    """Rows of READ_SCHEMA, one per record of any type: digest and length are
+    those of the payload found in the block.
+
+    Files are gzip with any number of members, or plain.  A record without a
+    payload digest gets that of its payload, and one without Page-Key (only
+    this module writes it) has none.  A record or member that is cut off is an error.
+    """
     def run(batches):
         for batch in batches:
             for content in batch.column(0):
                 rows = []
-                for headers, block in parse(zlib.decompress(content.as_py(), wbits=31)):
-                    payload = block[block.index(b"\r\n\r\n") + 4:]
+                for headers, block in parse(unzip(content.as_py())):
+                    payload = payload_of(headers, block)
+                    found = hashlib.sha1(payload).hexdigest()
                     rows.append({
-                        "record_id": headers["WARC-Record-ID"][1:-1], "record_type": headers["WARC-Type"],
-                        "page_key": headers.get("Page-Key"), "refers_to": headers.get("WARC-Refers-To", "")[1:-1] or None,
-                        "block_digest": hashlib.sha1(payload).hexdigest(),
-                        "header_digest": headers["WARC-Payload-Digest"].removeprefix("sha1:"),
+                        "record_id": headers["WARC-Record-ID"].strip("<>"), "record_type": headers["WARC-Type"],
+                        "page_key": headers.get("Page-Key"), "refers_to": headers.get("WARC-Refers-To", "").strip("<>") or None,
+                        "block_digest": found,
+                        "header_digest": sha1_hex(headers.get("WARC-Payload-Digest")) or found,
                         "payload_bytes": len(payload)})
                 yield pa.RecordBatch.from_pylist(rows, schema=target)
 
     target = pa.schema([(c.split()[0], pa.int64() if c.endswith("bigint") else pa.string())
                         for c in READ_SCHEMA.split(", ")])
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("content")
     return files.mapInArrow(run, READ_SCHEMA)
 
 
