@@ -39,7 +39,8 @@ def standardise(df: DataFrame) -> DataFrame:
     """Typed timestamp, string id, int quantity, 2-dp price, revenue.
 
     Text timestamps are parsed; decimals are already exact, so rounding the
-    price is ``bround`` on raw doubles only.  Revenue is exact decimal.
+    price is ``bround`` on raw doubles only.  Revenue is exact decimal.  What
+    does not fit its decimal becomes null (ingest rejects such rows first).
     """
     ts = F.col("TransactionDate")
     if dict(df.dtypes)["TransactionDate"] == "string":
@@ -47,13 +48,13 @@ def standardise(df: DataFrame) -> DataFrame:
     price = F.col("UnitPrice")
     if dict(df.dtypes)["UnitPrice"] in ("double", "float"):
         price = F.bround(price, 2)
-    price = price.cast("decimal(10,2)")
+    price = price.try_cast("decimal(10,2)")
     qty = F.col("Quantity").cast("int")
     return (df.withColumn("TransactionDate", ts)
               .withColumn("CustomerID", F.col("CustomerID").cast("string"))
               .withColumn("Quantity", qty)
               .withColumn("UnitPrice", price)
-              .withColumn("Revenue", (qty * price).cast("decimal(12,2)")))
+              .withColumn("Revenue", (qty * price).try_cast("decimal(12,2)")))
 
 
 def clean(raw: DataFrame) -> DataFrame:

@@ -8,8 +8,11 @@ from tillroll.operators import cleaning
 from tillroll.plans import sqlfrag as S
 from tillroll.plans.registry import present, register
 from tillroll.session import temporary_path
+from tillroll.plans.q_segments import SEGMENTS_CTES
 from tillroll.sources import csv_io, sinks
-from tillroll.sources.tables import dirty_text, dirty_transactions, transactions
+from tillroll.sources.buckets import write_bucketed
+from tillroll.sources.tables import (SOURCE_TABLES, dirty_text, dirty_transactions, input_status, segment_table,
+                                     transactions)
 
 DIRTY = S.with_ctes(S.TX_CTE, S.DIRTY_CTE)
 
@@ -129,11 +132,57 @@ def q_csv_round_trip(spark, sf_dir):
 @register("rejected_rows", INGEST + f"""
 SELECT TransactionID, CustomerID, ProductID, ProductCategory, Country, PaymentMethod, RejectReason,
        CASE WHEN CAST(ProductID AS BIGINT) % 89 = 7 THEN 'ten' ELSE CAST(Quantity AS VARCHAR) END AS Quantity,
+       CASE WHEN CAST(ProductID AS BIGINT) % 101 = 3 THEN 'free'
+            ELSE CAST(CAST(UnitPrice AS DECIMAL(12,3)) + CAST(0.001 AS DECIMAL(4,3)) AS VARCHAR) END AS UnitPrice,
        CASE WHEN CAST(TransactionID AS BIGINT) % 97 = 5 THEN 'soon' ELSE {S.ts_text('TransactionDate')} END AS TransactionDate
 FROM arrived WHERE RejectReason IS NOT NULL""")
 def q_rejected_rows(spark, sf_dir):
     """C4: rows that can't be read, as they arrived, with the reason."""
-    return csv_io.rejected(_raw_csv(spark, sf_dir)).drop("UnitPrice")
+    return csv_io.rejected(_raw_csv(spark, sf_dir)).drop(csv_io.RECORD)
+
+
+_TXN = "CAST(TransactionID AS BIGINT)"
+#: Faults of structure and range, by transaction: doubled quotes and a comma, a line break, a
+#: surplus field, a field too few, a price and a revenue beyond their decimals.
+QUOTED, BROKEN, SURPLUS, SHORT = f"{_TXN} % 71 = 3", f"{_TXN} % 73 = 5", f"{_TXN} % 79 = 7", f"{_TXN} % 83 = 11"
+DEAR, VAST = f"{_TXN} % 103 = 13", f"{_TXN} % 107 = 17"
+
+
+def _raw_lines(spark, sf_dir):
+    """The text fixture as CSV text of another tool, with those faults: one file a partition, no header."""
+    when = lambda test, value, other: F.when(F.expr(test), value).otherwise(other)
+    price = when("UnitPrice = 'free'", F.col("UnitPrice"), when(DEAR, F.lit("1e12"), when(VAST, F.lit("99999999.99"), F.col("UnitPrice"))))
+    quantity = when("Quantity = 'ten'", F.col("Quantity"), when(VAST, F.lit("2000000000"), F.col("Quantity")))
+    fields = dirty_text(spark, sf_dir).withColumns({
+        "UnitPrice": price, "Quantity": quantity,
+        "Country": when(BROKEN, F.concat(F.lit('"'), "Country", F.lit('\n2nd line"')), F.col("Country")),
+        "PaymentMethod": when(SHORT, F.lit(None), F.concat(
+            when(QUOTED, F.lit('"say ""hi"", now"'), F.col("PaymentMethod")), when(SURPLUS, F.lit(",more"), F.lit(""))))})
+    names = [n.split()[0] for n in csv_io.RAW_SCHEMA.split(", ")]
+    empty = [F.coalesce(n, F.lit("")) if n != "PaymentMethod" else F.col(n) for n in names]
+    path = temporary_path(spark)
+    fields.select(F.concat_ws(",", *empty).alias("value")).write.text(path)  # a null last field writes no comma
+    return csv_io.read_raw_text(spark, path, header=False)
+
+
+@register("ingest_structure", DIRTY.rstrip() + f""",
+arrived AS (
+  SELECT *, CASE WHEN {SURPLUS} AND NOT {SHORT} OR {SHORT} THEN 'wrong number of fields'
+                 WHEN CAST(ProductID AS BIGINT) % 89 = 7 THEN 'Quantity is not a int'
+                 WHEN CAST(ProductID AS BIGINT) % 101 = 3 THEN 'UnitPrice is not a double'
+                 WHEN {_TXN} % 97 = 5 THEN 'TransactionDate is not a timestamp_ntz'
+                 WHEN {DEAR} THEN 'UnitPrice out of range' WHEN {VAST} THEN 'Revenue out of range' END AS RejectReason
+  FROM dirty)
+SELECT TransactionID, CustomerID, ProductID, RejectReason,
+       Country || CASE WHEN {BROKEN} THEN chr(10) || '2nd line' ELSE '' END AS Country,
+       CASE WHEN {SHORT} THEN NULL WHEN {QUOTED} THEN 'say "hi", now' ELSE PaymentMethod END AS PaymentMethod
+FROM arrived""")
+def q_ingest_structure(spark, sf_dir):
+    """CSV as other tools write it; every row as read, the rejected ones with their reason."""
+    raw = _raw_lines(spark, sf_dir)
+    columns = ["TransactionID", "CustomerID", "ProductID", "Country", "PaymentMethod"]
+    good = csv_io.accepted(raw).select(*columns, F.lit(None).cast("string").alias("RejectReason"))
+    return good.unionByName(csv_io.rejected(raw).select(*columns, "RejectReason"))
 
 
 @register("ingest_audit", INGEST + """
@@ -187,3 +236,22 @@ def q_mart_round_trip(spark, sf_dir):
     paths = sinks.export_marts({"by_country": mart}, temporary_path(spark))
     back = spark.read.schema("Country string, Rows bigint, Revenue decimal(22,2)").option("header", True).csv(paths["by_country"])
     return present(back)
+
+
+@register("bucket_round_trip", S.with_ctes(*SEGMENTS_CTES) + """
+SELECT t.CustomerID, s.CustomerSegment, count(*) AS Rows, CAST(sum(t.Revenue) AS DOUBLE) AS Revenue
+FROM transactions t JOIN segments s ON t.CustomerID = s.CustomerID GROUP BY 1, 2""")
+def q_bucket_round_trip(spark, sf_dir):
+    """Facts and segments bucketed by customer, aggregated and joined without a shuffle."""
+    facts = write_bucketed(transactions(spark, sf_dir).select("CustomerID", "Revenue"), "CustomerID")
+    segments = write_bucketed(segment_table(spark, sf_dir).select("CustomerID", "CustomerSegment"), "CustomerID")
+    spend = facts.groupBy("CustomerID").agg(F.count(F.lit(1)).alias("Rows"), F.sum("Revenue").alias("Revenue"))
+    return present(spend.join(segments.hint("merge"), "CustomerID"))
+
+
+@register("input_guard", " UNION ALL ".join(
+    f"SELECT '{t}' AS Input, true AS Present, count(*) AS Rows FROM {t}" for t in SOURCE_TABLES)
+    + " UNION ALL SELECT 'returns', false, 0")
+def q_input_guard(spark, sf_dir):
+    """The expected inputs and one that isn't there: missing ones are named before any job starts."""
+    return input_status(spark, sf_dir, [*SOURCE_TABLES, "returns"])

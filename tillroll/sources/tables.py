@@ -35,6 +35,27 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def input_status(spark: SparkSession, sf_dir: str, names: list[str]) -> DataFrame:
+    """For each input whether it is there, and its rows (0 for a missing one).
+
+    The guard looks the paths up; only those present are scanned.
+    """
+    from functools import reduce
+
+    from pyspark.errors import AnalysisException
+    parts = []
+    for name in names:
+        label = F.lit(name).alias("Input")
+        try:
+            parts.append(read_table(spark, sf_dir, name).agg(F.count(F.lit(1)).alias("Rows")).select(
+                label, F.lit(True).alias("Present"), "Rows"))
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            parts.append(spark.range(1).select(label, F.lit(False).alias("Present"), F.lit(0).cast("long").alias("Rows")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _joined_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
