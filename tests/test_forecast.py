@@ -104,3 +104,73 @@ def test_forecast_entry_point(spark):
         assert [r.h for r in sorted(rows, key=lambda r: r.h)] == [1, 2, 3, 4, 5]
     with pytest.raises(ValueError):
         fc.forecast(tx, method="prophet")
+
+
+def test_parents_equal_the_sum_of_their_children(spark):
+    """On every day: total = categories = countries, category = its countries; one shuffle of days per aggregate."""
+    from decimal import Decimal
+
+    from tests.conftest import SF001
+    from tillroll.operators import forecast as fc
+    from tillroll.sources.tables import transactions
+    days = fc.level_days(transactions(spark, SF001))
+    sums, by_pair = {}, {}
+    for r in days.collect():
+        sums.setdefault(r["LevelName"], {}).setdefault(r["Date"], Decimal(0))
+        sums[r["LevelName"]][r["Date"]] += r["ActualRevenue"]
+        parent = r["Series"].split(" / ")[0] if r["LevelName"] == "category x country" else None
+        key = (parent or (r["Series"] if r["LevelName"] == "category" else None), r["Date"])
+        if key[0]:
+            by_pair.setdefault(r["LevelName"], {}).setdefault(key, Decimal(0))
+            by_pair[r["LevelName"]][key] += r["ActualRevenue"]
+    assert len(sums) == 4 and all(s == sums["total"] for s in sums.values())
+    assert by_pair["category"] == by_pair["category x country"]
+
+
+def test_dense_arrays_equal_the_calendar(spark):
+    from tests.conftest import SF001
+    from tillroll.operators import forecast as fc
+    from tillroll.operators.sales import dense_daily
+    from tillroll.sources.tables import transactions
+    tx = transactions(spark, SF001)
+    want = fc.series_arrays(dense_daily(tx, ["Country"]), ["Country"]).select("Country", "FirstDate", "LastDate", "ys").collect()
+    days = fc.level_days(tx, {"country": ["Country"]})
+    got = fc.dense_arrays(days, ["Series"]).select("Series", "FirstDate", "LastDate", "ys").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
+def test_fitted_values_are_linear_and_equal_one_fold(spark):
+    """Blocks give the forecasts of a plain recursion; ten times the days cost about ten times the work."""
+    import random
+    import time
+
+    from pyspark.sql import functions as F
+
+    from tillroll.operators import forecast as fc
+
+    def series(n):
+        rng = random.Random(n)
+        return spark.createDataFrame([(1, [rng.uniform(0, 9) for _ in range(n)])], "k int, ys array<double>").withColumn(
+            "FirstDate", F.lit("2020-01-01").cast("date"))
+
+    for n in (3, 7, 8, 300):
+        ys = series(n).first()["ys"]
+        a, b, g = fc.FIXED_PARAMS
+        level, trend = sum(ys[:7]) / len(ys[:7]), 0.0
+        season, want = [y - level for y in ys[:7]], []
+        for y in ys[7:]:
+            s, base = season[0], level + trend
+            want.append(base + s)
+            new = a * (y - s) + (1 - a) * base
+            trend = b * (new - level) + (1 - b) * trend
+            season, level = season[1:] + [g * (y - base) + (1 - g) * s], new
+        got = [r["p"] for r in fc.fitted_values(series(n), ["k"]).orderBy("t").collect()]
+        assert got == want
+    took = {}
+    for n in (2_000, 2_000, 20_000):
+        df = series(n).cache()
+        df.count()
+        started = time.perf_counter()
+        assert fc.fitted_values(df, ["k"]).agg(F.count("*")).first()[0] == n - 7
+        took[n] = time.perf_counter() - started
+    assert took[20_000] < 15 * took[2_000] + 2

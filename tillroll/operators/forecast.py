@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillroll.functions import dates
 from tillroll.functions.money import div_round, np_round, to_cents
 from tillroll.operators.sales import dense_daily
 
@@ -43,31 +44,23 @@ def series_arrays(dense: DataFrame, keys: list[str]) -> DataFrame:
                     F.transform("_pts", lambda p: p["y"]).alias("ys")))
 
 
-def _fold(ys, alpha, beta, gamma, keep_fitted: bool = False) -> F.Column:
-    """Additive Holt-Winters (period 7) as a fold; returns the final state.
-
-    start: l = mean of the first 7 values (summed left to right), b = 0,
-    s = first 7 values minus l; fold from the 8th value (a series of fewer
-    than 7 days starts from the days it has, with 0 in the other slots, and
-    folds nothing):
-      f = (l + b) + s0,  l' = a(y - s0) + (1-a)(l + b),
-      b' = b_(l' - l) + (1-b_)b,  s_new = g(y - (l + b)) + (1-g)s0,
-    rotating the seasonal slots; ``sse``/``sr`` accumulate the one-step
-    errors.  The seasonal terms are 7 scalar fields of the state struct, so
-    a step allocates one struct and no arrays.  After the fold slot s0
-    belongs to the next day.
-    """
-    one_a, one_b, one_g = F.lit(1.0) - alpha, F.lit(1.0) - beta, F.lit(1.0) - gamma
+def _start(ys) -> F.Column:
+    """The state after the first PERIOD days: level, trend, seasonals, no errors yet."""
     head = F.slice(ys, 1, PERIOD)
     level0 = F.aggregate(head, F.lit(0.0), lambda acc, y: acc + y) / F.size(head).cast("double")
     fields = [level0.alias("l"), F.lit(0.0).alias("b")]
     fields += [F.coalesce(F.try_element_at(head, F.lit(i + 1)) - level0, F.lit(0.0)).alias(f"s{i}")
                for i in range(PERIOD)]
-    fields += [F.lit(0.0).alias("sse"), F.lit(0.0).alias("sr")]
-    if keep_fitted:
-        fields.append(F.array().cast("array<double>").alias("fit"))
-    init = F.struct(*fields)
-    rest = F.when(F.size(ys) > PERIOD, F.slice(ys, PERIOD + 1, 1 << 30)).otherwise(F.array().cast("array<double>"))
+    return F.struct(*fields, F.lit(0.0).alias("sse"), F.lit(0.0).alias("sr"))
+
+
+def _rest(ys) -> F.Column:
+    return F.when(F.size(ys) > PERIOD, F.slice(ys, PERIOD + 1, 1 << 30)).otherwise(F.array().cast("array<double>"))
+
+
+def _move(alpha, beta, gamma):
+    """One day of the recursion: (state, value) to (state, one-step forecast)."""
+    one_a, one_b, one_g = F.lit(1.0) - alpha, F.lit(1.0) - beta, F.lit(1.0) - gamma
 
     def step(st, y):
         s0 = st["s0"]
@@ -79,15 +72,53 @@ def _fold(ys, alpha, beta, gamma, keep_fitted: bool = False) -> F.Column:
         out += [(gamma * (y - lb) + one_g * s0).alias(f"s{PERIOD - 1}"),
                 (st["sse"] + (y - f) * (y - f)).alias("sse"),
                 (st["sr"] + (y - f)).alias("sr")]
-        if keep_fitted:
-            out.append(F.concat(st["fit"], F.array(f)).alias("fit"))
-        return F.struct(*out)
+        return out, f
+
+    return step
+
+
+def _fold(ys, alpha, beta, gamma) -> F.Column:
+    """FC2: the state after all days of ``ys``."""
+    step = _move(alpha, beta, gamma)
+    return F.aggregate(_rest(ys), _start(ys), lambda st, y: F.struct(*step(st, y)[0]))
 
-    return F.aggregate(rest, init, step)
 
+#: Days of a block of fitted values.
+FIT_BLOCK = 128
 
-def _with_state(arrays: DataFrame, alpha, beta, gamma, keep_fitted=False) -> DataFrame:
-    st = _fold(F.col("ys"), alpha, beta, gamma, keep_fitted)
+
+def fitted_values(arrays: DataFrame, keys: list[str], params=FIXED_PARAMS) -> DataFrame:
+    """FC8: (keys, FirstDate, t, p): the one-step forecast of day t (from 0, after the start-up days).
+
+    A first fold keeps the state at the start of every block; then each block,
+    a row of its own, is folded once more from there and lists its forecasts.
+    Only arrays of a block's length are appended to, so the time is linear in
+    the days, and the blocks of one long series spread over the tasks.
+    """
+    step = _move(*(F.lit(float(x)) for x in params))
+    rest, n = _rest(F.col("ys")), FIT_BLOCK
+    cuts = F.when(F.size(rest) > 0, F.sequence(F.lit(1), F.size(rest), F.lit(n))).otherwise(F.array().cast("array<int>"))
+    with_blocks = arrays.select(*keys, "FirstDate", "ys", F.transform(cuts, lambda i: F.slice(rest, i, F.lit(n))).alias("_blocks"))
+    start = _start(F.col("ys"))
+    walk = F.aggregate(
+        "_blocks", F.struct(start.alias("s"), F.slice(F.array(start), 1, 0).alias("at")),
+        lambda acc, block: F.struct(
+            F.aggregate(block, acc["s"], lambda st, y: F.struct(*step(st, y)[0])).alias("s"),
+            F.concat(acc["at"], F.array(acc["s"])).alias("at")))
+    blocks = with_blocks.select(*keys, "FirstDate", F.posexplode(F.arrays_zip(F.col("_blocks").alias("ys"), walk["at"].alias("st")))
+                                .alias("_block", "_z"))
+
+    def listed(acc, y):
+        out, f = step(acc["st"], y)
+        return F.struct(F.struct(*out).alias("st"), F.concat(acc["fit"], F.array(f)).alias("fit"))
+
+    fit = F.aggregate(F.col("_z.ys"), F.struct(F.col("_z.st").alias("st"), F.array().cast("array<double>").alias("fit")), listed)["fit"]
+    return blocks.select(*keys, "FirstDate", "_block", F.posexplode(fit).alias("_i", "p")).select(
+        *keys, "FirstDate", (F.col("_block") * n + F.col("_i")).alias("t"), "p")
+
+
+def _with_state(arrays: DataFrame, alpha, beta, gamma) -> DataFrame:
+    st = _fold(F.col("ys"), alpha, beta, gamma)
     out = arrays.withColumn("_st", st)
     residuals = F.greatest(F.size("ys") - PERIOD, F.lit(0))
     m = F.nullif(residuals.cast("double"), F.lit(0.0))
@@ -97,16 +128,14 @@ def _with_state(arrays: DataFrame, alpha, beta, gamma, keep_fitted=False) -> Dat
             "SSE": F.col("_st.sse"), "Residuals": residuals,
             "Sigma": F.when(m > 0, F.sqrt(F.greatest(var, F.lit(0.0)))),
             "Status": F.when(m > 0, "fitted").otherwise("short history")}
-    if keep_fitted:
-        cols["Fitted"] = F.col("_st.fit")
     return out.withColumns(cols).drop("_st")
 
 
-def holt_winters(arrays: DataFrame, params=FIXED_PARAMS, keep_fitted=False) -> DataFrame:
+def holt_winters(arrays: DataFrame, params=FIXED_PARAMS) -> DataFrame:
     """FC2 with given (alpha, beta, gamma)."""
     a, b, g = (F.lit(float(x)) for x in params)
     return _with_state(arrays.withColumns({"Alpha": a, "Beta": b, "Gamma": g}),
-                       F.col("Alpha"), F.col("Beta"), F.col("Gamma"), keep_fitted)
+                       F.col("Alpha"), F.col("Beta"), F.col("Gamma"))
 
 
 def holt_winters_grid(arrays: DataFrame, keys: list[str], grid=GRID) -> DataFrame:
@@ -208,9 +237,10 @@ def merged_fitted(tx: DataFrame, keys: list[str] | None = None, params=FIXED_PAR
     are clipped at 0 and everything is rounded half-even to 2 places."""
     keys = list(keys or [])
     dense, k = keyed(dense_daily(tx, keys), keys)
-    st = holt_winters(series_arrays(dense, k), params, keep_fitted=True)
+    arrays = series_arrays(dense, k)
+    st = holt_winters(arrays, params)
     band = F.lit(Z95) * F.col("Sigma")
-    fitted = st.select(*k, "FirstDate", "Sigma", F.posexplode("Fitted").alias("t", "p")).select(
+    fitted = fitted_values(arrays, k, params).join(st.select(*k, "Sigma"), k).select(
         *k, F.date_add("FirstDate", F.col("t") + PERIOD).alias("Date"), "p", "Sigma")
     future = project(st, k, horizon).select(
         *k, "Date", F.lit(None).cast("double").alias("p"), "PredictedRevenue", "LowerBound",
@@ -318,6 +348,58 @@ def decomposition(tx: DataFrame, keys: list[str] | None = None, digits: int = 6)
     return out.drop(GLOBAL_KEY) if not keys else out
 
 
+# --------------------------------------------------------- levels in one job
+#: The levels of the forecast hierarchy, by the columns that name a series.
+LEVELS = {"total": [], "category": ["ProductCategory"], "country": ["Country"],
+          "category x country": ["ProductCategory", "Country"]}
+
+
+def level_days(tx: DataFrame, levels: dict[str, list[str]] | None = None) -> DataFrame:
+    """FC1 for all levels at once: (LevelName, Series, Date, ActualRevenue, UnitsSold), days with sales.
+
+    Facts are summed once to the finest grain and day; grouping sets then give
+    every level from those few rows in one shuffle.  Sums are decimals, so a
+    parent is exactly the sum of its children on every day.
+    """
+    levels = levels or LEVELS
+    names = sorted({c for cols in levels.values() for c in cols})
+    finest = tx.groupBy(*names, dates.day("TransactionDate").alias("Date")).agg(
+        F.sum("Revenue").alias("ActualRevenue"), F.sum("Quantity").cast("bigint").alias("UnitsSold"))
+    sets = [[*(F.col(c) for c in cols), F.col("Date")] for cols in levels.values()]
+    grouped = finest.groupingSets(sets, *names, "Date").agg(
+        F.sum("ActualRevenue").alias("ActualRevenue"), F.sum("UnitsSold").alias("UnitsSold"), F.grouping_id().alias("_gid"))
+    level, series = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for name, cols in levels.items():
+        gid = sum(1 << (len(names) - i) for i, c in enumerate(names) if c not in cols)  # the last bit is Date's
+        level = F.when(F.col("_gid") == gid, name).otherwise(level)
+        label = F.concat_ws(" / ", *[F.col(c) for c in cols]) if cols else F.lit("all")
+        series = F.when(F.col("_gid") == gid, label).otherwise(series)
+    return grouped.select(level.alias("LevelName"), series.alias("Series"), "Date", "ActualRevenue", "UnitsSold")
+
+
+def level_forecasts(tx: DataFrame, levels: dict[str, list[str]] | None = None, horizon: int = HORIZON) -> DataFrame:
+    """FC1-FC4: forecasts of every series of every level in one job (fixed parameters)."""
+    keys = ["LevelName", "Series"]
+    days = level_days(tx, levels)
+    return project(holt_winters(dense_arrays(days, keys)), keys, horizon)
+
+
+def dense_arrays(days: DataFrame, keys: list[str]) -> DataFrame:
+    """FC1: ``series_arrays`` of days with sales alone: gaps become zeros inside
+    the series' row, without a calendar table and its join.
+
+    The gap before each day is filled as that many zeros and the whole is
+    flattened once, linear in the days of the series.
+    """
+    day = F.struct("Date", F.col("ActualRevenue").cast("double").alias("y"))
+    lists = days.groupBy(*keys).agg(F.sort_array(F.collect_list(day)).alias("d"))
+    filled = F.flatten(F.transform("d", lambda x, i: F.concat(
+        F.array_repeat(F.lit(0.0), F.when(i == 0, 0).otherwise(
+            F.datediff(x["Date"], F.get(F.col("d"), i - 1)["Date"]) - 1)), F.array(x["y"]))))
+    return lists.select(*keys, filled.alias("ys"), F.col("d")[0]["Date"].alias("FirstDate"),
+                        F.element_at("d", -1)["Date"].alias("LastDate"))
+
+
 def forecast(tx: DataFrame, keys: list[str] | None = None, horizon: int = HORIZON,
              method: str = "holt_winters") -> DataFrame:
     """One entry point for every series' forecast rows: ``holt_winters``

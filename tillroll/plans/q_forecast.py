@@ -237,9 +237,7 @@ def q_ridge_forecast(spark, sf_dir):
 
 SHORT_DAYS = (1, 6, 7, 8)
 _SHORT_INIT = "[" + ", ".join(f"coalesce(y{i} - l0, 0.0)" for i in range(1, 8)) + "]"
-SHORT_SQL = "WITH RECURSIVE " + ",\n".join(_series_ctes("ProductCategory")[:5] + [
-    f"cut AS (SELECT d.k || '/' || u.n AS k, d.Date, d.ActualRevenue FROM dense d JOIN span s ON s.k = d.k "
-    f"JOIN (SELECT unnest([{', '.join(map(str, SHORT_DAYS))}]) AS n) u ON d.Date < s.lo + INTERVAL (u.n) DAY)",
+_ANY_LENGTH = [
     "ser AS (SELECT k, Date, CAST(ActualRevenue AS DOUBLE) AS y, row_number() OVER (PARTITION BY k ORDER BY Date) AS t FROM cut)",
     "head AS (SELECT k, " + ", ".join(f"max(y) FILTER (WHERE t = {i}) AS y{i}" for i in range(1, 8))
     + ", count(*) AS n, max(Date) AS LastDate FROM ser GROUP BY k)",
@@ -253,7 +251,10 @@ SHORT_SQL = "WITH RECURSIVE " + ",\n".join(_series_ctes("ProductCategory")[:5] +
          r.sse + (d.y - {_F}) * (d.y - {_F}), r.sr + (d.y - {_F})
   FROM rec r JOIN ser d ON d.k = r.k AND d.t = r.t + 1)""",
     """best AS (SELECT r.*, h.n, h.LastDate, CASE WHEN h.n > 7 THEN sqrt(greatest(r.sse / (h.n - 7) - (r.sr / (h.n - 7)) * (r.sr / (h.n - 7)), 0.0)) END
-              AS sigma FROM rec r JOIN head h ON h.k = r.k AND r.t = h.n)""", FUTURE_CTE])
+              AS sigma FROM rec r JOIN head h ON h.k = r.k AND r.t = h.n)""", FUTURE_CTE]
+SHORT_SQL = "WITH RECURSIVE " + ",\n".join(_series_ctes("ProductCategory")[:5] + [
+    f"cut AS (SELECT d.k || '/' || u.n AS k, d.Date, d.ActualRevenue FROM dense d JOIN span s ON s.k = d.k "
+    f"JOIN (SELECT unnest([{', '.join(map(str, SHORT_DAYS))}]) AS n) u ON d.Date < s.lo + INTERVAL (u.n) DAY)"] + _ANY_LENGTH)
 
 
 @register("short_series_forecast", SHORT_SQL + """
@@ -320,3 +321,36 @@ def q_forecast_tail(spark, sf_dir):
     """Preview of the last rows of the forecast table (dates are unique)."""
     t = fc.holt_winters_forecast(transactions(spark, sf_dir))["table"]
     return present(t.orderBy(F.col("Date").desc()).limit(5))
+
+
+def _level_sql() -> str:
+    """The series of all levels under one key: level and series name."""
+    keys = {"total": "'all'", "category": "ProductCategory", "country": "Country",
+            "category x country": "concat_ws(' / ', ProductCategory, Country)"}
+    days = " UNION ALL ".join(
+        f"SELECT '{level}|' || {key} AS k, CAST(TransactionDate AS DATE) AS Date, sum(Revenue) AS rev, 0 AS ov, 0 AS units "
+        f"FROM transactions GROUP BY 1, 2" for level, key in keys.items())
+    ctes = _series_ctes("''")[:5]
+    ctes[1] = f"daily AS ({days})"
+    return "WITH RECURSIVE " + ",\n".join([*ctes, "cut AS (SELECT k, Date, ActualRevenue FROM dense)", *_ANY_LENGTH])
+
+
+@register("level_forecasts", _level_sql() + """
+SELECT split_part(f.k, '|', 1) AS LevelName, split_part(f.k, '|', 2) AS Series, strftime(f.Date, '%Y-%m-%d') AS Date,
+       CAST(f.h AS BIGINT) AS h, f.PredictedRevenue, CASE WHEN b.sigma IS NOT NULL THEN f.LowerBound END AS LowerBound,
+       f.UpperBound FROM future f JOIN best b ON b.k = f.k""")
+def q_level_forecasts(spark, sf_dir):
+    """FC1-FC4: total, category, country and category x country forecast in one job."""
+    return present(fc.level_forecasts(transactions(spark, sf_dir)))
+
+
+@register("level_history", S.with_ctes(S.TX_CTE) + " UNION ALL ".join(
+    f"""SELECT '{level}' AS LevelName, {key} AS Series, count(DISTINCT CAST(TransactionDate AS DATE)) AS Days,
+       CAST(sum(Revenue) AS DOUBLE) AS Revenue, CAST(sum(Quantity) AS BIGINT) AS Units FROM transactions GROUP BY 2"""
+    for level, key in (("total", "'all'"), ("category", "ProductCategory"), ("country", "Country"),
+                       ("category x country", "concat_ws(' / ', ProductCategory, Country)"))))
+def q_level_history(spark, sf_dir):
+    """FC1: days, revenue and units of every series of every level."""
+    days = fc.level_days(transactions(spark, sf_dir))
+    return present(days.groupBy("LevelName", "Series").agg(
+        F.count(F.lit(1)).alias("Days"), F.sum("ActualRevenue").alias("Revenue"), F.sum("UnitsSold").alias("Units")))
