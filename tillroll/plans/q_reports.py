@@ -210,6 +210,19 @@ def q_campaigns(spark, sf_dir):
     return campaigns.copy(_campaign_inputs(spark, sf_dir))
 
 
+@register("text_round_trip", f"""
+SELECT Slug, count(*) AS Lines, CAST(sum(length(Line)) AS BIGINT) AS Chars, CAST(sum(CASE WHEN Line <> '' THEN 1 ELSE 0 END) AS BIGINT) AS Filled
+FROM (SELECT Slug, unnest(string_split(Text, chr(10))) AS Line FROM ({_campaign_sql()})) GROUP BY Slug""")
+def q_text_round_trip(spark, sf_dir):
+    """Campaign copy written as one text per segment and read back by slug."""
+    path = temporary_path(spark)
+    sinks.write_texts(campaigns.copy(_campaign_inputs(spark, sf_dir)), path, "Slug", "Text")
+    lines = spark.read.schema("value string, Slug string").text(path)
+    return lines.groupBy("Slug").agg(
+        F.count(F.lit(1)).alias("Lines"), F.sum(F.length("value")).cast("bigint").alias("Chars"),
+        F.sum((F.col("value") != "").cast("bigint")).alias("Filled"))
+
+
 @register("monthly_year_mart", S.with_ctes(S.TX_CTE) + """
 SELECT CAST(year(TransactionDate) AS BIGINT) AS Year, CAST(month(TransactionDate) AS BIGINT) AS Month,
        CAST(sum(Revenue) AS DOUBLE) AS GrossRevenue, count(DISTINCT TransactionID) AS OrderVolume
