@@ -237,10 +237,9 @@ def merged_fitted(tx: DataFrame, keys: list[str] | None = None, params=FIXED_PAR
     are clipped at 0 and everything is rounded half-even to 2 places."""
     keys = list(keys or [])
     dense, k = keyed(dense_daily(tx, keys), keys)
-    arrays = series_arrays(dense, k)
-    st = holt_winters(arrays, params)
+    st = holt_winters(series_arrays(dense, k), params)
     band = F.lit(Z95) * F.col("Sigma")
-    fitted = fitted_values(arrays, k, params).join(st.select(*k, "Sigma"), k).select(
+    fitted = fitted_values(st, k + ["Sigma"], params).select(
         *k, F.date_add("FirstDate", F.col("t") + PERIOD).alias("Date"), "p", "Sigma")
     future = project(st, k, horizon).select(
         *k, "Date", F.lit(None).cast("double").alias("p"), "PredictedRevenue", "LowerBound",
