@@ -129,3 +129,15 @@ def test_aggregates_are_presented_in_order(spark):
                       ("analyst_monthly_trend", lambda r: r["YearMonth"])):
         keys = [key(r) for r in entry.queries()[name](spark, SF01).collect()]
         assert keys == sorted(keys), name
+
+
+def test_sketched_counts_read_the_mart_alone(spark):
+    """Months and years come from the stored days: no facts in the plan, a bounded number of sketches read."""
+    from pyspark.sql import functions as F
+
+    from tillroll.operators import sales
+    from tillroll.session import materialize
+    from tillroll.sources.tables import transactions
+    mart = materialize(sales.daily_mart(transactions(spark, SF01)))
+    plan = _plan(sales.merged_counts(mart, F.substring(F.col("Date").cast("string"), 1, 7)))
+    assert "/tmp/" in plan and "transactions-" not in plan and "lineitem" not in plan and "TransactionID" not in plan

@@ -202,3 +202,25 @@ def describe(tx: DataFrame, columns=("Quantity", "UnitPrice", "Revenue"),
         stats = stats.join(F.broadcast(exact_quantiles(long)), "column")
     return stats.select("column", "count", "mean", "std", "min",
                         *[r6(F.col(f"q{j}")).alias(f"p{25 * (j + 1)}") for j in range(3)], "max")
+
+
+#: Size of the distinct-count sketches (2^12 registers) and three standard errors of their estimate.
+SKETCH_LG_K = 12
+SKETCH_BOUND = 3 * 1.04 / 2 ** (SKETCH_LG_K / 2)
+
+
+def daily_mart(tx: DataFrame) -> DataFrame:
+    """Revenue per day with sketches of its customers and orders, which add up
+    to any range of days where distinct counts don't."""
+    return tx.groupBy(dates.day("TransactionDate").alias("Date")).agg(
+        F.sum("Revenue").alias("Revenue"), F.hll_sketch_agg("CustomerID", SKETCH_LG_K).alias("Customers"),
+        F.hll_sketch_agg("TransactionID", SKETCH_LG_K).alias("Orders"))
+
+
+def merged_counts(mart: DataFrame, period: F.Column) -> DataFrame:
+    """Revenue and estimated distinct customers and orders per period, from the
+    stored days alone: the facts are not read again."""
+    merged = mart.groupBy(period.alias("Period")).agg(
+        F.sum("Revenue").alias("Revenue"), F.hll_union_agg("Customers").alias("_c"), F.hll_union_agg("Orders").alias("_o"))
+    return merged.select("Period", "Revenue", F.hll_sketch_estimate("_c").alias("Customers"),
+                         F.hll_sketch_estimate("_o").alias("Orders"))

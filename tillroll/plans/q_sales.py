@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tillroll.operators import sales
 from tillroll.plans import sqlfrag as S
 from tillroll.plans.registry import present, register
+from tillroll.session import materialize
 from tillroll.sources.tables import transactions
 
 TX = S.with_ctes(S.TX_CTE)
@@ -151,3 +152,28 @@ def q_transactions_head(spark, sf_dir):
     tx = transactions(spark, sf_dir)
     return present(tx.orderBy("TransactionDate", "TransactionID", "ProductID", "Quantity",
                               "UnitPrice").limit(5))
+
+
+@register("sketched_counts", S.with_ctes(S.TX_CTE) + """
+SELECT strftime(TransactionDate, '%Y-%m') AS Period, CAST(sum(Revenue) AS DOUBLE) AS Revenue,
+       count(DISTINCT CustomerID) AS Customers, count(DISTINCT TransactionID) AS Orders, true AS WithinBound
+FROM transactions GROUP BY 1
+UNION ALL
+SELECT strftime(TransactionDate, '%Y'), CAST(sum(Revenue) AS DOUBLE), count(DISTINCT CustomerID),
+       count(DISTINCT TransactionID), true FROM transactions GROUP BY 1""")
+def q_sketched_counts(spark, sf_dir):
+    """Exact distinct counts per month and year, and whether the counts merged
+    from the stored daily sketches lie within three standard errors of them."""
+    tx = transactions(spark, sf_dir)
+    mart = materialize(sales.daily_mart(tx))
+    parts = []
+    for n in (7, 4):
+        estimate = sales.merged_counts(mart, F.substring(F.col("Date").cast("string"), 1, n))
+        exact = tx.groupBy(F.substring(F.col("TransactionDate").cast("string"), 1, n).alias("Period")).agg(
+            F.countDistinct("CustomerID").alias("ExactCustomers"), F.countDistinct("TransactionID").alias("ExactOrders"))
+        near = [F.abs(F.col(c) - F.col(f"Exact{c}")) <= F.greatest(F.lit(1.0), sales.SKETCH_BOUND * F.col(f"Exact{c}"))
+                for c in ("Customers", "Orders")]
+        parts.append(estimate.join(exact, "Period").select(
+            "Period", "Revenue", F.col("ExactCustomers").alias("Customers"), F.col("ExactOrders").alias("Orders"),
+            (near[0] & near[1]).alias("WithinBound")))
+    return present(parts[0].unionByName(parts[1]))
