@@ -141,3 +141,17 @@ def test_sketched_counts_read_the_mart_alone(spark):
     mart = materialize(sales.daily_mart(transactions(spark, SF01)))
     plan = _plan(sales.merged_counts(mart, F.substring(F.col("Date").cast("string"), 1, 7)))
     assert "/tmp/" in plan and "transactions-" not in plan and "lineitem" not in plan and "TransactionID" not in plan
+
+
+def test_sketched_quantiles_read_the_mart_alone(spark):
+    """Quartiles of any range come from the stored days: no facts in the plan."""
+    from pyspark.sql import functions as F
+
+    from tillroll.operators import sales
+    from tillroll.session import materialize
+    from tillroll.sources.tables import transactions
+    mart = materialize(sales.daily_quantile_mart(transactions(spark, SF01)))
+    half = mart.where("Date BETWEEN DATE'1995-03-01' AND DATE'1995-09-30'")
+    plan = _plan(sales.merged_quantiles(half, F.lit("half")))
+    assert "/tmp/" in plan and "transactions-" not in plan and "lineitem" not in plan
+    assert not any(n in plan for n in PYTHON_NODES)

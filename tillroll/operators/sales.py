@@ -224,3 +224,46 @@ def merged_counts(mart: DataFrame, period: F.Column) -> DataFrame:
         F.sum("Revenue").alias("Revenue"), F.hll_union_agg("Customers").alias("_c"), F.hll_union_agg("Orders").alias("_o"))
     return merged.select("Period", "Revenue", F.hll_sketch_estimate("_c").alias("Customers"),
                          F.hll_sketch_estimate("_o").alias("Orders"))
+
+
+#: Size of the quantile sketches, and twice the rank error that holds for 99 % of their answers (2.296 / k^0.9021).
+QUANTILE_K = 400
+QUANTILE_BOUND = 2 * 2.296 / QUANTILE_K ** 0.9021
+
+
+def numeric_values(tx: DataFrame, columns=("Quantity", "UnitPrice", "Revenue")) -> DataFrame:
+    """(Date, Column, v): one row per transaction and numeric column, nulls left out."""
+    values = F.array(*[F.struct(F.lit(c).alias("Column"), F.col(c).cast("double").alias("v")) for c in columns])
+    return tx.select(dates.day("TransactionDate").alias("Date"), F.inline(values)).where("v IS NOT NULL")
+
+
+def daily_quantile_mart(tx: DataFrame, columns=("Quantity", "UnitPrice", "Revenue")) -> DataFrame:
+    """A quantile sketch per day and numeric column.  Quantiles of days
+    don't add up, sketches do; partial sketches are built before the shuffle,
+    so a day with a third of all rows arrives as one sketch a task."""
+    return numeric_values(tx, columns).groupBy("Date", "Column").agg(
+        F.kll_sketch_agg_double("v", QUANTILE_K).alias("Sketch"))
+
+
+def merged_quantiles(mart: DataFrame, period: F.Column, probs=(0.25, 0.5, 0.75)) -> DataFrame:
+    """(Period, Column, n, e0, e1, ...) from the stored days alone: count
+    and estimated quantiles, each a value that occurs, whose rank is off by at
+    most QUANTILE_BOUND of the rows.  Filter the mart for any range of days."""
+    merged = mart.groupBy(period.alias("Period"), "Column").agg(F.kll_merge_agg_double("Sketch", QUANTILE_K).alias("_s"))
+    return merged.select("Period", "Column", F.kll_sketch_get_n_double("_s").alias("n"),
+                         *[F.kll_sketch_get_quantile_double("_s", F.lit(float(p))).alias(f"e{i}") for i, p in enumerate(probs)])
+
+
+def quantiles_within_bound(values: DataFrame, estimates: DataFrame, probs=(0.25, 0.5, 0.75)) -> DataFrame:
+    """(Period, Column, WithinBound): whether every estimate's true rank among
+    ``values`` (Period, Column, v) lies within QUANTILE_BOUND of the rank asked
+    for.  Equal values are counted before they meet the estimates."""
+    counts = values.groupBy("Period", "Column", "v").agg(F.count(F.lit(1)).alias("c"))
+    met = counts.join(estimates.drop("n"), ["Period", "Column"])
+    below = [F.sum(F.when(F.col("v") < F.col(f"e{i}"), F.col("c")).otherwise(0)).alias(f"b{i}") for i in range(len(probs))]
+    upto = [F.sum(F.when(F.col("v") <= F.col(f"e{i}"), F.col("c")).otherwise(0)).alias(f"u{i}") for i in range(len(probs))]
+    ranks = met.groupBy("Period", "Column").agg(F.sum("c").alias("n"), *below, *upto)
+    near = F.lit(True)
+    for i, p in enumerate(probs):
+        near &= ((F.col(f"b{i}") <= (p + QUANTILE_BOUND) * F.col("n")) & (F.col(f"u{i}") >= (p - QUANTILE_BOUND) * F.col("n")))
+    return ranks.select("Period", "Column", near.alias("WithinBound"))

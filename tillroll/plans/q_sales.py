@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tillroll.operators import sales
+from tillroll.operators.ranking import exact_quantiles
 from tillroll.plans import sqlfrag as S
 from tillroll.plans.registry import present, register
 from tillroll.session import materialize
@@ -177,3 +178,29 @@ def q_sketched_counts(spark, sf_dir):
             "Period", "Revenue", F.col("ExactCustomers").alias("Customers"), F.col("ExactOrders").alias("Orders"),
             (near[0] & near[1]).alias("WithinBound")))
     return present(parts[0].unionByName(parts[1]))
+
+
+@register("sketched_quantiles", S.with_ctes(S.TX_CTE) + """
+, v AS (SELECT TransactionDate, 'Quantity' AS "Column", CAST(Quantity AS DOUBLE) AS v FROM transactions
+        UNION ALL SELECT TransactionDate, 'UnitPrice', CAST(UnitPrice AS DOUBLE) FROM transactions
+        UNION ALL SELECT TransactionDate, 'Revenue', CAST(Revenue AS DOUBLE) FROM transactions),
+p AS (SELECT strftime(TransactionDate, '%Y-%m') AS Period, "Column", v FROM v
+      UNION ALL SELECT strftime(TransactionDate, '%Y'), "Column", v FROM v)
+SELECT Period, "Column", count(v) AS n, round(quantile_cont(v, 0.25), 6) AS p25,
+       round(quantile_cont(v, 0.5), 6) AS p50, round(quantile_cont(v, 0.75), 6) AS p75, true AS WithinBound
+FROM p GROUP BY Period, "Column" """)
+def q_sketched_quantiles(spark, sf_dir):
+    """Exact quartiles per month and year, and whether the quartiles merged
+    from the stored daily sketches lie within the stated rank error of them."""
+    tx = transactions(spark, sf_dir)
+    mart = materialize(sales.daily_quantile_mart(tx))
+    periods = [F.substring(F.col("Date").cast("string"), 1, n) for n in (7, 4)]
+    estimates = sales.merged_quantiles(mart, periods[0]).unionByName(sales.merged_quantiles(mart, periods[1]))
+    values = sales.numeric_values(tx).select(F.explode(F.array(*periods)).alias("Period"), "Column", "v")
+    checked = sales.quantiles_within_bound(values, estimates)
+    exact = exact_quantiles(values.select(F.concat_ws("|", "Period", "Column").alias("column"), "v"))
+    exact = exact.select(F.split_part("column", F.lit("|"), F.lit(1)).alias("Period"),
+                         F.split_part("column", F.lit("|"), F.lit(2)).alias("Column"),
+                         *[F.round(f"q{i}", 6).alias(name) for i, name in enumerate(("p25", "p50", "p75"))])
+    out = estimates.select("Period", "Column", "n").join(exact, ["Period", "Column"]).join(checked, ["Period", "Column"])
+    return present(out)
