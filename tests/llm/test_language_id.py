@@ -25,7 +25,7 @@ def test_parse_equals_substring_search():
     rng = random.Random(1)
     reference = np.array([rng.randrange(1, 5) for _ in range(300)], dtype=np.uint8)
     texts = [np.array([rng.randrange(1, 7) for _ in range(n)], dtype=np.uint8) for n in (0, 1, 2, 50, 333, 1024, 2500)]
-    got = I.phrases(texts, (I.automaton(reference),))[:, 0]
+    got = I.phrases(texts, (I.automaton(reference, 7),))[:, 0]
     want = [sum(greedy(t[a:a + I.WINDOW_CHARS].tolist(), reference.tolist()) for a in range(0, len(t), I.WINDOW_CHARS))
             for t in texts]
     assert got.tolist() == want
@@ -93,3 +93,30 @@ def test_languages_without_letters_in_their_heads_are_kept(spark):
     tests = [(1, _invented(rng, "abcdefgh", 50), None, "a", 0), (2, _invented(rng, "ijklmnop", 50), None, "a", 0)]
     got = I.identify(frame(spark, tests), model).collect()
     assert {r["doc_id"]: r["lang_pred"] for r in got} == {1: "aa", 2: "bb"} and all(0.5 <= r["score"] <= 1 for r in got)
+
+
+def test_languages_of_one_large_script_keep_their_letters(spark):
+    """Two languages of 600 ideographs each that differ by code points equal modulo 16."""
+    rng = random.Random(6)
+    own = {"xa": [chr(0x4E00 + 32 * i) for i in range(600)], "xb": [chr(0x4E00 + 32 * i + 16) for i in range(600)]}
+    rows = [(i, _invented(rng, own[lang], 150), lang, "a", 0) for i, lang in enumerate(["xa", "xb"] * 40)]
+    model = I.learn(frame(spark, rows))
+    assert len(set(model.symbols[[ord(c) for letters in own.values() for c in letters]])) == 1_200
+    tests = [(i, _invented(rng, own[("xa", "xb")[i % 2]], 20), None, "a", 0) for i in range(40)]
+    got = {r["doc_id"]: r["lang_pred"] for r in I.identify(frame(spark, tests), model).collect()}
+    assert got == {i: ("xa", "xb")[i % 2] for i in range(40)}
+
+
+def test_a_large_alphabet_parses_like_substring_search():
+    rng = random.Random(7)
+    reference = np.array([rng.randrange(1, 3_000) for _ in range(400)] * 2 + [rng.randrange(1, 40) for _ in range(400)])
+    text = np.concatenate([reference[100:160], reference[50:70], reference[-30:], [3_500, 3_500], reference[390:450]])
+    assert I.phrases([text], (I.automaton(reference, 4_000),))[0, 0] == greedy(text.tolist(), reference.tolist())
+
+
+def test_a_hundred_languages_fit_a_worker():
+    """Tables hold transitions, not states times symbols: under 2 MB a full reference, with 3,000 letters too."""
+    rng = random.Random(8)
+    for letters in (26, 3_000):
+        reference = np.array([rng.randrange(2, letters + 2) for _ in range(I.REFERENCE_CHARS)])
+        assert sum(a.nbytes for a in I.automaton(reference, 20_000)) < 2_000_000

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import zlib
 from typing import NamedTuple
 
@@ -21,21 +22,32 @@ REFERENCE_CHARS = 24_000
 #: or at the second number: the same words make the same passages anywhere.
 PASSAGE_CHARS = (60, 250)
 #: Languages that a model may hold; more is an error, as each adds a table of
-#: at most 2 * REFERENCE_CHARS * SYMBOLS * 4 bytes to what every worker loads.
+#: about 24 * 2 * REFERENCE_CHARS bytes to what every worker loads.
 MAX_LANGUAGES = 100
-SYMBOLS = 64
-_OWN = 46          # frequent letters with a symbol of their own
-_GAP, _PAD = 0, SYMBOLS - 1
+_GAP, _UNKNOWN = 0, 1  # what is no letter; a letter that no reference holds
 #: A document is parsed in windows of so many symbols, all of them; the parse
 #: starts anew in each, which costs one phrase, the same for every language.
 WINDOW_CHARS = 1_024
 _ROWS = 4_096      # windows parsed side by side
 
 
+class Table(NamedTuple):
+    """Parsing table of one reference.
+
+    A state is a number of its own to which a symbol is added: the cell there
+    holds the state (upper half) and the state that follows (lower half) if
+    the symbol goes on from it.  Otherwise a phrase has ended, and ``first``
+    has the state behind the symbol as the next phrase's beginning.  State 0
+    is the start.
+    """
+    cells: np.ndarray
+    first: np.ndarray
+
+
 class Model(NamedTuple):
     symbols: np.ndarray                 # symbol of each code point; _GAP for what is no letter
     languages: tuple[str, ...]
-    tables: tuple[np.ndarray, ...]      # next state * SYMBOLS * 2, plus 1 where a phrase ends
+    tables: tuple[Table, ...]
     bits: tuple[float, ...]             # log2 of the reference's length: the price of a phrase
 
 
@@ -44,18 +56,12 @@ def _letters(text: str) -> str:
 
 
 def _symbol_map(samples: list[str]) -> np.ndarray:
-    """Frequent letters get symbols of their own, all others share the rest by code point."""
-    counts: dict[str, int] = {}
-    for text in samples:
-        for c in text:
-            if c != " ":
-                counts[c] = counts.get(c, 0) + 1
-    shared = SYMBOLS - 2 - _OWN
-    out = np.zeros(0x110000, dtype=np.uint8)
-    points = np.array([p for p in range(0x110000) if not 0xD800 <= p < 0xE000 and chr(p).isalpha()])
-    out[points] = 1 + _OWN + points % shared
-    for i, c in enumerate(sorted(counts, key=lambda c: (-counts[c], c))[:_OWN]):
-        out[ord(c)] = 1 + i
+    """Every letter of the samples has a symbol of its own; all other letters
+    share _UNKNOWN, which no parse can match, whatever they are."""
+    out = np.zeros(0x110000, dtype=np.int32)
+    out[[p for p in range(0x110000) if not 0xD800 <= p < 0xE000 and chr(p).isalpha()]] = _UNKNOWN
+    for i, c in enumerate(sorted({c for text in samples for c in text if c != " "})):
+        out[ord(c)] = _UNKNOWN + 1 + i
     return out
 
 
@@ -68,13 +74,8 @@ def encode(text: str, symbols: np.ndarray) -> np.ndarray:
     return out[keep]
 
 
-def automaton(sequence: np.ndarray) -> np.ndarray:
-    """Parsing table of the suffix automaton of ``sequence``.
-
-    Entry [state, symbol] is the state after the symbol, times 2 * SYMBOLS,
-    plus 1 when no substring goes on with it: then a phrase has ended and the
-    symbol begins the next.  The padding symbol changes nothing.
-    """
+def _suffix_automaton(sequence: np.ndarray) -> list[dict[int, int]]:
+    """Transitions of the suffix automaton of ``sequence``, by state; state 0 is the start."""
     step, link, length = [{}], [-1], [0]
     last = 0
     for symbol in sequence.tolist():
@@ -100,15 +101,43 @@ def automaton(sequence: np.ndarray) -> np.ndarray:
                     at = link[at]
                 link[old] = link[new] = twin
         last = new
-    out = np.empty((len(step), SYMBOLS), dtype=np.int32)
-    out[:] = 1
-    for symbol, state in step[0].items():
-        out[:, symbol] = state * SYMBOLS * 2 + 1
-    for state, steps in enumerate(step):
-        for symbol, after in steps.items():
-            out[state, symbol] = after * SYMBOLS * 2
-    out[:, _PAD] = np.arange(len(step)) * SYMBOLS * 2
-    return out.ravel()
+    return step
+
+
+def automaton(sequence: np.ndarray, n_symbols: int) -> Table:
+    """The parsing table of ``sequence``, whose symbols lie below ``n_symbols``.
+
+    A suffix automaton of n symbols has fewer than 2n states and 3n
+    transitions, however large the alphabet, so only the transitions that
+    exist get a cell: each state, those with most transitions first, takes a
+    random free number at which none of its cells is taken.  Fewer than half
+    of all cells are used in the end, so a few trials do.
+    """
+    step = _suffix_automaton(sequence)
+    width = 1 << max(8, int(2 * sum(map(len, step)) + len(step[0])).bit_length())
+    rng = random.Random(width)
+    taken = bytearray(width + n_symbols)
+    number, used = [0] * len(step), {0}
+    for symbol in step[0]:
+        taken[symbol] = 1
+    for state in sorted(range(1, len(step)), key=lambda s: -len(step[s])):
+        symbols = step[state]
+        while True:
+            at = rng.randrange(width)
+            if at not in used and not any(taken[at + s] for s in symbols):
+                break
+        used.add(at)
+        number[state] = at
+        for s in symbols:
+            taken[at + s] = 1
+    cells = np.full(width + n_symbols, -1, dtype=np.int64)
+    for state, symbols in enumerate(step):
+        for symbol, after in symbols.items():
+            cells[number[state] + symbol] = (number[state] << 32) | number[after]
+    first = np.zeros(n_symbols, dtype=np.int64)
+    for symbol, after in step[0].items():
+        first[symbol] = number[after]
+    return Table(cells, first)
 
 
 def passages(text: str) -> list[str]:
@@ -207,11 +236,12 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     references = {name: " ".join(parts)[:REFERENCE_CHARS] for name, parts in texts.items()}
     symbols = _symbol_map(list(references.values()))
     sequences = [encode(text, symbols) for text in references.values()]
-    return Model(symbols, tuple(references), tuple(automaton(s) for s in sequences),
+    n_symbols = int(symbols.max()) + 1
+    return Model(symbols, tuple(references), tuple(automaton(s, n_symbols) for s in sequences),
                  tuple(float(np.log2((len(s) or REFERENCE_CHARS) + 1)) for s in sequences))
 
 
-def phrases(sequences: list[np.ndarray], tables: tuple[np.ndarray, ...]) -> np.ndarray:
+def phrases(sequences: list[np.ndarray], tables: tuple[Table, ...]) -> np.ndarray:
     """Phrases of each sequence (rows) in each language's parse (columns)."""
     owner = [i for i, s in enumerate(sequences) for _ in range(0, len(s), WINDOW_CHARS)]
     windows = [s[a:a + WINDOW_CHARS] for s in sequences for a in range(0, len(s), WINDOW_CHARS)]
@@ -219,18 +249,21 @@ def phrases(sequences: list[np.ndarray], tables: tuple[np.ndarray, ...]) -> np.n
     out = np.zeros((len(sequences), len(tables)), dtype=np.int64)
     for a in range(0, len(order), _ROWS):
         some = order[a:a + _ROWS]
-        block = np.full((len(some), len(windows[some[-1]])), _PAD, dtype=np.uint8)
+        lengths = np.array([len(windows[w]) for w in some])
+        block = np.zeros((lengths[-1], len(some)), dtype=np.int32)
         for row, w in enumerate(some):
-            block[row, :len(windows[w])] = windows[w]
-        columns = np.ascontiguousarray(block.T).astype(np.int32)
+            block[:len(windows[w]), row] = windows[w]
+        begin = np.searchsorted(lengths, np.arange(lengths[-1]), side="right")  # rows from here on are longer
         rows = np.array([owner[w] for w in some])
-        for k, steps in enumerate(tables):
-            state = np.zeros(len(some), dtype=np.int32)
+        for k, (cells, first) in enumerate(tables):
+            state = np.zeros(len(some), dtype=np.int64)
             count = np.ones(len(some), dtype=np.int32)  # the phrase that the window's end cuts off
-            for symbols in columns:
-                after = steps[state + symbols]
-                count += after & 1
-                state = after >> 1
+            for symbols, b in zip(block, begin, strict=True):
+                symbols, now = symbols[b:], state[b:]
+                cell = cells[now + symbols]
+                ended = (cell >> 32) != now
+                count[b:] += ended
+                state[b:] = np.where(ended, first[symbols], cell & 0xFFFFFFFF)
             np.add.at(out[:, k], rows, count)
     return out
 
@@ -245,7 +278,8 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     null or has no letter is ``und`` with score 0, as is every text when no
     language was learned.  Whole texts are read; other columns are not.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(tuple(model))  # plain values, for workers without this package
+    plain = (model.symbols, model.languages, tuple(map(tuple, model.tables)), model.bits)
+    shared = docs.sparkSession.sparkContext.broadcast(plain)  # plain values, for workers without this package
 
     def run(batches):
         held = Model(*shared.value)
