@@ -69,3 +69,24 @@ def test_odd_rows(spark):
     assert M.mix(empty(spark)).count() == 0
     blank = frame(spark, [(1, "", "en", "a", 0), (2, None, "en", "b", 0)])
     assert M.mix(blank).count() == 0
+
+
+def test_words_taken_are_those_of_the_stream(spark):
+    """Sums over the sorted copies equal the closed form of the cut, also for rows without id, words or source."""
+    rng = random.Random(3)
+    rows = [(rng.choice([None, i, 7]), words(rng, rng.randrange(40)), "en", rng.choice(["a", "a", "b", None]), 0) for i in range(300)]
+    docs = frame(spark, rows)
+    closed = M.serve(docs, carry=["doc_id"]).select("_row.doc_id", "size", "source_size", "target",
+                                                    (M.taken_words(0) + M.taken_words(1)).alias("taken"))
+    assert Counter(map(tuple, M.mixed_words(docs, ["doc_id"]).collect())) == Counter(map(tuple, closed.collect()))
+    assert M.mixed_words(empty(spark), ["doc_id"]).count() == 0
+
+
+def test_rows_without_id_spread_and_reruns_agree(spark):
+    rng = random.Random(4)
+    rows = [(None, words(rng, 20), "en", "a", i) for i in range(400)] + [(i, words(rng, 20), "en", "b", i) for i in range(50)]
+    docs = frame(spark, rows)
+    keys = docs.where("doc_id IS NULL").select(M.shuffle_key(docs["doc_id"], docs["text"], 17).substr(1, M.SLICE_DIGITS).alias("s"))
+    assert keys.distinct().count() > 300  # slices, each a task's share
+    first, again = (list(map(tuple, M.mix(d).collect())) for d in (docs, docs.repartition(13)))
+    assert first == again

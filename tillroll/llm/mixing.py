@@ -18,8 +18,10 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def shuffle_key(doc_id: Column, seed: int) -> Column:
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(doc_id.cast("string"), F.lit(""))))
+def shuffle_key(doc_id: Column, text: Column, seed: int) -> Column:
+    """md5 of seed, id and text: rows without id, or of one id, fall apart by their texts."""
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(doc_id.cast("string"), F.lit("")),
+                             F.md5(F.coalesce(text, F.lit("")))))
 
 
 def targets(sources: DataFrame) -> DataFrame:
@@ -46,16 +48,18 @@ def targets(sources: DataFrame) -> DataFrame:
 
 
 def serve(docs: DataFrame, seed: int = 17, carry: list[str] | None = None) -> DataFrame:
-    """(_row, size, source_size, target, start) for every row: where its first
-    word stands in its source's shuffled order.  ``_row`` has the columns
+    """(_row, source, size, source_size, target, start) for every row: where its
+    first word stands in its source's shuffled order.  ``_row`` has the columns
     named by ``carry``, all of them by default.
 
-    Rows of a source are ordered by an md5 of seed and ``doc_id``, then size;
-    rows equal in both are interchangeable.  Running totals are taken within
-    slices of the hash, and slices are offset by the totals of those before.
+    Rows of a source are ordered by an md5 of seed, ``doc_id`` and text.  Rows
+    equal in id and text follow one another in any order; as each takes as
+    many words, only their other columns could tell reruns apart.  Running
+    totals are taken within slices of the hash, and slices are offset by the
+    totals of those before.
     """
     sized = docs.select(F.struct(*(carry or ["*"])).alias("_row"), F.col("source"), n_words(F.col("text")).alias("size"),
-                        shuffle_key(F.col("doc_id"), seed).alias("key"))
+                        shuffle_key(F.col("doc_id"), F.col("text"), seed).alias("key"))
     sized = sized.withColumn("slice", F.substring("key", 1, SLICE_DIGITS))
     slices = materialize(sized.groupBy("source", "slice").agg(F.sum("size").alias("slice_size")), "slices")
     shares = targets(slices.groupBy("source").agg(F.sum("slice_size").alias("source_size")))
@@ -66,7 +70,7 @@ def serve(docs: DataFrame, seed: int = 17, carry: list[str] | None = None) -> Da
     rows = sized.join(slices, F.col("source").eqNullSafe(F.col("_source")) & (F.col("slice") == F.col("_slice")))
     inside = Window.partitionBy("source", "slice").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, -1)
     start = F.col("offset") + F.coalesce(F.sum("size").over(inside), F.lit(0))
-    return rows.select("_row", "size", "source_size", "target", start.alias("start"))
+    return rows.select("_row", "source", "size", "source_size", "target", start.alias("start"))
 
 
 def taken_words(epoch: int) -> Column:
@@ -81,6 +85,21 @@ def taken_words(epoch: int) -> Column:
     return F.least(F.greatest(left, F.lit(0)), F.col("size")).cast("long")
 
 
+def stream(served: DataFrame) -> DataFrame:
+    """The rows of ``serve`` as copies in ascending virtual finish time, with
+    ``finish``, ``epoch`` and ``taken``.
+
+    A copy's virtual finish time is its source's running words at its last
+    taken word over the source's target.  The copies are range-partitioned and
+    sorted by it, and end at time 1, where the budget is spent.
+    """
+    copies = F.array(*(F.struct(F.lit(e).alias("epoch"), taken_words(e).alias("taken")) for e in range(EPOCHS)))
+    finish = (F.col("source_size") * F.col("epoch") + F.col("start") + F.col("taken")) / F.col("target")
+    rows = served.select("*", F.inline(copies)).where("taken > 0").withColumn("finish", finish)
+    order = ["finish", "source", "epoch"]
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def _first_words(text: Column, n: Column) -> Column:
     words = F.split(F.regexp_replace(text, r"^[\x20\x09-\x0D]+", ""), r"[\x20\x09-\x0D]+")
     return F.concat_ws(" ", F.slice(words, F.lit(1), n.cast("int")))
@@ -99,30 +118,38 @@ def mix(docs: DataFrame, seed: int = 17) -> DataFrame:
     source is a source of its own.  The output is range-partitioned and sorted by
     (mix_finish, source, epoch); an empty table gives an empty result.
     """
-    served = serve(docs, seed)
-    copies = F.array(*(F.struct(F.lit(e).alias("epoch"), taken_words(e).alias("taken")) for e in range(EPOCHS)))
-    rows = served.select("*", F.inline(copies)).where("taken > 0")
-    finish = (F.col("source_size") * F.col("epoch") + F.col("start") + F.col("taken")) / F.col("target")
+    rows = stream(serve(docs, seed))
+    cut = F.when(F.col("taken") < F.col("size"), _first_words(F.col("_row.text"), F.col("taken"))).otherwise(F.col("_row.text"))
     names = [c for c in docs.columns if c not in ("mix_finish", "mix_epoch", "mix_taken")]
-    rows = rows.withColumn("cut", F.when(F.col("taken") < F.col("size"), _first_words(F.col("_row.text"), F.col("taken")))
-                           .otherwise(F.col("_row.text")))
-    out = rows.select(*(F.col("cut" if c == "text" else f"_row.`{c}`").alias(c) for c in names), finish.alias("mix_finish"),
-                      F.col("epoch").alias("mix_epoch"), F.col("taken").alias("mix_taken"))
-    order = ["mix_finish", "source", "mix_epoch"]
-    return out.repartitionByRange(*order).sortWithinPartitions(*order)
+    return rows.select(*((cut if c == "text" else F.col(f"_row.`{c}`")).alias(c) for c in names), F.col("finish").alias("mix_finish"),
+                       F.col("epoch").alias("mix_epoch"), F.col("taken").alias("mix_taken"))
+
+
+def mixed_words(docs: DataFrame, carry: list[str], seed: int = 17) -> DataFrame:
+    """``carry`` columns, size, source_size, target and taken for every row of
+    ``docs``: the words that the mixture's copies of the row take in all.
+
+    A row with words is known by its source and its place in the source's
+    order; rows without words take part in no copy and take 0.
+    """
+    served = materialize(serve(docs, seed, carry), "served")
+    taken = stream(served).groupBy(F.col("source").alias("_source"), F.col("start").alias("_start")).agg(
+        F.sum("taken").alias("_taken"))
+    met = served.where("size > 0").join(
+        taken, F.col("source").eqNullSafe(F.col("_source")) & (F.col("start") == F.col("_start")), "left")
+    rows = met.drop("_source", "_start").unionByName(served.where("size = 0").withColumn("_taken", F.lit(0).cast("long")))
+    return rows.select("_row.*", "size", "source_size", "target", F.coalesce("_taken", F.lit(0)).cast("long").alias("taken"))
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How much of every document the mixture takes."""
-    served = serve(table(spark, sf_dir, "documents"), carry=["doc_id"])
-    taken = sum((taken_words(e) for e in range(1, EPOCHS)), taken_words(0))
-    return served.select("_row.doc_id", "size", "source_size", "target", taken.alias("taken"))
+    return mixed_words(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
 OP9_SQL = """
 WITH d AS (
   SELECT doc_id, source, CAST(COALESCE(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size,
-         md5('17|' || COALESCE(CAST(doc_id AS VARCHAR), '')) AS k
+         md5('17|' || COALESCE(CAST(doc_id AS VARCHAR), '') || '|' || md5(COALESCE(text, ''))) AS k
   FROM documents),
 s AS (
   SELECT source, CAST(SUM(size) AS BIGINT) AS source_size,
