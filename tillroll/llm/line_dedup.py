@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import materialize, table
+from tillroll.llm.common import HOT_SHARE, join_hot, materialize, table
 
 #: Shorter lines count as repeated only when they are equal: a single edit
 #: makes another line of them.
@@ -233,10 +233,14 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = materialize(_line_rows(docs, id_col, text_col), "line-rows")
     distinct = materialize(rows.groupBy("h1", "h2").agg(
         F.min(_place().withField("text_key", F.col("text_key"))).alias("first"), F.count("*").alias("n"), F.first("halves").alias("halves")), "distinct-lines")
-    near = near_lines(docs, distinct, id_col, text_col).withColumn("near", F.lit(True))
-    bad = distinct.select("h1", "h2", _place("first.").alias("first"), "n").join(near, ["h1", "h2"], "left").where("n > 1 OR near")
-    gone = rows.select("id", "text_key", "line", "h1", "h2").join(bad, ["h1", "h2"]).where(
-        F.coalesce("near", F.lit(False)) | (_place() > F.col("first")))
+    near = materialize(near_lines(docs, distinct, id_col, text_col).withColumn("near", F.lit(True)), "near-lines")
+    hot = F.col("n") > max(1, rows.count() // HOT_SHARE)
+
+    def bad(lines):
+        return lines.select("h1", "h2", _place("first.").alias("first"), "n").join(near, ["h1", "h2"], "left").where("n > 1 OR near")
+
+    met = join_hot(rows.select("id", "text_key", "line", "h1", "h2"), bad(distinct.where(hot)), bad(distinct.where(~hot)), ["h1", "h2"])
+    gone = met.where(F.coalesce("near", F.lit(False)) | (_place() > F.col("first")))
     return gone.groupBy("id", "text_key").agg(F.collect_set(F.struct("line", "h1", "h2")).alias("lines"))
 
 
