@@ -11,7 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import new_path, table
+from tillroll.llm.common import HOT_SHARE, join_hot, materialize, new_path, table
 
 CACHE_SCHEMA = "content_digest string, tokenizer_digest string, n_tokens bigint"
 #: Texts are handed to the library in groups of about so many bytes.
@@ -72,8 +72,8 @@ def read_cache(spark: SparkSession, cache_path: str) -> DataFrame:
 def _misses(texts: DataFrame, known: DataFrame) -> DataFrame:
     """One (digest, text) for each content that has no stored count.
 
-    Repeats meet in a map-side minimum of row locations first, so a content
-    held by a third of all rows leaves each task once.
+    Repeats meet in a map-side aggregate first, so a content held by a third
+    of all rows leaves each task once.
     """
     absent = texts.join(known.select("content_digest"), "content_digest", "left_anti")
     return absent.groupBy("content_digest").agg(F.first("text").alias("text"))
@@ -112,7 +112,9 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str, text_col
               .groupBy("content_digest").agg(F.max("n_tokens").alias("n_tokens")))
     rows = docs.select(F.struct("*").alias("_row"), digest.alias("content_digest"),
                        F.octet_length(text).cast("long").alias("n_bytes"))
-    return rows.join(stored, "content_digest").select("_row", "n_bytes", "n_tokens")
+    many = docs.groupBy(digest.alias("content_digest")).count().where(F.col("count") > max(1, docs.count() // HOT_SHARE))
+    hot = materialize(stored.join(F.broadcast(many.select("content_digest")), "content_digest"), "hot-digests")
+    return join_hot(rows, hot, stored, ["content_digest"]).select("_row", "n_bytes", "n_tokens")
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
