@@ -63,3 +63,41 @@ def test_repeats_empty_and_given_redirects(spark):
 def test_hot_canonical(spark):
     rows = [(i, f"http://s{i}.org/", link("http://hub.org/")) for i in range(400)] + [(999, "http://hub.org/", link("http://bad.net/es/"))]
     assert Counter(v[3] for v in verdicts(spark, rows).values()) == {"block": 401}
+
+
+def targets(spark, url, html):
+    return {r["dst"] for r in U.page_links(spark.createDataFrame([(url, html)], "url string, html string")).collect()}
+
+
+def test_links_are_read_as_browsers_read_them(spark):
+    at = "http://h.org/a/b/c?q#f"
+    html = """<head><!-- <link rel=canonical href=/comment> --><script>x = '<link rel="canonical" href="/script">'</script>
+    <link rel="canonical" href="../one"><LINK href='./two' REL='alternate canonical'><link rel=canonical href=../../../../three>
+    <link data-rel="canonical" href="/no"><link rel="stylesheet" href="/no"><link rel="canonical" data-href="/no" href="/./four/../five">
+    <meta http-equiv="refresh" content="3;URL='?page=2&amp;x=&#49;&#x2f;'"><meta http-equiv=Refresh content="0; url=http://o.org/x/../y?z=..">
+    <link rel="canonical" href="/&#xe9;&#128512;&bogus;&#1114112;&"></head><!-- <link rel=canonical href=/unclosed>"""
+    assert targets(spark, at, html) == {
+        "http://h.org/a/one", "http://h.org/a/b/two", "http://h.org/three", "http://h.org/five", "http://h.org/a/b/c?page=2&x=1/",
+        "http://o.org/y?z=..", "http://h.org/\u00e9\U0001f600&bogus;\ufffd&"}
+
+
+def test_base_element_and_bare_hosts(spark):
+    html = '<base href="//b.org/x/"><link rel=canonical href="y/../z">'
+    assert targets(spark, "https://h.org/a", html) == {"https://b.org/x/z"}
+    assert targets(spark, "http://h.org", '<link rel="canonical" href="../..">') == {"http://h.org"}  # as address() has it
+    assert targets(spark, "http://h.org/a", '<link rel="canonical" href="">') <= {None}
+    assert targets(spark, None, link("/x")) <= {None} and not targets(spark, "http://h.org/", None)
+
+
+def test_second_link_and_dots_carry_blocks(spark):
+    got = verdicts(spark, [
+        (1, "http://a.org/x", link("http://a.org/self") + link("http://evil.net/es/1")),
+        (2, "http://a.org/p/q/r", link("../../x")), (3, "http://c.org/", "<!--" + link("http://evil.net/es/1") + "-->"),
+        (4, None, link("http://evil.net/es/1")), (None, "http://a.org/p/q/r", None)])
+    assert {k: v[3] for k, v in got.items()} == {1: "block", 2: "block", 3: "allow", 4: "allow", None: "block"}
+
+
+def test_many_pages_without_address(spark):
+    rows = [(i, None if i % 3 else "x", link("http://evil.net/es/1")) for i in range(300)] + [(900, "http://evil.net/es/1", "")]
+    got = verdicts(spark, rows)
+    assert len(got) == 301 and {v[3] for k, v in got.items() if k < 900} == {"allow"} and got[900][3] == "block"

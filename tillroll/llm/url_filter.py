@@ -11,10 +11,15 @@ from tillroll.llm.common import materialize, table
 from tillroll.llm.components import connected_components
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_CANONICAL = r"""(?is)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>"""
-_REFRESH = r"""(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>"""
-_HREF = r"""(?is)\bhref\s*=\s*["']?\s*([^"'\s>]+)"""
+#: Where markup does not count: comments, and elements whose content is text.
+_NOT_MARKUP = r"(?is)<!--.*?(?:-->|\z)|<(script|style|textarea|title)\b.*?(?:</\1\s*>|\z)"
+_CANONICAL = (r"""(?is)<link\b[^>]*\srel\s*=\s*(?:"[^">]*\bcanonical\b|'[^'>]*\bcanonical\b|canonical\b)[^>]*>""")
+_REFRESH = r"""(?is)<meta\b[^>]*\shttp-equiv\s*=\s*["']?\s*refresh\b[^>]*>"""
+_BASE = r"(?is)<base\b[^>]*>"
+_HREF = r"""(?is)[\s"']href\s*=\s*["']?\s*([^"'\s>]+)"""
 _REFRESH_URL = r"""(?is)\burl\s*=\s*["']?\s*([^"'\s>]+)"""
+#: Named character references that a url can hold; numbered ones are decoded by number.
+_NAMED = {"&amp;": "&", "&quot;": '"', "&apos;": "'", "&lt;": "<", "&gt;": ">"}
 
 
 class Rule(NamedTuple):
@@ -54,24 +59,77 @@ def address(url: Column) -> Column:
     return F.when(host != "", F.concat(host, F.regexp_replace(path_of(url), "/+$", ""), query))
 
 
+def _with(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _decoded(link: Column) -> Column:
+    """``link`` with its character references decoded; a number that is no character becomes U+FFFD."""
+    def character(number: Column) -> Column:
+        char = (number > 0) & (number <= 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+        point = F.when(char, number).otherwise(F.lit(0xFFFD).cast("bigint"))
+        return F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
+
+    def one(part: Column) -> Column:
+        hexed = F.regexp_extract(part, "(?i)^&#x([0-9a-f]+);$", 1)
+        number = F.when(hexed != "", F.conv(hexed, 16, 10)).otherwise(F.regexp_extract(part, "^&#([0-9]+);$", 1))
+        out = F.when(part.startswith("&#") & (F.length(part) > 2), _with(number.try_cast("bigint"), character))
+        for name, plain in _NAMED.items():
+            out = out.when(F.lower(part) == name, plain)
+        return out.otherwise(part)
+
+    parts = F.regexp_extract_all(link, F.lit("(?i)(&(?:#[0-9]+|#x[0-9a-f]+|[a-z]+);|[^&]+|&)"), F.lit(1))
+    return F.when(link.contains("&"), F.array_join(F.transform(parts, one), "")).otherwise(link)
+
+
+def _without_dots(url: Column) -> Column:
+    """``url`` with the segments ``.`` and ``..`` of its path carried out."""
+    def steps(path: Column) -> Column:
+        return F.aggregate(
+            F.split(path, "/"), F.array().cast("array<string>"),
+            lambda done, step: F.when(step == ".", done)
+            .when(step == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1))))
+            .otherwise(F.concat(done, F.array(step))))
+
+    head, tail = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1), F.regexp_extract(url, r"(?s)^[^?#]*([?#].*)$", 1)
+    dots = path_of(url).rlike(r"(?:^|/)\.\.?(?:/|$)")
+    return F.when(dots, F.concat(head, F.array_join(steps(path_of(url)), "/"), tail)).otherwise(url)
+
+
 def _absolute(link: Column, url: Column) -> Column:
-    """``link`` as found on ``url``: absolute, scheme-relative, host-relative or relative to the path."""
-    link = F.regexp_replace(link, "(?i)&amp;", "&")
-    scheme, rooted = F.regexp_extract(url, r"(?s)^(.*?://)", 1), F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1)
-    folder = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*/)", 1)
-    return (F.when(link == "", None).when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), link)
-            .when(link.startswith("//"), F.concat(F.regexp_replace(scheme, "//$", ""), link))
-            .when(link.startswith("/"), F.concat(rooted, link))
-            .when(link.startswith("?") | link.startswith("#"), F.concat(rooted, path_of(url), link))
-            .when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), None)
-            .otherwise(F.concat(rooted, F.when(folder == "", "/").otherwise(folder), link)))
+    """``link`` as found on ``url``: absolute, scheme-relative, host-relative or
+    relative to the path, dot segments carried out."""
+    def joined(link: Column) -> Column:
+        scheme, rooted = F.regexp_extract(url, r"(?s)^(.*?://)", 1), F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1)
+        folder = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*/)", 1)
+        return (F.when(link == "", None).when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), link)
+                .when(link.startswith("//"), F.concat(F.regexp_replace(scheme, "//$", ""), link))
+                .when(link.startswith("/"), F.concat(rooted, link))
+                .when(link.startswith("?") | link.startswith("#"), F.concat(rooted, path_of(url), link))
+                .when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), None)
+                .otherwise(F.concat(rooted, F.when(folder == "", "/").otherwise(folder), link)))
+
+    return _with(_with(link, joined), _without_dots)
+
+
+def page_links(rows: DataFrame) -> DataFrame:
+    """(src, dst) for every canonical link and refresh redirect of the pages (url, html).
+
+    Every such tag counts, outside comments and scripts; character references
+    are decoded, and relative targets start from the page's first base
+    element or else from its url.
+    """
+    marked = rows.where(F.col("html").rlike("(?i)canonical|refresh")).select(
+        F.col("url").alias("src"), F.regexp_replace("html", _NOT_MARKUP, "").alias("html"))
 
+    def targets(tag: str, target: str) -> Column:
+        return F.transform(F.regexp_extract_all("html", F.lit(tag), F.lit(0)), lambda t: F.regexp_extract(t, target, 1))
 
-def page_links(html: Column) -> Column:
-    """Targets of the page's canonical link and of its refresh redirect."""
-    canonical = F.regexp_extract(F.regexp_extract(html, _CANONICAL, 0), _HREF, 1)
-    refresh = F.regexp_extract(F.regexp_extract(html, _REFRESH, 0), _REFRESH_URL, 1)
-    return F.array(canonical, refresh)
+    links = marked.select("src", _decoded(F.regexp_extract(F.regexp_extract("html", _BASE, 0), _HREF, 1)).alias("base"),
+                          F.explode(F.concat(targets(_CANONICAL, _HREF), targets(_REFRESH, _REFRESH_URL))).alias("link"))
+    start = F.coalesce(_absolute(F.col("base"), F.col("src")), F.col("src"))
+    return links.select("src", _with(start, lambda base: _absolute(_decoded(F.col("link")), base)).alias("dst"))
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, redirects: DataFrame | None = None,
@@ -86,13 +144,12 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, redirects: DataFram
     not they are pages, and ``redirects`` (src, dst urls, such as a crawler's
     HTTP redirects) adds edges.  ``rules`` is a configured list, part of the
     plan.  A null url, or one without ``://``, has empty host and path, no
-    rule and no alias: allowed.  Null html has no links.  Repeated rows come
-    back as often as they came; other columns are not read.
+    rule and no alias: allowed; it meets no join.  Null html has no links.
+    Whole pages are read, however long.  Repeated rows come back as often as
+    they came, an empty table gives no rows, and other columns are not read.
     """
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    links = rows.where(F.col("html").isNotNull()).select(
-        F.col("url").alias("src"), F.explode(page_links(F.col("html"))).alias("link"))
-    links = links.select("src", _absolute(F.col("link"), F.col("src")).alias("dst"))
+    links = materialize(page_links(rows).distinct(), "page-links")
     if redirects is not None:
         links = links.unionByName(redirects.select("src", "dst"))
     links = links.where("src IS NOT NULL AND dst IS NOT NULL").select(
@@ -112,10 +169,12 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, redirects: DataFram
                                              (verdict == "block").alias("bad")))
     bad = seen.where("bad").select("address").distinct()
     group = F.coalesce("component", "address")
-    bad = (bad.join(labels, bad["address"] == labels["vertex"], "left").select(group.alias("group")).distinct()
-           .withColumn("aliases_blocked", F.lit(True)))
-    out = judged.join(labels, judged["address"] == labels["vertex"], "left").withColumn("group", group)
-    out = out.join(bad, "group", "left")
+    bad = materialize(bad.join(labels, bad["address"] == labels["vertex"], "left").select(group.alias("group")).distinct()
+                      .withColumn("aliases_blocked", F.lit(True)), "blocked")  # stored, so that a hot group's join can split
+    apart = judged.where("address IS NULL").withColumn("aliases_blocked", F.lit(None).cast("boolean"))
+    named = judged.where("address IS NOT NULL")
+    out = named.join(labels, named["address"] == labels["vertex"], "left").withColumn("group", group).join(bad, "group", "left")
+    out = out.select(*apart.columns).unionByName(apart)
     verdict = F.coalesce("ruled", F.when(F.col("aliases_blocked"), "block").otherwise("allow"))
     return out.select(F.col("id").alias(id_col), "host", "path", "rule", verdict.alias("verdict"))
 
