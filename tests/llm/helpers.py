@@ -1,6 +1,7 @@
 """Small inputs that every operator must take: nulls, empty and long texts, repeats, clashing columns."""
 
 import random
+from contextlib import contextmanager
 
 DOC_SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 #: Names that operators use inside; a column of such a name must not disturb them.
@@ -33,3 +34,26 @@ def frame(spark, rows, clashing=True):
 
 def empty(spark):
     return frame(spark, [])
+
+
+@contextmanager
+def everything_is_skewed(spark):
+    """Small thresholds, under which adaptive execution splits each join that it can."""
+    small = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def final_plan(df):
+    """The physical plan after the rows have been computed."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()

@@ -1,6 +1,7 @@
 import random
 
-from tillroll.llm.components import connected_components
+from tests.llm.helpers import everything_is_skewed, final_plan
+from tillroll.llm.components import _large_star, _small_star, connected_components
 
 
 def test_random_graph_and_long_path(spark):
@@ -25,3 +26,12 @@ def test_random_graph_and_long_path(spark):
 
 def test_no_edges(spark):
     assert connected_components(spark.createDataFrame([], "src string, dst string")).count() == 0
+
+
+def test_a_hot_vertex_is_split(spark):
+    edges = spark.createDataFrame([(1, 10 + i) for i in range(20_000)], "src bigint, dst bigint").repartition(8)
+    with everything_is_skewed(spark):
+        assert "skew=true" in final_plan(_large_star(edges))
+        down = edges.selectExpr("100000 AS src", "dst")
+        assert "skew=true" in final_plan(_small_star(down))
+        assert {r["component"] for r in connected_components(edges).collect()} == {1}

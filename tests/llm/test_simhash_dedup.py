@@ -6,7 +6,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tests.conftest import SF001
-from tests.llm.helpers import empty, frame, odd_documents, words
+from tests.llm.helpers import empty, everything_is_skewed, final_plan, frame, odd_documents, words
 from tillroll.llm import simhash_dedup as S
 
 
@@ -120,3 +120,12 @@ def test_long_lists_give_the_same_components(spark, monkeypatch, most):
 def test_fingerprint_of_long_text():
     text = words(random.Random(5), 70_000)
     assert S.fingerprint(text.encode()) == brute_fingerprint(text)
+
+
+def test_a_long_posting_list_is_split(spark):
+    lists = spark.createDataFrame([(3, 0 if i % 3 else i, i) for i in range(30_000)], "mask bigint, posting bigint, fp bigint").repartition(8)
+    with everything_is_skewed(spark):
+        counted = S._with_counts(lists)
+        assert "skew=true" in final_plan(counted)
+    got = counted.collect()
+    assert len(got) == 20_001 and {r["n"] for r in got} == {20_001}

@@ -3,6 +3,7 @@ from collections import Counter
 
 import pytest
 
+from tests.llm.helpers import everything_is_skewed, final_plan
 from tillroll.llm import warc as W
 from tillroll.llm.common import new_path
 
@@ -100,3 +101,13 @@ def test_reads_every_member(spark, tmp_path):
     (folder / "a.warc.gz").write_bytes(gzip.compress(records[1])[:-9])
     with pytest.raises(Exception, match="cut off"):
         W.read_archives(spark, str(folder), "*.warc.gz").collect()
+
+
+def test_a_hot_digest_is_split(spark):
+    heads = spark.createDataFrame([(f"k{i}", str(i), i, "same" if i % 3 else f"d{i}", 2_000, f"u{i}") for i in range(20_000)],
+                                  "key string, page_key string, page_id bigint, digest string, n_bytes bigint, url string")
+    with everything_is_skewed(spark):
+        planned = W.plan_records(heads)
+        assert "skew=true" in final_plan(planned)
+    types = [(r["record_type"], r["digest"]) for r in planned.collect()]
+    assert sum(t == "revisit" for t, _ in types) == sum(d == "same" for _, d in types) - 1

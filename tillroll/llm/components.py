@@ -11,7 +11,7 @@ from tillroll.llm.common import materialize
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every neighbour above a vertex is tied to the smallest vertex around it."""
     both = edges.unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    low = both.groupBy("src").agg(F.least(F.min("dst"), F.col("src")).alias("low"))
+    low = materialize(both.groupBy("src").agg(F.least(F.min("dst"), F.col("src")).alias("low")), "low")
     return (both.where("dst > src").join(low, "src")
             .select(F.col("dst").alias("src"), F.col("low").alias("dst")).where("src <> dst").distinct())
 
@@ -19,7 +19,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 def _small_star(edges: DataFrame) -> DataFrame:
     """A vertex and its smaller neighbours are tied to the smallest of them."""
     down = edges.select(F.greatest("src", "dst").alias("src"), F.least("src", "dst").alias("dst"))
-    low = down.groupBy("src").agg(F.min("dst").alias("low"))
+    low = materialize(down.groupBy("src").agg(F.min("dst").alias("low")), "low")
     moved = down.join(low, "src").select(F.col("dst").alias("src"), F.col("low").alias("dst"))
     own = low.select("src", F.col("low").alias("dst"))
     return moved.unionByName(own).where("src <> dst").distinct()
@@ -35,7 +35,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     nothing but one counter row reaches the driver.  Rounds go on until the
     edge set no longer changes, which large-star and small-star reach in
     O(log^2 n) rounds.  A vertex with very many edges meets partial minima
-    first and a skew-splittable equi-join afterwards.
+    first; the minima are stored, so that the join behind them has a shuffle
+    and no aggregate on either side, which adaptive execution can split.
     """
     edges = edges.select("src", "dst").where("src <> dst").distinct()
     edges = materialize(_small_star(edges), "edges")

@@ -143,11 +143,21 @@ def _star_edges(lists: DataFrame, sets: list[tuple[int, ...]], radius: int) -> D
         [f for s in sets for f in _flips(s, radius - near)], "mask bigint, k int, flip bigint")
     around = lists.select("mask", "fp").join(F.broadcast(flips), "mask").select(
         F.col("fp").bitwiseXOR(F.col("flip")).alias("centre"), "k", "fp")
-    leaders = around.where(F.col("k") <= near).groupBy("centre").agg(F.min("fp").alias("src"))
+    leaders = materialize(around.where(F.col("k") <= near).groupBy("centre").agg(F.min("fp").alias("src")), "leaders")
     return (around.select("centre", F.col("fp").alias("dst")).join(leaders, "centre")
             .where("src <> dst").select("src", "dst").distinct())
 
 
+def _with_counts(lists: DataFrame) -> DataFrame:
+    """Postings of lists with two members or more, and the list's length ``n``.
+
+    The lengths are stored first: a join with an aggregate on its own key
+    can't be split where one list is very long.
+    """
+    counts = lists.groupBy("mask", "posting").agg(F.count("*").alias("n")).where("n > 1")
+    return lists.join(materialize(counts, "list-lengths"), ["mask", "posting"])
+
+
 def fingerprint_edges(fps: DataFrame, radius: int) -> DataFrame:
     """Edges (src, dst) between distinct ``fp`` whose connected components are
     those of all pairs at most ``radius`` bits apart."""
@@ -158,16 +168,14 @@ def fingerprint_edges(fps: DataFrame, radius: int) -> DataFrame:
     minimum = BYTES - radius
     sets = position_sets(minimum)
     lists = _postings(fps, sets)
-    counts = lists.groupBy("mask", "posting").agg(F.count("*").alias("n")).where("n > 1")
-    lists = materialize(lists.join(counts, ["mask", "posting"]), "postings")
+    lists = materialize(_with_counts(lists), "postings")
     edges = _pair_edges(lists.where(F.col("n") <= LIST_PAIRS), radius)
     # Long lists: pairs share `minimum` bytes, one more than the list's own.
     long_lists = lists.where(F.col("n") > LIST_PAIRS).select("fp").distinct()
     if not long_lists.isEmpty():
         full = list(combinations(range(BYTES), minimum))
         deeper = _postings(long_lists, full)
-        n = deeper.groupBy("mask", "posting").agg(F.count("*").alias("n")).where("n > 1")
-        deeper = materialize(deeper.join(n, ["mask", "posting"]), "postings")
+        deeper = materialize(_with_counts(deeper), "postings")
         edges = edges.unionByName(_pair_edges(deeper.where(F.col("n") <= LIST_PAIRS), radius))
         edges = edges.unionByName(_star_edges(deeper.where(F.col("n") > LIST_PAIRS), full, radius))
     return edges
@@ -180,7 +188,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str, shingle: int, radiu
     labels = connected_components(fingerprint_edges(fps.select("fp"), radius))
     joined = fps.join(labels, fps["fp"] == labels["vertex"], "left")
     joined = joined.select("fp", "low", F.coalesce("component", "fp").alias("component"))
-    lows = joined.groupBy("component").agg(F.min("low").alias("component_id"))
+    lows = materialize(joined.groupBy("component").agg(F.min("low").alias("component_id")), "lows")
     return rows.join(joined.join(lows, "component").select("fp", "component", "component_id"), "fp")
 
 

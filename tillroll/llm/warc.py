@@ -51,14 +51,15 @@ def plan_records(heads: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFr
     Only headers move.  Of equal payloads of at least ``min_bytes``, the one
     with the largest page id is the response and all others revisit it; a null
     id is below every other, the greater url decides between rows of one id,
-    and of fully repeated rows (copies 1, 2, ...) the first.
+    and of fully repeated rows (copies 1, 2, ...) the first.  The originals
+    are stored, so that the join on a digest of very many pages can be split.
     """
     url = F.coalesce("url", F.lit(""))
     copies = heads.groupBy("key", "page_key", "page_id", "digest", "n_bytes", url.alias("url")).agg(
         F.count("*").alias("copies"))
     rows = copies.select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"))
-    originals = copies.where(F.col("n_bytes") >= min_bytes).groupBy("digest").agg(
-        F.max(F.struct(F.col("page_id").isNotNull(), "page_id", "key", "url")).alias("o"))
+    originals = materialize(copies.where(F.col("n_bytes") >= min_bytes).groupBy("digest").agg(
+        F.max(F.struct(F.col("page_id").isNotNull(), "page_id", "key", "url")).alias("o")), "originals")
     rows = rows.join(originals, "digest", "left")
     same = (F.col("key") == F.col("o.key")) & (F.col("url") == F.col("o.url")) & (F.col("copy") == 1)
     revisit = F.col("o").isNotNull() & ~same
