@@ -56,13 +56,3 @@ def test_only_distinct_misses_are_encoded(spark):
     forged_row = frame(spark, [(1, "forged", "en", "a", 1)])
     assert T.count_tokens(forged_row, MODEL, cache).first()["n_tokens"] == 77
     assert T.count_tokens(forged_row, JSON, cache).first()["n_tokens"] == brute(JSON, "forged")
-
-
-@pytest.mark.parametrize("share", [1, 4, 1_000])
-def test_a_content_of_a_third_of_all_rows(spark, monkeypatch, share):
-    """Every row gets its count, whatever counts as hot; hot contents do not cross the shuffle."""
-    monkeypatch.setattr(T, "HOT_SHARE", share)
-    rows = [(i, "the same text" if i % 3 == 0 else f"text {i % 50}", "en", "a", 0) for i in range(300)]
-    out = T.count_tokens(frame(spark, rows), MODEL, new_path(spark, "cache"))
-    got = Counter((r["_row"]["doc_id"], r["n_tokens"]) for r in out.collect())
-    assert got == Counter((r[0], brute(MODEL, r[1])) for r in rows)
