@@ -115,19 +115,3 @@ def test_rows_of_one_id_do_not_share_an_array(spark):
     assert max(len(r["lines"]) for r in entries) <= 3
     assert sum(r["id"] is None for r in entries) == 200 and sum(r["id"] == 9 for r in entries) == 1
     assert result(docs) == brute([r[:2] for r in rows])
-
-
-@pytest.mark.parametrize("share", [1, 4, 1_000])
-def test_a_line_in_a_third_of_all_rows(spark, monkeypatch, share):
-    """Whatever counts as hot, the result is that of all pairs."""
-    monkeypatch.setattr(L, "HOT_SHARE", share)
-    rng = random.Random(9)
-    rows = []
-    for i in range(200):
-        lines = [words(rng, 6) for _ in range(2)] + (["the line that very many documents share"] if i % 3 else [])
-        lines += [rng.choice(["a footer of some documents", "a footer of some documentz", "another of a few"])]
-        rng.shuffle(lines)
-        rows.append((i, "\n".join(lines), "en", "a", 0))
-    out = L.dedup_lines(frame(spark, rows))
-    got = Counter((r["_row"]["doc_id"], r["text"]) for r in out.collect())
-    assert got == brute([r[:2] for r in rows])

@@ -73,23 +73,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: A key is hot when it holds more than one in so many of all rows: fewer keys than this can be hot,
-#: which bounds what ``join_hot`` broadcasts.
-HOT_SHARE = 1_000
-
-
-def join_hot(left: DataFrame, hot: DataFrame, cold: DataFrame, keys: list[str]) -> DataFrame:
-    """``left`` joined with ``hot`` and ``cold`` (one row a key) on ``keys``.
-
-    ``hot`` holds the keys with more than 1 / HOT_SHARE of all rows of
-    ``left``.  It is broadcast, so these rows meet their key where they lie;
-    the others go by shuffle, where no key is more than that share of them.
-    """
-    here = left.join(F.broadcast(hot), keys)
-    rest = left.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold, keys)
-    return here.unionByName(rest)
-
-
 def crc_mod(column: Column | str, divisor: int) -> Column:
     """crc32 of the id written as text, modulo ``divisor`` (null for a null id)."""
     col = F.col(column) if isinstance(column, str) else column
