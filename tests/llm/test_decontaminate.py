@@ -189,3 +189,27 @@ def test_the_bag_bound_drops_no_verified_pair():
     words_ = tokenizer([" ".join(spread)])
     first, end, found = np.array([16]), np.array([80]), np.array([0])
     assert len(index.verify(words_, first, end, found)) == len(index._bag(words_, first, end, found, 64 + D.PIECE)[0]) == 1
+
+
+def test_the_space_is_fitted_on_every_document(spark, monkeypatch):
+    """One-word documents in large number: A'A is diagonal, each entry made of all documents of its term."""
+    seen = []
+    monkeypatch.setattr(D, "whitened_vectors", lambda y: seen.append(y) or np.zeros((D.TERMS, D.RANK)))
+    docs = spark.range(0, 260_000, 1, 6).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), F.col("id") % 40).alias("text"))
+    space = D.fit(docs, text_col="text")
+    df = np.zeros(D.TERMS)
+    for term in D.Tokenizer(D._alphabet())([f"w{i}" for i in range(40)]).terms:
+        df[term] += 260_000 / 40
+    assert seen[0] == pytest.approx((df * space.idf.astype(float) ** 2)[:, None] * D.directions(), rel=1e-4, abs=1e-2)
+
+
+def test_products_of_passages_equal_a_dense_product():
+    rng = np.random.default_rng(4)
+    n, weighted = 300, rng.standard_normal((D.TERMS, 5)).astype(np.float32)
+    passage = np.sort(rng.integers(0, n - 1, 9_000))  # the last one is empty
+    term = np.where(rng.random(9_000) < 0.5, rng.integers(0, 20, 9_000), rng.integers(0, D.TERMS, 9_000))
+    dense = np.zeros((n, D.TERMS))
+    np.add.at(dense, (passage, term), 1)
+    total = np.ones((D.TERMS, 5))
+    D._add_products(total, term, passage, n, weighted)
+    assert total == pytest.approx(1 + dense.T @ (dense @ weighted), rel=1e-4, abs=1e-2)

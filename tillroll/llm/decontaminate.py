@@ -3,7 +3,7 @@
 1. Passages of all documents become TF-IDF rows over hashed terms, document
    frequencies counted over all of them.
 2. A randomised SVD of those rows, summed over the cluster, gives the latent
-   space of the search index; it is fitted on a bounded sample of documents.
+   space of the search index; it is fitted on the passages of all documents.
 3. Benchmark pieces and all document windows meet in it: cosines select
    candidates.  Pieces of a few words, too little of a window for a cosine,
    are looked up as word sequences beside it.
@@ -28,10 +28,6 @@ TERM_BITS = 13
 TERMS = 1 << TERM_BITS
 RANK, OVERSAMPLE = 192, 16
 SEED = 20_201
-#: Passages, about, that the latent space is fitted on: documents drawn by a
-#: hash at the rate that makes so many.  Counts and the search cover all.  The
-#: sample is bounded, and so is the number of tasks that multiply it.
-FIT_PASSAGES, FIT_TASKS = 200_000, 8
 #: Words of a passage in the fitted matrix, and of the blocks that windows are made of.
 PASSAGE, BLOCK = 64, 16
 #: Benchmark items are cut into pieces of at most PIECE words.  Pieces of up to
@@ -52,10 +48,10 @@ BAG = PARAPHRASE - 1e-3
 ANSWER_WORDS = 5
 #: Pieces that one pass over the documents looks for; more take more passes.
 PIECES_PER_PASS = 1_024
-_CHARS = 500_000        # characters handled side by side
+_CHARS = 100_000        # characters handled side by side
 _ROWS = 512             # windows handled side by side
 _FAN_IN = 64            # partial sums added by one task
-_GATHER = 128  # passages or terms whose rows of the test matrix are gathered at once
+_PASSAGES, _DENSE = 4_096, 512  # passages multiplied at once, and their commonest terms, which are a dense matrix
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _BASE = 0x9E3779B97F4A7C15
 
@@ -132,24 +128,58 @@ def _passages(texts: list[str], tokenizer: Tokenizer):
             yield words.terms, passage, int(passage[-1]) + 1
 
 
-def document_frequencies(docs: DataFrame, text_col: str) -> tuple[np.ndarray, int]:
-    """In how many passages of all documents each hashed term stands, and how
-    many passages there are.  TERMS + 1 sums reach the driver."""
+def passage_terms(docs: DataFrame, text_col: str) -> DataFrame:
+    """(terms, lengths): the hashed terms of the passages of all documents, many
+    passages a row, stored in two bytes a word for both passes of the fit."""
     alphabet = _alphabet()  # made once, sent to the tasks
 
     def run(batches):
-        counts, tokenizer = np.zeros(TERMS + 1, dtype=np.int64), Tokenizer(alphabet)
+        tokenizer = Tokenizer(alphabet)
         for batch in batches:
             for term, passage, n in _passages([t or "" for t in batch.column(0).to_pylist()], tokenizer):
-                cells = np.sort(passage * np.int32(TERMS) + term.astype(np.int32))
-                cells = cells[np.concatenate(([True], cells[1:] != cells[:-1]))]
-                counts[:TERMS] += np.bincount(cells % TERMS, minlength=TERMS)
-                counts[TERMS] += n
+                lengths = np.bincount(passage, minlength=n).astype(np.uint8)
+                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (term.astype(np.uint16), lengths)],
+                                                 names=["terms", "lengths"])
+
+    return materialize(docs.select(text_col).mapInArrow(run, "terms binary, lengths binary"), "passages")
+
+
+def _stored(batches):
+    """(terms, passage of each term, number of passages) of about _PASSAGES stored passages at a time."""
+    def block():
+        terms, lengths = (np.concatenate(x) for x in zip(*held, strict=True))
+        ends = np.concatenate(([0], np.cumsum(lengths, dtype=np.int64)))
+        for a in range(0, len(lengths), _PASSAGES):
+            some = lengths[a:a + _PASSAGES]
+            yield (terms[ends[a]:ends[a + len(some)]].astype(np.int64), np.repeat(np.arange(len(some)), some), len(some))
+
+    held, n = [], 0
+    for batch in batches:
+        for stored, sizes in zip(*(batch.column(i).to_pylist() for i in range(2)), strict=True):
+            if n and n + len(sizes) > _PASSAGES:
+                yield from block()
+                held, n = [], 0
+            held.append((np.frombuffer(stored, dtype=np.uint16), np.frombuffer(sizes, dtype=np.uint8)))
+            n += len(sizes)
+    if held:
+        yield from block()
+
+
+def document_frequencies(passages: DataFrame) -> tuple[np.ndarray, int]:
+    """In how many of the ``passage_terms`` each hashed term stands, and how
+    many passages there are.  TERMS + 1 sums reach the driver."""
+    def run(batches):
+        counts = np.zeros(TERMS + 1, dtype=np.int64)
+        for term, passage, n in _stored(batches):
+            cells = np.sort((passage * TERMS + term).astype(np.int32))
+            cells = cells[np.concatenate(([True], cells[1:] != cells[:-1]))]
+            counts[:TERMS] += np.bincount(cells % TERMS, minlength=TERMS)
+            counts[TERMS] += n
         seen = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int32()), pa.array(counts[seen], pa.int64())],
                                          names=["term", "n"])
 
-    counted = docs.select(text_col).mapInArrow(run, "term int, n bigint")
+    counted = passages.mapInArrow(run, "term int, n bigint")
     counts = np.zeros(TERMS + 1, dtype=np.int64)
     for row in counted.groupBy("term").agg(F.sum("n").alias("n")).collect():
         counts[row["term"]] = row["n"]
@@ -179,41 +209,68 @@ def _sum_partials(parts: DataFrame) -> np.ndarray | None:
     return np.concatenate([np.frombuffer(r["data"], dtype=np.float32) for r in blocks]).astype(np.float64)
 
 
-def sketch(docs: DataFrame, text_col: str, idf: np.ndarray) -> np.ndarray:
-    """A'(A G) for the TF-IDF matrix A of the documents' passages and the random matrix G.
+def _group_sums(table: np.ndarray, rows: np.ndarray, groups: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(groups that occur, the sum of ``table[rows]`` of each).
+
+    The k-th rows of all groups that have one are added together, the largest
+    group first, so that each addition is one of whole matrices."""
+    size = np.bincount(groups, minlength=n)
+    by_size = np.argsort(-size, kind="stable")
+    sizes = size[by_size]
+    place = np.empty(n, dtype=np.int64)
+    place[by_size] = np.arange(n)
+    ordered = rows[np.argsort(place[groups], kind="stable")]
+    first, filled = np.cumsum(sizes) - sizes, int((sizes > 0).sum())
+    out = np.zeros((filled, table.shape[1]), dtype=np.float32)
+    for k in range(int(sizes[0])):
+        m = int(np.searchsorted(-sizes, -k))  # groups with more than k rows
+        out[:m] += table[ordered[first[:m] + k]]
+    return by_size[:filled], out
+
+
+def _add_products(total: np.ndarray, term: np.ndarray, passage: np.ndarray, n: int, weighted: np.ndarray) -> None:
+    """Add B'(B ``weighted``) to ``total``, for the counts B of ``n`` passages by term.
+    Their commonest terms are multiplied as a dense matrix, the rest word by word."""
+    common = np.argpartition(-np.bincount(term, minlength=TERMS), _DENSE)[:_DENSE]
+    place = np.full(TERMS, -1, dtype=np.int64)
+    place[common] = np.arange(_DENSE)
+    at = place[term]
+    dense = np.zeros((n, _DENSE), dtype=np.float32)
+    np.add.at(dense.reshape(-1), passage[at >= 0] * _DENSE + at[at >= 0], np.float32(1))
+    products = dense @ weighted[common]
+    term, passage = term[at < 0], passage[at < 0]
+    if len(term):
+        held, sums = _group_sums(weighted, term, passage, n)
+        products[held] += sums
+    total[common] += dense.T @ products
+    if len(term):
+        held, sums = _group_sums(products, passage, term, TERMS)
+        total[held] += sums
+
+
+def sketch(passages: DataFrame, idf: np.ndarray) -> np.ndarray:
+    """A'(A G) for the TF-IDF matrix A of the ``passage_terms`` and the random matrix G.
 
     One pass: a task multiplies its passages with G and the products back with
     the passages, adding into one matrix of TERMS rows; tasks' matrices are
     summed in a tree, and the total of fixed size reaches the driver.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(idf.astype(np.float32))
-    width, block_rows, alphabet = RANK + OVERSAMPLE, 512, _alphabet()
+    shared = passages.sparkSession.sparkContext.broadcast(idf.astype(np.float32))
+    width, block_rows = RANK + OVERSAMPLE, 512
 
     def run(batches):
-        weights, tokenizer = shared.value, Tokenizer(alphabet)
+        weights = shared.value
         weighted = directions() * weights[:, None]
         total = np.zeros((TERMS, width))
-        for batch in batches:
-            for term, passage, _ in _passages([t or "" for t in batch.column(0).to_pylist()], tokenizer):
-                starts = np.flatnonzero(np.diff(passage, prepend=-1))
-                products = np.empty((len(starts), width), dtype=np.float32)
-                for a in range(0, len(starts), _GATHER):
-                    low, high = starts[a], starts[a + _GATHER] if a + _GATHER < len(starts) else len(term)
-                    products[a:a + _GATHER] = np.add.reduceat(weighted[term[low:high]], starts[a:a + _GATHER] - low, axis=0)
-                order = np.argsort(term.astype(np.uint16), kind="stable")
-                ordered = term[order]
-                first = np.flatnonzero(np.diff(ordered, prepend=-1))
-                for a in range(0, len(first), _GATHER):
-                    low, high = first[a], first[a + _GATHER] if a + _GATHER < len(first) else len(term)
-                    total[ordered[first[a:a + _GATHER]]] += np.add.reduceat(products[passage[order[low:high]]],
-                                                                           first[a:a + _GATHER] - low, axis=0)
+        for term, passage, n in _stored(batches):
+            _add_products(total, term, passage, n, weighted)
         total *= weights[:, None]
         if total.any():
             data = [total[a:a + block_rows].astype(np.float32).tobytes() for a in range(0, TERMS, block_rows)]
             yield pa.RecordBatch.from_arrays([pa.array(range(len(data)), pa.int32()), pa.array(data, pa.binary())],
                                              names=["block", "data"])
 
-    parts = docs.select(text_col).mapInArrow(run, "block int, data binary")
+    parts = passages.mapInArrow(run, "block int, data binary")
     parts = parts.select(F.spark_partition_id().cast("long").alias("part"), "block", "data")
     total = _sum_partials(parts)
     return np.zeros((TERMS, width)) if total is None else total.reshape(TERMS, width)
@@ -244,13 +301,12 @@ class Space(NamedTuple):
     project: np.ndarray     # idf * whitened singular vectors, by hashed term
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Space:
-    """The latent space of the passages of ``docs``."""
-    df, n = document_frequencies(docs, text_col)
+def fit(docs: DataFrame, text_col: str = "text") -> Space:
+    """The latent space of the passages of all ``docs``."""
+    passages = passage_terms(docs, text_col)
+    df, n = document_frequencies(passages)
     idf = np.log((n + 1) / (df + 1.0)) + 1e-3
-    rate = min(1.0, FIT_PASSAGES / max(n, 1))
-    drawn = docs.where(F.pmod(F.xxhash64(id_col, text_col), F.lit(1 << 20)) < int(rate * (1 << 20)))
-    vectors = whitened_vectors(sketch(drawn.select(text_col).repartition(FIT_TASKS), text_col, idf))
+    vectors = whitened_vectors(sketch(passages, idf))
     return Space(idf.astype(np.float32), (vectors * idf[:, None]).astype(np.float32))
 
 
@@ -437,7 +493,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     repeated documents or items give one row for each distinct pair; an empty
     table gives no rows; other columns are not read.
     """
-    space = fit(docs, id_col, text_col)
+    space = fit(docs, text_col)
     return _leaks(docs, benchmark, space, id_col, text_col, item_col, item_text_col, answer_col)
 
 
@@ -499,7 +555,7 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "do
     id, or with that of a clean row, goes by its own text."""
     key = _row_key(F.col(id_col), F.xxhash64(text_col)).alias("_key")
     keyed = docs.select(key, F.col(text_col).alias("text"))
-    leaks = materialize(_leaks(keyed, benchmark, fit(docs, id_col, text_col), "_key", "text", **columns)
+    leaks = materialize(_leaks(keyed, benchmark, fit(docs, text_col), "_key", "text", **columns)
                         .select("_key").distinct(), "leaks")
     return docs.select(F.struct("*").alias("_row"), key).join(leaks, "_key", "left_anti").select("_row.*")
 
