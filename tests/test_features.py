@@ -108,3 +108,36 @@ def test_session_time_zone_does_not_matter(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
     assert before == after
     assert sorted(feat.rfm_sql(tx).collect()) == sql_after
+
+
+def _physical(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_aggregates_neither_repeat_the_facts_nor_hold_maps(spark):
+    """No row is repeated for a distinct count and no state falls back to sorting the facts."""
+    tx = _tx(spark, [dict(TransactionID="1", CustomerID="c1", TransactionDate=dt.datetime(2024, 1, 1))])
+    plan = _physical(feat.customer_aggregates(tx))
+    assert "Expand" not in plan and "ObjectHashAggregate" not in plan
+    assert "Exchange hashpartitioning(CustomerID" in plan
+
+
+def test_aggregates_of_nulls_and_repeated_orders(spark):
+    """Null customers, orders and values, and an order of two customers."""
+    t = dt.datetime(2024, 1, 1)
+    rows = [dict(TransactionID=o, CustomerID=c, ProductCategory=p, Revenue=m, TransactionDate=t)
+            for o, c, p, m in [("1", None, "a", None), ("1", None, "b", None), (None, "c", None, Decimal("2.00")),
+                               ("2", "c", "b", None), ("2", "d", "a", Decimal("1.50")), ("2", "d", "a", Decimal("1.50"))]]
+    got = {r.CustomerID: (r.Frequency, r.Monetary, r.TotalProducts, r.UniqueCategories, r.PrimaryCategory, r.Country)
+           for r in feat.customer_aggregates(_tx(spark, rows)).collect()}
+    assert got == {None: (1, None, 2, 2, "a", "X"), "c": (1, Decimal("2.00"), 2, 1, "b", "X"),
+                   "d": (1, Decimal("3.00"), 2, 1, "a", "X")}
+
+
+def test_overview_counts_without_repeating_the_facts(spark):
+    from tillroll.operators import sales
+    t = dt.datetime(2024, 1, 1)
+    rows = [dict(TransactionID=o, CustomerID=c, TransactionDate=t) for o, c in [("1", "a"), ("1", "b"), ("2", None), (None, "a")]]
+    out = sales.overview(_tx(spark, rows))
+    assert "Expand" not in _physical(out)
+    assert out.first().asDict() == dict(TotalRevenue=Decimal("4.00"), TotalOrders=2, TotalCustomers=2, AverageOrderValue=1.0)

@@ -1,10 +1,11 @@
 """Per-customer feature vector.
 
-One shuffle-aggregate over the transactions keyed by CustomerID computes
-every per-customer measure at once: extremes, distinct counts (Catalyst
-plans them as an Expand + two-phase aggregate, so a customer with a huge
-share of rows is spread over its transaction ids first), money sums in
-decimal, and deterministic modes (lowest value on ties, partial-mergeable).
+Two aggregates of fixed-width state precede the one by customer: orders
+(distinct orders, extremes and money) and counts of each customer's values,
+from which the modes (lowest value on ties) and distinct categories follow.
+Neither repeats the facts for a distinct count nor holds a map a customer, so
+nothing falls back to sorting them, and a customer with a huge share of rows is
+spread over its orders and arrives as a few rows a task.
 The global snapshot date is a scalar subquery over the same aggregate, so
 no join is needed to attach it.
 """
@@ -23,18 +24,30 @@ FEATURE_COLUMNS = ["CustomerID", "LastPurchaseDate", "FirstPurchaseDate", "Frequ
                    "CustomerTenureDays", "AvgDaysBetweenOrders"]
 
 
+#: Columns whose most frequent value describes a customer, and the feature that holds it.
+MODES = {"ProductCategory": "PrimaryCategory", "PaymentMethod": "PreferredPaymentMethod", "Country": "Country"}
+
+
 def customer_aggregates(tx: DataFrame) -> DataFrame:
     """Raw per-customer aggregates (timestamps kept as timestamps)."""
-    return tx.groupBy("CustomerID").agg(
-        F.max("TransactionDate").alias("LastPurchaseDate"),
-        F.min("TransactionDate").alias("FirstPurchaseDate"),
-        F.countDistinct("TransactionID").alias("Frequency"),
-        F.sum("Revenue").alias("Monetary"),
-        F.sum("Quantity").cast("bigint").alias("TotalProducts"),
-        F.countDistinct("ProductCategory").alias("UniqueCategories"),
-        F.mode("ProductCategory", True).alias("PrimaryCategory"),
-        F.mode("PaymentMethod", True).alias("PreferredPaymentMethod"),
-        F.mode("Country", True).alias("Country"),
+    orders = tx.groupBy("CustomerID", "TransactionID").agg(
+        F.max("TransactionDate").alias("last"), F.min("TransactionDate").alias("first"),
+        F.sum("Revenue").alias("revenue"), F.sum("Quantity").cast("bigint").alias("units"))
+    values = F.array(*[F.struct(F.lit(i).alias("kind"), F.col(c).alias("value")) for i, c in enumerate(MODES)])
+    counts = (tx.select("CustomerID", F.inline(values)).where("value IS NOT NULL")
+              .groupBy("CustomerID", "kind", "value").agg(F.count(F.lit(1)).alias("n")))
+
+    def mode(i):
+        return F.min(F.when(F.col("kind") == i, F.struct((-F.col("n")).alias("n"), "value")))["value"]
+
+    return orders.unionByName(counts, allowMissingColumns=True).groupBy("CustomerID").agg(
+        F.max("last").alias("LastPurchaseDate"),
+        F.min("first").alias("FirstPurchaseDate"),
+        F.count("TransactionID").alias("Frequency"),
+        F.sum("revenue").cast(orders.schema["revenue"].dataType).alias("Monetary"),
+        F.sum("units").alias("TotalProducts"),
+        F.count(F.when(F.col("kind") == list(MODES).index("ProductCategory"), 1)).alias("UniqueCategories"),
+        *[mode(i).alias(name) for i, name in enumerate(MODES.values())],
     )
 
 
