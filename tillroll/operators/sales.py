@@ -125,14 +125,15 @@ def top_customers(tx: DataFrame, k: int = 10) -> DataFrame:
 
 
 def overview(tx: DataFrame, aov_mode: str = "half_even") -> DataFrame:
-    """Revenue, distinct orders, distinct customers, mean row revenue."""
-    agg = tx.agg(F.sum("Revenue").alias("TotalRevenue"),
-                 F.countDistinct("TransactionID").alias("TotalOrders"),
-                 F.countDistinct("CustomerID").alias("TotalCustomers"),
-                 F.count("Revenue").alias("_n"))
-    return (agg.withColumn("AverageOrderValue",
-                           F.when(F.col("_n") > 0, _avg_money("TotalRevenue", "_n", aov_mode)))
-               .drop("_n"))
+    """Revenue, distinct orders, distinct customers, mean row revenue.
+
+    Each distinct count reads the distinct values of its own column: counted
+    together they would repeat every fact row once a count before the shuffle."""
+    agg = tx.agg(F.sum("Revenue").alias("TotalRevenue"), F.count("Revenue").alias("_n"))
+    counts = {name: tx.select(c).distinct().agg(F.count(c)).scalar()
+              for name, c in (("TotalOrders", "TransactionID"), ("TotalCustomers", "CustomerID"))}
+    return agg.select("TotalRevenue", *[c.alias(name) for name, c in counts.items()],
+                      F.when(F.col("_n") > 0, _avg_money("TotalRevenue", "_n", aov_mode)).alias("AverageOrderValue"))
 
 
 def category_revenue(tx: DataFrame) -> DataFrame:
