@@ -38,7 +38,7 @@ def running_totals(df: DataFrame, keys, sums: list[str], descending: bool = Fals
 
 
 def exact_quantiles(long_df: DataFrame, group: str = "column", value: str = "v",
-                    probs=(0.25, 0.5, 0.75)) -> DataFrame:
+                    probs=(0.25, 0.5, 0.75), count: str | None = None) -> DataFrame:
     """Exact linear-interpolation quantiles of ``value`` per ``group`` (nulls
     ignored), one row per group with columns ``q0, q1, ...``.
 
@@ -48,9 +48,12 @@ def exact_quantiles(long_df: DataFrame, group: str = "column", value: str = "v",
     (group, value), one running count over (group, value) order locates the
     ranks (minus the rows of earlier groups), and only the rows holding a
     wanted rank are kept.  Every group is handled in the same pass.
+    With ``count`` the rows are distinct values already, counted in that column.
     """
-    v = long_df.select(group, F.col(value).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    counts = materialize(v.groupBy(group, "v").agg(F.count(F.lit(1)).alias("n")))  # read three times below
+    counts = long_df.select(group, F.col(value).cast("double").alias("v"), *([F.col(count).alias("n")] if count else []))
+    counts = counts.filter(F.col("v").isNotNull())
+    if not count:
+        counts = materialize(counts.groupBy(group, "v").agg(F.count(F.lit(1)).alias("n")))  # read three times below
     per_group = counts.groupBy(group).agg(F.sum("n").alias("_ng"))
     start = per_group.withColumn(
         "_start", F.coalesce(F.sum("_ng").over(Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)),

@@ -255,11 +255,17 @@ def merged_quantiles(mart: DataFrame, period: F.Column, probs=(0.25, 0.5, 0.75))
                          *[F.kll_sketch_get_quantile_double("_s", F.lit(float(p))).alias(f"e{i}") for i, p in enumerate(probs)])
 
 
-def quantiles_within_bound(values: DataFrame, estimates: DataFrame, probs=(0.25, 0.5, 0.75)) -> DataFrame:
+def value_counts(values: DataFrame) -> DataFrame:
+    """(Period, Column, v, c): how often each value of ``values`` (Period, Column, v) occurs."""
+    return values.groupBy("Period", "Column", "v").agg(F.count(F.lit(1)).alias("c"))
+
+
+def quantiles_within_bound(counts: DataFrame, estimates: DataFrame, probs=(0.25, 0.5, 0.75)) -> DataFrame:
     """(Period, Column, WithinBound): whether every estimate's true rank among
-    ``values`` (Period, Column, v) lies within QUANTILE_BOUND of the rank asked
-    for.  Equal values are counted before they meet the estimates."""
-    counts = values.groupBy("Period", "Column", "v").agg(F.count(F.lit(1)).alias("c"))
+    the ``value_counts`` lies within QUANTILE_BOUND of the rank asked for.
+    Values without counts (no column ``c``) are counted before they meet the estimates."""
+    if "c" not in counts.columns:
+        counts = value_counts(counts)
     met = counts.join(estimates.drop("n"), ["Period", "Column"])
     below = [F.sum(F.when(F.col("v") < F.col(f"e{i}"), F.col("c")).otherwise(0)).alias(f"b{i}") for i in range(len(probs))]
     upto = [F.sum(F.when(F.col("v") <= F.col(f"e{i}"), F.col("c")).otherwise(0)).alias(f"u{i}") for i in range(len(probs))]

@@ -196,9 +196,12 @@ def q_sketched_quantiles(spark, sf_dir):
     mart = materialize(sales.daily_quantile_mart(tx))
     periods = [F.substring(F.col("Date").cast("string"), 1, n) for n in (7, 4)]
     estimates = sales.merged_quantiles(mart, periods[0]).unionByName(sales.merged_quantiles(mart, periods[1]))
-    values = sales.numeric_values(tx).select(F.explode(F.array(*periods)).alias("Period"), "Column", "v")
-    checked = sales.quantiles_within_bound(values, estimates)
-    exact = exact_quantiles(values.select(F.concat_ws("|", "Period", "Column").alias("column"), "v"))
+    # facts are counted once, by month; years add their months' counts
+    months = materialize(sales.value_counts(sales.numeric_values(tx).select(periods[0].alias("Period"), "Column", "v")))
+    years = months.groupBy(F.substring("Period", 1, 4).alias("Period"), "Column", "v").agg(F.sum("c").alias("c"))
+    counts = materialize(months.unionByName(years))
+    checked = sales.quantiles_within_bound(counts, estimates)
+    exact = exact_quantiles(counts.select(F.concat_ws("|", "Period", "Column").alias("column"), "v", "c"), count="c")
     exact = exact.select(F.split_part("column", F.lit("|"), F.lit(1)).alias("Period"),
                          F.split_part("column", F.lit("|"), F.lit(2)).alias("Column"),
                          *[F.round(f"q{i}", 6).alias(name) for i, name in enumerate(("p25", "p50", "p75"))])
