@@ -69,3 +69,14 @@ def test_fingerprint_notices_a_nested_rewrite(spark, tmp_path):
     (nested / "a.parquet").write_bytes(b"y" * 10)
     os.utime(nested / "a.parquet", (1, 1_000_000_000))
     assert fingerprint(spark, [str(tmp_path / "tbl")]) != first
+
+
+def test_order_check_sorts_narrow_rows(spark, tmp_path):
+    """What is shuffled and sorted by file holds its number, not its path."""
+    rows = spark.range(10).selectExpr("cast(id as string) CustomerID", "timestamp_ntz'2024-01-01 00:00:00' TransactionDate",
+                                      "cast(1 as decimal(12,2)) Revenue", "'2024-01' TxMonth")
+    rows.write.parquet(str(tmp_path / "t"))
+    plan = sinks.order_check(spark.read.parquet(str(tmp_path / "t")))._jdf.queryExecution().optimizedPlan().toString()
+    window = next(line for line in plan.splitlines() if "Window [" in line)
+    below = plan.splitlines()[plan.splitlines().index(window) + 1]
+    assert "Project" in below and "_path" not in below and "file_path" not in below
