@@ -1,4 +1,5 @@
 import random
+import re
 from collections import Counter, defaultdict
 
 from tests.llm.helpers import empty, frame, odd_documents, words
@@ -90,3 +91,29 @@ def test_rows_without_id_spread_and_reruns_agree(spark):
     assert keys.distinct().count() > 300  # slices, each a task's share
     first, again = (list(map(tuple, M.mix(d).collect())) for d in (docs, docs.repartition(13)))
     assert first == again
+
+
+def test_texts_are_shuffled_once_before_the_sort(spark, capsys):
+    """Running totals and offsets share one shuffle of the rows; the sorted copies take another."""
+    rng = random.Random(5)
+    docs = frame(spark, [(i, words(rng, 20), "en", rng.choice(["a", "b", "", None]), 0) for i in range(200)], clashing=False)
+    plain = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in plain}
+    for k, v in plain.items():
+        spark.conf.set(k, v)
+    try:
+        M.mix(docs.repartition(3)).explain("formatted")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    moved = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]\nArguments: (\w+)", capsys.readouterr().out)
+    with_text = [how for columns, how in moved if "_row#" in columns]
+    assert sorted(with_text) == ["hashpartitioning", "rangepartitioning"]
+
+
+def test_sources_without_name_keep_apart_from_empty_names(spark):
+    rows = [(i, f"w{i} x y", "en", s, 0) for i in range(60) for s in ("", None, "=", "a", "aa")]
+    served = M.serve(frame(spark, rows)).collect()
+    for s in ("", None, "=", "a", "aa"):
+        own = sorted((r["start"], r["size"]) for r in served if r["source"] == s)
+        assert own == [(3 * k, 3) for k in range(60)] and {r["source_size"] for r in served if r["source"] == s} == {180}

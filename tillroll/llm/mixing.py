@@ -56,21 +56,24 @@ def serve(docs: DataFrame, seed: int = 17, carry: list[str] | None = None) -> Da
     equal in id and text follow one another in any order; as each takes as
     many words, only their other columns could tell reruns apart.  Running
     totals are taken within slices of the hash, and slices are offset by the
-    totals of those before.
+    totals of those before.  A slice's name holds its source too: one key that
+    is never null serves the running totals and the join with the offsets, so
+    that the rows with their texts are shuffled and sorted once for both.
     """
     sized = docs.select(F.struct(*(carry or ["*"])).alias("_row"), F.col("source"), n_words(F.col("text")).alias("size"),
                         shuffle_key(F.col("doc_id"), F.col("text"), seed).alias("key"))
-    sized = sized.withColumn("slice", F.substring("key", 1, SLICE_DIGITS))
+    of_source = F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit(""))
+    sized = sized.withColumn("slice", F.concat(F.substring("key", 1, SLICE_DIGITS), of_source))
     slices = materialize(sized.groupBy("source", "slice").agg(F.sum("size").alias("slice_size")), "slices")
     shares = targets(slices.groupBy("source").agg(F.sum("slice_size").alias("source_size")))
     earlier = Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     slices = slices.select("source", "slice", F.coalesce(F.sum("slice_size").over(earlier), F.lit(0)).alias("offset"))
     slices = slices.alias("a").join(shares.alias("b"), F.col("a.source").eqNullSafe(F.col("b.source"))).select(
-        F.col("a.source").alias("_source"), F.col("slice").alias("_slice"), "offset", "source_size", "target")
-    rows = sized.join(slices, F.col("source").eqNullSafe(F.col("_source")) & (F.col("slice") == F.col("_slice")))
-    inside = Window.partitionBy("source", "slice").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.col("offset") + F.coalesce(F.sum("size").over(inside), F.lit(0))
-    return rows.select("_row", "source", "size", "source_size", "target", start.alias("start"))
+        F.col("slice").alias("_slice"), "offset", "source_size", "target")
+    inside = Window.partitionBy("slice").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, -1)
+    rows = sized.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    rows = rows.join(slices, F.col("slice") == F.col("_slice"))
+    return rows.select("_row", "source", "size", "source_size", "target", (F.col("offset") + F.col("before")).alias("start"))
 
 
 def taken_words(epoch: int) -> Column:
